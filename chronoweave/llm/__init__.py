@@ -10,11 +10,24 @@ from collections.abc import Callable
 
 
 def queries() -> dict[str, Callable]:
-    from . import langid, minhash, packing, pii, quality
-
-    found = (pii.op1_pii, langid.op6_language_id, minhash.op8_minhash_near_dedup, quality.op9_quality, packing.op10_packing)
+    from . import embedding_dedup, langid, minhash, packing, pii, quality, sentencepiece, sharding, topk, urlfilter
+
+    found = (
+        pii.op1_pii,
+        sentencepiece.op2_sentencepiece,
+        sharding.op3_sharding,
+        urlfilter.op4_url_filter,
+        embedding_dedup.op5_embedding_near_dedup,
+        langid.op6_language_id,
+        topk.op7_exact_top_k,
+        minhash.op8_minhash_near_dedup,
+        quality.op9_quality,
+        packing.op10_packing,
+    )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import topk
+
+    return {"op7_exact_top_k": topk.ORACLE_SQL}

@@ -11,7 +11,7 @@ import re
 from collections.abc import Callable
 
 #: Chunks in one of the cache's two generations.
-GENERATION = 150_000
+GENERATION = 250_000
 #: Longer chunks are not kept.
 LONGEST = 64
 
@@ -30,7 +30,7 @@ def split(text: str) -> list[str]:
 class ChunkCache:
     """``encode(chunks)`` gives the bytes of each chunk's ids; ``ids`` joins those of a text's chunks.
 
-    prefix: what stands before the first chunk.
+    prefix: what is put before the text.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], prefix: str = "") -> None:
@@ -41,7 +41,7 @@ class ChunkCache:
     def ids(self, text: str) -> bytes:
         if not text:
             return b""
-        parts = split(text)
+        parts = split(self.prefix + text)
         found = list(map(self.now.get, parts))
         found[0] = None
         if miss := [i for i, f in enumerate(found) if f is None and i]:
@@ -57,6 +57,5 @@ class ChunkCache:
             for i in miss:
                 if len(parts[i]) <= LONGEST:
                     self.now[parts[i]] = found[i]
-        head = self.prefix + parts[0]
-        found[0] = self.encode([head])[0] if head else b""
+        found[0] = self.encode([parts[0]])[0] if parts[0] else b""
         return b"".join(found)
