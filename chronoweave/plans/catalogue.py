@@ -1,11 +1,379 @@
-"""Queries over the driver's tables and the SQL that checks them."""
+"""Queries over the driver's tables, one for each operator or group of operators, and the SQL that checks them."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.expr import parse
+from ..functions.metadata_values import compile_value
+from ..operators import align, codes, cohort, subjects
+from ..operators.events import extract_event, lookup_join, subject_rows, table_events
+from ..operators.union import diagonal_union, vertical_union
+from ..sources.readers import promote, row_range
+from . import pipeline, spec
+
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_oracles: dict[str, str] = {}
+
+#: The specification of the flagship cohort.
+COHORT = {
+    "customer": {
+        "subject_id_col": "c_custkey",
+        "segment": {"code": 'f"SEGMENT//{$c_mktsegment}"', "time": None},
+        "balance": {"code": "ACCT_BALANCE", "time": None, "numeric_value": "$c_acctbal"},
+        "nation": {"code": 'f"NATION//{$c_nationkey}"', "time": None, "_metadata": {"nation": {"c_nationkey": "n_nationkey", "description": "n_name"}}},
+    },
+    "orders": {
+        "subject_id_col": "o_custkey",
+        "placed": {"code": 'f"ORDER//{$o_orderstatus}//{$o_orderpriority}"', "time": "$o_orderdate", "numeric_value": "$o_totalprice"},
+    },
+    "lineitem": {
+        "join": {"input_prefix": "orders", "left_on": "l_orderkey", "right_on": "o_orderkey", "columns_from_right": ["o_custkey"]},
+        "subject_id_col": "o_custkey",
+        "item": {"code": 'f"ITEM//{$l_returnflag}//{$l_linestatus}"', "time": "$l_shipdate", "numeric_value": "$l_quantity"},
+    },
+    "events": {
+        "subject_id_col": "user_id",
+        "activity": {"code": 'f"EVENT//{$event_type}"', "time": "$ts", "numeric_value": "$value"},
+    },
+}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        _queries[f.__name__] = f
+        if sql:
+            _oracles[f.__name__] = sql
+        return f
+
+    return add
+
+
+def queries() -> dict[str, Query]:
+    return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_oracles)
+
+
+def _reader(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
+    return lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _events(spark: SparkSession, sf_dir: str, table: str, cfg: dict, raw: DataFrame | None = None, lookup: str | None = None, **options) -> DataFrame:
+    """Events of one table under a specification written in place."""
+    t = spec.from_dict({table: cfg}).tables[table]
+    read = _reader(spark, sf_dir)
+    return table_events(read(table) if raw is None else raw, t, read(lookup) if lookup else None, **options).drop("__block__")
+
+
+@query("""SELECT DISTINCT c_custkey AS subject_id, 'SEGMENT//' || coalesce(c_mktsegment, 'UNK') AS code, CAST(NULL AS TIMESTAMP) AS time, 'customer/segment' AS source_block FROM customer""")
+def static_events(spark, sf_dir):
+    return _events(spark, sf_dir, "customer", {"subject_id_col": "c_custkey", "segment": COHORT["customer"]["segment"]}).drop("code_components")
+
+
+@query("""SELECT DISTINCT o_custkey AS subject_id, 'ORDER//' || coalesce(o_orderstatus, 'UNK') || '//' || coalesce(o_orderpriority, 'UNK') AS code, o_orderdate AS time, o_totalprice AS numeric_value, 'orders/placed' AS source_block FROM orders WHERE o_orderdate IS NOT NULL""")
+def timed_events(spark, sf_dir):
+    return _events(spark, sf_dir, "orders", COHORT["orders"]).drop("code_components")
+
+
+@query("""SELECT DISTINCT o_custkey AS subject_id, 'ORDERED' AS code, o_orderdate AS time FROM orders WHERE o_orderdate IS NOT NULL UNION ALL SELECT DISTINCT o_custkey, 'o_orderstatus', o_orderdate FROM orders WHERE o_orderdate IS NOT NULL""")
+def literal_code_events(spark, sf_dir):
+    cfg = {"subject_id_col": "o_custkey", "word": {"code": "ORDERED", "time": "$o_orderdate"}, "quoted": {"code": '"o_orderstatus"', "time": "$o_orderdate"}}
+    return _events(spark, sf_dir, "orders", cfg).drop("source_block")
+
+
+@query("""SELECT DISTINCT o_custkey AS subject_id, 'ITEM//' || l_returnflag || '//' || l_linestatus AS code, l_shipdate AS time, l_quantity AS numeric_value FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate IS NOT NULL""")
+def lookup_join_events(spark, sf_dir):
+    return _events(spark, sf_dir, "lineitem", COHORT["lineitem"], lookup="orders").drop("code_components", "source_block")
+
+
+@query("""SELECT DISTINCT o_custkey AS subject_id, 'ITEM' AS code, l_shipdate AS time, l_quantity AS numeric_value FROM lineitem JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') o ON l_orderkey = o_orderkey""")
+def lookup_join_unmatched(spark, sf_dir):
+    read = _reader(spark, sf_dir)
+    t = spec.from_dict({"lineitem": {**COHORT["lineitem"], "item": {"code": "ITEM", "time": "$l_shipdate", "numeric_value": "$l_quantity"}}}).tables["lineitem"]
+    rows = table_events(read("lineitem"), t, read("orders").where("o_orderstatus = 'F'"), distinct=False).drop("__block__", "source_block")
+    people = subjects.universe([read("customer").select(F.col("c_custkey").alias("subject_id"))]).withColumns({"split": F.lit("all"), "shard": F.lit("all/0")})
+    return cohort.distinct_events(cohort.route(rows, people)).drop("split", "shard")
+
+
+@query("""SELECT DISTINCT o_custkey AS subject_id, 'O//' || coalesce(nullif(o_orderstatus, 'F'), 'UNK') || '//' || coalesce(nullif(o_orderpriority, '1-URGENT'), 'UNK') AS code, o_orderdate AS time FROM orders""")
+def unk_composite_code(spark, sf_dir):
+    raw = _reader(spark, sf_dir)("orders").withColumns({"s": F.nullif("o_orderstatus", F.lit("F")), "p": F.nullif("o_orderpriority", F.lit("1-URGENT"))})
+    return _events(spark, sf_dir, "orders", {"subject_id_col": "o_custkey", "e": {"code": 'f"O//{$s}//{$p}"', "time": "$o_orderdate"}}, raw).drop("code_components", "source_block")
+
+
+@query("""SELECT DISTINCT user_id AS subject_id, nullif(event_type, 'click') AS code, ts AS time FROM events WHERE nullif(event_type, 'click') IS NOT NULL""")
+def bare_code_null_drop(spark, sf_dir):
+    raw = _reader(spark, sf_dir)("events").withColumn("kind", F.nullif("event_type", F.lit("click")))
+    return _events(spark, sf_dir, "events", {"subject_id_col": "user_id", "e": {"code": "$kind", "time": "$ts"}}, raw).drop("code_components", "source_block")
+
+
+_DAY = "strftime(o_orderdate, '%Y-%m-%d')"
+
+
+def _days(spark, sf_dir) -> DataFrame:
+    return _reader(spark, sf_dir)("orders").withColumn("day", F.date_format("o_orderdate", "yyyy-MM-dd"))
+
+
+@query(f"""SELECT DISTINCT o_custkey AS subject_id, 'O' AS code, CAST(strptime({_DAY}, '%Y-%m-%d') AS DATE) AS time FROM orders WHERE o_orderkey % 3 = 2""")
+def time_empty_and_null_drop(spark, sf_dir):
+    raw = _days(spark, sf_dir).withColumn("day", F.when(F.col("o_orderkey") % 3 == 0, "").when(F.col("o_orderkey") % 3 == 2, F.col("day")))
+    return _events(spark, sf_dir, "orders", {"subject_id_col": "o_custkey", "e": {"code": "O", "time": '$day::"%Y-%m-%d"'}}, raw).drop("source_block")
+
+
+@query("""SELECT DISTINCT o_custkey AS subject_id, 'O' AS code, strptime(strftime(o_orderdate, '%m/%d/%Y, %H:%M:%S'), '%m/%d/%Y, %H:%M:%S') AS time FROM orders""")
+def time_parse_strict(spark, sf_dir):
+    raw = _reader(spark, sf_dir)("orders").withColumn("at", F.date_format("o_orderdate", "MM/dd/yyyy, HH:mm:ss"))
+    return _events(spark, sf_dir, "orders", {"subject_id_col": "o_custkey", "e": {"code": "O", "time": '$at as "%m/%d/%Y, %H:%M:%S"'}}, raw).drop("source_block")
+
+
+@query(f"""SELECT DISTINCT o_custkey AS subject_id, 'O' AS code, CAST(CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE strptime({_DAY}, '%Y-%m-%d') END AS DATE) AS time FROM orders""")
+def time_parse_lenient(spark, sf_dir):
+    raw = _days(spark, sf_dir).withColumn("day", F.when(F.col("o_orderkey") % 2 == 0, "not a date").otherwise(F.col("day")))
+    return _events(spark, sf_dir, "orders", {"subject_id_col": "o_custkey", "e": {"code": "O", "time": '$day as ?"%Y-%m-%d"'}}, raw).drop("source_block")
+
+
+@query("""SELECT DISTINCT o_custkey AS subject_id, 'O' AS code, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + to_hours(o_orderkey % 24) + to_minutes(o_orderkey % 60) AS time FROM orders""")
+def time_set_time(spark, sf_dir):
+    raw = _days(spark, sf_dir).withColumn("clock", F.concat_ws(":", (F.col("o_orderkey") % 24).cast("string"), (F.col("o_orderkey") % 60).cast("string")))
+    cfg = {"subject_id_col": "o_custkey", "a": {"code": "O", "time": 'set_time($day::"%Y-%m-%d", $clock::"%H:%M")'}, "b": {"code": "O", "time": '$day::"%Y-%m-%d" @ $clock::"%H:%M"'}}
+    return _events(spark, sf_dir, "orders", cfg, raw).drop("source_block").dropDuplicates()
+
+
+@query("""SELECT o_custkey AS subject_id, 'DAY' AS code, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS time FROM orders UNION ALL SELECT user_id, 'MOMENT', ts FROM events""")
+def date_widening(spark, sf_dir):
+    days = _events(spark, sf_dir, "orders", {"subject_id_col": "o_custkey", "e": {"code": "DAY", "time": '$day::"%Y-%m-%d"'}}, _days(spark, sf_dir), distinct=False)
+    moments = _events(spark, sf_dir, "events", {"subject_id_col": "user_id", "e": {"code": "MOMENT", "time": "$ts"}}, distinct=False)
+    return diagonal_union([days, moments]).drop("source_block")
+
+
+@query("""SELECT DISTINCT o_custkey AS subject_id, 'O' AS code, o_orderdate AS time, o_totalprice * 2 + 1 AS numeric_value, o_orderkey + o_custkey AS total FROM orders""")
+def transforms_arith(spark, sf_dir):
+    cfg = {"subject_id_col": "o_custkey", "transforms": {"twice": "$o_totalprice * 2 + 1", "total": "$o_orderkey + $o_custkey"}, "e": {"code": "O", "time": "$o_orderdate", "numeric_value": "$twice", "total": "$total"}}
+    return _events(spark, sf_dir, "orders", cfg).drop("source_block")
+
+
+@query("""SELECT DISTINCT c_custkey AS subject_id, 'N//' || c_nationkey AS code, CAST(NULL AS TIMESTAMP) AS time, CAST(c_nationkey AS VARCHAR) AS text_value FROM customer""")
+def cast_to_text(spark, sf_dir):
+    cfg = {"subject_id_col": "c_custkey", "e": {"code": 'f"N//{$c_nationkey}"', "time": None, "text_value": "$c_nationkey::str"}}
+    return _events(spark, sf_dir, "customer", cfg).drop("code_components", "source_block")
+
+
+@query("""SELECT count(DISTINCT c_name) AS n_keys, count(DISTINCT c_name) AS n_ids, 0 AS n_null FROM customer""")
+def hash_subject_id(spark, sf_dir):
+    t = spec.from_dict({"customer": {"subject_id_expr": "hash($c_name)"}}).tables["customer"]
+    rows = subject_rows(_reader(spark, sf_dir)("customer"), t)
+    return rows.agg(F.countDistinct("c_name").alias("n_keys"), F.countDistinct("subject_id").alias("n_ids"), F.count_if(F.col("subject_id").isNull()).cast("int").alias("n_null"))
+
+
+@query("""SELECT DISTINCT o_custkey AS subject_id, 'O' AS code, o_orderdate AS time, o_totalprice AS numeric_value, CASE WHEN o_orderkey % 2 = 0 THEN NULL ELSE 'priority ' || o_orderpriority END AS text_value FROM orders""")
+def text_numeric_dedup(spark, sf_dir):
+    raw = _reader(spark, sf_dir)("orders").withColumn("t", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_totalprice").cast("decimal(20,2)").cast("string")).otherwise(F.concat(F.lit("priority "), "o_orderpriority")))
+    cfg = {"subject_id_col": "o_custkey", "e": {"code": "O", "time": "$o_orderdate", "numeric_value": "$o_totalprice", "text_value": "$t"}}
+    return _events(spark, sf_dir, "orders", cfg, raw).drop("source_block")
+
+
+@query("""SELECT DISTINCT o_custkey AS subject_id, o_orderstatus || '/' || o_orderpriority AS code, o_orderpriority, o_orderstatus FROM orders""")
+def code_components(spark, sf_dir):
+    rows = _events(spark, sf_dir, "orders", {"subject_id_col": "o_custkey", "e": {"code": 'f"{$o_orderstatus}/{$o_orderpriority}"', "time": "$o_orderdate"}}, distinct=False)
+    return rows.select("subject_id", "code", "code_components.*").distinct()
+
+
+def _cohort_events(spark, sf_dir) -> DataFrame:
+    return pipeline.events_of(spec.from_dict(COHORT), _reader(spark, sf_dir))
+
+
+_ALL = """
+SELECT c_custkey AS subject_id, 'SEGMENT//' || c_mktsegment AS code, CAST(NULL AS TIMESTAMP) AS time, CAST(NULL AS DOUBLE) AS numeric_value, 'customer/segment' AS source_block FROM customer
+UNION ALL SELECT c_custkey, 'ACCT_BALANCE', NULL, c_acctbal, 'customer/balance' FROM customer
+UNION ALL SELECT c_custkey, 'NATION//' || c_nationkey, NULL, NULL, 'customer/nation' FROM customer
+UNION ALL SELECT o_custkey, 'ORDER//' || o_orderstatus || '//' || o_orderpriority, o_orderdate, o_totalprice, 'orders/placed' FROM orders
+UNION ALL SELECT o_custkey, 'ITEM//' || l_returnflag || '//' || l_linestatus, l_shipdate, l_quantity, 'lineitem/item' FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+UNION ALL SELECT user_id, 'EVENT//' || event_type, ts, value, 'events/activity' FROM events
+"""
+
+
+@query(f"""SELECT source_block, count(*) AS n FROM (SELECT DISTINCT * FROM ({_ALL})) GROUP BY source_block""")
+def source_block_counts(spark, sf_dir):
+    rows = cohort.distinct_events(_cohort_events(spark, sf_dir).drop(*cohort.ORDER))
+    return rows.groupBy("source_block").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT n_nationkey AS k, n_name AS name, CAST(NULL AS VARCHAR) AS region FROM nation UNION ALL SELECT r_regionkey, NULL, r_name FROM region""")
+def diagonal_union_rows(spark, sf_dir):
+    read = _reader(spark, sf_dir)
+    return diagonal_union([read("nation").select(F.col("n_nationkey").alias("k"), F.col("n_name").alias("name")), read("region").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("region"))])
+
+
+@query("""SELECT CAST(n_nationkey AS VARCHAR) AS k FROM nation UNION ALL SELECT r_name FROM region""")
+def supertype_union(spark, sf_dir):
+    read = _reader(spark, sf_dir)
+    return vertical_union([read("nation").select(F.col("n_nationkey").alias("k")), read("region").select(F.col("r_name").alias("k"))], relaxed=True)
+
+
+@query("""SELECT DISTINCT o_custkey AS subject_id, l_returnflag AS code, l_shipdate AS time, l_quantity AS numeric_value FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def distinct_all(spark, sf_dir):
+    cfg = {**COHORT["lineitem"], "item": {"code": "$l_returnflag", "time": "$l_shipdate", "numeric_value": "$l_quantity"}}
+    return cohort.distinct_events(_events(spark, sf_dir, "lineitem", cfg, lookup="orders", distinct=False)).drop("code_components", "source_block")
+
+
+@query("""SELECT o_custkey AS subject_id, o_orderstatus AS code, min(o_orderdate) AS time FROM orders GROUP BY ALL""")
+def distinct_subset(spark, sf_dir):
+    rows = _events(spark, sf_dir, "orders", {"subject_id_col": "o_custkey", "e": {"code": "$o_orderstatus", "time": "$o_orderdate"}}, distinct=False).drop("code_components", "source_block")
+    return cohort.distinct_events(rows.select("time", "subject_id", "code"), ["subject_id", "code", "no_such_column"])
+
+
+@query(f"""SELECT subject_id, code, time, numeric_value, row_number() OVER (PARTITION BY subject_id ORDER BY time NULLS FIRST, code NULLS FIRST, numeric_value NULLS FIRST, source_block) AS n FROM (SELECT DISTINCT * FROM ({_ALL}))""")
+def cohort_order(spark, sf_dir):
+    rows = cohort.distinct_events(_cohort_events(spark, sf_dir).drop("code_components", *cohort.ORDER))
+    from pyspark.sql import Window
+
+    # the order that the cohort is written in, shown as a number
+    order = Window.partitionBy("subject_id").orderBy(*cohort.sort_keys(rows, ["code", "numeric_value", "source_block"])[1:])
+    return rows.select("subject_id", "code", "time", "numeric_value", F.row_number().over(order).cast("bigint").alias("n"))
+
+
+@query("""SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey >= 1000 AND l_orderkey < 5000""")
+def row_range_scan(spark, sf_dir):
+    return row_range(_reader(spark, sf_dir)("lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey", 1000, 5000)
+
+
+@query("""SELECT c_custkey AS subject_id FROM customer UNION SELECT o_custkey FROM orders UNION SELECT user_id FROM events""")
+def subject_universe(spark, sf_dir):
+    return pipeline.subjects_of(spec.from_dict(COHORT), _reader(spark, sf_dir))
+
+
+@query("""SELECT o_custkey AS subject_id, 'O' AS code, o_orderdate AS time, s.split FROM orders JOIN (VALUES (0, 'test'), (1, 'test'), (1, 'extra')) s(r, split) ON o_custkey % 10 = s.r""")
+def shard_routing(spark, sf_dir):
+    read = _reader(spark, sf_dir)
+    rows = _events(spark, sf_dir, "orders", {"subject_id_col": "o_custkey", "e": {"code": "O", "time": "$o_orderdate"}}, distinct=False).drop("source_block")
+    people = subjects.universe([read("orders").select(F.col("o_custkey").alias("subject_id"))])
+    # subjects with digit 1 are in two external splits and appear in both
+    splits = people.select("subject_id", F.explode(F.when(F.col("subject_id") % 10 == 0, F.array(F.lit("test"))).when(F.col("subject_id") % 10 == 1, F.array(F.lit("test"), F.lit("extra")))).alias("split"))
+    return cohort.route(rows, splits)
+
+
+@query()
+def iid_split(spark, sf_dir):
+    people = subjects.universe([_reader(spark, sf_dir)("customer").select(F.col("c_custkey").alias("subject_id"))])
+    return pipeline.shards_of(spark, people, pipeline.Options(n_subjects_per_shard=500))[0]
+
+
+@query("""SELECT count(*) AS n, count(*) AS n_ids, TRUE AS all_known FROM customer""")
+def hashed_split(spark, sf_dir):
+    people = subjects.universe([_reader(spark, sf_dir)("customer").select(F.col("c_custkey").alias("subject_id"))])
+    return subjects.hashed_shards(people, 1500, 500).agg(F.count("*").alias("n"), F.countDistinct("subject_id").alias("n_ids"), F.every(F.col("split").isin(*subjects.DEFAULT_SHARES)).alias("all_known"))
+
+
+@query("""SELECT * FROM (VALUES ('customer', 'c_acctbal,c_custkey,c_mktsegment,c_nationkey'), ('events', 'event_type,ts,user_id,value'), ('lineitem', 'l_linestatus,l_orderkey,l_quantity,l_returnflag,l_shipdate'), ('orders', 'o_custkey,o_orderdate,o_orderkey,o_orderpriority,o_orderstatus,o_totalprice')) t(name, columns)""")
+def required_columns(spark, sf_dir):
+    need = spec.required_columns(spec.from_dict(COHORT))
+    return spark.createDataFrame([(k, ",".join(v)) for k, v in need.items()], "name string, columns string")
+
+
+def _codes(spark, sf_dir, cfg, metadata, **options) -> DataFrame:
+    s = spec.from_dict(cfg)
+    return pipeline.codes_of(s, metadata, pipeline.events_of(s, _reader(spark, sf_dir)), pipeline.Options(**options))
+
+
+@query("""SELECT 'NATION//' || n_nationkey AS code, n_name AS description, 'f"NATION//{$c_nationkey}"' AS code_template FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer)""")
+def codes_full_match(spark, sf_dir):
+    return _codes(spark, sf_dir, {"customer": COHORT["customer"]}, _reader(spark, sf_dir)).select("code", "description", "code_template")
+
+
+@query("""SELECT DISTINCT c_mktsegment || '//' || c_nationkey AS code, n_name AS description FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def codes_partial_match(spark, sf_dir):
+    cfg = {"customer": {"subject_id_col": "c_custkey", "e": {"code": 'f"{$c_mktsegment}//{$c_nationkey}"', "time": None, "_metadata": {"nation": {"_match_on": "c_nationkey", "description": "n_name"}}}}}
+    meta = lambda name: _reader(spark, sf_dir)(name).withColumnRenamed("n_nationkey", "c_nationkey")
+    return _codes(spark, sf_dir, cfg, meta).select("code", "description")
+
+
+@query("""SELECT 'N//' || c_nationkey AS code, string_agg(c_mktsegment, '; ' ORDER BY c_mktsegment) AS description, string_agg('P/' || c_mktsegment, ',' ORDER BY c_mktsegment) AS parents, string_agg(c_mktsegment, ',' ORDER BY c_mktsegment) AS segments FROM (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer) GROUP BY c_nationkey""")
+def codes_reduce(spark, sf_dir):
+    block = {"code": 'f"N//{$c_nationkey}"', "time": None, "_metadata": {"segments": {"description": "c_mktsegment", "parent_codes": "P/{c_mktsegment}", "segment": "c_mktsegment"}}}
+    meta = lambda name: _reader(spark, sf_dir)("customer").select("c_nationkey", "c_mktsegment").distinct()
+    got = _codes(spark, sf_dir, {"customer": {"subject_id_col": "c_custkey", "e": block}}, meta, description_separator="; ")
+    return got.select("code", "description", F.array_join("parent_codes", ",").alias("parents"), F.array_join("segment", ",").alias("segments"))
+
+
+@query("""SELECT coalesce(e.code, n.code) AS code, e.description AS description, n.description AS description_right FROM (SELECT r_name AS code, r_name AS description FROM region WHERE r_regionkey < 3) e FULL JOIN (SELECT r_name AS code, 'region ' || r_regionkey AS description FROM region WHERE r_regionkey > 1) n ON e.code = n.code""")
+def codes_merge_existing(spark, sf_dir):
+    r = _reader(spark, sf_dir)("region")
+    have = r.where("r_regionkey < 3").select(F.col("r_name").alias("code"), F.col("r_name").alias("description"))
+    new = r.where("r_regionkey > 1").select(F.col("r_name").alias("code"), F.concat(F.lit("region "), F.col("r_regionkey").cast("string")).alias("description"))
+    return codes.merge_existing(have, new)
+
+
+@query("""SELECT n_nationkey, n_name AS plain, coalesce(nullif(n_name, 'FRANCE'), 'R' || n_regionkey) AS first, CASE WHEN n_name = 'FRANCE' THEN n_name END AS when_equal, 'LOINC/' || n_name AS template, CASE WHEN n_name = 'GERMANY' THEN 'found' END AS matched, CASE WHEN n_name = 'GERMANY' THEN 'DE' WHEN n_name = 'FRANCE' THEN 'FR' END AS listed FROM nation""")
+def metadata_values(spark, sf_dir):
+    df = _reader(spark, sf_dir)("nation").withColumns({"a": F.nullif("n_name", F.lit("FRANCE")), "r": F.concat(F.lit("R"), F.col("n_regionkey").cast("string"))})
+    forms = {
+        "plain": "n_name",
+        "first": ["a", "r"],
+        "when_equal": {"n_name": {"n_name": "FRANCE"}},
+        "template": "LOINC/{n_name}",
+        "matched": {"matcher": {"n_name": "GERMANY"}, "output": {"literal": "found"}},
+        "listed": [{"matcher": {"n_name": "GERMANY"}, "output": {"literal": "DE"}}, {"matcher": {"n_name": "FRANCE"}, "output": {"literal": "FR"}}],
+    }
+    return df.select("n_nationkey", *[compile_value(v).alias(k) for k, v in forms.items()])
+
+
+@query("""SELECT r_name AS code, CAST(NULL AS VARCHAR) AS description, 'P/' || r_name AS parents, r_regionkey AS extra FROM region""")
+def codes_align(spark, sf_dir):
+    got = align.align_codes(_reader(spark, sf_dir)("region").select(F.col("r_regionkey").alias("extra"), F.concat(F.lit("P/"), "r_name").alias("parent_codes"), F.col("r_name").alias("code")))
+    return got.select("code", "description", F.array_join("parent_codes", ",").alias("parents"), "extra")
+
+
+@query("""SELECT o_custkey AS subject_id, o_orderdate AS time, o_orderstatus AS code, CAST(CAST(o_orderkey AS FLOAT) AS DOUBLE) AS numeric_value FROM orders""")
+def events_align(spark, sf_dir):
+    rows = _reader(spark, sf_dir)("orders").select(F.col("o_orderstatus").alias("code"), F.col("o_custkey").alias("subject_id"), F.col("o_orderkey").cast("string").alias("numeric_value"), F.col("o_orderdate").alias("time"))
+    return align.align_events(rows).withColumn("numeric_value", F.col("numeric_value").cast("double"))
+
+
+@query("""SELECT DISTINCT c_custkey AS subject_id, CASE WHEN c_custkey % 2 = 0 THEN 'taskA/held_out' ELSE 'train' END AS split FROM customer""")
+def subject_splits(spark, sf_dir):
+    ids = [r[0] for r in _reader(spark, sf_dir)("customer").select("c_custkey").collect()]
+    drawn = subjects.assign_shards(ids, 100, {"taskA/held_out": [i for i in ids if i % 2 == 0], "train": [i for i in ids if i % 2]})
+    return align.align(subjects.shard_frame(spark, drawn).select("subject_id", "split").distinct(), align.SPLITS)
+
+
+@query("""SELECT CAST(n_nationkey AS BIGINT) AS a, CAST(n_nationkey AS DOUBLE) + 0.5 AS b, n_nationkey % 2 = 0 AS c, n_name AS d FROM nation""")
+def promoted_types(spark, sf_dir):
+    n = _reader(spark, sf_dir)("nation")
+    text = n.select(F.col("n_nationkey").cast("string").alias("a"), (F.col("n_nationkey") + F.lit(0.5)).cast("string").alias("b"), (F.col("n_nationkey") % 2 == 0).cast("string").alias("c"), F.col("n_name").alias("d"))
+    return promote(text)
+
+
+@query("""SELECT n.n_nationkey, n.n_name, r.r_name FROM nation n LEFT JOIN (SELECT * FROM region WHERE r_regionkey <> 2) r ON n.n_regionkey = r.r_regionkey""")
+def left_lookup(spark, sf_dir):
+    read = _reader(spark, sf_dir)
+    return lookup_join(read("nation"), read("region").where("r_regionkey <> 2"), spec.Join("region", "n_regionkey", "r_regionkey", ("r_name",))).select("n_nationkey", "n_name", "r_name")
+
+
+@query("""SELECT n_nationkey, n_nationkey * 2 + 1 - 3 AS a, CAST(n_nationkey AS DOUBLE) / 4 AS b, n_name || '//' || n_regionkey AS c, 'x' AS d FROM nation""")
+def expressions(spark, sf_dir):
+    forms = {"a": "$n_nationkey * 2 + 1 - 3", "b": "$n_nationkey::float / 4", "c": 'f"{$n_name}//{$n_regionkey}"', "d": "x"}
+    return _reader(spark, sf_dir)("nation").select("n_nationkey", *[parse(v).compile().alias(k) for k, v in forms.items()])
+
+
+@query("""SELECT o_custkey AS subject_id, o_orderstatus AS code, o_orderdate AS time FROM orders""")
+def all_rows(spark, sf_dir):
+    block = spec.event("orders", "e", {"code": "$o_orderstatus", "time": "$o_orderdate"})
+    rows = _reader(spark, sf_dir)("orders").withColumnRenamed("o_custkey", "subject_id")
+    return cohort.distinct_events(extract_event(rows, block, source_block=False, distinct=False), None).drop("code_components")
+
+
+@query(f"""SELECT DISTINCT subject_id, code, time, CAST(CAST(numeric_value AS FLOAT) AS DOUBLE) AS numeric_value, source_block, CASE WHEN subject_id % 10 < 8 THEN 'train' ELSE 'held_out' END AS split FROM ({_ALL})""")
+def full_cohort(spark, sf_dir):
+    s, read = spec.from_dict(COHORT), _reader(spark, sf_dir)
+    people = pipeline.subjects_of(s, read)
+    split = F.when(F.col("subject_id") % 10 < 8, "train").otherwise("held_out")
+    shards = people.select("subject_id", split.alias("split"), F.concat_ws("/", split, F.floor(F.pmod(F.xxhash64("subject_id"), F.lit(4))).cast("string")).alias("shard"))
+    made = pipeline.cohort_of(pipeline.events_of(s, read), shards)
+    return made.select("subject_id", "code", "time", F.col("numeric_value").cast("double").alias("numeric_value"), "source_block", "split")
