@@ -45,17 +45,20 @@ def sort_keys(events: DataFrame, also: list[str] | None = None) -> list:
     """Subject, time, named columns, place in the specification, then all the rest, so that the order is total."""
     lead = ["subject_id", "time", *[c for c in also or [] if c in events.columns]]
     helpers = [c for c in ORDER if c in events.columns]
-    rest = [c for c in sorted(events.columns) if c not in lead and c not in helpers]
+    rest = [c for c in sorted(events.columns) if c not in lead and c not in helpers and c not in ("split", "shard")]
     return [F.col(f"`{c}`").asc_nulls_first() for c in [*lead, *helpers, *rest]]
 
 
 def ordered(events: DataFrame, also: list[str] | None = None) -> DataFrame:
-    """Rows of each shard together and in order: one shuffle on the shard, which the distinct before it shares if it can."""
-    out = events.repartition("shard").sortWithinPartitions("shard", *sort_keys(events, also))
-    return out.drop(*ORDER)
+    """Rows of each shard together and in order, after one shuffle; ``shard`` becomes its number within the split.
+
+    The order begins with the folders' columns, so that the writer adds no sort of its own, which would undo it.
+    """
+    number = F.element_at(F.split("shard", "/"), -1).cast("int")
+    placed = events.withColumn("shard", number).repartition("split", "shard")
+    return placed.sortWithinPartitions("split", "shard", *sort_keys(placed, also)).drop(*ORDER)
 
 
 def write_cohort(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One file a shard below ``split=``/``shard=`` folders; readers prune by either."""
-    number = F.element_at(F.split("shard", "/"), -1).cast("int")
-    events.withColumn("shard", number).write.mode(mode).partitionBy("split", "shard").parquet(path)
+    events.write.mode(mode).partitionBy("split", "shard").parquet(path)

@@ -15,5 +15,5 @@ def stream_events(raw: DataFrame, table: Table, lookup: DataFrame | None = None,
     if watermark is None:
         return out
     # event time needs an instant; the zone is the session's
-    timed = out.withColumn("__at__", F.col("time").cast("timestamp")).withWatermark("__at__", watermark)
+    timed = out.withColumn("__at__", F.col("time").cast("timestamp_ltz")).withWatermark("__at__", watermark)
     return timed.dropDuplicatesWithinWatermark([c for c in out.columns if c != "code_components"]).drop("__at__")
