@@ -91,7 +91,7 @@ def fit_tree(x: np.ndarray, leaf: int, spill: float, rng: np.random.Generator) -
             at, leaves = -1 - leaves, leaves + 1
         if parent is not None:
             (right if side else left)[parent] = at
-    return Tree(np.array(direction).reshape(len(cut), -1), np.array(cut), np.array(left, np.int64), np.array(right, np.int64), leaves)
+    return Tree(np.array(direction).reshape(len(cut), x.shape[1]), np.array(cut), np.array(left, np.int64), np.array(right, np.int64), leaves)
 
 
 def _pairs_of(block: pa.Table, key: int, threshold: float):

@@ -309,7 +309,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with the columns (made free of clashes) lang_pred, score, rejected."""
     names = docs.columns
     new = [fresh(c, names) for c in ("lang_pred", "score", "rejected")]
-    schema = docs.select("*", F.lit("").alias(new[0]), F.lit(0.0).alias(new[1]), F.lit(True).alias(new[2])).schema
+    schema = docs.select("*", F.lit(None).cast("string").alias(new[0]), F.lit(None).cast("double").alias(new[1]), F.lit(None).cast("boolean").alias(new[2])).schema
     at = names.index(text_col)
     held = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 

@@ -167,7 +167,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
     """
     names = docs.columns
     text, changed = fresh("masked_text", names), fresh("was_masked", names)
-    schema = docs.select("*", F.lit("").alias(text), F.lit(True).alias(changed)).schema
+    schema = docs.select("*", F.lit(None).cast("string").alias(text), F.lit(None).cast("boolean").alias(changed)).schema
     at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -249,7 +249,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with a last column (named quality_score, made free of clashes): the score, 0 to 1."""
     names = docs.columns
     new = fresh("quality_score", names)
-    schema = docs.select("*", F.lit(0.0).alias(new)).schema
+    schema = docs.select("*", F.lit(None).cast("double").alias(new)).schema
     at = names.index(text_col)
     held = docs.sparkSession.sparkContext.broadcast(model)  # a few hundred numbers
 

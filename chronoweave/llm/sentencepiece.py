@@ -197,7 +197,7 @@ def decode(coded: DataFrame, path: str | None = None, ids_col: str = "ids", text
     names = coded.columns
     at = names.index(ids_col)
     path = path or model_path()
-    schema = coded.select("*", F.lit("").alias(text_col)).schema
+    schema = coded.select("*", F.lit(None).cast("string").alias(text_col)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
