@@ -15,17 +15,15 @@ def components(edges: DataFrame, src: str, dst: str, most_rounds: int = 60) -> D
     minimum (pre-aggregated before the shuffle) joined back, so a hub's edges can be split by adaptive skew joins.
     """
     a, b = F.col(src), F.col(dst)
-    e = edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct()
-    e = materialize(e, "cc")
+    e = materialize(edges.where(a != b).select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "cc")
     for _ in range(most_rounds):
-        # done when every vertex hangs on exactly one root
-        roots = e.select(F.col("v").alias("r")).distinct()
-        chained = e.join(roots, e["u"] == roots["r"], "left_semi").limit(1).count()
-        if not chained and not e.groupBy("u").count().where("count > 1").limit(1).count():
+        # done when every vertex hangs on exactly one root: none has two parents, and none is parent and child
+        ends = e.select(F.col("u").alias("x"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionByName(e.select(F.col("v").alias("x"), F.lit(0).alias("child"), F.lit(1).alias("parent")))
+        if not ends.groupBy("x").agg(F.sum("child").alias("c"), F.max("parent").alias("p")).where("c + p > 1 and c > 0").limit(1).count():
             break
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")

@@ -39,7 +39,7 @@ from ._graph import components
 
 WIDTH = 5
 THRESHOLD = 0.8
-BANDS = 25
+BANDS = 20
 ROWS = 5
 #: Ids that a broadcast may hold (8 bytes each, some 40 in a hash relation).
 BROADCAST_IDS = 500_000
@@ -278,57 +278,56 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     prints = materialize(fingerprint(docs, id_col, text_col, width, bands, rows), "prints")
     usable = prints.where("n_words > 0 and id is not null")
-    classes = materialize(usable.groupBy("h1", "h2").agg(F.min("id").alias("class_id"), F.min(F.struct("id", "bands"))["bands"].alias("bands")), "classes")
+    classes = materialize(usable.groupBy("h1", "h2").agg(F.min("id").alias("class_id"), F.count("*").alias("copies"), F.min_by("bands", "id").alias("bands")), "classes")
     member = classes.select(F.col("class_id").alias("id"), F.explode("bands").alias("key"))
     # one text for each class name; a repeated id may name several classes, each with its own text
     pairs = materialize(_through_least(member), "pairs")
-    links = _verified(docs, pairs, id_col, text_col, threshold, width)
+    links = _verified(pairs, _texts(docs, pairs, id_col, text_col), threshold, width)
     comp = materialize(components(links, "a", "b"), "comp")
-    # buckets that hold several components
-    now = member.join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("comp"))
+    # buckets that hold several components; of those with the same members one is enough
+    now = _with_components(member, comp)
     mixed = now.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bit_xor(F.xxhash64("id")).alias("x")).where("lo < hi")
-    # of buckets with the same members one is enough
     mixed = materialize(mixed.groupBy("n", "lo", "hi", "x").agg(F.min("key").alias("key")).select("key", "n"), "mixed")
-    n_small, n_large = (mixed.where(c).count() for c in (f"n <= {SMALL_BUCKET}", f"n > {SMALL_BUCKET}"))
-    more = []
-    if n_small:
-        few = now.join(mixed.where(F.col("n") <= SMALL_BUCKET).select("key"), "key")
-        rest = materialize(_small_across(few).join(pairs, ["a", "b"], "left_anti"), "pairs")
-        more.append(_verified(docs, rest, id_col, text_col, threshold, width))
-    if n_large:
-        tasks = materialize(_block_tasks(materialize(now.join(mixed.where(F.col("n") > SMALL_BUCKET).select("key"), "key"), "members")), "tasks")
-        texts = _texts(docs, tasks.select("id"), id_col, text_col)
-        more.append(materialize(_links_in_blocks(tasks, texts, threshold, width), "links"))
-    if more:
-        for found in more:
-            links = links.unionByName(found)
-        comp = materialize(components(links, "a", "b"), "comp")
-    named = classes.join(comp.withColumnRenamed("id", "class_id"), "class_id", "left").select("h1", "h2", "class_id", F.coalesce("component", "class_id").alias("component_id"))
-    own = (F.col("n_words") > 0) & F.col("id").isNotNull()
+    n_mixed = mixed.count()
+    if n_mixed:
+        held = materialize(now.join(by_size(mixed, n_mixed, BROADCAST_IDS), "key"), "held")
+        small, large = held.where(F.col("n") <= SMALL_BUCKET), held.where(F.col("n") > SMALL_BUCKET)
+        rest = materialize(_small_across(small).join(by_size(pairs, pairs.count(), BROADCAST_IDS), ["a", "b"], "left_anti"), "pairs")
+        tasks = materialize(_block_tasks(large), "tasks")
+        texts = _texts(docs, rest, id_col, text_col, tasks.select("id"))
+        more = materialize(verify(rest, texts, threshold, width).unionByName(_links_in_blocks(tasks, texts, threshold, width)), "links")
+        comp = materialize(components(links.unionByName(more), "a", "b"), "comp")
+    # only classes with copies or links say more than the row itself
+    named = _with_components(classes.select(F.col("class_id").alias("id"), "h1", "h2", "copies"), comp).where("copies > 1 or comp <> id")
+    named = materialize(named.select("h1", "h2", F.col("id").alias("class_id"), F.col("comp").alias("component_id")), "named")
     return (
         prints.select("id", "n_words", "h1", "h2")
-        .join(named, ["h1", "h2"], "left")
+        .join(by_size(named, named.count(), BROADCAST_IDS), ["h1", "h2"], "left")
         .select(
             "id",
             "h1",
             "h2",
-            F.when(own, F.col("class_id")).otherwise(F.col("id")).alias("class_id"),
-            F.when(own, F.col("component_id")).otherwise(F.col("id")).alias("component_id"),
-            F.when(own, F.col("component_id") == F.col("id")).otherwise(True).alias("kept"),
+            F.when(F.col("n_words") > 0, F.coalesce(F.when(F.col("id").isNotNull(), F.col("class_id")), "id")).otherwise(F.col("id")).alias("class_id"),
+            F.when(F.col("n_words") > 0, F.coalesce(F.when(F.col("id").isNotNull(), F.col("component_id")), "id")).otherwise(F.col("id")).alias("component_id"),
         )
+        .withColumn("kept", F.coalesce(F.col("component_id") == F.col("id"), F.lit(True)))
     )
 
 
-def _texts(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, text) of the given ids only, written once."""
-    ids = materialize(ids.distinct(), "ids")
+def _with_components(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """``rows`` (id, ...) with ``comp``: the id's component, or the id where it has no link."""
+    return rows.join(by_size(comp, comp.count(), BROADCAST_IDS), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+
+
+def _texts(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, more: DataFrame | None = None) -> DataFrame:
+    """(id, text) of the ids in ``pairs`` and ``more`` only, written once; the other texts are not moved."""
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    ids = materialize((ids if more is None else ids.unionByName(more)).distinct(), "ids")
     all_texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     return materialize(all_texts.join(by_size(ids, ids.count(), BROADCAST_IDS), "id"), "texts")
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, threshold: float, width: int) -> DataFrame:
-    """Verified links; only the texts that occur in pairs are moved."""
-    texts = _texts(docs, pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))), id_col, text_col)
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float, width: int) -> DataFrame:
     return materialize(verify(pairs, texts, threshold, width), "links")
 
 
