@@ -343,6 +343,26 @@ def subject_splits(spark, sf_dir):
     return align.align(subjects.shard_frame(spark, drawn).select("subject_id", "split").distinct(), align.SPLITS)
 
 
+@query("""SELECT CASE WHEN o_custkey % 10 < 8 THEN 'train' ELSE 'held_out' END AS split, count(*) AS n FROM orders GROUP BY ALL""")
+def rows_per_split(spark, sf_dir):
+    rows = _events(spark, sf_dir, "orders", {"subject_id_col": "o_custkey", "e": {"code": "O", "time": "$o_orderdate"}}, distinct=False)
+    people = subjects.universe([rows]).withColumn("split", F.when(F.col("subject_id") % 10 < 8, "train").otherwise("held_out"))
+    return cohort.route(rows, people).groupBy("split").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT c_custkey AS subject_id FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'""")
+def subjects_outside(spark, sf_dir):
+    read = _reader(spark, sf_dir)
+    everyone = subjects.universe([read("customer").select(F.col("c_custkey").alias("subject_id"))])
+    return everyone.join(subjects.universe([read("orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("subject_id"))]), "subject_id", "left_anti")
+
+
+@query("""SELECT DISTINCT o_orderstatus || '/' || o_orderpriority AS code, o_orderpriority, o_orderstatus FROM orders""")
+def component_map(spark, sf_dir):
+    rows = _events(spark, sf_dir, "orders", {"subject_id_col": "o_custkey", "e": {"code": 'f"{$o_orderstatus}/{$o_orderpriority}"', "time": "$o_orderdate"}}, distinct=False)
+    return codes.component_map(rows)
+
+
 @query("""SELECT CAST(n_nationkey AS BIGINT) AS a, CAST(n_nationkey AS DOUBLE) + 0.5 AS b, n_nationkey % 2 = 0 AS c, n_name AS d FROM nation""")
 def promoted_types(spark, sf_dir):
     n = _reader(spark, sf_dir)("nation")
