@@ -17,6 +17,7 @@ id, and repeated query rows give one answer (the first by value). Scores beyond
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,9 @@ SCALE = 256
 PIVOTS = 24
 #: Rows that the pivots are chosen from.
 PIVOT_SAMPLE = 1000
-#: Queries that are broadcast at once (64 components: 2 MB).
-QUERY_BLOCK = 4096
+#: Queries that are broadcast at once (64 components: 8 MB), and blocks that one job works off.
+QUERY_BLOCK = 16_384
+BLOCKS_A_JOB = 8
 #: Candidates evaluated at once, and looked at together.
 RUN = 256
 CANDIDATES = 4096
@@ -111,7 +113,7 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     asked = rows.where(F.coalesce("q", F.lit(False))).groupBy("id").agg(F.min("v").alias("v"))
     asked = materialize(asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(1 << 20))), "queries")
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    found = None
+    done, found = [], []
     for block in range(blocks):
         # a run of hash values that holds about QUERY_BLOCK queries
         low, high = block * (1 << 20) // blocks, (block + 1) * (1 << 20) // blocks
@@ -135,11 +137,13 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
                 asked = np.concatenate([np.full(len(ids), query_ids[q]) for q, (ids, _) in best.items()])
                 yield pa.RecordBatch.from_arrays([pa.array(asked), *[pa.array(np.concatenate([t[j] for t in best.values()])) for j in (0, 1)]], ["query_id", "id", "score"])
 
-        some = rows.select("id", "v").mapInArrow(run, "query_id long, id long, score long")
-        found = some if found is None else found.unionByName(some)
+        found.append(rows.select("id", "v").mapInArrow(run, "query_id long, id long, score long"))
+        if len(found) == BLOCKS_A_JOB and block + 1 < blocks:
+            done.append(materialize(reduce(DataFrame.unionByName, found), "top"))
+            found = []
     # k rows a query and task
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+    return reduce(DataFrame.unionByName, done + found).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
 
 def op7_exact_top_k(spark, sf_dir: str) -> DataFrame:

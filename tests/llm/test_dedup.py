@@ -177,7 +177,7 @@ def test_top_k_equals_brute_force(spark, odd_vectors):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>").repartition(5)
     old = topk.QUERY_BLOCK, topk.RUN
     try:
-        topk.QUERY_BLOCK, topk.RUN = 5, 7
+        topk.QUERY_BLOCK, topk.RUN = 2, 7
         got = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 20 == 0, pivots=6).collect())
     finally:
         topk.QUERY_BLOCK, topk.RUN = old
