@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _words
@@ -204,11 +204,12 @@ def _block_tasks(member: DataFrame) -> DataFrame:
     A component with many members in the bucket has blocks of its own, the others share some by a hash.
     """
     size = member.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    pool = size.groupBy("key").agg(F.sum(F.when(F.col("c") * 2 < BLOCK, F.col("c")).otherwise(0)).alias("pool"))
+    strays = F.sum(F.when(F.col("c") * 2 < BLOCK, F.col("c")).otherwise(0)).over(Window.partitionBy("key"))
+    size = size.withColumn("pool", strays)
     own = F.col("c") * 2 >= BLOCK
     alone = F.concat_ws(":", F.col("comp").cast("string"), F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / BLOCK)).cast("string"))
     shared = F.concat_ws(":", F.lit("*"), F.pmod(F.xxhash64("comp"), F.ceil(F.greatest(F.col("pool"), F.lit(1)) / BLOCK)).cast("string"))
-    placed = member.join(size, ["key", "comp"]).join(pool, "key").select("key", "id", "comp", F.when(own, alone).otherwise(shared).alias("blk"), F.when(own, F.col("comp")).alias("only"))
+    placed = member.join(size, ["key", "comp"]).select("key", "id", "comp", F.when(own, alone).otherwise(shared).alias("blk"), F.when(own, F.col("comp")).alias("only"))
     blocks = placed.select("key", "blk", "only").distinct()
     other = blocks.select("key", F.col("blk").alias("blk2"), F.col("only").alias("only2"))
     pairs = blocks.join(other, "key").where("blk <= blk2 and not coalesce(only = only2, false)").select("key", "blk", "blk2", F.xxhash64("key", "blk", "blk2").alias("task"))
