@@ -202,9 +202,8 @@ def _counts(texts: list[np.ndarray], order: int):
     return out
 
 
-def _kneser_ney(texts: list[np.ndarray], order: int):
-    """One language: for n = 1..order (hash, probability), for n = 2..order (context, backoff weight), and the floor."""
-    counts = _counts(texts, order)
+def _kneser_ney(counts: list[tuple], order: int):
+    """One language, from its n-grams: for n = 1..order (hash, probability), for n = 2..order (context, backoff weight), and the floor."""
     probs, backs = [], []
     lower: tuple[np.ndarray, np.ndarray] | None = None
     floor = 0.0
@@ -239,7 +238,8 @@ def fit(samples: dict[str, list[str]], order: int = ORDER) -> Model:
     names = sorted(k for k, v in samples.items() if any(encode(t).any() for t in v if t))
     coded = {k: [c for t in samples[k] if t and len(c := encode(t)) and c.any()] for k in names}
     parts = {k: [c for i, c in enumerate(v) if i % 5 or len(v) < 10] for k, v in coded.items()}
-    fitted = [_kneser_ney(parts[k], order) for k in names]
+    counts = [_counts(parts[k], order) for k in names]
+    fitted = [_kneser_ney(c, order) for c in counts]
     keys, logp, contexts, back = [], [], [np.zeros(0, np.uint64)], [np.zeros((0, len(names)), np.float32)]
     floor = np.log(np.array([f[2] for f in fitted]))
     for n in range(1, order):
@@ -252,7 +252,7 @@ def fit(samples: dict[str, list[str]], order: int = ORDER) -> Model:
     tails: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
     for n in range(order):
         # all n-grams that some language has, with context and tail to fill in the others by backing off
-        found = [_counts(parts[k], order)[n] for k in names]
+        found = [c[n] for c in counts]
         key, first = np.unique(np.concatenate([f[0] for f in found]), return_index=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         ctx, tail = (np.concatenate([f[i] for f in found])[first] if found else key for i in (1, 2))
         table = np.empty((len(key), len(names)), np.float32)
