@@ -37,7 +37,7 @@ FOREIGN_QUANTILE = 0.05
 #: Nats added to the limit, divided by the root of the number of symbols.
 SHORT_ALLOWANCE = 8.0
 #: Symbols that a task scores at once.
-PIECE = 500_000
+PIECE = 100_000
 UNDETERMINED = "und"
 
 _U = np.uint64
