@@ -48,7 +48,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 
 #: Bytes of ids that a worker keeps of lines it has met, in each of two generations.
-CACHE_BYTES = 24_000_000
+CACHE_BYTES = 8_000_000
 
 #: A line break between two characters other than white space: the pattern never joins characters across it.
 _LINE = re.compile(r"(?<=\S)(?=\n\S)")
