@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that a task turns into NumPy arrays at once.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _own_dir: dict[str, str] = {}
 
