@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ._common import materialize
 from ._graph import components
@@ -99,7 +100,7 @@ def _pairs_of(block: pa.Table, key: int, threshold: float):
     block = block.combine_chunks()
     ids, side = block.column("id").to_numpy(), block.column("side").to_numpy()
     weight = block.column("copies").to_numpy()
-    x = _matrix(block.column("v").chunk(0))
+    x = _unit(_matrix(block.column("v").chunk(0)))
     sim = x @ x.T
     linked = sim >= threshold
     np.fill_diagonal(linked, False)
@@ -137,12 +138,15 @@ def _pairs_of(block: pa.Table, key: int, threshold: float):
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, trees: int = TREES, leaf: int = LEAF, fit_rows: int = FIT_ROWS, seed: int = 7) -> DataFrame:
     """(id, n_links, component_id, kept) for every row."""
     spark = vectors.sparkSession
-    v = F.col(vector_col).cast("array<double>")
+    # floats move as floats, half the bytes, and become doubles in the tasks, which changes no value
+    given = vectors.schema[vector_col].dataType
+    number = "float" if isinstance(given, T.ArrayType) and isinstance(given.elementType, T.FloatType) else "double"
+    v = F.col(vector_col).cast(f"array<{number}>")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v"), F.col(label_col).alias("label"))
     fit_for = F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("v")) & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("ok", F.coalesce(fit_for, F.lit(False)))
     # -0.0 and 0.0 are one value; two hashes name a vector
-    hashed = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0))).select("id", "v", "label", "ok", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2"))
+    hashed = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0).cast(number))).select("id", "v", "label", "ok", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2"))
     base = materialize(hashed, "vectors")
     names = ["label", "h1", "h2"]
     classes = materialize(base.where("ok").groupBy(*names).agg(F.min("id").alias("class_id"), F.count("*").alias("copies"), F.min_by("v", "id").alias("v")), "classes")
@@ -162,19 +166,17 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         for whole in batches:
             for at in range(0, len(whole), 2000):
                 b = whole.slice(at, 2000)
-                x = _unit(_matrix(b.column("v")))
-                seen = _pad(x, width)[:, :width]
+                seen = _pad(_unit(_matrix(b.column("v"))), width)[:, :width]
                 got = [t.leaves_of(seen, spill) for t in forest]
                 row = np.concatenate([r for r, _ in got])
                 leaf = np.concatenate([k + f for (_, k), f in zip(got, first)])
                 order = np.lexsort((leaf, row))
                 row, leaf = row[order], leaf[order]
                 ends = np.append(0, np.cumsum(np.bincount(row, minlength=len(b)))).astype(np.int32)
-                unit = pa.ListArray.from_arrays(pa.array(np.arange(len(b) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("label"), b.column("copies"), unit, pa.ListArray.from_arrays(pa.array(ends), pa.array(leaf))], ["id", "label", "copies", "v", "leaves"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(leaf.astype(np.int32)))], ["id", "label", "copies", "v", "leaves"])
 
     kind = classes.schema["label"].dataType.simpleString()
-    indexed = classes.select(F.col("class_id").alias("id"), "label", "copies", "v").mapInArrow(index, f"id long, label {kind}, copies long, v array<double>, leaves array<long>")
+    indexed = classes.select(F.col("class_id").alias("id"), "label", "copies", "v").mapInArrow(index, f"id long, label {kind}, copies long, v array<{number}>, leaves array<int>")
     indexed = materialize(indexed, "leaves")
     # leaves of one row need no comparison; larger ones than a block are cut, each pair of blocks is a task
     size = indexed.select("label", F.explode("leaves").alias("leaf")).groupBy("label", "leaf").count().where("count > 1").withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
