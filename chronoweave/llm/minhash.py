@@ -39,7 +39,7 @@ from ._graph import components
 
 WIDTH = 5
 THRESHOLD = 0.8
-BANDS = 20
+BANDS = 25
 ROWS = 5
 #: Ids that a broadcast may hold (8 bytes each, some 40 in a hash relation).
 BROADCAST_IDS = 500_000
