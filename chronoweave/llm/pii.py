@@ -42,7 +42,18 @@ LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012345678
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: The country and check digits of an IBAN, and what may follow them; where it ends, lengths and mod-97 decide.
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?: ?[A-Z0-9]){11})")
+IBAN_REST = re.compile(r"(?: ?[A-Z0-9]){11,30}")
+IBAN_LENGTH = {
+    c: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for c in countries.split()
+}
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 SECRET = re.compile(r"(?<![A-Za-z0-9])(?=[A-Za-z0-9_/+-]*[0-9])[A-Za-z0-9_/+-]{24,}+(?![A-Za-z0-9])")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
@@ -95,10 +106,32 @@ def _base(text: str) -> Iterator[tuple[str, int, int]]:
                 yield "phone", m.start(), m.end()
 
 
-def _added(text: str) -> Iterator[tuple[str, int, int]]:
+def _ibans(text: str) -> Iterator[tuple[int, int]]:
+    # capitals or digits behind an IBAN look like more of it: a known country's length is tried first, then the whole run, and
+    # with other countries every end of a group, the longest first
+    last = 0
     for m in IBAN.finditer(text):
-        if 15 <= len(code := m[0].replace(" ", "")) <= 34 and mod97(code):
-            yield "iban", m.start(), m.end()
+        if m.start() < last:
+            continue
+        run = IBAN_REST.match(text, m.end()).end()
+        ends, n = [], 4
+        for at in range(m.end(), run):
+            n += text[at] != " "
+            if n >= 15 and text[at] != " " and not (text[at + 1 : at + 2].isascii() and text[at + 1 : at + 2].isalnum()):
+                ends.append((at + 1, n))
+        ends.reverse()
+        if length := IBAN_LENGTH.get(m[0][:2]):
+            ends = [e for e in ends if e[1] == length] + ends[:1]
+        for end, _ in ends:
+            if mod97(text[m.start() : end].replace(" ", "")):
+                last = end
+                yield m.start(), end
+                break
+
+
+def _added(text: str) -> Iterator[tuple[str, int, int]]:
+    for start, end in _ibans(text):
+        yield "iban", start, end
     for m in SSN.finditer(text):
         yield "ssn", m.start(), m.end()
     # a secret is proposed by its context word and looked for behind it only

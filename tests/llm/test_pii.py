@@ -47,6 +47,15 @@ def test_examples_and_context():
     assert pii.mask("x a@b.cd y", pii.find("x a@b.cd y")) == "x <EMAIL> y"
 
 
+def test_iban_ends_before_other_capitals():
+    for head in ("DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "ZZ43 0000 0000 0012 3"):
+        for tail in ("", " BIC COBADEFF", " 2024", " X", ", EUR 5", " DE89 3704 0044 0532 0130 00"):
+            assert ("iban", 5, 5 + len(head)) in [s[:3] for s in pii.find("IBAN " + head + tail)], (head, tail)
+    two = "IBAN DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32 BIC"
+    assert pii.mask(two, pii.find(two)) == "IBAN <IBAN> <IBAN> BIC"
+    assert not pii.find("IBAN DE88 3704 0044 0532 0130 00 BIC COBADEFF")
+
+
 def test_linear_on_long_runs():
     for run in ("a" * 200_000, "1" * 200_000, "a@" * 50_000, "+1" + "(" * 100_000, "1." * 100_000, "a.b" * 60_000):
         pii.find(run)
