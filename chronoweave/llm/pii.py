@@ -55,7 +55,10 @@ IBAN_LENGTH = {
     for c in countries.split()
 }
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-SECRET = re.compile(r"(?<![A-Za-z0-9])(?=[A-Za-z0-9_/+-]*[0-9])[A-Za-z0-9_/+-]{24,}+(?![A-Za-z0-9])")
+#: A secret: a run with a digit, from its start or from behind a mark in it to its end.
+SECRET = re.compile(r"[A-Za-z0-9_/+-]{24,}+")
+LEAST_SECRET = 24
+_DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _DOUBLED = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
 
@@ -129,16 +132,34 @@ def _ibans(text: str) -> Iterator[tuple[int, int]]:
                 break
 
 
+def _secrets(text: str) -> Iterator[tuple[int, int]]:
+    # proposed by its context word: it starts at most CONTEXT_WIDTH behind the word, and ends where its run ends
+    words = [c.end() for c in CONTEXT["secret"].finditer(text)]
+    if not words:
+        return
+    runs = [(m.start(), m.end(), m.end() - 1 - d.start()) for m in SECRET.finditer(text) if (d := _DIGIT.search(m[0][::-1]))]
+    first = 0
+    for word in words:
+        while first < len(runs) and runs[first][1] <= word:
+            first += 1
+        for start, end, digit in runs[first : first + 4]:  # no more runs of 24 can start within the width
+            at = max(start, word)
+            while start < at < end and at <= word + CONTEXT_WIDTH and text[at - 1].isascii() and text[at - 1].isalnum():
+                at += 1
+            if at > word + CONTEXT_WIDTH:
+                break
+            if end - at >= LEAST_SECRET and digit >= at:
+                yield at, end
+                break
+
+
 def _added(text: str) -> Iterator[tuple[str, int, int]]:
     for start, end in _ibans(text):
         yield "iban", start, end
     for m in SSN.finditer(text):
         yield "ssn", m.start(), m.end()
-    # a secret is proposed by its context word and looked for behind it only
-    for c in CONTEXT["secret"].finditer(text):
-        if m := SECRET.search(text, c.end(), c.end() + 200):
-            if m.start() - c.end() <= CONTEXT_WIDTH:
-                yield "secret", m.start(), m.end()
+    for start, end in _secrets(text):
+        yield "secret", start, end
 
 
 def find(text: str | None) -> list[Span]:

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -56,6 +57,30 @@ def test_iban_ends_before_other_capitals():
     assert not pii.find("IBAN DE88 3704 0044 0532 0130 00 BIC COBADEFF")
 
 
+WHOLE_SECRET = re.compile(r"(?<![A-Za-z0-9])(?=[A-Za-z0-9_/+-]*[0-9])[A-Za-z0-9_/+-]{24,}+(?![A-Za-z0-9])")
+
+
+def plain_secrets(text):
+    found = ((c.end(), WHOLE_SECRET.search(text, c.end())) for c in pii.CONTEXT["secret"].finditer(text))
+    return {m.span() for end, m in found if m and m.start() - end <= pii.CONTEXT_WIDTH}
+
+
+def test_long_secrets_are_found_whole():
+    for body in ("a1" * 225, "a" * 300 + "1", "a" * 24 + "1"):
+        text = f'token = "{body}" end'
+        assert pii.mask(text, pii.find(text)) == 'token = "<SECRET>" end'
+    began = time.perf_counter()
+    for run in ("token" + "-" * 200_000, "token-" * 30_000, "token-" * 30_000 + "1", ("token " + "a" * 24 + "1 ") * 6_000):
+        pii.find(run)
+    assert time.perf_counter() - began < 20
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["token", "token", "x" * 20, "a", "1", "-", "_", " ", "=", "é", "-" * 24, "y" * 250]), max_size=14).map("".join))
+def test_secrets_equal_the_pattern_without_an_end(text):
+    assert set(pii._secrets(text)) == plain_secrets(text)
+
+
 def test_linear_on_long_runs():
     for run in ("a" * 200_000, "1" * 200_000, "a@" * 50_000, "+1" + "(" * 100_000, "1." * 100_000, "a.b" * 60_000):
         pii.find(run)
