@@ -57,15 +57,22 @@ _LINE = re.compile(r"(?<=\S)(?=\n\S)")
 class Encoder:
     """Byte-level BPE of a tokenizers JSON file whose merges rank as its ids do, run by tiktoken's merge loop.
 
-    Gives the same ids as ``tokenizers`` with ``encode_special_tokens``, several times faster. Corpora repeat lines (copies,
-    shared passages), so the ids of the last lines are kept.
+    ``ids`` gives the same ids as ``tokenizers`` in its default setting, where the file's added tokens stand for themselves,
+    ``plain_ids`` those with ``encode_special_tokens``, several times faster. Corpora repeat lines (copies, shared passages), so
+    the ids of the last lines are kept.
     """
 
     def __init__(self, path: str) -> None:
         import tiktoken
 
         with open(path, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
+        vocab, added = spec["model"]["vocab"], spec.get("added_tokens") or []
+        if any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{path}: added tokens that depend on the text around them are not supported")
+        self.added = {t["content"]: array.array("I", [t["id"]]).tobytes() for t in added if t["content"]}
+        # where several fit, the longest counts
+        self.split = re.compile(f"({'|'.join(map(re.escape, sorted(self.added, key=len, reverse=True)))})") if self.added else None
         # the format writes bytes as printable characters: printable Latin-1 ones as themselves, the others from 256 on
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in set(plain))}
@@ -76,7 +83,14 @@ class Encoder:
         self.held = 0
 
     def ids(self, text: str) -> bytes:
-        """The text's ids, four bytes each."""
+        """The text's ids, four bytes each: added tokens as themselves, the parts between them each on its own."""
+        if not self.split or not any(t in text for t in self.added):
+            return self.plain_ids(text)
+        parts = self.split.split(text)
+        return b"".join(self.added[p] if k % 2 else self.plain_ids(p) for k, p in enumerate(parts) if p)
+
+    def plain_ids(self, text: str) -> bytes:
+        """The text's ids, four bytes each, with added tokens coded as any other text."""
         out = []
         for line in _LINE.split(text) if "\n" in text else [text]:
             found = self.now.get(line)
@@ -98,9 +112,10 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def token_ids(text: str | None, path: str) -> np.ndarray:
-    """The text's ids, uint32, without the end id."""
-    return np.frombuffer(encoder(path).ids(text or ""), np.uint32)
+def token_ids(text: str | None, path: str, added: bool = False) -> np.ndarray:
+    """The text's ids, uint32, without the end id. ``added``: as they are packed, with the file's added tokens as themselves."""
+    own = encoder(path)
+    return np.frombuffer((own.ids if added else own.plain_ids)(text or ""), np.uint32)
 
 
 class Packer:

@@ -37,6 +37,18 @@ def test_bpe_ids_on_any_white_space(reference, text):
     assert packing.token_ids(text, PATH).tolist() == reference.encode(text, add_special_tokens=False).ids
 
 
+def test_packed_ids_are_those_of_the_default_setting(spark):
+    default = Tokenizer.from_file(PATH)
+    mark = "<|endoftext|>"
+    texts = [*TEXTS, mark, mark * 3, f"this is {mark} x", f"a  {mark}  b\n{mark}\n", f"{mark[:-1]} {mark}>", f"l{mark}'s \u3000{mark}é"]
+    want = {i: default.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
+    rows = {r.doc_id: r for r in packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, t in enumerate(texts):
+        own = np.array([*want[i], packing.END_ID], "<u4")
+        assert (rows[i].ids_crc32, rows[i].length, rows[i].doc_tokens) == (zlib.crc32(own), len(own), len(own)), t
+        assert packing.token_ids(t, PATH, added=True).tolist() == want[i]
+
+
 def brute(model, text):
     """Best score over all segmentations, by trying every piece at every place."""
     table = {model.names[i]: model.automaton.get(model.names[i])[2] for i in np.flatnonzero(model.plain)}
