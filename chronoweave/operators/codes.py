@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.metadata_values import columns_of, compile_value
 from ..plans.spec import Event
+from ..sources.files import materialize
 from .union import diagonal_union
 
+log = logging.getLogger(__name__)
+
 MANDATORY = {"description": T.StringType(), "parent_codes": T.ArrayType(T.StringType())}
 
 
@@ -36,7 +41,7 @@ def code_metadata(meta: DataFrame, event: Event, cfg: dict, observed: DataFrame
         raise KeyError(f"{event.source_block}: _metadata names no output columns")
     own = event.code.columns
     if match_on and (odd := [c for c in match_on if c not in own]):
-        raise ValueError(f"{event.source_block}: _match_on columns {', '.join(odd)} are not in the code")
+        raise KeyError(f"{event.source_block}: _match_on columns {', '.join(odd)} are not in the code")
     need = set().union(*map(columns_of, cfg.values())) | set(match_on or own - set(cfg))
     if missing := sorted(need - set(meta.columns)):
         raise KeyError(f"{event.source_block}: metadata lacks columns {', '.join(missing)}")
@@ -66,6 +71,7 @@ def component_map(events: DataFrame) -> DataFrame | None:
 def expand_partial(parts: DataFrame, components: DataFrame | None, match_on: list[str]) -> DataFrame | None:
     """Partial metadata joined to every code with the same components; None (nothing) without components."""
     if components is None or any(c not in components.columns for c in match_on):
+        log.warning("no event has the code components %s: metadata matched on them is left out", ", ".join(match_on))
         return None
     outputs = [c for c in parts.columns if c not in match_on]
     keys = components.select("code", *[F.col(f"`{c}`").cast("string").alias(c) for c in match_on])
@@ -76,11 +82,13 @@ def expand_partial(parts: DataFrame, components: DataFrame | None, match_on: lis
 def reduce_codes(frames: list[DataFrame], separator: str = "\n", modifiers: list[str] | None = None) -> DataFrame:
     """One row a code. Only if some code repeats, all columns change shape: descriptions are joined by the separator, parents put
     together, the first template kept, other columns become lists (nulls included). Order: frame, then values.
+
+    Whether a code repeats decides the result's schema, so the rows are written once and read for both.
     """
     keys = ["code", *(modifiers or [])]
     rows = diagonal_union([f.withColumn("__ord__", F.lit(i)) for i, f in enumerate(frames)])
     data = [c for c in rows.columns if c != "__ord__"]
-    rows = rows.groupBy(*data).agg(F.min("__ord__").alias("__ord__"))
+    rows = materialize(rows.groupBy(*data).agg(F.min("__ord__").alias("__ord__")), "codes")
     if rows.groupBy(*keys).count().where("count > 1").isEmpty():
         return rows.drop("__ord__")
     others = [c for c in data if c not in keys]

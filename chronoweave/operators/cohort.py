@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+log = logging.getLogger(__name__)
+
 #: Where a row stands in the specification: helper columns that take no part in being equal.
 ORDER = ("__table__", "__block__")
 
@@ -34,6 +38,8 @@ def distinct_events(events: DataFrame, by: str | list[str] | None = "*", scope:
     if not isinstance(by, (list, tuple)) or not by:
         raise ValueError(f"unique_by must be '*', null or a list of columns, not {by!r}")
     keys = [c for c in by if c in data]
+    if unknown := [c for c in by if c not in data]:
+        log.warning("unique_by: no columns %s", ", ".join(unknown))
     if not keys:
         return events
     rest = [F.col(f"`{c}`").asc_nulls_first() for c in [*helpers, *data] if c not in keys and c not in scope_cols]
@@ -43,6 +49,8 @@ def distinct_events(events: DataFrame, by: str | list[str] | None = "*", scope:
 
 def sort_keys(events: DataFrame, also: list[str] | None = None) -> list:
     """Subject, time, named columns, place in the specification, then all the rest, so that the order is total."""
+    if unknown := [c for c in also or [] if c not in events.columns]:
+        log.warning("sort: no columns %s", ", ".join(unknown))
     lead = ["subject_id", "time", *[c for c in also or [] if c in events.columns]]
     helpers = [c for c in ORDER if c in events.columns]
     rest = [c for c in sorted(events.columns) if c not in lead and c not in helpers and c not in ("split", "shard")]
@@ -50,15 +58,17 @@ def sort_keys(events: DataFrame, also: list[str] | None = None) -> list:
 
 
 def ordered(events: DataFrame, also: list[str] | None = None) -> DataFrame:
-    """Rows of each shard together and in order, after one shuffle; ``shard`` becomes its number within the split.
+    """Rows of each shard in order, dealt into ranges of that order in one shuffle; ``shard`` becomes its number within the split.
 
-    The order begins with the folders' columns, so that the writer adds no sort of its own, which would undo it.
+    A shard, or a subject, with very many rows spans several ranges. The order begins with the folders' columns, so that the
+    writer adds no sort of its own, which would undo it.
     """
     number = F.element_at(F.split("shard", "/"), -1).cast("int")
-    placed = events.withColumn("shard", number).repartition("split", "shard")
-    return placed.sortWithinPartitions("split", "shard", *sort_keys(placed, also)).drop(*ORDER)
+    placed = events.withColumn("shard", number)
+    keys = [F.col("split"), F.col("shard"), *sort_keys(placed, also)]
+    return placed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*ORDER)
 
 
 def write_cohort(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One file a shard below ``split=``/``shard=`` folders; readers prune by either."""
+    """The rows of each shard below ``split=``/``shard=`` folders, by which readers prune; its files in order of name hold them in order."""
     events.write.mode(mode).partitionBy("split", "shard").parquet(path)

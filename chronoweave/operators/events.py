@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..functions.expr import Expr
 from ..plans.spec import Event, Join, Table
-from .union import diagonal_union
+from .union import common_types, in_types
 
 UNKNOWN = "UNK"
 
@@ -61,14 +61,12 @@ def text_unless_number(text: Column, number: Column) -> Column:
     return F.when(plain == number.cast("float"), None).otherwise(text)
 
 
-def extract_event(df: DataFrame, event: Event, dedup_text: bool = True, source_block: bool = True, distinct: bool = True) -> DataFrame:
-    """One block's events: subject_id, code, [code_components], time, extra columns, [source_block]."""
+def event_columns(rows: DataFrame, event: Event, dedup_text: bool = True, source_block: bool = True) -> tuple[Column | None, list[Column], T.StructType]:
+    """What an event block makes of ``rows``: which of them it takes, its columns, and their schema. Nothing is computed yet."""
     try:
-        schema = df.schema
-        missing = event.columns - set(df.columns)
-        if missing:
+        if missing := event.columns - set(rows.columns):
             raise ValueError(f"columns {', '.join(sorted(missing))} are not there")
-        keep = row_filter(event, schema)
+        keep = row_filter(event, rows.schema)
         cols = [F.col("subject_id"), code_of(event.code).alias("code")]
         if parts := sorted(event.code.columns):
             cols.append(F.struct(*[F.col(f"`{c}`").alias(c) for c in parts]).alias("code_components"))
@@ -80,9 +78,15 @@ def extract_event(df: DataFrame, event: Event, dedup_text: bool = True, source_b
         cols += [c.alias(k) for k, c in extras.items()]
         if source_block:
             cols.append(F.lit(event.source_block).alias("source_block"))
-        out = (df if keep is None else df.where(keep)).select(*cols)
+        return keep, cols, rows.select(*cols).schema
     except Exception as e:
         raise ValueError(f"Error extracting event {event.source_block}: {e}") from e
+
+
+def extract_event(df: DataFrame, event: Event, dedup_text: bool = True, source_block: bool = True, distinct: bool = True) -> DataFrame:
+    """One block's events: subject_id, code, [code_components], time, extra columns, [source_block]."""
+    keep, cols, _ = event_columns(df, event, dedup_text, source_block)
+    out = (df if keep is None else df.where(keep)).select(*cols)
     return out.dropDuplicates() if distinct else out
 
 
@@ -100,8 +104,24 @@ def subject_rows(raw: DataFrame, table: Table, lookup: DataFrame | None = None)
 
 
 def table_events(raw: DataFrame, table: Table, lookup: DataFrame | None = None, distinct: bool = True, dedup_text: bool = True) -> DataFrame | None:
-    """All events of a table, with the block's place in the specification as ``__block__``; None for a table without blocks."""
+    """All events of a table, with the block's place in the specification as ``__block__``; None for a table without blocks.
+
+    The table is read, and joined, once: each row becomes an array with one entry for each block, null where the block does not
+    take the row, and the array becomes rows. Only rows that some block takes are read.
+    """
     if not table.events:
         return None
     rows = subject_rows(raw, table, lookup)
-    return diagonal_union([extract_event(rows, e, dedup_text, distinct=distinct).withColumn("__block__", F.lit(i)) for i, e in enumerate(table.events)])
+    blocks = [event_columns(rows, e, dedup_text) for e in table.events]
+    if len(blocks) == 1:
+        out = extract_event(rows, table.events[0], dedup_text, distinct=False).withColumn("__block__", F.lit(0))
+    else:
+        types = common_types([schema for _, _, schema in blocks])
+        entries = []
+        for i, (keep, cols, schema) in enumerate(blocks):
+            entry = F.struct(*in_types(dict(zip(schema.names, cols)), schema, types), F.lit(i).alias("__block__"))
+            entries.append(entry if keep is None else F.when(keep, entry))
+        keeps = [keep for keep, _, _ in blocks]
+        taken = rows if any(k is None for k in keeps) else rows.where(reduce(lambda a, b: a | b, keeps))
+        out = taken.select(F.explode(F.array(*entries)).alias("e")).where("e is not null").select("e.*")
+    return out.dropDuplicates() if distinct else out

@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources import files
+from ..sources.files import materialize
+
 DEFAULT_SHARES = {"train": 0.8, "tuning": 0.1, "held_out": 0.1}
 PER_SHARD = 50_000
+#: Subjects that a draw on the driver may have.
+MOST_DRAWN = 5_000_000
 
 
 def universe(frames: list[DataFrame], column: str = "subject_id") -> DataFrame:
@@ -25,70 +32,173 @@ def universe(frames: list[DataFrame], column: str = "subject_id") -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), map(own, frames)).distinct()
 
 
-def assign_shards(ids, per_shard: int = PER_SHARD, external: dict[str, list] | None = None, shares: dict[str, float | None] | None = None, seed: int = 1) -> dict[str, list[int]]:
-    """``{"split/shard": ids}``, the same for the same set of ids in any order.
+@dataclass(frozen=True)
+class Drawn:
+    """One split: its name, the places its subjects take among the sorted free ones (None: an external list's own), and its shards
+    as runs of places in that order."""
+
+    name: str
+    free: np.ndarray | None
+    shards: list[np.ndarray]
+
 
-    Externally assigned subjects keep their splits. Of the rest each split gets its share of a random permutation. Drawn from
-    one generator, in this order: the splits' order, the subjects' order, and the order in each split that needs several shards.
+def draw(n_free: int, per_shard: int = PER_SHARD, external: dict[str, int] | None = None, shares: dict[str, float | None] | None = None, seed: int = 1) -> list[Drawn]:
+    """The splits of ``n_free`` subjects and of external lists of known lengths; only numbers are drawn, no ids.
+
+    Each drawn split gets its share of a random permutation. Drawn from one generator, in this order: the splits' order, the
+    subjects' order, and the order in each split that needs several shards.
     """
     external = external or {}
     shares = {k: v for k, v in (DEFAULT_SHARES if shares is None else shares).items() if v is not None}
-    fixed = set().union(*map(set, external.values())) if external else set()
-    free = np.array(sorted({int(i) for i in ids} - fixed), dtype=np.int64)
-    draw = np.random.default_rng(seed)
-    splits: dict[str, np.ndarray] = {}
-    if len(free):
+    rng = np.random.default_rng(seed)
+    splits: dict[str, np.ndarray | None] = {}
+    if n_free:
         total = sum(shares.values())
         if not math.isclose(total, 1):
             raise ValueError(f"split shares must add up to 1, not {total}: {shares}")
         if clash := sorted(set(shares) & set(external)):
             raise ValueError(f"splits {', '.join(clash)} are external and drawn")
-        order = [list(shares)[i] for i in draw.permutation(len(shares))]
-        sizes = [int(np.round(shares[s] * len(free))) for s in order[:-1]]
-        sizes.append(len(free) - sum(sizes))
-        if min(sizes) == 0:  # one subject moves, once
-            sizes[int(np.argmax(sizes))] -= 1
-            sizes[int(np.argmin(sizes))] += 1
-        if min(sizes) <= 0:
-            raise ValueError(f"{len(free)} subjects cannot fill {len(order)} splits")
-        mixed = draw.permutation(free)
+        order = [list(shares)[i] for i in rng.permutation(len(shares))]
+        sizes = sizes_of(n_free, [shares[s] for s in order])
+        mixed = rng.permutation(n_free)
         ends = np.cumsum(sizes)
         splits = {s: mixed[e - n : e] for s, n, e in zip(order, sizes, ends)}
-    splits |= {s: np.array(list(v), dtype=np.int64) for s, v in external.items()}
-    shards: dict[str, list[int]] = {}
+    splits |= dict.fromkeys(external)
+    out = []
     for name, own in splits.items():
-        if len(own) <= per_shard:
-            shards[f"{name}/0"] = own.tolist()
-            continue
-        parts = np.array_split(draw.permutation(own), math.ceil(len(own) / per_shard))
-        shards |= {f"{name}/{i}": p.tolist() for i, p in enumerate(parts)}
+        n = external[name] if own is None else len(own)
+        places = np.arange(n)
+        out.append(Drawn(name, own, [places] if n <= per_shard else np.array_split(rng.permutation(places), math.ceil(n / per_shard))))
+    return out
+
+
+def sizes_of(n: int, shares: list[float]) -> list[int]:
+    """How many of ``n`` subjects each share gets: rounded, the last takes the rest; an empty one gets one from the largest, once."""
+    sizes = [int(np.round(s * n)) for s in shares[:-1]]
+    sizes.append(n - sum(sizes))
+    if min(sizes) == 0:
+        sizes[int(np.argmax(sizes))] -= 1
+        sizes[int(np.argmin(sizes))] += 1
+    if min(sizes) <= 0:
+        raise ValueError(f"{n} subjects cannot fill {len(shares)} splits")
+    return sizes
+
+
+def assign_shards(ids, per_shard: int = PER_SHARD, external: dict[str, list] | None = None, shares: dict[str, float | None] | None = None, seed: int = 1) -> dict[str, list[int]]:
+    """``{"split/shard": ids}`` of a few subjects, the same for the same set of ids in any order; ``drawn_shards`` is its form on DataFrames.
+
+    Externally assigned subjects keep their splits.
+    """
+    external = external or {}
+    fixed = set().union(*map(set, external.values())) if external else set()
+    free = np.array(sorted({int(i) for i in ids} - fixed), dtype=np.int64)
+    shards: dict[str, list[int]] = {}
+    for d in draw(len(free), per_shard, {k: len(v) for k, v in external.items()}, shares, seed):
+        own = free[d.free] if d.free is not None else np.array(list(external[d.name]), dtype=np.int64)
+        shards |= {f"{d.name}/{i}": own[places].tolist() for i, places in enumerate(d.shards)}
     return shards
 
 
-def split_of(shard: str) -> str:
-    return shard.rpartition("/")[0]
+def numbered(people: DataFrame, name: str = "place", buckets: int = 4096) -> DataFrame:
+    """Distinct ids with their place in ascending order, from 0: counts of equal ranges of values, then places within each."""
+    ends = people.agg(F.min("subject_id").alias("lo"), F.max("subject_id").alias("hi")).first()
+    if ends["lo"] is None:
+        return people.withColumn(name, F.lit(0).cast("bigint"))
+    # as doubles, since hashed ids differ by more than a long holds; rounding keeps their order
+    width = (ends["hi"] - ends["lo"]) // buckets + 1
+    bucket = F.floor((F.col("subject_id").cast("double") - F.lit(float(ends["lo"]))) / F.lit(float(width))).cast("int")
+    return _placed(people.withColumn("__b__", bucket), F.col("subject_id"), name)
 
 
-def shard_frame(spark: SparkSession, shards: dict[str, list[int]]) -> DataFrame:
-    """(subject_id, split, shard) rows of a shard map."""
-    rows = [(int(i), split_of(k), k) for k, ids in shards.items() for i in ids]
-    return spark.createDataFrame(rows, "subject_id bigint, split string, shard string")
+def _placed(rows: DataFrame, order: Column, name: str) -> DataFrame:
+    """Rows with a bucket ``__b__`` (of a fixed number, in order of ``order``), numbered over all buckets."""
+    count = rows.groupBy("__b__").agg(F.count("*").alias("__n__"))
+    before = F.coalesce(F.sum("__n__").over(Window.orderBy("__b__").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = F.broadcast(count.select("__b__", before.alias("__before__")))  # one row a bucket
+    within = F.row_number().over(Window.partitionBy("__b__").orderBy(order)) - 1
+    return rows.join(starts, "__b__").withColumn(name, (F.col("__before__") + within).cast("bigint")).drop("__b__", "__before__")
 
 
-def hashed_shards(subjects: DataFrame, n_subjects: int, per_shard: int = PER_SHARD, shares: dict[str, float] | None = None, seed: int = 1) -> DataFrame:
-    """(subject_id, split, shard) by hashes, wholly distributed: for populations too large for the driver.
+def drawn_shards(people: DataFrame, per_shard: int = PER_SHARD, external: DataFrame | None = None, shares: dict[str, float | None] | None = None, seed: int = 1, most: int = MOST_DRAWN) -> DataFrame:
+    """(subject_id, split, shard, place): ``assign_shards`` on DataFrames; place: where a subject stands in its shard.
 
-    A subject's split depends on its id and the seed only. Shares hold in expectation; shards are nearly equal.
+    Ids stay on the cluster: subjects are numbered in ascending order, and only drawn numbers come from the driver, at most
+    ``most`` (some 40 bytes each; ValueError beyond, then ``hashed_shards`` is the way). external: (split, number, place,
+    subject_id), with the splits' order and the place in a split's list.
     """
-    shares = shares or DEFAULT_SHARES
-    if not math.isclose(sum(shares.values()), 1):
-        raise ValueError(f"split shares must add up to 1: {shares}")
-    u = (F.xxhash64(F.lit(seed), "subject_id") + 2.0**63) / 2.0**64
-    split, end = F.lit(list(shares)[-1]), 1.0
-    for name in list(shares)[::-1][1:]:
-        end -= shares[list(shares)[list(shares).index(name) + 1]]
-        split = F.when(u < end, F.lit(name)).otherwise(split)
-    rows = subjects.select("subject_id", split.alias("split"))
-    count = F.create_map(*[x for k, v in shares.items() for x in (F.lit(k), F.lit(max(1, math.ceil(v * n_subjects / per_shard))))])
-    number = F.pmod(F.xxhash64(F.lit(seed + 1), "subject_id"), count[F.col("split")])
-    return rows.select("subject_id", "split", F.concat_ws("/", "split", number.cast("string")).alias("shard"))
+    spark = people.sparkSession
+    free = people if external is None else people.join(external.select("subject_id").distinct(), "subject_id", "left_anti")
+    sizes = {} if external is None else {r["split"]: r["n"] for r in external.groupBy("split").agg(F.count("*").alias("n"), F.min("number").alias("at")).orderBy("at").collect()}
+    free = materialize(free, "free")
+    n = free.count()
+    if n + sum(sizes.values()) > most:
+        raise ValueError(f"{n + sum(sizes.values())} subjects are more than max_drawn_subjects, {most}, that a draw on the driver may have; choose split_by='hash'")
+    drawn = draw(n, per_shard, sizes, shares, seed)
+
+    def table(splits: list[Drawn]) -> DataFrame:
+        """(split, own, shard_no, place): own is a subject's number among the free ones, or in its external list."""
+        own = [places if d.free is None else d.free[places] for d in splits for places in d.shards]
+        count = [len(o) for o in own]
+        names = pa.array([d.name for d in splits for _ in d.shards], pa.string()).take(pa.array(np.repeat(np.arange(len(own)), count)))
+        numbers = np.repeat([i for d in splits for i in range(len(d.shards))], count).astype(np.int32)
+        place = np.concatenate([np.arange(c) for c in count] or [np.zeros(0, np.int64)])
+        cols = [names, pa.array(np.concatenate(own or [np.zeros(0, np.int64)]).astype(np.int64)), pa.array(numbers), pa.array(place.astype(np.int64))]
+        return spark.createDataFrame(pa.table(cols, ["split", "own", "shard_no", "place"]), "split string, own bigint, shard_no int, place bigint")
+
+    found = numbered(free, "own").join(table([d for d in drawn if d.free is not None]), "own").select("subject_id", "split", "shard_no", "place")
+    if external is not None:
+        listed = external.select("subject_id", "split", F.col("place").alias("own"))
+        found = found.unionByName(listed.join(table([d for d in drawn if d.free is None]), ["split", "own"]).select("subject_id", "split", "shard_no", "place"))
+    return found.select("subject_id", "split", F.concat_ws("/", "split", F.col("shard_no").cast("string")).alias("shard"), "place")
+
+
+def external_splits(spark: SparkSession, path) -> DataFrame:
+    """(split, number, place, subject_id) from a JSON file ``{"split": [ids]}``; a task reads it."""
+    hidden = str(path).rpartition("/")[2][:1] in "._"  # which Spark's readers leave out
+    text = spark.createDataFrame([(files.read_text(spark, path),)], "value string") if hidden else spark.read.text(files.literal(path), wholetext=True)
+    lists = text.select(F.posexplode(F.map_entries(F.from_json("value", "map<string,array<bigint>>"))).alias("number", "e"))
+    return lists.select(F.col("e.key").alias("split"), "number", F.posexplode("e.value").alias("place", "subject_id")).select("split", "number", F.col("place").cast("bigint").alias("place"), "subject_id")
+
+
+def overlaps(shards: DataFrame) -> DataFrame:
+    """(a, b, n): how many subjects two splits share, for those that share some."""
+    several = shards.select("subject_id", "split").groupBy("subject_id").agg(F.sort_array(F.collect_set("split")).alias("s")).where(F.size("s") > 1)
+    pairs = several.select(F.explode("s").alias("a"), "s").select("a", F.explode("s").alias("b")).where("a < b")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
+
+
+def split_of(shard: str) -> str:
+    return shard.rpartition("/")[0]
+
+
+def hashed_shards(people: DataFrame, per_shard: int = PER_SHARD, external: DataFrame | None = None, shares: dict[str, float | None] | None = None, seed: int = 1) -> DataFrame:
+    """(subject_id, split, shard, place) for any number of subjects: they are ordered by a seeded hash and cut at the exact shares.
+
+    An external split (split, number, place, subject_id) is cut into shards in the order of its list.
+    """
+    shares = {k: v for k, v in (DEFAULT_SHARES if shares is None else shares).items() if v is not None}
+    free = people if external is None else people.join(external.select("subject_id").distinct(), "subject_id", "left_anti")
+    free = materialize(free, "free")
+    n = free.count()
+    splits = []  # name, first place, number of subjects
+    if n:
+        if not math.isclose(sum(shares.values()), 1):
+            raise ValueError(f"split shares must add up to 1, not {sum(shares.values())}: {shares}")
+        sizes = sizes_of(n, list(shares.values()))
+        splits = [(k, sum(sizes[:i]), sizes[i]) for i, k in enumerate(shares)]
+    h = F.xxhash64(F.lit(seed), "subject_id")
+    rows = _placed(free.withColumns({"__h__": h, "__b__": F.shiftright(h, 52).cast("int")}), F.struct("__h__", "subject_id"), "at").drop("__h__")
+    name, first, size = F.lit(None).cast("string"), F.lit(0), F.lit(1)
+    for k, start, count in splits:
+        here = F.col("at") >= start
+        name, first, size = F.when(here, k).otherwise(name), F.when(here, start).otherwise(first), F.when(here, count).otherwise(size)
+    rows = rows.select("subject_id", name.alias("split"), (F.col("at") - first).cast("bigint").alias("own"), size.cast("bigint").alias("n"))
+    if external is not None:
+        size_of = external.groupBy("split").agg(F.count("*").alias("n"))
+        rows = rows.unionByName(external.join(size_of, "split").select("subject_id", "split", F.col("place").alias("own"), "n"))
+    # near-equal runs, the first ones longer by one, as np.array_split cuts
+    count = F.ceil(F.col("n") / per_shard)
+    short, longer = F.floor(F.col("n") / count), F.col("n") % count
+    number = F.when(F.col("own") < longer * (short + 1), F.floor(F.col("own") / (short + 1))).otherwise(longer + F.floor((F.col("own") - longer * (short + 1)) / F.greatest(short, F.lit(1))))
+    begin = number * short + F.least(number, longer)
+    return rows.select("subject_id", "split", F.concat_ws("/", "split", number.cast("string")).alias("shard"), (F.col("own") - begin).cast("bigint").alias("place"))

@@ -51,19 +51,28 @@ def _as(c: Column, have: T.DataType, want: T.DataType) -> Column:
     return c.cast(want)
 
 
+def common_types(schemas: list[T.StructType]) -> dict[str, T.DataType]:
+    """Each column that some schema has, in order of first appearance, with the supertype of its types."""
+    types: dict[str, T.DataType] = {}
+    for schema in schemas:
+        for f in schema:
+            types[f.name] = supertype(types[f.name], f.dataType) if f.name in types else f.dataType
+    return types
+
+
+def in_types(columns: dict[str, Column], schema: T.StructType, types: dict[str, T.DataType]) -> list[Column]:
+    """The columns (of the types in ``schema``) in the wanted types and their order, null where there is none."""
+    own = {f.name: f.dataType for f in schema}
+    return [(_as(columns[n], own[n], t) if n in own else F.lit(None).cast(t)).alias(n) for n, t in types.items()]
+
+
 def diagonal_union(frames: list[DataFrame]) -> DataFrame:
     """UNION ALL by name: a missing column is null, types meet in their supertype, structs get all fields.
 
     Spark's own coercion would turn a union of numbers and text into numbers and fail on the text, so casts come first.
     """
-    types: dict[str, T.DataType] = {}
-    for df in frames:
-        for f in df.schema:
-            types[f.name] = supertype(types[f.name], f.dataType) if f.name in types else f.dataType
-    aligned = []
-    for df in frames:
-        own = {f.name: f.dataType for f in df.schema}
-        aligned.append(df.select(*[(_as(F.col(f"`{n}`"), own[n], t) if n in own else F.lit(None).cast(t)).alias(n) for n, t in types.items()]))
+    types = common_types([df.schema for df in frames])
+    aligned = [df.select(*in_types({c: F.col(f"`{c}`") for c in df.columns}, df.schema, types)) for df in frames]
     return reduce(lambda a, b: a.unionByName(b), aligned)
 
 

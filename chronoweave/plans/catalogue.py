@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expr import parse
@@ -12,7 +12,8 @@ from ..functions.metadata_values import compile_value
 from ..operators import align, codes, cohort, subjects
 from ..operators.events import extract_event, lookup_join, subject_rows, table_events
 from ..operators.union import diagonal_union, vertical_union
-from ..sources.readers import promote, row_range
+from ..sources import files
+from ..sources.readers import find_data, find_metadata, promote, read_metadata, read_table, row_range, with_row_index
 from . import pipeline, spec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -232,8 +233,6 @@ def distinct_subset(spark, sf_dir):
 @query(f"""SELECT subject_id, code, time, numeric_value, row_number() OVER (PARTITION BY subject_id ORDER BY time NULLS FIRST, code NULLS FIRST, numeric_value NULLS FIRST, source_block) AS n FROM (SELECT DISTINCT * FROM ({_ALL}))""")
 def cohort_order(spark, sf_dir):
     rows = cohort.distinct_events(_cohort_events(spark, sf_dir).drop("code_components", *cohort.ORDER))
-    from pyspark.sql import Window
-
     # the order that the cohort is written in, shown as a number
     order = Window.partitionBy("subject_id").orderBy(*cohort.sort_keys(rows, ["code", "numeric_value", "source_block"])[1:])
     return rows.select("subject_id", "code", "time", "numeric_value", F.row_number().over(order).cast("bigint").alias("n"))
@@ -259,16 +258,50 @@ def shard_routing(spark, sf_dir):
     return cohort.route(rows, splits)
 
 
+def _customers(spark, sf_dir) -> DataFrame:
+    return subjects.universe([_reader(spark, sf_dir)("customer").select(F.col("c_custkey").alias("subject_id"))])
+
+
 @query()
 def iid_split(spark, sf_dir):
-    people = subjects.universe([_reader(spark, sf_dir)("customer").select(F.col("c_custkey").alias("subject_id"))])
-    return pipeline.shards_of(spark, people, pipeline.Options(n_subjects_per_shard=500))[0]
+    return pipeline.shards_of(spark, _customers(spark, sf_dir), pipeline.Options(n_subjects_per_shard=500))
+
+
+# sizes by the rule: rounded shares (.8, .1, .1), near-equal shards of at most 500
+_SIZES = """
+WITH s AS (SELECT split, CAST(round(share * (SELECT count(*) FROM customer)) AS BIGINT) AS n FROM (VALUES ('train', 0.8), ('tuning', 0.1), ('held_out', 0.1)) v(split, share)),
+k AS (SELECT split, n, CAST(ceil(n / 500.0) AS BIGINT) AS shards FROM s)
+SELECT split, split || '/' || i AS shard, n // shards + CASE WHEN i < n % shards THEN 1 ELSE 0 END AS n, n // shards + CASE WHEN i < n % shards THEN 0 ELSE -1 END AS last_place
+FROM (SELECT *, unnest(range(shards)) AS i FROM k)
+"""
+
 
+def _sizes(shards: DataFrame) -> DataFrame:
+    return shards.groupBy("split", "shard").agg(F.countDistinct("subject_id").alias("n"), F.max("place").alias("last_place"))
 
-@query("""SELECT count(*) AS n, count(*) AS n_ids, TRUE AS all_known FROM customer""")
+
+@query(_SIZES)
+def iid_split_sizes(spark, sf_dir):
+    return _sizes(pipeline.shards_of(spark, _customers(spark, sf_dir), pipeline.Options(n_subjects_per_shard=500)))
+
+
+@query(_SIZES)
 def hashed_split(spark, sf_dir):
-    people = subjects.universe([_reader(spark, sf_dir)("customer").select(F.col("c_custkey").alias("subject_id"))])
-    return subjects.hashed_shards(people, 1500, 500).agg(F.count("*").alias("n"), F.countDistinct("subject_id").alias("n_ids"), F.every(F.col("split").isin(*subjects.DEFAULT_SHARES)).alias("all_known"))
+    return _sizes(pipeline.shards_of(spark, _customers(spark, sf_dir), pipeline.Options(n_subjects_per_shard=500, split_by="hash")))
+
+
+# fixed values: the published split of subjects 1 to 10 with seed 1 and three a shard
+@query("""SELECT * FROM (VALUES ('train/0', 0, 9), ('train/0', 1, 4), ('train/0', 2, 8), ('train/1', 0, 2), ('train/1', 1, 1), ('train/1', 2, 10), ('train/2', 0, 6), ('train/2', 1, 5), ('tuning/0', 0, 3), ('held_out/0', 0, 7)) t(shard, place, subject_id)""")
+def split_golden(spark, sf_dir):
+    people = spark.range(1, 11).select(F.col("id").alias("subject_id"))
+    return pipeline.shards_of(spark, people, pipeline.Options(n_subjects_per_shard=3)).select("shard", "place", "subject_id")
+
+
+@query("""SELECT 'extra' AS a, 'test' AS b, count(*) AS n FROM customer WHERE c_custkey % 10 = 1""")
+def split_overlaps(spark, sf_dir):
+    # digit 1 is in both
+    lists = F.when(F.col("subject_id") % 10 == 0, F.array(F.lit("test"))).when(F.col("subject_id") % 10 == 1, F.array(F.lit("test"), F.lit("extra")))
+    return subjects.overlaps(_customers(spark, sf_dir).select("subject_id", F.explode(lists).alias("split")))
 
 
 @query("""SELECT * FROM (VALUES ('customer', 'c_acctbal,c_custkey,c_mktsegment,c_nationkey'), ('events', 'event_type,ts,user_id,value'), ('lineitem', 'l_linestatus,l_orderkey,l_quantity,l_returnflag,l_shipdate'), ('orders', 'o_custkey,o_orderdate,o_orderkey,o_orderpriority,o_orderstatus,o_totalprice')) t(name, columns)""")
@@ -338,9 +371,14 @@ def events_align(spark, sf_dir):
 
 @query("""SELECT DISTINCT c_custkey AS subject_id, CASE WHEN c_custkey % 2 = 0 THEN 'taskA/held_out' ELSE 'train' END AS split FROM customer""")
 def subject_splits(spark, sf_dir):
-    ids = [r[0] for r in _reader(spark, sf_dir)("customer").select("c_custkey").collect()]
-    drawn = subjects.assign_shards(ids, 100, {"taskA/held_out": [i for i in ids if i % 2 == 0], "train": [i for i in ids if i % 2]})
-    return align.align(subjects.shard_frame(spark, drawn).select("subject_id", "split").distinct(), align.SPLITS)
+    people = _customers(spark, sf_dir)
+    odd = F.col("subject_id") % 2
+    name = F.when(odd == 0, "taskA/held_out").otherwise("train")
+    listed = people.select(name.alias("split"), odd.cast("int").alias("number"), F.floor(F.col("subject_id") / 2).alias("place"), "subject_id")
+    place = F.row_number().over(Window.partitionBy("split").orderBy("subject_id")) - 1
+    external = listed.withColumn("place", place.cast("bigint"))
+    drawn = pipeline.shards_of(spark, people, pipeline.Options(n_subjects_per_shard=100), external)
+    return align.align(drawn.select("subject_id", "split").distinct(), align.SPLITS)
 
 
 @query("""SELECT CASE WHEN o_custkey % 10 < 8 THEN 'train' ELSE 'held_out' END AS split, count(*) AS n FROM orders GROUP BY ALL""")
@@ -389,11 +427,93 @@ def all_rows(spark, sf_dir):
     return cohort.distinct_events(extract_event(rows, block, source_block=False, distinct=False), None).drop("code_components")
 
 
+# each block's place in the specification: table, then block
+_PLACES = "(VALUES ('customer/segment', 0), ('customer/balance', 1), ('customer/nation', 2), ('orders/placed', 3), ('lineitem/item', 4), ('events/activity', 5)) b(source_block, nth)"
+_SPLIT = "CASE WHEN subject_id % 10 < 8 THEN 'train' ELSE 'held_out' END"
+
+
+def _two_splits(people: DataFrame) -> DataFrame:
+    """Two splits of four shards by the id's last digits."""
+    split = F.when(F.col("subject_id") % 10 < 8, "train").otherwise("held_out")
+    return people.select("subject_id", split.alias("split"), F.concat_ws("/", split, (F.floor(F.col("subject_id") / 10) % 4).cast("string")).alias("shard"))
+
+
+@query(f"""
+SELECT split, shard, subject_id, code, time, numeric_value, source_block, row_number() OVER (PARTITION BY split, shard ORDER BY subject_id, time NULLS FIRST, nth, code, numeric_value NULLS FIRST) AS n
+FROM (SELECT *, {_SPLIT} AS split, CAST(subject_id // 10 % 4 AS INTEGER) AS shard FROM (SELECT DISTINCT subject_id, code, time, CAST(CAST(numeric_value AS FLOAT) AS DOUBLE) AS numeric_value, source_block FROM ({_ALL})) JOIN {_PLACES} USING (source_block))
+""")
+def cohort_as_written(spark, sf_dir):
+    """The cohort written to its folders and read back, with each row's number in the files of its shard."""
+    s, read = spec.from_dict(COHORT), _reader(spark, sf_dir)
+    path = files.scratch_path(spark, "cohort")
+    cohort.write_cohort(pipeline.cohort_of(pipeline.events_of(s, read), _two_splits(pipeline.subjects_of(s, read))), path)
+    rows = with_row_index(spark.read.parquet(path), "row")
+    first = F.broadcast(rows.groupBy("split", "shard").agg(F.min("row").alias("first")))  # one row a shard
+    placed = rows.join(first, ["split", "shard"])
+    return placed.select("split", "shard", "subject_id", "code", "time", F.col("numeric_value").cast("double").alias("numeric_value"), "source_block", (F.col("row") - F.col("first") + 1).alias("n"))
+
+
+@query("""SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey, CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS BIGINT) AS row FROM nation""")
+def csv_scan(spark, sf_dir):
+    """A table written as a folder of gzipped CSV files, found by its name, read with types and row numbers."""
+    root = files.scratch_path(spark, "csv")
+    rows = _reader(spark, sf_dir)("nation").select("n_nationkey", "n_name", "n_regionkey")
+    rows.repartitionByRange(3, "n_nationkey").sortWithinPartitions("n_nationkey").write.csv(f"{root}/nation", header=True, compression="gzip")
+    return read_table(spark, find_data(spark, root, ["nation"])["nation"], row_index="row")
+
+
+@query("""SELECT r_regionkey, r_name FROM region""")
+def literal_path_scan(spark, sf_dir):
+    """A file whose name would be a pattern."""
+    root = files.scratch_path(spark, "chunks")
+    _reader(spark, sf_dir)("region").select("r_regionkey", "r_name").coalesce(1).write.parquet(f"{root}/[0-10).parquet")
+    return read_table(spark, find_data(spark, root, ["[0-10)"])["[0-10)"])
+
+
+@query("""SELECT n_name AS code, nullif(n_regionkey, 1) AS description FROM nation WHERE n_regionkey <> 1""")
+def metadata_files(spark, sf_dir):
+    """Two metadata files of one prefix; their rows stay text, and rows whose outputs are all null go."""
+    root = files.scratch_path(spark, "metadata")
+    rows = _reader(spark, sf_dir)("nation").select("n_name", F.when(F.col("n_regionkey") != 1, F.col("n_regionkey")).alias("region"))
+    for i in range(2):
+        rows.where(F.col("n_name") < "J" if i else F.col("n_name") >= "J").write.csv(f"{root}/deep/names_{i}.csv", header=True)
+    meta = read_metadata(spark, find_metadata(spark, root, "names"))
+    block = spec.event("nation", "e", {"code": "$n_name", "time": None, "_metadata": {"names": {"description": "region"}}})
+    return codes.code_metadata(meta, block, block.metadata["names"]).select("code", F.col("description").cast("int").alias("description"))
+
+
+@query("""SELECT DISTINCT c_custkey AS subject_id, 'KNOWN' AS code, TIMESTAMP '2020-01-02 00:00:00' AS time FROM customer""")
+def constant_time(spark, sf_dir):
+    """A time without columns keeps all rows if it has a value, none if it has not."""
+    cfg = {"subject_id_col": "c_custkey", "a": {"code": "KNOWN", "time": '"2020-01-02 00:00:00"::"%Y-%m-%d %H:%M:%S"'}, "b": {"code": "NEVER", "time": '"x" as ?"%Y-%m-%d %H:%M:%S"'}}
+    return _events(spark, sf_dir, "customer", cfg).drop("source_block")
+
+
+@query("""SELECT DISTINCT o_custkey AS subject_id FROM orders WHERE o_orderstatus <> 'F' AND o_orderstatus <> 'P'""")
+def subjects_without_nulls(spark, sf_dir):
+    """Null and NaN ids are no subjects."""
+    rows = _reader(spark, sf_dir)("orders")
+    odd = F.when(F.col("o_orderstatus") == "P", F.lit(float("nan"))).when(F.col("o_orderstatus") != "F", F.col("o_custkey").cast("double"))
+    return subjects.universe([rows.select(odd.alias("subject_id"))])
+
+
+@query("""SELECT r_regionkey AS k, r_name AS name FROM region UNION ALL SELECT n_nationkey, n_name FROM nation""")
+def strict_union(spark, sf_dir):
+    read = _reader(spark, sf_dir)
+    return vertical_union([read("region").select(F.col("r_regionkey").alias("k"), F.col("r_name").alias("name")), read("nation").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("k"))])
+
+
+@query("""SELECT 'N//' || c_nationkey AS code, 'f"N//{$c_nationkey}"' AS code_template FROM customer GROUP BY c_nationkey""")
+def codes_first_template(spark, sf_dir):
+    """Two blocks give the same codes: the first block's template stays, as one value."""
+    first = {"code": 'f"N//{$c_nationkey}"', "time": None, "_metadata": {"nation": {"description": "n_name"}}}
+    second = {**first, "code": "f'N//{$c_nationkey}'"}
+    meta = lambda name: _reader(spark, sf_dir)(name).withColumnRenamed("n_nationkey", "c_nationkey")
+    return _codes(spark, sf_dir, {"customer": {"subject_id_col": "c_custkey", "a": first, "b": second}}, meta).select("code", "code_template")
+
+
 @query(f"""SELECT DISTINCT subject_id, code, time, CAST(CAST(numeric_value AS FLOAT) AS DOUBLE) AS numeric_value, source_block, CASE WHEN subject_id % 10 < 8 THEN 'train' ELSE 'held_out' END AS split FROM ({_ALL})""")
 def full_cohort(spark, sf_dir):
     s, read = spec.from_dict(COHORT), _reader(spark, sf_dir)
-    people = pipeline.subjects_of(s, read)
-    split = F.when(F.col("subject_id") % 10 < 8, "train").otherwise("held_out")
-    shards = people.select("subject_id", split.alias("split"), F.concat_ws("/", split, F.floor(F.pmod(F.xxhash64("subject_id"), F.lit(4))).cast("string")).alias("shard"))
-    made = pipeline.cohort_of(pipeline.events_of(s, read), shards)
+    made = pipeline.cohort_of(pipeline.events_of(s, read), _two_splits(pipeline.subjects_of(s, read)))
     return made.select("subject_id", "code", "time", F.col("numeric_value").cast("double").alias("numeric_value"), "source_block", "split")

@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 import datetime
+import itertools
 import json
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from pathlib import Path
 
+import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import align, codes, cohort, subjects
 from ..operators.events import subject_rows, table_events
 from ..operators.union import diagonal_union
-from ..sources import readers
-from .spec import Spec, load, required_columns
+from ..sources import files, readers
+from ..sources.files import materialize
+from .spec import Spec, from_dict, required_columns
+
+log = logging.getLogger(__name__)
 
 
 @dataclass
@@ -32,8 +37,10 @@ class Options:
     description_separator: str = "\n"
     code_modifiers: list[str] | None = None
     do_overwrite: bool = False
-    #: Populations above this are split by hashes on the cluster instead of a draw on the driver.
-    max_drawn_subjects: int = 20_000_000
+    #: draw: numbers come from a seeded NumPy generator on the driver; hash: subjects in order of a seeded hash, for any number of them.
+    split_by: str = "draw"
+    #: More subjects than a draw may have are an error.
+    max_drawn_subjects: int = subjects.MOST_DRAWN
     dataset_name: str = "dataset"
     dataset_version: str = "1"
 
@@ -69,15 +76,15 @@ def subjects_of(spec: Spec, read: Reader) -> DataFrame:
     return subjects.universe([subject_rows(read(t.name), t, read(t.join.table) if t.join else None) for t in spec.tables.values()])
 
 
-def shards_of(spark: SparkSession, people: DataFrame, options: Options) -> tuple[DataFrame, dict[str, list[int]] | None]:
-    """(subject_id, split, shard) and the shard map; None for the map if the population is too large for one."""
-    external = json.loads(Path(options.external_splits_json_fp).read_text()) if options.external_splits_json_fp else None
-    n = people.count()
-    if n > options.max_drawn_subjects and not external:
-        return subjects.hashed_shards(people, n, options.n_subjects_per_shard, {k: v for k, v in options.split_fracs.items() if v}, options.seed), None
-    ids = [r["subject_id"] for r in people.collect()]
-    drawn = subjects.assign_shards(ids, options.n_subjects_per_shard, external, options.split_fracs, options.seed)
-    return subjects.shard_frame(spark, drawn), drawn
+def shards_of(spark: SparkSession, people: DataFrame, options: Options, external: DataFrame | None = None) -> DataFrame:
+    """(subject_id, split, shard, place) by the way that the options name."""
+    if external is None and options.external_splits_json_fp:
+        external = subjects.external_splits(spark, options.external_splits_json_fp)
+    if options.split_by == "hash":
+        return subjects.hashed_shards(people, options.n_subjects_per_shard, external, options.split_fracs, options.seed)
+    if options.split_by != "draw":
+        raise ValueError(f"split_by must be 'draw' or 'hash', not {options.split_by!r}")
+    return subjects.drawn_shards(people, options.n_subjects_per_shard, external, options.split_fracs, options.seed, options.max_drawn_subjects)
 
 
 def cohort_of(events: DataFrame, shards: DataFrame, options: Options | None = None) -> DataFrame:
@@ -88,12 +95,13 @@ def cohort_of(events: DataFrame, shards: DataFrame, options: Options | None = No
 
 
 def codes_of(spec: Spec, read_metadata: Reader, events: DataFrame, options: Options | None = None, existing: DataFrame | None = None) -> DataFrame | None:
-    """The code dictionary; None if no block has metadata."""
+    """The code dictionary; None if no block has metadata. The events are read once, for their distinct codes and components."""
     options = options or Options()
     blocks = [e for e in spec.events if e.metadata]
     if not blocks:
         return existing
-    observed, parts = events.select("code").distinct(), codes.component_map(events)
+    seen = materialize(events.select("code", *[c for c in ("code_components",) if c in events.columns]).distinct(), "observed")
+    observed, parts = seen.select("code").distinct(), codes.component_map(seen)
     frames = []
     for e in blocks:
         for table, cfg in e.metadata.items():
@@ -109,57 +117,122 @@ def codes_of(spec: Spec, read_metadata: Reader, events: DataFrame, options: Opti
     return new if existing is None else codes.merge_existing(existing, new, ["code", *(options.code_modifiers or [])])
 
 
-def run(spark: SparkSession, spec_path: str, input_dir: str, output_dir: str, options: Options | None = None) -> dict[str, str]:
-    """Read the raw files, write ``data``, ``metadata/codes.parquet``, ``metadata/subject_splits.parquet``, ``metadata/dataset.json``
-    and the shard map below ``output_dir``; FileExistsError if they are there and may not be overwritten.
-    """
-    options = options or Options()
-    spec = load(spec_path)
-    out = Path(output_dir)
-    if (out / "metadata" / "dataset.json").exists() and not options.do_overwrite:
-        raise FileExistsError(f"{out} holds a dataset; set do_overwrite to replace it")
-    need = required_columns(spec)
-    files = readers.find_data(input_dir, list(need))
-    if missing := sorted(set(need) - set(files)):
-        raise FileNotFoundError(f"no data files of {', '.join(missing)} below {input_dir}")
-    raw = {name: readers.require(readers.read_table(spark, path), need[name], name).select(*[F.col(f"`{c}`") for c in need[name]]) for name, path in files.items()}
-    mode = "overwrite" if options.do_overwrite else "errorifexists"
-    shards, drawn = shards_of(spark, subjects_of(spec, raw.__getitem__), options)
-    events = events_of(spec, raw.__getitem__, options)
-    made = cohort_of(events, shards, options)
-    cohort.write_cohort(made, str(out / "data"), mode)
-    meta_dir = out / "metadata"
-    meta_dir.mkdir(parents=True, exist_ok=True)
-    found = codes_of(spec, lambda name: readers.read_metadata(spark, readers.find_metadata(input_dir, name)), events, options)
-    found = spark.createDataFrame([], "code string") if found is None else found
-    finish_metadata(align.align_codes(found), shards, meta_dir, mode, options)
-    if drawn is not None:
-        (meta_dir / ".shards.json").write_text(json.dumps(drawn))
-    (meta_dir / "spec.yaml").write_text(Path(spec_path).read_text())
-    return {"data": str(out / "data"), "metadata": str(meta_dir)}
-
-
-def finish_metadata(code_rows: DataFrame, shards: DataFrame, meta_dir: Path, mode: str, options: Options) -> None:
-    """Codes, splits and the dataset's description; the folder must be named metadata."""
-    if Path(meta_dir).name != "metadata":
-        raise ValueError(f"the metadata folder must be named metadata, not {meta_dir}")
-    code_rows.coalesce(1).write.mode(mode).parquet(str(meta_dir / "codes.parquet"))
-    align.align(shards.select("subject_id", "split").distinct(), align.SPLITS).write.mode(mode).parquet(str(meta_dir / "subject_splits.parquet"))
-    about = {"dataset_name": options.dataset_name, "dataset_version": options.dataset_version, "etl_name": "chronoweave", "etl_version": "1", "created_at": datetime.datetime.now(datetime.UTC).isoformat()}
-    (Path(meta_dir) / "dataset.json").write_text(json.dumps(about, indent=2))
+@dataclass
+class Context:
+    """What stages share: where things are, and the tables made so far by name."""
+
+    spark: SparkSession
+    spec: Spec
+    spec_text: str
+    input_dir: str
+    output_dir: str
+    options: Options
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+
+    @property
+    def data(self) -> str:
+        return f"{self.output_dir}/data"
+
+    @property
+    def metadata(self) -> str:
+        return f"{self.output_dir}/metadata"
+
+    @property
+    def mode(self) -> str:
+        return "overwrite" if self.options.do_overwrite else "errorifexists"
 
+    def raw(self, name: str) -> DataFrame:
+        return self.tables[f"raw/{name}"]
 
-#: Stages by name, for callers that add their own: each takes and returns a context of named DataFrames.
-STAGES: dict[str, Callable[[dict], dict]] = {}
 
+Stage = Callable[[Context], None]
+#: Stages by name, in their usual order; callers may register more.
+STAGES: dict[str, Stage] = {}
 
-def stage(name: str) -> Callable[[Callable[[dict], dict]], Callable[[dict], dict]]:
-    """Register a stage: a function from context to context."""
 
-    def add(f: Callable[[dict], dict]) -> Callable[[dict], dict]:
+def stage(name: str) -> Callable[[Stage], Stage]:
+    """Register a stage: a function that reads and adds tables of a context, or writes them."""
+
+    def add(f: Stage) -> Stage:
         if name in STAGES:
             raise ValueError(f"stage {name} is registered already")
         STAGES[name] = f
         return f
 
     return add
+
+
+@stage("raw_tables")
+def raw_tables(c: Context) -> None:
+    """Find and check the raw tables; only needed columns go on. CSV tables are written once as Parquet, typed."""
+    need = required_columns(c.spec)
+    found = readers.find_data(c.spark, c.input_dir, list(need))
+    if missing := sorted(set(need) - set(found)):
+        raise FileNotFoundError(f"no data files of {', '.join(missing)} below {c.input_dir}")
+    for name, path in found.items():
+        df = readers.read_table(c.spark, path, typed=False)
+        df = readers.require(df, need[name], name).select(*[F.col(f"`{x}`") for x in need[name]])
+        c.tables[f"raw/{name}"] = materialize(readers.promote(df), "raw") if readers.is_text(c.spark, path) else df
+
+
+@stage("subjects")
+def split_subjects(c: Context) -> None:
+    """Assign all subjects to splits and shards; what splits share is reported."""
+    shards = materialize(shards_of(c.spark, subjects_of(c.spec, c.raw), c.options), "shards")
+    for r in subjects.overlaps(shards).collect() if c.options.external_splits_json_fp else []:  # one row a pair of splits
+        log.warning("splits %s and %s share %d subjects", r["a"], r["b"], r["n"])
+    c.tables["shards"] = shards
+
+
+@stage("cohort")
+def write_events(c: Context) -> None:
+    """All events, routed, distinct, in order; written."""
+    made = cohort_of(events_of(c.spec, c.raw, c.options), c.tables["shards"].drop("place"), c.options)
+    cohort.write_cohort(made, c.data, c.mode)
+    c.tables["events"] = c.spark.read.parquet(c.data)
+
+
+@stage("codes")
+def describe_codes(c: Context) -> None:
+    """The code dictionary, from the events as written."""
+    found = codes_of(c.spec, lambda name: readers.read_metadata(c.spark, readers.find_metadata(c.spark, c.input_dir, name)), c.tables["events"], c.options)
+    c.tables["codes"] = align.align_codes(c.spark.createDataFrame([], "code string") if found is None else found)
+
+
+@stage("metadata")
+def write_metadata(c: Context) -> None:
+    """Codes, splits, description, shard map and the specification as it was."""
+    shards = c.tables["shards"]
+    finish_metadata(c.tables["codes"], shards, c.metadata, c.mode, c.options)
+    if c.options.split_by == "draw":
+        # one row a shard, of at most n_subjects_per_shard ids
+        lists = shards.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("place", "subject_id"))).alias("m")).select(F.to_json(F.create_map("shard", "m.subject_id")).alias("j")).orderBy("j")
+        inside = (("," if i else "") + r["j"][1:-1] for i, r in enumerate(lists.toLocalIterator()))
+        files.write_text(c.spark, f"{c.metadata}/.shards.json", itertools.chain(["{"], inside, ["}"]))
+    files.write_text(c.spark, f"{c.metadata}/spec.yaml", c.spec_text)
+
+
+def run(spark: SparkSession, spec_path: str, input_dir: str, output_dir: str, options: Options | None = None, stages: list[str] | None = None) -> dict[str, str]:
+    """Read the raw files, write ``data``, ``metadata/codes.parquet``, ``metadata/subject_splits.parquet``, ``metadata/dataset.json``
+    and the shard map below ``output_dir``; FileExistsError if any of them is there and may not be overwritten. All paths may lie on
+    any storage that Spark reaches. ``stages``: names of registered stages, instead of all in order.
+    """
+    options = options or Options()
+    text = files.read_text(spark, spec_path)
+    c = Context(spark, from_dict(yaml.safe_load(text)), text, str(input_dir), str(output_dir), options)
+    outputs = [c.data, *[f"{c.metadata}/{n}" for n in ("codes.parquet", "subject_splits.parquet", "dataset.json", ".shards.json", "spec.yaml")]]
+    if not options.do_overwrite and (there := [o for o in outputs if files.exists(spark, o)]):
+        raise FileExistsError(f"{', '.join(there)} exist; set do_overwrite to replace them")
+    for name in stages or list(STAGES):
+        STAGES[name](c)
+    return {"data": c.data, "metadata": c.metadata}
+
+
+def finish_metadata(code_rows: DataFrame, shards: DataFrame, meta_dir, mode: str, options: Options) -> None:
+    """Codes, splits and the dataset's description; the folder must be named metadata."""
+    if str(meta_dir).rstrip("/").rpartition("/")[2] != "metadata":
+        raise ValueError(f"the metadata folder must be named metadata, not {meta_dir}")
+    code_rows.coalesce(1).write.mode(mode).parquet(f"{meta_dir}/codes.parquet")
+    align.align(shards.select("subject_id", "split").distinct(), align.SPLITS).write.mode(mode).parquet(f"{meta_dir}/subject_splits.parquet")
+    about = {"dataset_name": options.dataset_name, "dataset_version": options.dataset_version, "etl_name": "chronoweave", "etl_version": "1", "created_at": datetime.datetime.now(datetime.UTC).isoformat()}
+    files.write_text(code_rows.sparkSession, f"{meta_dir}/dataset.json", json.dumps(about, indent=2))

@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from pathlib import Path
-
-import yaml
 
 from ..functions.expr import Expr, parse
 
@@ -114,14 +111,6 @@ def from_dict(cfg: dict) -> Spec:
     return Spec(tables)
 
 
-def load(path: str | Path) -> Spec:
-    """The specification in a YAML file; FileNotFoundError if there is none."""
-    path = Path(path)
-    if not path.exists():
-        raise FileNotFoundError(f"no specification at {path}")
-    return from_dict(yaml.safe_load(path.read_text()))
-
-
 def required_columns(spec: Spec) -> dict[str, list[str]]:
     """Source columns of each raw table that the specification reads, for early checks; Catalyst prunes by itself.
 

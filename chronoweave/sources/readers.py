@@ -2,69 +2,112 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
-from pathlib import Path
+from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import files
+
 #: Suffixes of data files, the preferred first.
 DATA_SUFFIXES = (".parquet", ".par", ".csv", ".csv.gz")
 #: The same for metadata files.
 METADATA_SUFFIXES = (".parquet", ".csv.gz", ".csv")
 
 
-def suffix_of(path: Path) -> str:
-    return "".join(path.suffixes).lower()
+def suffix_of(path) -> str:
+    return "".join(PurePosixPath(str(path)).suffixes).lower()
+
 
+def _stem(name: str) -> str:
+    return name[: -len(suffix_of(name))] if suffix_of(name) else name
 
-def find_data(root: str | Path, wanted: list[str]) -> dict[str, Path]:
-    """The file of each wanted table below ``root``, keyed by its path without suffix. FileNotFoundError if there are none at all.
 
-    A table that is not there as ``name.suffix`` may be one file ``name*.suffix`` that belongs to no other wanted table.
+def find_data(spark: SparkSession, root, wanted: list[str]) -> dict[str, str]:
+    """The path of each wanted table below ``root``; FileNotFoundError if there are none at all.
+
+    A table is a file or folder ``name.suffix`` or, next best, a folder ``name`` of such files. Failing these it may be the one
+    ``name*.suffix`` that belongs to no other wanted table.
     """
-    root = Path(root)
-    files = [p for p in sorted(root.rglob("*")) if p.is_file() and suffix_of(p) in DATA_SUFFIXES]
-    found: dict[str, Path] = {}
-    for p in sorted(files, key=lambda p: DATA_SUFFIXES.index(suffix_of(p))):
-        stem = p.relative_to(root).as_posix()[: -len(suffix_of(p))]
-        found.setdefault(stem, p)
-    out = {w: found[w] for w in wanted if w in found}
+    listed: dict[str, list[tuple[str, bool]]] = {}
+    out = {}
     for w in wanted:
-        if w not in out:
-            near = [s for s in found if s.startswith(w) and not any(len(o) > len(w) and s.startswith(o) for o in wanted) and s not in wanted]
-            if len(near) == 1:
-                out[w] = found[near[0]]
+        above, _, name = w.rpartition("/")
+        folder = f"{root}/{above}" if above else str(root)
+        if folder not in listed:
+            listed[folder] = [c for c in files.children(spark, folder) if c[0][:1] not in "._"]
+        data = sorted((n for n, _ in listed[folder] if suffix_of(n) in DATA_SUFFIXES), key=lambda n: DATA_SUFFIXES.index(suffix_of(n)))
+        own = [n for n in data if _stem(n) == name]
+        parts = [n for n, is_folder in listed[folder] if is_folder and n == name and _part_suffix(spark, f"{folder}/{n}")]
+        others = {o.rpartition("/")[2] for o in wanted if o.rpartition("/")[0] == above} - {name}
+        near = {_stem(n): n for n in reversed(data) if n.startswith(name) and _stem(n) not in others and not any(len(o) > len(name) and n.startswith(o) for o in others)}
+        found = own or parts or (list(near.values()) if len(near) == 1 else [])
+        if found:
+            out[w] = f"{folder}/{found[0]}"
     if not out:
         raise FileNotFoundError(f"no data files of {', '.join(wanted)} below {root}")
     return out
 
 
-def find_metadata(root: str | Path, prefix: str) -> list[Path]:
-    """All files ``prefix*suffix`` below ``root`` of the first suffix that has any."""
+def _part_suffix(spark: SparkSession, folder: str) -> str | None:
+    """The preferred suffix of the data files in a folder."""
+    inside = {suffix_of(n) for n, _ in files.children(spark, folder) if n[:1] not in "._"}
+    return next((s for s in DATA_SUFFIXES if s in inside), None)
+
+
+def is_text(spark: SparkSession, path) -> bool:
+    """Whether a table lies in CSV files."""
+    return (suffix_of(path) or _part_suffix(spark, str(path)) or "").startswith(".csv")
+
+
+def find_metadata(spark: SparkSession, root, prefix: str) -> list[str]:
+    """All files (or folders) ``prefix*suffix`` at any depth below ``root``, of the first suffix that has any."""
+    inside = list(files.walk(spark, root, lambda name: suffix_of(name) in DATA_SUFFIXES))
     for suffix in METADATA_SUFFIXES:
-        if got := sorted(p for p in Path(root).rglob(f"{prefix}*{suffix}") if p.is_file()):
+        fits = re.compile(f"(?:.*/)?{re.escape(prefix)}[^/]*{re.escape(suffix)}")
+        if got := [f"{root}/{p}" for p in inside if fits.fullmatch(p)]:
             return got
     raise FileNotFoundError(f"no metadata files {prefix} below {root}")
 
 
-def read_table(spark: SparkSession, path: str | Path, typed: bool = True, partitions: int | None = None, multiline: bool = False) -> DataFrame:
-    """A table from a CSV, gzipped CSV or Parquet file.
+def read_table(spark: SparkSession, path, typed: bool = True, partitions: int | None = None, multiline: bool = False, row_index: str | None = None) -> DataFrame:
+    """A table from a CSV, gzipped CSV or Parquet file, or a folder of such files, on any storage. No character of the path is a wildcard.
 
     typed: give CSV columns the narrowest of bigint, double, boolean and string that holds all their values. A gzipped file
-    cannot be split: its rows are dealt out to ``partitions`` after reading.
+    cannot be split: its rows are dealt out to ``partitions`` after reading. row_index: name of an added column with row numbers.
     """
-    suffix = suffix_of(Path(path))
+    suffix, only = suffix_of(path), {}
+    if not suffix:
+        suffix = _part_suffix(spark, str(path)) or ""
+        only = {"pathGlobFilter": f"*{suffix}"}
     if suffix in (".parquet", ".par"):
-        return spark.read.parquet(str(path))
+        df = spark.read.options(**only).parquet(files.literal(path))
+        return with_row_index(df, row_index) if row_index else df
     if suffix not in DATA_SUFFIXES:
         raise ValueError(f"unsupported file type {suffix!r}: {path}")
-    df = spark.read.csv(str(path), header=True, escape='"', multiLine=multiline)
+    df = spark.read.options(**only).csv(files.literal(path), header=True, escape='"', multiLine=multiline)
+    if row_index:
+        df = with_row_index(df, row_index)
     if suffix.endswith(".gz"):
         df = df.repartition(partitions or spark.sparkContext.defaultParallelism)
     return promote(df) if typed else df
 
 
+def with_row_index(df: DataFrame, name: str = "__row_idx__") -> DataFrame:
+    """A table read from files, with the number of each row from 0 on: files in order of path, rows in order of the file.
+
+    Rows are numbered within the piece of a file that a task reads; one small row a piece says how many came before.
+    """
+    at = [F.col("_metadata.file_path").alias("__file__"), F.col("_metadata.file_block_start").alias("__from__")]
+    rows = df.select("*", *at, F.monotonically_increasing_id().alias("__id__"))
+    pieces = df.select(*at, F.monotonically_increasing_id().alias("__id__")).groupBy("__file__", "__from__").agg(F.min("__id__").alias("__first__"), F.count("*").alias("__n__"))
+    before = F.coalesce(F.sum("__n__").over(Window.orderBy("__file__", "__from__").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = pieces.withColumn("__before__", before).drop("__n__")
+    return rows.join(starts, ["__file__", "__from__"]).select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__id__") - F.col("__first__") + F.col("__before__")).alias(name))
+
+
 def promote(df: DataFrame) -> DataFrame:
     """String columns in the narrowest type that fits every value, found in one pass."""
     kinds = ("bigint", "double", "boolean")
@@ -84,7 +127,7 @@ def promote(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast(kind_of[c]).alias(c) if c in kind_of else F.col(f"`{c}`") for c in df.columns])
 
 
-def read_metadata(spark: SparkSession, paths: list[Path]) -> DataFrame:
+def read_metadata(spark: SparkSession, paths: list) -> DataFrame:
     """Metadata rows of one or several files with the same columns; CSV stays text."""
     frames = [read_table(spark, p, typed=False) for p in paths]
     if any(set(f.columns) != set(frames[0].columns) for f in frames):
@@ -92,12 +135,17 @@ def read_metadata(spark: SparkSession, paths: list[Path]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+def ends_of(df: DataFrame, n: int = 10) -> tuple[list[Row], list[Row]]:
+    """The first and the last ``n`` rows, for messages."""
+    return df.head(n), df.tail(n)
+
+
 def require(df: DataFrame, columns: list[str], name: str) -> DataFrame:
     """``df``, checked to have columns and rows."""
     if missing := sorted(set(columns) - set(df.columns)):
         raise ValueError(f"table {name} lacks columns {', '.join(missing)}; it has {', '.join(df.columns)}")
     if df.isEmpty():
-        raise ValueError(f"table {name} has no rows")
+        raise ValueError(f"table {name} has no rows, only the columns {', '.join(df.columns)}")
     return df
 
 

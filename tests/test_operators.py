@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,6 +77,46 @@ def test_shards_golden():
     assert subjects.split_of("taskA/held_out/0") == "taskA/held_out"
 
 
+def test_shards_on_dataframes_equal_those_of_lists(spark, tmp_path):
+    def as_lists(df):
+        out = {}
+        for r in sorted(df.collect(), key=lambda r: (r.shard, r.place)):
+            assert r.place == len(out.setdefault(r.shard, []))
+            out[r.shard].append(r.subject_id)
+        return out
+
+    big = [7 * i - 2**62 for i in range(50)] + [2**62 + i for i in range(7)]  # further apart than a long holds
+    cases = [(list(range(1, 11)), 3, None), (big, 4, None), (list(range(1, 11)), 3, {"taskA/held_out": [8, 9, 10, 4], "b": [10, 8, 99]}), ([1, 2], 3, {"only": [2, 1]})]
+    for ids, per, external in cases:
+        people = spark.createDataFrame([(i,) for i in reversed(ids)], "subject_id bigint")
+        lists = None
+        if external:
+            for name in ("splits.json", ".shards.json"):
+                (tmp_path / name).write_text(json.dumps(external))
+                lists = subjects.external_splits(spark, tmp_path / name)
+                assert sorted(map(tuple, lists.collect())) == sorted((k, n, i, v) for n, (k, own) in enumerate(external.items()) for i, v in enumerate(own))
+        assert as_lists(subjects.drawn_shards(people, per, lists)) == subjects.assign_shards(ids, per, external)
+        hashed = as_lists(subjects.hashed_shards(people, per, lists))
+        drawn = subjects.assign_shards(ids, per, external)
+        free = set(ids) - {i for v in (external or {}).values() for i in v}
+        assert {i for k, v in hashed.items() if subjects.split_of(k) in subjects.DEFAULT_SHARES for i in v} == free
+        assert sorted(len(v) for v in hashed.values()) == sorted(len(v) for v in drawn.values())
+    assert subjects.numbered(people.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="split_by"):
+        subjects.drawn_shards(people, most=1)
+
+
+def test_one_scan_for_all_blocks_of_a_table(spark, tmp_path):
+    for name in ("people", "stays"):
+        spark.range(5).selectExpr("id AS pid", "id AS stay", "'a' AS x", "'2020-01-01' AS d").write.parquet(str(tmp_path / name))
+    cfg = {"subject_id_col": "pid", "people": {"join": {"input_prefix": "stays", "left_on": "stay", "right_on": "stay", "columns_from_right": ["x"]}, "a": {"code": "$x", "time": None}, "b": {"code": 'f"{$x}//{$d}"', "time": '$d::"%Y-%m-%d"'}, "c": {"code": "C", "time": '$d::"%Y-%m-%d"', "numeric_value": "$stay"}}}
+    read = lambda name: spark.read.parquet(str(tmp_path / name))
+    got = table_events(read("people"), spec.from_dict(cfg).tables["people"], read("stays"), distinct=False)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and got.count() == 15
+    assert {(r.code, r.code_components, r.numeric_value) for r in got.where("subject_id = 3").collect()} == {("a", (None, "a"), None), ("a//2020-01-01", ("2020-01-01", "a"), None), ("C", None, 3)}
+
+
 def test_universe_drops_null_and_nan(spark):
     a = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "subject_id double")
     b = spark.createDataFrame([(1,), (2,)], "subject_id int")
@@ -95,7 +136,7 @@ def test_distinct_and_order(spark):
 def test_one_shuffle_writes_the_cohort(spark):
     rows = spark.range(100).select(F.col("id").alias("subject_id"), F.lit(None).cast("timestamp_ntz").alias("time"), F.lit("c").alias("code"), F.concat(F.lit("s/"), (F.col("id") % 3).cast("string")).alias("shard"), F.lit("s").alias("split"))
     plan = cohort.ordered(rows)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in plan
 
 
 def test_align(spark):
@@ -117,7 +158,7 @@ def test_codes_reduce_shapes(spark):
 def test_metadata_errors(spark):
     meta = spark.createDataFrame([("x", "d")], "name string, descr string")
     e = block({"code": 'f"{$name}"', "time": None})
-    with pytest.raises(ValueError, match="_match_on"):
+    with pytest.raises(KeyError, match="_match_on"):
         codes.code_metadata(meta, e, {"_match_on": "other", "description": "descr"})
     with pytest.raises(KeyError, match="lacks columns"):
         codes.code_metadata(meta, e, {"description": "nope"})

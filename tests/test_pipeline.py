@@ -63,9 +63,19 @@ def test_end_to_end(spark, inputs):
     pipeline.run(spark, str(inputs / "spec.yaml"), str(inputs / "raw"), str(inputs / "out"), options)
 
 
+def test_command_line(spark, inputs, capsys):
+    from chronoweave.__main__ import main
+
+    main([str(inputs / "spec.yaml"), str(inputs / "raw"), str(inputs / "out"), "n_subjects_per_shard=3", "split_fracs={train: 0.8, held_out: 0.2}"])
+    assert "metadata" in capsys.readouterr().out
+    assert sorted(json.loads((inputs / "out/metadata/.shards.json").read_text())) == ["held_out/0", "train/0", "train/1", "train/2"]
+    with pytest.raises(SystemExit):
+        main(["spec.yaml"])
+
+
 def test_missing_inputs(spark, inputs):
     with pytest.raises(FileNotFoundError):
-        pipeline.load(inputs / "nothing.yaml")
+        pipeline.run(spark, str(inputs / "nothing.yaml"), str(inputs / "raw"), str(inputs / "out2"))
     (inputs / "raw/meds.csv").unlink()
     with pytest.raises(FileNotFoundError, match="meds"):
         pipeline.run(spark, str(inputs / "spec.yaml"), str(inputs / "raw"), str(inputs / "out2"))
@@ -76,12 +86,22 @@ def test_metadata_folder_name(spark, tmp_path):
         pipeline.finish_metadata(spark.createDataFrame([], "code string"), spark.createDataFrame([], "subject_id long, split string"), tmp_path / "other", "overwrite", pipeline.Options())
 
 
-def test_stage_registry():
-    @pipeline.stage("test-only")
-    def add(context):
-        return context | {"seen": True}
-
-    assert pipeline.STAGES.pop("test-only")({}) == {"seen": True}
+def test_stages_of_ones_own(spark, inputs):
+    @pipeline.stage("count-subjects")
+    def count(context):
+        context.tables["n"] = context.tables["shards"].agg({"subject_id": "count"})
+        seen.append(context.tables["n"].first()[0])
+
+    seen = []
+    try:
+        pipeline.run(spark, f"file://{inputs}/spec.yaml", f"file://{inputs}/raw", f"file://{inputs}/out", pipeline.Options(split_by="hash"), ["raw_tables", "subjects", "count-subjects", "cohort"])
+        with pytest.raises(ValueError, match="registered"):
+            pipeline.stage("count-subjects")(count)
+    finally:
+        del pipeline.STAGES["count-subjects"]
+    assert seen == [10] and (inputs / "out/data").exists() and not (inputs / "out/metadata").exists()
+    with pytest.raises(FileExistsError):
+        pipeline.run(spark, f"{inputs}/spec.yaml", f"{inputs}/raw", f"{inputs}/out")
 
 
 def test_stream(spark, tmp_path):

@@ -5,21 +5,21 @@ import pytest
 from chronoweave.sources import readers
 
 
-def test_discovery_prefers_parquet_and_falls_back_to_one_prefix(tmp_path):
+def test_discovery_prefers_parquet_and_falls_back_to_one_prefix(spark, tmp_path):
     (tmp_path / "hosp").mkdir()
     for name in ("a.csv", "a.parquet", "b.csv.gz", "hosp/c.csv", "d_0.csv", "e_0.csv", "e_1.csv", "a.b.csv", "notes.txt"):
         (tmp_path / name).write_text("x")
-    got = readers.find_data(tmp_path, ["a", "b", "hosp/c", "d", "e"])
-    assert {k: v.name for k, v in got.items()} == {"a": "a.parquet", "b": "b.csv.gz", "hosp/c": "c.csv", "d": "d_0.csv"}
+    got = readers.find_data(spark, tmp_path, ["a", "b", "hosp/c", "d", "e"])
+    assert {k: v.rpartition("/")[2] for k, v in got.items()} == {"a": "a.parquet", "b": "b.csv.gz", "hosp/c": "c.csv", "d": "d_0.csv"}
     with pytest.raises(FileNotFoundError):
-        readers.find_data(tmp_path, ["zzz"])
+        readers.find_data(spark, tmp_path, ["zzz"])
 
 
-def test_metadata_discovery(tmp_path):
+def test_metadata_discovery(spark, tmp_path):
     for name in ("lab.csv", "labs_x.csv", "other.csv.gz", "other.csv"):
         (tmp_path / name).write_text("x")
-    assert [p.name for p in readers.find_metadata(tmp_path, "lab")] == ["lab.csv", "labs_x.csv"]
-    assert [p.name for p in readers.find_metadata(tmp_path, "other")] == ["other.csv.gz"]
+    assert [p.rpartition("/")[2] for p in readers.find_metadata(spark, tmp_path, "lab")] == ["lab.csv", "labs_x.csv"]
+    assert [p.rpartition("/")[2] for p in readers.find_metadata(spark, tmp_path, "other")] == ["other.csv.gz"]
 
 
 def test_csv_types_and_gzip(spark, tmp_path):
@@ -54,3 +54,33 @@ def test_metadata_files_must_agree(spark, tmp_path):
     assert sorted((r.a, r.b) for r in two.collect()) == [("1", "2"), ("4", "3")]
     with pytest.raises(ValueError, match="differ"):
         readers.read_metadata(spark, [tmp_path / "m_0.csv", tmp_path / "m_2.csv"])
+
+
+def test_tables_in_folders_and_literal_names(spark, tmp_path):
+    rows = spark.range(20).selectExpr("id AS k", "cast(id % 3 AS string) AS s")
+    rows.repartition(3).write.parquet(str(tmp_path / "labs.parquet"))
+    rows.repartition(2).write.csv(str(tmp_path / "hosp" / "vitals"), header=True)
+    rows.coalesce(1).write.parquet(str(tmp_path / "[0-10).parquet"))
+    (tmp_path / "hosp" / "vitals" / "notes.txt").write_text("x")
+    for root in (str(tmp_path), f"file://{tmp_path}"):
+        got = readers.find_data(spark, root, ["labs", "hosp/vitals", "[0-10)"])
+        assert sorted(got) == ["[0-10)", "hosp/vitals", "labs"]
+        for path in got.values():
+            df = readers.read_table(spark, path)
+            assert df.count() == 20 and dict(df.dtypes)["k"] == "bigint"
+    with pytest.raises(ValueError, match="unsupported"):
+        readers.read_table(spark, tmp_path / "hosp")
+
+
+def test_row_numbers(spark, tmp_path):
+    spark.range(1000).repartitionByRange(4, "id").sortWithinPartitions("id").write.csv(str(tmp_path / "t"), header=True)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        got = readers.read_table(spark, tmp_path / "t", row_index="n").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(got) == 1000 and all(r.id == r.n for r in got)
+    assert sorted(r.id for r in readers.row_range(readers.read_table(spark, tmp_path / "t", row_index="n"), "n", 10, 20).collect()) == list(range(10, 20))
+    first, last = readers.ends_of(spark.range(30), 2)
+    assert [r.id for r in first + last] == [0, 1, 28, 29]
