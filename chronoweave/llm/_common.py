@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that a task turns into NumPy arrays at once.
@@ -35,7 +36,44 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def written(df: DataFrame, tag: str) -> tuple[DataFrame, int]:
+    """``materialize``, and the number of rows, which the write itself counts."""
+    seen = Observation()
+    table = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), tag)
+    return table, seen.get.get("n", 0)
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for table in tables:
+        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._written_to)
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fitted(sample: DataFrame, fit: Callable[[pa.Table], object]):
+    """What ``fit`` makes of all rows of a bounded sample, computed in one task; the driver gets the result alone. None without rows."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        return pa.table({"model": pa.array([pickle.dumps(fit(rows), 5)], pa.binary())})
+
+    got = sample.groupBy().applyInArrow(run, "model binary").collect()
+    return pickle.loads(got[0]["model"]) if got else None
+
+
+def middle(text: Column, most: int) -> Column:
+    """The text, or the ``most`` characters in the middle of a longer one."""
+    size = F.length(text)
+    return F.when(size <= most, text).otherwise(F.substring(text, F.floor((size - most) / 2).cast("int") + 1, F.lit(most)))
+
+
+def unit(h: Column) -> Column:
+    """A 64-bit hash as a number from 0 to 1."""
+    return (h + 2.0**63) / 2.0**64
 
 
 def fresh(name: str, columns: list[str]) -> str:

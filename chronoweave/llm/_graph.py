@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialize
+from ._common import materialize, release
 
 
 def components(edges: DataFrame, src: str, dst: str, most_rounds: int = 60) -> DataFrame:
@@ -26,7 +26,8 @@ def components(edges: DataFrame, src: str, dst: str, most_rounds: int = 60) -> D
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
+        before, e = e, materialize(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
+        release(before)
     else:
         raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

@@ -89,6 +89,8 @@ def counted(doc: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """The multiset of each of at most 2,048 texts: (text index, upper bits of the value, how often), sorted."""
     if not len(values):
         return doc, values, np.zeros(0, np.int64)
+    if doc[-1] >> (64 - VALUE_BITS):
+        raise ValueError("too many texts at once")
     key = np.sort((doc.astype(np.uint64) << np.uint64(VALUE_BITS)) | (values >> np.uint64(64 - VALUE_BITS)))
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]

@@ -1,16 +1,16 @@
 """Language identification by interpolated Kneser-Ney character models, one per language.
 
 A text becomes a string of symbols: lower-case letters, and one gap for every run of other characters. Each language has a
-Kneser-Ney model up to ``ORDER`` symbols, fitted on a bounded sample of labelled rows (``PER_LANGUAGE`` texts of at most
-``MAX_TRAIN_CHARS`` characters). The models live side by side in sorted arrays of n-gram hashes, one column a language, so one
+Kneser-Ney model up to ``ORDER`` symbols, fitted on a bounded sample of labelled rows (``PER_LANGUAGE`` different texts, of longer
+ones the ``MAX_TRAIN_CHARS`` characters in the middle). The models live side by side in sorted arrays of n-gram hashes, one column a language, so one
 binary search serves all. A text goes to the language with the lowest cross-entropy per symbol. It is rejected when that
 entropy is above a limit for the language, calibrated on sample texts that the fit holds back: halfway from the upper end of
 the language's own entropies to the entropies that its model gives to texts of the other languages, plus an allowance for
 short texts, whose mean varies more.
 
 Nulls, ties: a null text or one without a letter is ``und`` with score 0, and rejected. Equal entropies go to the first
-language in order of name. With no labelled row, every text is ``und``. Repeated rows are judged alike; extra columns are
-ignored. Texts of any length are worked off in pieces of bounded size.
+language in order of name. With no labelled row, every text is ``und``. More than ``MAX_LANGUAGES`` labels are an error, none is
+left out. Repeated rows are judged alike, and count once in the fit; extra columns are ignored. Texts of any length are worked off in pieces of bounded size.
 """
 
 from __future__ import annotations
@@ -21,17 +21,18 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _words
-from ._common import fresh
+from ._common import fitted, fresh, middle, unit
 
 ORDER = 4
-#: Documented bounds of the fitting sample: texts a language, characters a text, languages.
+#: Documented bounds of the fitting sample: texts a language, characters a text, texts in all, languages.
 PER_LANGUAGE = 400
-MAX_TRAIN_CHARS = 20_000
-MAX_LANGUAGES = 200
+MAX_TRAIN_CHARS = 8_000
+SAMPLE_TEXTS = 6_400
+MAX_LANGUAGES = 64
 OWN_QUANTILE = 0.99
 FOREIGN_QUANTILE = 0.05
 #: Nats added to the limit, divided by the root of the number of symbols.
@@ -283,21 +284,37 @@ def fit(samples: dict[str, list[str]], order: int = ORDER) -> Model:
     return model
 
 
-def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int = PER_LANGUAGE) -> dict[str, list[str]]:
-    """A bounded sample of texts by language, the same for the same rows: rows with the lowest hashes, by a rate from the counts."""
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (F.length(text_col) <= MAX_TRAIN_CHARS) & (F.length(text_col) > 0))
-    picked = rows.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("h"))
-    count = picked.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+def sample(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, languages: int = MAX_LANGUAGES) -> DataFrame:
+    """(lang, text, h): a bounded sample of different texts by language, the same however rows are ordered or repeated.
+
+    The texts with the lowest hashes, found by a rate from an approximate count. Of a longer text than ``MAX_TRAIN_CHARS`` its
+    middle is taken. ValueError with more than ``languages`` labels.
+    """
+    rows = docs.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0)).select(F.col(lang_col).cast("string").alias("lang"), middle(F.col(text_col).cast("string"), MAX_TRAIN_CHARS).alias("text"))
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    count = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).limit(languages + 1).collect()
+    if len(count) > languages:
+        raise ValueError(f"more than {languages} labels in {lang_col}; a model has a column for each, raise the bound if there are so many languages")
     if not count:
-        return {}
-    share = F.create_map(*[x for r in count for x in (F.lit(r["lang"]), F.lit(min(1.0, 1.2 * per_language / r["count"])))])
-    got = picked.where((F.col("h") + 2.0**63) / 2.0**64 < F.try_element_at(share, F.col("lang"))).select("lang", "text", "h").collect()
-    out: dict[str, list[str]] = {}
-    for r in sorted(got, key=lambda r: (r["lang"], r["h"], r["text"])):
-        own = out.setdefault(r["lang"], [])
-        if len(own) < per_language:
-            own.append(r["text"])
-    return out
+        return rows.limit(0)
+    most = max(1, min(per_language, SAMPLE_TEXTS // len(count)))
+    rate = F.create_map(*[x for r in count for x in (F.lit(r["lang"]), F.lit(min(1.0, 1.3 * most / max(1, r["n"]))))])
+    some = rows.where(unit(F.col("h")) <= F.try_element_at(rate, F.col("lang"))).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    return some.withColumn("nth", nth).where(F.col("nth") <= most).select("lang", "text", "h")
+
+
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **bounds) -> Model:
+    """A model from the labelled rows of ``docs``, fitted in one task on a bounded sample."""
+
+    def learn(rows: pa.Table) -> Model:
+        samples: dict[str, list[str]] = {}
+        rows = rows.sort_by([("lang", "ascending"), ("h", "ascending")])
+        for lang, text in zip(rows.column("lang").to_pylist(), rows.column("text").to_pylist()):
+            samples.setdefault(lang, []).append(text)
+        return fit(samples)
+
+    return fitted(sample(docs, text_col, lang_col, **bounds), learn) or fit({})
 
 
 def train_on(id_col: str = "doc_id") -> Column:
@@ -329,12 +346,12 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 def op6_language_id(spark, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the labelled rows that are not held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model = fit(sample(docs.where(train_on()), "doc_id", "text", "lang"))
+    model = train(docs.where(train_on()))
     return predict(docs.select("doc_id", "text"), model).select("doc_id", (~train_on()).alias("held_out"), "lang_pred", "score", "rejected")
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` whose language is found with certainty enough; all their columns."""
-    model = fit(sample(docs.where(train_on(id_col)), id_col, text_col, lang_col))
+    model = train(docs.where(train_on(id_col)), text_col, lang_col)
     out = predict(docs, model, text_col)
     return out.where(~F.col(out.columns[-1])).select(*docs.columns)

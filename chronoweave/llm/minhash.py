@@ -30,11 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _words
-from ._common import by_size, materialize, slices, utf8
+from ._common import by_size, fresh, materialize, release, slices, utf8, written
 from ._graph import components
 
 WIDTH = 5
@@ -46,6 +46,11 @@ BROADCAST_IDS = 500_000
 #: Members up to which a bucket gives its pairs; larger ones are compared in blocks of BLOCK members.
 SMALL_BUCKET = 8
 BLOCK = 256
+BLOCK_WORDS = 500_000
+#: Members that a hash deals into one lot, on average, before it is cut into blocks.
+LOT = 4096
+#: Pairs with the same first text that one task compares, on average.
+PART = 256
 
 _U = np.uint64
 
@@ -166,50 +171,65 @@ def similarity(a: str, b: str, width: int = WIDTH) -> float:
 
 
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float, width: int = WIDTH) -> DataFrame:
-    """The (a, b) pairs whose texts in ``texts`` (id, text) reach the threshold.
+    """The (a, b) of ``pairs`` (a, b, part) whose texts in ``texts`` (id, text) reach the threshold.
 
-    Rows with one ``a`` stand together, so its multiset is built once per run; a frequent ``a`` may be split over tasks.
+    Rows with one ``a`` and ``part`` stand together behind one row with the text of ``a``: that text moves once a part, not once
+    a pair, and the parts of a frequent ``a`` are different tasks' work.
     """
-    both = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+    text = texts.select(F.col("id").alias("of"), "text")
+    first = pairs.select("a", "part").distinct().withColumn("b", F.lit(None).cast("long")).join(text, F.col("a") == F.col("of")).select("a", "part", "b", "text")
+    rows = pairs.join(text, F.col("b") == F.col("of")).select("a", "part", "b", "text").unionByName(first)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, bag = None, None
+        bag = None
         for batch in batches:
-            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            a, b = batch.column(0), batch.column(2)
             hit = []
-            for i, (x, ta, tb) in enumerate(zip(a, batch.column(2), batch.column(3))):
-                if x != last:
-                    last, bag = x, _bag(ta.as_py(), width)
-                hit.append(_similarity(bag, _bag(tb.as_py(), width)) >= threshold)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]).filter(pa.array(hit, pa.bool_()))
+            for y, text in zip(b.to_pylist(), batch.column(3)):
+                own = _bag(text.as_py(), width)
+                if y is None:
+                    bag = own
+                hit.append(y is not None and _similarity(bag, own) >= threshold)
+            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
-    return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()).mapInArrow(run, "a long, b long")
+
+
+def _part(often: Column) -> Column:
+    """Which part of its bucket's pairs a pair belongs to: parts hold some PART pairs with the same ``a``."""
+    return F.pmod(F.xxhash64("b"), F.ceil(often / PART)).cast("int").alias("part")
 
 
 def _through_least(member: DataFrame) -> DataFrame:
-    """(a, b): every member (key, id) of a bucket with the bucket's smallest id."""
-    least = member.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("key", "a")
-    return member.join(least, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    """(a, b, part): every member (key, id) of a bucket with the bucket's smallest id."""
+    least = member.groupBy("key").agg(F.min("id").alias("a"), F.max("id").alias("z"), F.count("*").alias("n")).where("a < z").select("key", "a", "n")
+    pairs = member.join(least, "key").where("id <> a").groupBy("a", F.col("id").alias("b")).agg(F.max("n").alias("n"))
+    return pairs.select("a", "b", _part(F.col("n")))
 
 
 def _small_across(member: DataFrame) -> DataFrame:
-    """(a, b): members (key, id, comp) of one bucket in different components; meant for buckets of a bounded size."""
+    """(a, b, part): members (key, id, comp) of one bucket in different components; meant for buckets of a bounded size."""
     right = member.select("key", F.col("id").alias("b"), F.col("comp").alias("other"))
-    return member.join(right, "key").where("comp < other").select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+    pairs = member.join(right, "key").where("comp < other").select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
+    return pairs.select("a", "b", F.lit(0).alias("part"))
 
 
 def _block_tasks(member: DataFrame) -> DataFrame:
     """(task, side, id, comp): each bucket cut into blocks; a task is a pair of blocks that may hold different components.
 
-    A component with many members in the bucket has blocks of its own, the others share some by a hash.
+    A component with many members in the bucket has blocks of its own, the others share some. Members are dealt into lots by a
+    hash, and each lot is cut where the running sum of its members' weights passes a whole number: a block holds BLOCK texts and
+    BLOCK_WORDS words at most, and one text more.
     """
     size = member.groupBy("key", "comp").agg(F.count("*").alias("c"))
     strays = F.sum(F.when(F.col("c") * 2 < BLOCK, F.col("c")).otherwise(0)).over(Window.partitionBy("key"))
-    size = size.withColumn("pool", strays)
     own = F.col("c") * 2 >= BLOCK
-    alone = F.concat_ws(":", F.col("comp").cast("string"), F.pmod(F.xxhash64("id"), F.ceil(F.col("c") / BLOCK)).cast("string"))
-    shared = F.concat_ws(":", F.lit("*"), F.pmod(F.xxhash64("comp"), F.ceil(F.greatest(F.col("pool"), F.lit(1)) / BLOCK)).cast("string"))
-    placed = member.join(size, ["key", "comp"]).select("key", "id", "comp", F.when(own, alone).otherwise(shared).alias("blk"), F.when(own, F.col("comp")).alias("only"))
+    sized = size.select("key", "comp", own.alias("own"), F.ceil(F.greatest(F.when(own, F.col("c")).otherwise(strays), F.lit(1)) / LOT).alias("lots"))
+    dealt = member.join(sized, ["key", "comp"]).withColumns({"only": F.when(F.col("own"), F.col("comp")), "lot": F.pmod(F.xxhash64("id"), F.col("lots"))})
+    # what a member takes of a block
+    weight = F.greatest(F.lit(1.0 / BLOCK), F.col("n_words") / F.lit(float(BLOCK_WORDS)))
+    reach = F.sum(weight).over(Window.partitionBy("key", "only", "lot").orderBy("id"))
+    placed = dealt.withColumn("blk", F.concat_ws(":", F.coalesce(F.col("only").cast("string"), F.lit("*")), F.col("lot").cast("string"), F.ceil(reach - 1e-9).cast("string"))).select("key", "id", "comp", "blk", "only")
     blocks = placed.select("key", "blk", "only").distinct()
     other = blocks.select("key", F.col("blk").alias("blk2"), F.col("only").alias("only2"))
     pairs = blocks.join(other, "key").where("blk <= blk2 and not coalesce(only = only2, false)").select("key", "blk", "blk2", F.xxhash64("key", "blk", "blk2").alias("task"))
@@ -276,34 +296,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     class_id: smallest id with the same word sequence; component_id: smallest id reachable by links; kept: id = component_id.
     """
-    spark = docs.sparkSession
     prints = materialize(fingerprint(docs, id_col, text_col, width, bands, rows), "prints")
     usable = prints.where("n_words > 0 and id is not null")
-    classes = materialize(usable.groupBy("h1", "h2").agg(F.min("id").alias("class_id"), F.count("*").alias("copies"), F.min_by("bands", "id").alias("bands")), "classes")
-    member = classes.select(F.col("class_id").alias("id"), F.explode("bands").alias("key"))
+    classes = materialize(usable.groupBy("h1", "h2").agg(F.min("id").alias("class_id"), F.count("*").alias("copies"), F.max("n_words").alias("n_words"), F.min_by("bands", "id").alias("bands")), "classes")
+    member = classes.select(F.col("class_id").alias("id"), "n_words", F.explode("bands").alias("key"))
     # one text for each class name; a repeated id may name several classes, each with its own text
-    pairs = materialize(_through_least(member), "pairs")
-    links = _verified(pairs, _texts(docs, pairs, id_col, text_col), threshold, width)
-    comp = materialize(components(links, "a", "b"), "comp")
+    pairs, n_pairs = written(_through_least(member), "pairs")
+    texts = _texts(docs, pairs, id_col, text_col)
+    links = materialize(verify(pairs, texts, threshold, width), "links")
+    release(texts)
+    comp, n_comp = written(components(links, "a", "b"), "comp")
     # buckets that hold several components; of those with the same members one is enough
-    now = _with_components(member, comp)
+    now = _with_components(member, comp, n_comp)
     mixed = now.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bit_xor(F.xxhash64("id")).alias("x")).where("lo < hi")
-    mixed = materialize(mixed.groupBy("n", "lo", "hi", "x").agg(F.min("key").alias("key")).select("key", "n"), "mixed")
-    n_mixed = mixed.count()
+    mixed, n_mixed = written(mixed.groupBy("n", "lo", "hi", "x").agg(F.min("key").alias("key")).select("key", "n"), "mixed")
     if n_mixed:
         held = materialize(now.join(by_size(mixed, n_mixed, BROADCAST_IDS), "key"), "held")
         small, large = held.where(F.col("n") <= SMALL_BUCKET), held.where(F.col("n") > SMALL_BUCKET)
-        rest = materialize(_small_across(small).join(by_size(pairs, pairs.count(), BROADCAST_IDS), ["a", "b"], "left_anti"), "pairs")
+        rest = materialize(_small_across(small).join(by_size(pairs.select("a", "b"), n_pairs, BROADCAST_IDS), ["a", "b"], "left_anti"), "pairs")
         tasks = materialize(_block_tasks(large), "tasks")
         texts = _texts(docs, rest, id_col, text_col, tasks.select("id"))
         more = materialize(verify(rest, texts, threshold, width).unionByName(_links_in_blocks(tasks, texts, threshold, width)), "links")
-        comp = materialize(components(links.unionByName(more), "a", "b"), "comp")
+        release(texts, held, rest, tasks, comp)
+        comp, n_comp = written(components(links.unionByName(more), "a", "b"), "comp")
+        release(more)
     # only classes with copies or links say more than the row itself
-    named = _with_components(classes.select(F.col("class_id").alias("id"), "h1", "h2", "copies"), comp).where("copies > 1 or comp <> id")
-    named = materialize(named.select("h1", "h2", F.col("id").alias("class_id"), F.col("comp").alias("component_id")), "named")
+    named = _with_components(classes.select(F.col("class_id").alias("id"), "h1", "h2", "copies"), comp, n_comp).where("copies > 1 or comp <> id")
+    named, n_named = written(named.select("h1", "h2", F.col("id").alias("class_id"), F.col("comp").alias("component_id")), "named")
+    release(classes, pairs, links, mixed, comp)
     return (
         prints.select("id", "n_words", "h1", "h2")
-        .join(by_size(named, named.count(), BROADCAST_IDS), ["h1", "h2"], "left")
+        .join(by_size(named, n_named, BROADCAST_IDS), ["h1", "h2"], "left")
         .select(
             "id",
             "h1",
@@ -315,42 +338,41 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def _with_components(rows: DataFrame, comp: DataFrame) -> DataFrame:
-    """``rows`` (id, ...) with ``comp``: the id's component, or the id where it has no link."""
-    return rows.join(by_size(comp, comp.count(), BROADCAST_IDS), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
+def _with_components(rows: DataFrame, comp: DataFrame, n: int) -> DataFrame:
+    """``rows`` (id, ...) with ``comp``: the id's component among those of ``n`` ids, or the id where it has no link."""
+    return rows.join(by_size(comp, n, BROADCAST_IDS), "id", "left").withColumn("comp", F.coalesce("component", "id")).drop("component")
 
 
 def _texts(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, more: DataFrame | None = None) -> DataFrame:
     """(id, text) of the ids in ``pairs`` and ``more`` only, written once; the other texts are not moved."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    ids = materialize((ids if more is None else ids.unionByName(more)).distinct(), "ids")
+    ids, n = written((ids if more is None else ids.unionByName(more)).distinct(), "ids")
     all_texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return materialize(all_texts.join(by_size(ids, ids.count(), BROADCAST_IDS), "id"), "texts")
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float, width: int) -> DataFrame:
-    return materialize(verify(pairs, texts, threshold, width), "links")
+    texts = materialize(all_texts.join(by_size(ids, n, BROADCAST_IDS), "id"), "texts")
+    release(ids)
+    return texts
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """All columns of ``docs``, one row of each group of near-duplicates; repeated rows count as copies.
 
-    Rows with a null id, and texts without words, stay. Where one id has several texts, its rows go only if all are copies.
+    Rows with a null id, and texts without words, stay. Where one id has several texts, its rows go only if all are copies; of
+    its rows with the same text the first stays, by the row written as JSON.
     """
     found = materialize(near_duplicates(docs, id_col, text_col, **options), "found")
-    gone = materialize(found.groupBy("id").agg(F.bool_or("kept").alias("kept")).where("not kept").select("id"), "gone")
-    twice = found.where("id is not null").groupBy("id").count().where("count > 1").select("id")
-    twice = materialize(twice, "twice")
-    n, n_twice = gone.count(), twice.count()
-    key = F.col(id_col).cast("long")
-    out = docs
-    if n:
-        out = out.join(by_size(gone, n, BROADCAST_IDS), key == gone["id"], "left_anti")
-    if n_twice:
-        small = by_size(twice, n_twice, BROADCAST_IDS)
-        once = out.join(small, key == twice["id"], "left_anti")
-        out = once.unionByName(out.join(small, key == twice["id"], "left_semi").dropDuplicates([id_col, text_col]))
-    return out
+    key = fresh("near_duplicate_id", docs.columns)
+    each = found.where("id is not null").groupBy(F.col("id").alias(key)).agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
+    odd, n_odd = written(each.where("not kept or n > 1"), "odd")
+    release(found)
+    gone, twice = odd.where("not kept").select(key), odd.where("kept and n > 1").select(key)
+    own = F.col(f"`{id_col}`").cast("long")
+    out = docs.join(by_size(gone, n_odd, BROADCAST_IDS), own == F.col(key), "left_anti")
+    if twice.isEmpty():
+        return out
+    small = by_size(twice, n_odd, BROADCAST_IDS)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    repeated = out.join(small, own == F.col(key), "left_semi").groupBy(f"`{id_col}`", f"`{text_col}`").agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
+    return out.join(small, own == F.col(key), "left_anti").unionByName(repeated)
 
 
 def op8_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

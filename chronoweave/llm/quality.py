@@ -5,8 +5,9 @@ word lengths, repetition within line and text) and in those of the lines before
 pairs of neighbouring labels. Forward-backward gives each line's probability of being good; their mean, weighted by line
 length, is mapped to a probability by a two-parameter logistic curve.
 
-Lines are not labelled: in fitting, all lines of a document bear its label. The fit uses a bounded sample (``PER_CLASS``
-labelled documents of each class, of at most ``MAX_TRAIN_CHARS`` characters); the curve is weighted back to the true shares.
+Lines are not labelled: in fitting, all lines of a document bear its label. The fit uses a bounded sample (at most ``PER_CLASS``
+different texts of each class; of longer ones the ``MAX_TRAIN_CHARS`` characters in the middle); the curve is weighted back to the
+true shares.
 
 Nulls, ties: a null, empty or blank text has no lines and gets the share of good documents. With labels of one class only, or
 none, every text gets that share (0.5 for none). Null ids and repeated rows are judged by their text; extra columns are
@@ -20,11 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _words
-from ._common import fresh, slices, utf8
+from ._common import fitted, fresh, middle, slices, unit, utf8
 from .langid import train_on
 
 PER_CLASS = 600
@@ -231,18 +232,27 @@ def fit(texts: list[str], labels: list[int], share: float) -> Model:
     return m
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
-    """A model from documents that have a label and are not held out."""
-    own = labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isin(0, 1)).groupBy("doc_id").agg(F.min(label_col).alias("y")).where(train_on())
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = PER_CLASS) -> Model:
+    """A model from documents that have a label and are not held out, fitted in one task on a bounded sample of different texts."""
+    own = labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isin(0, 1)).groupBy("doc_id").agg(F.min(label_col).cast("int").alias("y")).where(train_on())
     count = {r["y"]: r["count"] for r in own.groupBy("y").count().collect()}
     if not count:
         return Model()
-    rate = F.when(F.col("y") == 1, min(1.0, 1.2 * PER_CLASS / count.get(1, 1))).otherwise(min(1.0, 1.2 * PER_CLASS / count.get(0, 1)))
-    picked = own.where((F.xxhash64("doc_id") + 2.0**63) / 2.0**64 < rate).select(F.col("doc_id").alias("key"), "y")
-    texts = docs.select(F.col(id_col).cast("long").alias("key"), F.col(text_col).cast("string").alias("text")).where(F.length("text").between(1, MAX_TRAIN_CHARS))
-    rows = texts.join(F.broadcast(picked), "key").collect()  # both bounded by PER_CLASS
-    rows.sort(key=lambda r: (r["key"], r["text"]))
-    return fit([r["text"] for r in rows], [r["y"] for r in rows], count.get(1, 0) / sum(count.values()))
+    share = count.get(1, 0) / sum(count.values())
+    rate = F.when(F.col("y") == 1, min(1.0, 1.2 * per_class / count.get(1, 1))).otherwise(min(1.0, 1.2 * per_class / count.get(0, 1)))
+    picked = own.where(unit(F.xxhash64("doc_id")) <= rate).select(F.col("doc_id").alias("key"), "y")  # the rate bounds it
+    text = F.col(text_col).cast("string")
+    # cut from a longer text, the piece begins and ends with a whole line where it has several
+    piece = F.when(F.length(text) <= MAX_TRAIN_CHARS, text).otherwise(F.regexp_replace(middle(text, MAX_TRAIN_CHARS), r"(?s)\A[^\n]*\n(?=.*\n)|(?<=\n)[^\n]*\z", ""))
+    texts = docs.where(F.length(text) > 0).select(F.col(id_col).cast("long").alias("key"), piece.alias("text"))
+    some = texts.join(F.broadcast(picked), "key").withColumn("h", F.xxhash64("text")).groupBy("y", "h").agg(F.min("text").alias("text"))
+    nth = F.row_number().over(Window.partitionBy("y").orderBy("h"))
+
+    def learn(rows: pa.Table) -> Model:
+        rows = rows.sort_by([("y", "ascending"), ("h", "ascending")])
+        return fit(rows.column("text").to_pylist(), rows.column("y").to_pylist(), share)
+
+    return fitted(some.withColumn("nth", nth).where(F.col("nth") <= per_class).drop("nth"), learn) or Model(share=share)
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

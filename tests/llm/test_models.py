@@ -41,7 +41,7 @@ def test_language_accuracy_and_rejection(spark):
     assert all(r.held_out == held(r.doc_id) for r in got) and len(got) == len(docs)
     assert np.mean([r.lang_pred == docs[r.doc_id].lang for r in test]) > 0.98
     assert all(0 <= r.score <= 1 for r in got) and np.mean([r.rejected for r in got]) < 0.01
-    model = langid.fit(langid.sample(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", "text", "lang"))
+    model = langid.train(spark.read.parquet(f"{SF}/documents.parquet"))
     langs, _, rejected = model.judge(["Съешь же ещё этих мягких французских булок да выпей чаю " * 5, "zq xv kk jw qx vz " * 40, docs[0].text])
     assert rejected.tolist() == [True, True, False]
 
