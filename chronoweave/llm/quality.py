@@ -194,8 +194,12 @@ def fit(texts: list[str], labels: list[int], share: float) -> Model:
     y = np.array(labels, np.float64)
     if not len(y) or y.min() == y.max():
         return Model(share=share if len(y) else 0.5)
-    data, offs = utf8(pa.array(texts, pa.string()))
-    doc, size, x = line_features(data, offs)
+    parts, at = [], 0
+    for b in slices(pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"]), 0):
+        doc, size, x = line_features(*utf8(b.column(0)))
+        parts.append((doc + at, size, x))
+        at += len(b)
+    doc, size, x = map(np.concatenate, zip(*parts))
     if not len(doc):
         return Model(share=share)
     m = Model(share=share, centre=x.mean(axis=0), scale=x.std(axis=0) + 0.05)
