@@ -1,7 +1,7 @@
 """URL filter: rules by host and path first, then logistic regression on hashed character n-grams of host and path.
 
 Everything runs as DataFrame expressions. A URL's n-grams (``SIZES`` characters, host and path apart) hash into ``BUCKETS``
-buckets; its log-odds are the bias plus the weights of its buckets over the root of their number. The regression is fitted on a small
+buckets; its log-odds are the bias plus, for host and path, the weights of its buckets over the root of their number. The regression is fitted on a small
 labelled table by gradient steps, each one aggregate over that table; its weights (one a bucket) pass through the driver and
 return as a literal. Judging is one projection: no shuffle, no state, one scan of the URL column.
 
@@ -13,55 +13,92 @@ is linear in the URL's length.
 from __future__ import annotations
 
 import math
+import random
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import materialize
+from ._common import materialize, release
 
-BUCKETS = 4096
+BUCKETS = 32_768
 SIZES = (3, 4)
-ROUNDS = 16
-STEP = 0.3
+ROUNDS = 10
+STEP = 0.4
+SMOOTHING = 0.002
 RIDGE = 1e-5
 CUT = 0.5
 
 #: (host, path) rules in order of the contract; the verdict is the first entry.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
-#: Hosts of the labelled table that the method learns from unless another is given, written for this purpose.
-BLOCKED = """
-casino-royale best-casino casino-slots casinos casino-bonus wincasino poker-room online-poker slots-jackpot win-big win-prizes big-win
-mega-lottery free-spins free-bonus free-money free-prizes sports-bets bets-online betting-tips best-bets freebets bet-now
-cheap-meds cheap-drugs buy-pills diet-pills pills-online pharma-discount cheap-replica cheap-watches cheap-viagra cheaper-pills
-adult-video adult-cams adult-chat adults-only adultxx xxx-tube x-rated hot-x sex-dating porn-free spam-links spam-mail spamfarm spammers
-link-farm farm-links content-farm seo-farm seo-backlinks ads-server ads-click adserver ad-track click-track track-ads tracker-pixel
-popup-ads tracking payday-loans quick-loans crypto-doubler keygen-crack warez-free fake-watches
+#: Share of bad pages that the fit assumes: hosts and paths of which nothing is known are allowed.
+PRIOR = 0.3
+
+#: Words of the labelled table that the method learns from unless another is given: what unwanted and what other sites are about.
+BAD_WORDS = """
+casino poker roulette blackjack jackpot lottery gambling gamble betting bookmaker slots bingo wager sweepstakes
+viagra cialis pharmacy pills painkillers steroids xanax tramadol dietpills slimming
+porn adult nude erotic escort xxx sex fetish webcam hookup milf
+spam malware phishing trojan keylogger ransomware botnet exploit spyware adware
+warez keygen cracked torrent pirated serialkey cheats hacked leaked
+clickbait popup adserver tracker adclick banner affiliate linkfarm backlinks doorway
+payday loanshark ponzi forex binary-options pump giveaway replica counterfeit knockoff scam fraud
 """
-ALLOWED = """
-city-library travel-notes news weather docs wiki recipes university school journal museum health-clinic forum books garden music
-developers city-council therand thennes ionther onthat ringand haterion ouesther sthenat eredin andest inheon entior parks
-open-source finance-news history sports-news photography cooking language-course astronomy train-times local-paper chess
-birdwatching hiking theatre freedom-press farmers-market windows-guide better-homes adult-education tracks-and-trails advice chapel
-thth thre ndth tion ened andou hath theston erion ingth reha ontion whthe shere lyth blent atther edhand nther stouth
+GOOD_WORDS = """
+library museum archive university college school academy journal research science physics chemistry biology history geography
+weather news press radio magazine newspaper editorial politics parliament council city village county region embassy
+hospital clinic health medicine nursing dentist nutrition fitness yoga running cycling hiking climbing swimming football
+cooking recipes bakery kitchen garden flowers forest river mountain ocean island wildlife birds horses
+music orchestra theatre cinema painting sculpture photography poetry novels books reading writing grammar dictionary
+travel railway airport harbor hotel camping maps museumshop holiday festival market bakehouse coffee
+software compiler database network security documentation manual tutorial forum wiki opensource developer design
+insurance banking savings pension accounting law justice charity community church family children kindergarten
+farm windmill freebooks winter advice chapel tracksuit adulteducation bethel pillow scampi classex spamalot
 """
-_PREFIXES = ("", "www.", "m.", "blog.")
-_ENDINGS = ("com", "net", "org")
-_PATHS = ("/en/{n}", "/de/{n}/", "/fr/{n}.html", "/es/{n}#top", "/en/{n}?page=2&ref=x", "/fr/{n}?utm_source=feed", "/")
-#: URLs made of each host; which prefix, ending and path they get follows from their number, so those tell nothing of the label.
-VARIANTS = 4
+_SIDE_WORDS = "online best site world my 24 hub shop now top free the new daily direct center house point land web".split()
+_SUBDOMAINS = ("", "www.", "m.", "blog.", "static.", "en.")
+_ENDINGS = ("com", "net", "org", "info", "io", "co.uk", "de", "fr")
+_PLAIN_PATHS = ("", "/", "/index.html", "/en/{n}", "/article/{n}", "/{n}.html", "/page/{n}/", "/fr/{n}", "/de/{n}.html", "/2021/05/{n}", "/p?id={n}", "/about#team")
+#: URLs made with each word.
+VARIANTS = 20
 
 
-def labelled(spark: SparkSession) -> DataFrame:
-    """The labelled table (url, bad), some 500 rows made from ``BLOCKED`` and ``ALLOWED``."""
+def _made_up(r: random.Random) -> str:
+    """A name without meaning, as companies have them."""
+    return "".join(r.choice("bdfghklmnprstvwz") + r.choice("aeiou") + r.choice(("", "", "n", "r", "l", "s", "th", "nd")) for _ in range(r.randint(2, 3)))
+
+
+def labelled_rows() -> list[tuple[str, int, str]]:
+    """(url, bad, word): each word of both lists in hosts, beside side words or alone, and in paths on hosts with made-up names; and
+    as many hosts with made-up names, which are good. Which form, ending and path a word gets does not depend on its list.
+    """
+    r = random.Random(11)
     rows = []
-    for bad, names in ((1, BLOCKED.split()), (0, ALLOWED.split())):
-        for i, name in enumerate(names):
+
+    def url(host: str, path: str) -> str:
+        return f"{r.choice(('http', 'https'))}://{r.choice(_SUBDOMAINS)}{host}.{r.choice(_ENDINGS)}{path}"
+
+    def plain() -> str:
+        return r.choice(_PLAIN_PATHS).format(n=r.randint(1, 99_999))
+
+    for bad, words in ((1, BAD_WORDS.split()), (0, GOOD_WORDS.split())):
+        for word in words:
             for k in range(VARIANTS):
-                j = i * VARIANTS + k
-                path = _PATHS[j % len(_PATHS)].format(n=1000 + j * 37 % 9000)
-                rows.append((f"https://{_PREFIXES[(i + k) % 4]}{name}.example.{_ENDINGS[(i + 2 * k) % 3]}{path}", bad))
-    return spark.createDataFrame(rows, "url string, bad int")
+                side, gap = r.choice(_SIDE_WORDS), r.choice(("-", "-", ""))
+                name = (f"{word}{gap}{side}", f"{side}{gap}{word}", word, f"{word}{r.randint(1, 99)}")[k % 4]
+                if k % 4 < 3:
+                    rows.append((url(name, plain()), bad, word))
+                else:
+                    rows.append((url(_made_up(r), f"/{name}{plain()}"), bad, word))
+    for _ in range(len(GOOD_WORDS.split()) * VARIANTS):
+        name = _made_up(r)
+        rows.append((url(name, plain()), 0, name))
+    return rows
+
+
+def labelled(spark: SparkSession, rows: list[tuple[str, int, str]] | None = None) -> DataFrame:
+    """The labelled table (url, bad), some 7,000 rows."""
+    return spark.createDataFrame([r[:2] for r in (labelled_rows() if rows is None else rows)], "url string, bad int")
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -82,13 +119,15 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 
 def with_buckets(df: DataFrame) -> DataFrame:
-    """``df`` (host, path, ...) with ``b``: the distinct buckets of the n-grams of host and path, each with marks at its ends.
+    """``df`` (host, path, ...) with ``host_b`` and ``path_b``: the distinct buckets of the n-grams of each, with marks at its ends.
 
-    The characters stand in an array of their own, so that an n-gram is a few look-ups however long the text is.
+    Digits count as one: numbers tell nothing. The characters stand in an array of their own, so that an n-gram is a few look-ups
+    however long the text is.
     """
 
     def characters(text: str) -> Column:
-        marked = F.split(F.concat(F.lit("^"), F.lower(text), F.lit("$")), "")
+        plain = F.regexp_replace(F.lower(text), "[0-9]+", "0")
+        marked = F.split(F.concat(F.lit("^"), plain, F.lit("$")), "")
         return F.when(F.col(text) == "", F.array().cast("array<string>")).otherwise(F.filter(marked, lambda c: c != ""))
 
     def grams(side: str, n: int) -> Column:
@@ -97,32 +136,45 @@ def with_buckets(df: DataFrame) -> DataFrame:
         return F.transform(places, lambda i: F.pmod(F.xxhash64(F.lit(side), *[F.element_at(chars, i + k) for k in range(n)]), F.lit(BUCKETS)).cast("int"))
 
     chars = df.select("*", characters("host").alias("host_chars"), characters("path").alias("path_chars"))
-    every = F.array_distinct(F.concat(*[grams(side, n) for side in ("host", "path") for n in SIZES]))
-    return chars.select(*df.columns, every.alias("b"))
+    return chars.select(*df.columns, *[F.array_distinct(F.concat(*[grams(side, n) for n in SIZES])).alias(f"{side}_b") for side in ("host", "path")])
+
 
+def _scale(buckets: str) -> Column:
+    return 1 / F.sqrt(F.greatest(F.size(buckets), F.lit(1)))
 
-def _log_odds(buckets: Column, weights: list[float], bias: float) -> Column:
-    table = F.split(F.lit(",".join(f"{w:.6g}" for w in weights)), ",").cast("array<double>")
-    total = F.aggregate(buckets, F.lit(0.0), lambda acc, b: acc + F.element_at(table, b + 1))
-    return F.lit(float(bias)) + total / F.sqrt(F.greatest(F.size(buckets), F.lit(1)))
+
+def log_odds(weights: list[float], bias: float) -> Column:
+    """Bias, and for each side the weights of its buckets over the root of their number: a long path does not drown the host."""
+    table = F.split(F.lit(",".join(f"{w:.5g}" for w in weights)), ",").cast("array<double>")
+    total = F.lit(float(bias))
+    for side in ("host_b", "path_b"):
+        total = total + F.aggregate(side, F.lit(0.0), lambda acc, b: acc + F.element_at(table, b + 1)) * _scale(side)
+    return total
 
 
 def fit(table: DataFrame) -> tuple[list[float], float]:
-    """Weights and bias from a small table (url, bad): full-batch Adam steps, classes of equal weight."""
+    """Weights and bias from a small table (url, bad), classes weighted to ``PRIOR``: full-batch Adam steps.
+
+    They start near their end: each weight at the log-odds of its bucket in bad and other URLs, counted with ``SMOOTHING``.
+    """
     host, path = host_and_path(F.col("url"))
     rows = table.where("bad in (0, 1)").select(host.alias("host"), path.alias("path"), "bad")
-    rows = materialize(with_buckets(rows).select("b", "bad").coalesce(1), "labelled")
+    rows = materialize(with_buckets(rows).select("host_b", "path_b", "bad"), "labelled")
     count = {r["bad"]: r["count"] for r in rows.groupBy("bad").count().collect()}
-    weights, bias = [0.0] * BUCKETS, 0.0
+    weights = [0.0] * BUCKETS
     if len(count) < 2:
         return weights, -1.0
-    share = F.when(F.col("bad") == 1, 0.5 / count[1]).otherwise(0.5 / count[0])
+    share = F.when(F.col("bad") == 1, PRIOR / count[1]).otherwise((1 - PRIOR) / count[0])
+    for r in rows.select(F.explode(F.concat("host_b", "path_b")).alias("k"), "bad").groupBy("k").agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good")).collect():
+        weights[r["k"]] = math.log((r["bad"] / count[1] + SMOOTHING) / (r["good"] / count[0] + SMOOTHING))
+    bias = math.log(PRIOR / (1 - PRIOR))
     first, second = [0.0] * (BUCKETS + 1), [0.0] * (BUCKETS + 1)
     for step in range(1, ROUNDS + 1):
-        p = 1 / (1 + F.exp(-_log_odds(F.col("b"), weights, bias)))
-        error = rows.select("b", ((F.col("bad") - p) * share).alias("e"))
+        p = 1 / (1 + F.exp(-log_odds(weights, bias)))
+        error = rows.select(F.posexplode(F.array("host_b", "path_b")).alias("side", "b"), ((F.col("bad") - p) * share).alias("e"))
         # the last bucket stands for the bias
-        each = error.select(F.explode(F.concat("b", F.array(F.lit(BUCKETS)))).alias("k"), "e", (F.col("e") / F.sqrt(F.greatest(F.size("b"), F.lit(1)))).alias("g"))
+        own = F.when(F.col("side") == 0, F.concat("b", F.array(F.lit(BUCKETS)))).otherwise(F.col("b"))
+        each = error.select(F.explode(own).alias("k"), "e", (F.col("e") * _scale("b")).alias("g"))
         grad = [-RIDGE * w for w in (*weights, 0.0)]
         for r in each.groupBy("k").agg(F.sum(F.when(F.col("k") == BUCKETS, F.col("e")).otherwise(F.col("g"))).alias("s")).collect():
             grad[r["k"]] += r["s"]
@@ -131,6 +183,7 @@ def fit(table: DataFrame) -> tuple[list[float], float]:
         move = [STEP * (m / (1 - 0.8**step)) / (math.sqrt(v / (1 - 0.95**step)) + 1e-6) for m, v in zip(first, second)]
         weights = [round(w + d, 6) for w, d in zip(weights, move)]
         bias = round(bias + move[-1], 6)
+    release(rows)
     return weights, bias
 
 
@@ -139,7 +192,7 @@ def judge(pages: DataFrame, weights: list[float], bias: float, url_col: str = "u
     host, path = host_and_path(F.col(url_col).cast("string"))
     parts = pages.select(F.col(id_col), host.alias("host"), path.alias("path"))
     rule, ruled = rule_of(F.col("host"), F.col("path"), rules)
-    score = 1 / (1 + F.exp(-_log_odds(F.col("b"), weights, bias)))
+    score = 1 / (1 + F.exp(-log_odds(weights, bias)))
     scored = with_buckets(parts.select(F.col(id_col), "host", "path", rule.alias("rule"), ruled.alias("ruled"))).withColumn("score", score)
     return scored.select(id_col, "host", "path", "rule", F.coalesce("ruled", F.when(F.col("score") >= CUT, "block").otherwise("allow")).alias("verdict"), "score")
 

@@ -133,7 +133,9 @@ def expected(url):
 
 
 def test_url_filter(spark):
-    weights, bias = urlfilter.fit(urlfilter.labelled(spark))
+    rows = urlfilter.labelled_rows()
+    held_out = [r for r in rows if zlib.crc32(r[0].encode()) % 5 == 0]
+    weights, bias = urlfilter.fit(urlfilter.labelled(spark, [r for r in rows if zlib.crc32(r[0].encode()) % 5]))
     pages = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(URLS)], "page_id long, url string, host string, score string")
     got = {r.page_id: r for r in urlfilter.judge(pages, weights, bias).collect()}
     for i, u in enumerate(URLS):
@@ -142,19 +144,53 @@ def test_url_filter(spark):
         assert (r.host, r.path, r.rule) == (host, path, rule)
         assert r.verdict == (verdict or ("block" if r.score >= 0.5 else "allow"))
     assert urlfilter.judge(pages.limit(0), weights, bias).count() == 0
-    test = spark.createDataFrame([(0, "https://m.casino-win.example.com/en/4033.html"), (1, "https://tiontion.example.net/en/7817"), (2, "http://cheap-pills.example.net/fr/1"), (3, "https://www.ththor.example.net/de/12")], "page_id long, url string")
-    assert [r.verdict for r in urlfilter.judge(test, weights, bias).orderBy("page_id").collect()] == ["block", "allow", "block", "allow"]
+    # URLs that the fit has not seen, in hosts and in paths
+    test = spark.createDataFrame([(i, r[0]) for i, r in enumerate(held_out)], "page_id long, url string")
+    score = {r.page_id: r.score for r in urlfilter.judge(test, weights, bias, rules=()).collect()}
+    right = [(score[i] >= 0.5) == bool(r[1]) for i, r in enumerate(held_out)]
+    assert np.mean(right) > 0.95
+    assert np.mean([ok for ok, r in zip(right, held_out) if r[1] and not r[0].split("/")[2].count(r[2])]) > 0.8  # the word is in the path
     assert urlfilter.fit(urlfilter.labelled(spark).where("bad = 1"))[1] < 0
 
 
+def test_fit_equals_a_plain_one(spark, monkeypatch):
+    """The same steps in NumPy, on buckets taken from the DataFrame."""
+    monkeypatch.setattr(urlfilter, "ROUNDS", 3)
+    table = urlfilter.labelled(spark, urlfilter.labelled_rows()[::37])
+    weights, bias = urlfilter.fit(table)
+    host, path = urlfilter.host_and_path(F.col("url"))
+    rows = urlfilter.with_buckets(table.select(host.alias("host"), path.alias("path"), "bad")).collect()
+    n, size = len(rows), urlfilter.BUCKETS
+    x, y = np.zeros((n, size + 1)), np.array([r.bad for r in rows])
+    x[:, size] = 1
+    for i, r in enumerate(rows):
+        for b in (r.host_b, r.path_b):
+            for k in b:
+                x[i, k] += 1 / np.sqrt(len(b))
+    seen = np.zeros((2, size))
+    for i, r in enumerate(rows):
+        for k in [*r.host_b, *r.path_b]:
+            seen[y[i], k] += 1 / (y == y[i]).sum()
+    w = np.append(np.where(seen.sum(0) > 0, np.log((seen[1] + urlfilter.SMOOTHING) / (seen[0] + urlfilter.SMOOTHING)), 0), np.log(urlfilter.PRIOR / (1 - urlfilter.PRIOR)))
+    share = np.where(y == 1, urlfilter.PRIOR / y.sum(), (1 - urlfilter.PRIOR) / (1 - y).sum())
+    m, v = np.zeros(size + 1), np.zeros(size + 1)
+    for step in range(1, 4):
+        g = x.T @ ((y - 1 / (1 + np.exp(-x @ w))) * share) - urlfilter.RIDGE * np.append(w[:-1], 0)
+        m, v = 0.8 * m + 0.2 * g, 0.95 * v + 0.05 * g * g
+        w = w + urlfilter.STEP * (m / (1 - 0.8**step)) / (np.sqrt(v / (1 - 0.95**step)) + 1e-6)
+    assert np.abs(np.append(weights, bias) - w).max() < 0.02
+
+
 def test_url_scores_equal_a_plain_sum(spark):
     weights = [((i * 7919) % 201 - 100) / 100 for i in range(urlfilter.BUCKETS)]
-    pages = spark.createDataFrame([(0, "http://ab.cd/ef")], "page_id long, url string")
+    pages = spark.createDataFrame([(0, "http://ab.cd/ef/2024?q=1")], "page_id long, url string")
     got = urlfilter.judge(pages, weights, 0.25).first().score
-    marks = {"host": "^ab.cd$", "path": "^/ef$"}
-    grams = [(side, t[i : i + n]) for side, t in marks.items() for n in urlfilter.SIZES for i in range(len(t) - n + 1)]
-    buckets = {spark.range(1).select(F.pmod(F.xxhash64(F.lit(s), *[F.lit(c) for c in g]), F.lit(urlfilter.BUCKETS))).first()[0] for s, g in grams}
-    assert got == pytest.approx(1 / (1 + np.exp(-(0.25 + sum(weights[b] for b in buckets) / np.sqrt(len(buckets))))), abs=1e-5)
+    want = 0.25
+    for side, t in {"host": "^ab.cd$", "path": "^/ef/0$"}.items():
+        grams = {t[i : i + n] for n in urlfilter.SIZES for i in range(len(t) - n + 1)}
+        buckets = {spark.range(1).select(F.pmod(F.xxhash64(F.lit(side), *[F.lit(c) for c in g]), F.lit(urlfilter.BUCKETS))).first()[0] for g in grams}
+        want += sum(weights[b] for b in buckets) / np.sqrt(len(buckets))
+    assert got == pytest.approx(1 / (1 + np.exp(-want)), abs=1e-5)
 
 
 def test_main_path_is_native(spark):
