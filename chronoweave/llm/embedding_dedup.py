@@ -1,15 +1,18 @@
 """Near-duplicate vectors by a forest of random-projection trees with spill overlap.
 
 1. Equal vectors of a label form a class, named by its smallest id; only classes go on, with their number of rows.
-2. ``TREES`` trees are fitted on a bounded sample (``FIT_ROWS`` rows): a node projects its rows on a random direction and splits
-   them at the median; rows within ``SPILL`` of it go to both sides. Every row is then sent down every tree.
-3. Rows that share a leaf and a label are compared by cosine in double precision, in blocks of bounded size. A pair is counted
-   in the first leaf that it shares only, which each task tells from the leaves of both rows, so counts need no list of pairs.
-   Tasks emit, for each row, its number of links, and a spanning forest of the links: output grows with rows, not with pairs.
+2. ``TREES`` trees are fitted in one task on a bounded sample (``FIT_ROWS`` rows): a node projects its rows on a random direction
+   and splits them at the median; rows within ``SPILL`` of it go to both sides, until no label has more than ``LEAF`` rows in a
+   node. Every row is then sent down every tree.
+3. Rows that share a leaf and a label meet in one task and are compared there, strip by strip: products in single precision, and
+   again in double precision where they come close to the threshold. A leaf that overlap or copies keep from shrinking is cut
+   into blocks; each pair of blocks is a task. A pair is counted in the first leaf that it shares only, which each task tells
+   from the leaves of both rows, so counts need no list of pairs. Tasks emit, for each row, its number of links, and a spanning
+   forest of the links: output grows with rows, not with pairs (and with blocks, where a dense cluster has several).
 4. Links are summed, forests united into components, and both go back to all rows.
 
 Recall is measured against brute force in the tests. Every link was verified; a link is missed only if no tree brings its ends
-into one leaf.
+into one leaf. A sample of ``fit_rows`` can tell some fit_rows / 8 leaves apart; with many more rows than that times ``LEAF`` raise it.
 
 Nulls, ties: vectors that are null, zero, or hold a null or non-finite component, rows without label, and rows with a null id link with nothing and are their own
 component. Rows that repeat one id are different copies to the others, but one vertex: a repeated id's rows all carry the same component. Vectors of different length count as padded with
@@ -26,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import materialize
+from ._common import by_size, fitted, materialize, release, unit, written
 from ._graph import components
 from .topk import _matrix, _pad, usable
 
@@ -35,17 +38,24 @@ TREES = 6
 #: Half the width of the overlap, in units of the spread that a just similar pair has along a direction.
 SPILL = 0.6
 #: Bounded sample that the trees are fitted on.
-FIT_ROWS = 20_000
-#: Rows that a leaf is meant to hold, and rows of a block within a leaf.
-LEAF = 400
-BLOCK = 1000
+FIT_ROWS = 100_000
+#: Rows of one label that a leaf is meant to hold; a leaf with more than two blocks is cut into blocks of so many rows.
+LEAF = 6000
+BLOCK = 6000
+#: Rows compared with all of a leaf at once.
+STRIP = 1000
+#: Large leaves that a broadcast may list.
+BROADCAST_LEAVES = 500_000
+#: Directions that a node tries before it stays a leaf.
+TRIES = 3
 
 
 @dataclass
 class Tree:
-    """Node i: direction, threshold, children; a child below 0 is leaf -1 - child."""
+    """Directions, which the nodes of a level share. Node i: its direction, threshold, children; a child below 0 is leaf -1 - child."""
 
     direction: np.ndarray
+    level: np.ndarray
     cut: np.ndarray
     left: np.ndarray
     right: np.ndarray
@@ -55,10 +65,11 @@ class Tree:
         """(row, leaf) of all rows; a row in an overlap has several leaves."""
         if not len(self.cut):
             return np.arange(len(x)), np.zeros(len(x), np.int64)
+        at = x @ self.direction.T
         rows, nodes = np.arange(len(x)), np.zeros(len(x), np.int64)
         out_row, out_leaf = [], []
         while len(rows):
-            p = np.einsum("ij,ij->i", x[rows], self.direction[nodes]) - self.cut[nodes]
+            p = at[rows, self.level[nodes]] - self.cut[nodes]
             lo, hi = p < spill, p >= -spill
             rows, nodes = np.concatenate([rows[lo], rows[hi]]), np.concatenate([self.left[nodes[lo]], self.right[nodes[hi]]])
             end = nodes < 0
@@ -68,147 +79,196 @@ class Tree:
         return np.concatenate(out_row), np.concatenate(out_leaf)
 
 
-def fit_tree(x: np.ndarray, leaf: int, spill: float, rng: np.random.Generator) -> Tree:
-    """Random directions, median cuts, until a node holds at most ``leaf`` rows or the overlap no longer lets it shrink."""
-    direction, cut, left, right, leaves = [], [], [], [], 0
-    todo = [(np.arange(len(x)), None, 0)]
+def fit_tree(x: np.ndarray, label: np.ndarray, leaf: int, spill: float, rng: np.random.Generator) -> Tree:
+    """Random directions, median cuts, until no label has more than ``leaf`` rows in a node or the overlap no longer lets it shrink."""
+    direction: list[np.ndarray] = []
+    level, cut, left, right, leaves = [], [], [], [], 0
+    todo = [(np.arange(len(x)), 0, None, 0)]
     while todo:
-        rows, parent, side = todo.pop()
+        rows, depth, parent, side = todo.pop()
         at = None
-        if len(rows) > leaf:
-            d = rng.standard_normal(x.shape[1])
-            d /= np.linalg.norm(d)
-            p = x[rows] @ d
-            c = float(np.median(p))
-            lo, hi = rows[p < c + spill], rows[p >= c - spill]
-            if max(len(lo), len(hi)) < 0.9 * len(rows):
-                at = len(cut)
-                direction.append(d)
-                cut.append(c)
-                left.append(0)
-                right.append(0)
-                todo += [(lo, at, 0), (hi, at, 1)]
+        if len(rows) > leaf and np.bincount(label[rows]).max() > leaf:
+            for k in range(depth, depth + TRIES):
+                if k == len(direction):
+                    d = rng.standard_normal(x.shape[1])
+                    direction.append(d / np.linalg.norm(d))
+                p = x[rows] @ direction[k]
+                c = float(np.median(p))
+                lo, hi = rows[p < c + spill], rows[p >= c - spill]
+                if max(len(lo), len(hi)) < 0.9 * len(rows):
+                    at = len(cut)
+                    level.append(k)
+                    cut.append(c)
+                    left.append(0)
+                    right.append(0)
+                    todo += [(lo, k + 1, at, 0), (hi, k + 1, at, 1)]
+                    break
         if at is None:
             at, leaves = -1 - leaves, leaves + 1
         if parent is not None:
             (right if side else left)[parent] = at
-    return Tree(np.array(direction).reshape(len(cut), x.shape[1]), np.array(cut), np.array(left, np.int64), np.array(right, np.int64), leaves)
-
-
-def _pairs_of(block: pa.Table, key: int, threshold: float):
-    """(ids, links counted here, spanning links) of one pair of blocks of a leaf."""
-    block = block.combine_chunks()
-    ids, side = block.column("id").to_numpy(), block.column("side").to_numpy()
-    weight = block.column("copies").to_numpy()
-    x = _unit(_matrix(block.column("v").chunk(0)))
-    sim = x @ x.T
-    linked = sim >= threshold
-    np.fill_diagonal(linked, False)
-    if side.any():
-        linked &= side[:, None] != side[None, :]
-    # leaves before this one that two rows share
-    lists = block.column("leaves").chunk(0)
-    owner = np.repeat(np.arange(len(ids)), np.diff(lists.offsets.to_numpy()))
-    leaf = lists.flatten().to_numpy()
-    early = leaf < key
-    has = linked.any(axis=1)
-    early &= has[owner]
-    owner, leaf = owner[early], leaf[early]
-    counted = linked.copy()
-    if len(leaf):
-        _, at = np.unique(leaf, return_inverse=True)
-        grid = np.zeros((len(ids), int(at.max()) + 1), np.float32)
-        grid[owner, at] = 1
-        counted &= (grid @ grid.T) == 0
-    count = counted @ weight
-    # spanning forest by breadth-first search
-    edges, new = [], has.copy()
-    for s in np.flatnonzero(has):
-        if new[s]:
-            new[s], queue = False, [s]
-            while queue:
-                i = queue.pop()
-                near = np.flatnonzero(linked[i] & new)
-                new[near] = False
-                edges += [(int(ids[i]), int(ids[j])) for j in near]
-                queue += near.tolist()
-    return ids, count, edges
+    ints = [np.array(a, np.int64) for a in (level, left, right)]
+    return Tree(np.array(direction).reshape(len(direction), x.shape[1]), ints[0], np.array(cut), ints[1], ints[2], leaves)
+
+
+@dataclass
+class Forest:
+    """Trees, the first number of each one's leaves, the vectors' width and half the overlap."""
+
+    trees: list[Tree]
+    first: np.ndarray
+    width: int
+    spill: float
+
+    def leaves_of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf) in order, leaves numbered over all trees."""
+        got = [t.leaves_of(_pad(x, self.width)[:, : self.width], self.spill) for t in self.trees]
+        row = np.concatenate([r for r, _ in got])
+        leaf = np.concatenate([k + f for (_, k), f in zip(got, self.first)])
+        order = np.lexsort((leaf, row))
+        return row[order], leaf[order]
+
+
+def fit_forest(x: np.ndarray, label: np.ndarray, trees: int, leaf: int, threshold: float, seed: int) -> Forest:
+    width = x.shape[1]
+    spill = SPILL * np.sqrt(2 * (1 - threshold)) / np.sqrt(max(width, 1))
+    rng = np.random.default_rng(seed)
+    forest = [fit_tree(x, label, leaf, spill, rng) for _ in range(trees)]
+    if not any(len(t.cut) for t in forest):
+        forest = forest[:1]  # all have one and the same leaf
+    return Forest(forest, np.cumsum([0, *[t.leaves for t in forest]]), width, spill)
+
+
+def compare(ids: np.ndarray, weight: np.ndarray, x: np.ndarray, side: np.ndarray, owner: np.ndarray, early: np.ndarray, threshold: float) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Number of links of each row (a link to a row counts its weight) and spanning links among rows of one leaf, or of two blocks of it.
+
+    owner, early: (row, leaf) for each leaf before this one; pairs that share such a leaf are another task's.
+    """
+    n = len(ids)
+    two = bool(side.any())
+    left, right = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if two else (np.arange(n), np.arange(n))
+    single = x.astype(np.float32)
+    doubt = 4 * (x.shape[1] + 8) * 2.0**-24  # more than what single precision may be off by
+    names, column = np.unique(early, return_inverse=True)
+    order = np.argsort(owner, kind="stable")
+    owner, column = owner[order], column[order]
+    ends = np.searchsorted(owner, np.arange(n + 1))
+
+    def before(rows: np.ndarray) -> np.ndarray:
+        size = ends[rows + 1] - ends[rows]
+        own = np.zeros((len(rows), len(names)), np.float32)
+        own[np.repeat(np.arange(len(rows)), size), column[np.repeat(ends[rows] - np.cumsum(size) + size, size) + np.arange(size.sum())]] = 1
+        return own
+
+    count, part, edges = np.zeros(n, np.int64), np.arange(n), []
+    for at in range(0, len(left), STRIP):
+        rows = left[at : at + STRIP]
+        product = single[rows] @ single[right].T
+        near = product >= threshold - doubt
+        if not two:
+            near[np.arange(len(rows)), rows] = False
+        i, j = np.nonzero(near & (product < threshold + doubt))
+        near[i, j] = np.einsum("ij,ij->i", x[rows[i]], x[right[j]]) >= threshold
+        has, met = near.any(axis=1), near.any(axis=0)
+        if not has.any():
+            continue
+        a, b, near = rows[has], right[met], near[np.ix_(has, met)]
+        if len(names):
+            near &= before(a) @ before(b).T == 0
+        count[a] += near @ weight[b]
+        if two:
+            count[b] += weight[a] @ near
+        for k in np.flatnonzero(near.any(axis=1)):
+            mine = part[a[k]]
+            others = b[near[k]]
+            others = others[part[others] != mine]
+            if len(others):
+                parts, first = np.unique(part[others], return_index=True)
+                edges += [(int(ids[a[k]]), int(ids[o])) for o in others[first]]
+                part[np.isin(part, parts)] = mine
+    return count, edges
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label", threshold: float = THRESHOLD, trees: int = TREES, leaf: int = LEAF, fit_rows: int = FIT_ROWS, seed: int = 7) -> DataFrame:
     """(id, n_links, component_id, kept) for every row."""
-    spark = vectors.sparkSession
     # floats move as floats, half the bytes, and become doubles in the tasks, which changes no value
     given = vectors.schema[vector_col].dataType
     number = "float" if isinstance(given, T.ArrayType) and isinstance(given.elementType, T.FloatType) else "double"
     v = F.col(vector_col).cast(f"array<{number}>")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v"), F.col(label_col).alias("label"))
     fit_for = F.col("id").isNotNull() & F.col("label").isNotNull() & usable(F.col("v")) & F.exists("v", lambda x: x != 0)
-    rows = rows.withColumn("ok", F.coalesce(fit_for, F.lit(False)))
     # -0.0 and 0.0 are one value; two hashes name a vector
-    hashed = rows.withColumn("v", F.transform("v", lambda x: x + F.lit(0.0).cast(number))).select("id", "v", "label", "ok", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2"))
-    base = materialize(hashed, "vectors")
+    rows = rows.withColumn("ok", F.coalesce(fit_for, F.lit(False))).withColumn("v", F.transform("v", lambda x: x + F.lit(0.0).cast(number)))
+    hashed = rows.select("id", "v", "label", "ok", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2"))
     names = ["label", "h1", "h2"]
-    classes = materialize(base.where("ok").groupBy(*names).agg(F.min("id").alias("class_id"), F.count("*").alias("copies"), F.min_by("v", "id").alias("v")), "classes")
-    n = classes.count()
+    classes, n = written(hashed.where("ok").groupBy(*names).agg(F.min("id").alias("id"), F.count("*").alias("copies"), F.min_by("v", "id").alias("v")), "classes")
     share = min(1.0, fit_rows / max(n, 1))
-    some = classes.where((F.xxhash64("h1", "h2") + 2.0**63) / 2.0**64 < share).select("v", "h1", "h2").toArrow().sort_by([("h1", "ascending"), ("h2", "ascending")])
-    x = _unit(_matrix(some.column("v").combine_chunks())) if some.num_rows else np.zeros((0, 1))
-    width = x.shape[1]
-    spill = SPILL * np.sqrt(2 * (1 - threshold)) / np.sqrt(max(width, 1))
-    rng = np.random.default_rng(seed)
-    forest = [fit_tree(x, max(8, int(leaf * share)), spill, rng) for _ in range(trees)]
-    first = np.cumsum([0, *[t.leaves for t in forest]])
-    held = spark.sparkContext.broadcast((forest, first, width, spill))  # bounded by the sample
+    some = classes.where(unit(F.xxhash64("h1", "h2")) <= share).select("v", *names)
+
+    def learn(found: pa.Table) -> Forest:
+        found = found.sort_by([("h1", "ascending"), ("h2", "ascending")]).combine_chunks()
+        code = found.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        return fit_forest(_unit(_matrix(found.column("v").chunk(0))), code, trees, max(8, int(leaf * share)), threshold, seed)
+
+    forest = fitted(some, learn) or fit_forest(np.zeros((0, 1)), np.zeros(0, np.int64), 1, leaf, threshold, seed)
+    held = vectors.sparkSession.sparkContext.broadcast(forest)  # bounded by the sample
 
     def index(batches):
-        forest, first, width, spill = held.value
         for whole in batches:
             for at in range(0, len(whole), 2000):
                 b = whole.slice(at, 2000)
-                seen = _pad(_unit(_matrix(b.column("v"))), width)[:, :width]
-                got = [t.leaves_of(seen, spill) for t in forest]
-                row = np.concatenate([r for r, _ in got])
-                leaf = np.concatenate([k + f for (_, k), f in zip(got, first)])
-                order = np.lexsort((leaf, row))
-                row, leaf = row[order], leaf[order]
+                row, leaf = held.value.leaves_of(_unit(_matrix(b.column("v"))))
                 ends = np.append(0, np.cumsum(np.bincount(row, minlength=len(b)))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(leaf.astype(np.int32)))], ["id", "label", "copies", "v", "leaves"])
 
     kind = classes.schema["label"].dataType.simpleString()
-    indexed = classes.select(F.col("class_id").alias("id"), "label", "copies", "v").mapInArrow(index, f"id long, label {kind}, copies long, v array<{number}>, leaves array<int>")
-    indexed = materialize(indexed, "leaves")
-    # leaves of one row need no comparison; larger ones than a block are cut, each pair of blocks is a task
-    size = indexed.select("label", F.explode("leaves").alias("leaf")).groupBy("label", "leaf").count().where("count > 1").withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int"))
-    member = indexed.select("*", F.explode("leaves").alias("leaf")).join(size, ["label", "leaf"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    indexed = materialize(classes.select("id", "label", "copies", "v").mapInArrow(index, f"id long, label {kind}, copies long, v array<{number}>, leaves array<int>"), "leaves")
+    size = indexed.select("label", F.explode("leaves").alias("leaf")).groupBy("label", "leaf").count()
+    large, n_large = written(size.where(F.col("count") > 2 * BLOCK).select("label", "leaf", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")), "large")
+    member = indexed.select("*", F.explode("leaves").alias("leaf"))
+    if n_large:
+        member = member.join(by_size(large, n_large, BROADCAST_LEAVES), ["label", "leaf"], "left").withColumn("own", F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1))).cast("int"))
+        member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+    else:
+        member = member.withColumns({"own": F.lit(0), "other": F.lit(0)})
     tasks = member.select("id", "copies", "v", "leaves", "label", "leaf", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), F.when(F.col("own") > F.col("other"), 1).otherwise(0).alias("side"))
 
-    def compare(group: pa.Table) -> pa.Table:
-        ids, count, edges = _pairs_of(group, group.column("leaf")[0].as_py(), threshold)
-        some = count > 0
-        a = np.concatenate([ids[some], [e[0] for e in edges]]).astype(np.int64)
-        b = pa.array([None] * int(some.sum()) + [e[1] for e in edges], pa.int64())
-        return pa.table({"a": pa.array(a), "b": b, "links": pa.array(np.concatenate([count[some], np.zeros(len(edges))]).astype(np.int64))})
+    def run(group: pa.Table) -> pa.Table:
+        if len(group) < 2:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "links": pa.array([], pa.int64())})
+        group = group.combine_chunks()
+        lists = group.column("leaves").chunk(0)
+        owner, early = np.repeat(np.arange(len(group)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()
+        mine = early < group.column("leaf")[0].as_py()
+        ids = group.column("id").to_numpy()
+        count, edges = compare(ids, group.column("copies").to_numpy(), _unit(_matrix(group.column("v").chunk(0))), group.column("side").to_numpy(), owner[mine], early[mine], threshold)
+        linked = count > 0
+        a = np.concatenate([ids[linked], np.array([e[0] for e in edges], np.int64)])
+        b = pa.array([None] * int(linked.sum()) + [e[1] for e in edges], pa.int64())
+        return pa.table({"a": pa.array(a), "b": b, "links": pa.array(np.concatenate([count[linked], np.zeros(len(edges), np.int64)]))})
 
-    found = materialize(tasks.groupBy("label", "leaf", "a", "b").applyInArrow(compare, "a long, b long, links long"), "links")
+    found = materialize(tasks.groupBy("label", "leaf", "a", "b").applyInArrow(run, "a long, b long, links long"), "links")
+    release(indexed, large)
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
-    united = components(found.where("b is not null"), "a", "b")
-    named = classes.join(links, F.col("class_id") == F.col("a"), "left").join(united, F.col("class_id") == united["id"], "left")
-    named = named.select(*names, "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "class_id").alias("component"))
-    out = base.select("id", *names, "ok").join(named, names, "left")
-    own = F.col("ok")
+    united = components(found.where("b is not null"), "a", "b").withColumnRenamed("id", "u")
+    named = classes.select(*names, "id", "copies").join(links, F.col("id") == F.col("a"), "left").join(united, F.col("id") == F.col("u"), "left")
+    # only classes with copies or links say more than the row itself
+    named = named.where("copies > 1 or links is not null").select(*names, "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "id").alias("component"))
+    named, n_named = written(named, "named")
+    release(classes, found)
+    out = hashed.select("id", *names, "ok").join(by_size(named, n_named, BROADCAST_LEAVES), names, "left")
+    component = F.when(F.col("ok"), F.coalesce("component", "id")).otherwise(F.col("id"))
     return out.select(
         "id",
-        F.when(own, F.col("links") + F.col("copies") - 1).otherwise(0).cast("long").alias("n_links"),
-        F.when(own, F.col("component")).otherwise(F.col("id")).alias("component_id"),
-        F.when(own, F.col("component") == F.col("id")).otherwise(True).alias("kept"),
+        F.when(F.col("ok"), F.coalesce(F.col("links") + F.col("copies") - 1, F.lit(0))).otherwise(0).cast("long").alias("n_links"),
+        component.alias("component_id"),
+        F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"),
     )
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
     # scaled first, as squares of large components overflow
-    x = x / np.maximum(np.abs(x).max(axis=1, keepdims=True), 1e-300)
+    x = x / np.maximum(np.abs(x).max(axis=1, keepdims=True, initial=0), 1e-300)
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
 
 

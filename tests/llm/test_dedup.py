@@ -162,16 +162,37 @@ def test_embedding_recall_against_brute_force(spark):
     true = roots([r[0] for r in rows], [(rows[i][0], rows[j][0]) for i, j in zip(*np.nonzero(np.triu(want)))])
     same = sum(r.component_id == true[r.id] for r in got)
     assert same >= 0.99 * len(rows)
-    # blocks within leaves change nothing
-    size = embedding_dedup.BLOCK
+    # blocks within leaves, and strips of them, change nothing
+    size = embedding_dedup.BLOCK, embedding_dedup.STRIP
     try:
-        embedding_dedup.BLOCK = 17
+        embedding_dedup.BLOCK, embedding_dedup.STRIP = 17, 5
         again = embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), leaf=60, fit_rows=800).collect()
     finally:
-        embedding_dedup.BLOCK = size
+        embedding_dedup.BLOCK, embedding_dedup.STRIP = size
     assert {r.id: (r.n_links, r.component_id) for r in again} == {r.id: (r.n_links, r.component_id) for r in got}
 
 
+def test_compare_is_exact_and_spans():
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((300, 8))
+    x[100:200] = x[:100] + 0.14 * rng.standard_normal((100, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids, weight = np.arange(1000, 1300), rng.integers(1, 4, 300)
+    shared = rng.random(300) < 0.3  # these share an earlier leaf
+    for side in (np.zeros(300, np.int64), rng.integers(0, 2, 300)):
+        linked = x @ x.T >= 0.95
+        np.fill_diagonal(linked, False)
+        linked &= ~(shared[:, None] & shared[None, :])
+        if side.any():
+            linked &= side[:, None] != side[None, :]
+        count, edges = embedding_dedup.compare(ids, weight, x, side, np.flatnonzero(shared), np.full(shared.sum(), 7), 0.95)
+        assert count.tolist() == (linked @ weight).tolist() and count.any()
+        assert all(linked[a - 1000, b - 1000] for a, b in edges)
+        n = list(range(300))
+        assert roots(n, [(a - 1000, b - 1000) for a, b in edges]) == roots(n, list(zip(*np.nonzero(linked))))
+        assert len(edges) == 300 - len(set(roots(n, list(zip(*np.nonzero(linked)))).values()))
+
+
 def test_vectors_odd_rows(spark, odd_vectors):
     got = {(r.id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(odd_vectors).collect()}
     assert (50, 3, 1, False) in got and (2, 3, 1, False) in got and (1, 3, 1, True) in got
