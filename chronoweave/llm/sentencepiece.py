@@ -5,8 +5,9 @@ that ends at each position (its state's piece and those along its output links);
 highest total score is the segmentation. A character that no way covers costs ``UNKNOWN_PENALTY`` below the lowest score and
 becomes its bytes' pieces, or the unknown id in a model without these.
 
-This is the unigram reading of a model: of all segmentations the one with the highest sum of scores. For a model trained as BPE,
-whose scores are merge ranks, it is not always what the merges give; decoding is the same.
+This is the unigram reading of a model: of all segmentations the most probable one, scores being log probabilities. A model trained
+as BPE gives merge ranks instead, whose sums mean nothing; there a piece of rank r counts as one of frequency 1 / (r + ``RANK_OFFSET``),
+the law by which frequencies fall with ranks. The result is not always what the merges give; decoding is the same.
 
 Text is taken as it is but for spaces, which become the mark, and one mark put in front, as models with an identity
 normaliser say. ``decode`` undoes both, so that the round trip is exact but for marks in the text, which read back as spaces.
@@ -19,6 +20,7 @@ wins. Rows are independent: repeated rows, null ids and extra columns change not
 from __future__ import annotations
 
 import array
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,9 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._chunks import ChunkCache
+from ._common import fresh
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+RANK_OFFSET = 100
 
 
 def model_path() -> str:
@@ -48,6 +52,9 @@ class Pieces:
 
         sp = sentencepiece.SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
+        scores = [sp.get_score(i) for i in range(n)]
+        if all(s <= 0 and s == int(s) for s in scores):  # whole numbers are ranks
+            scores = [-math.log(RANK_OFFSET - s) for s in scores]
         self.names = [sp.id_to_piece(i) for i in range(n)]
         self.unknown = sp.unk_id()
         self.bytes = [-1] * 256
@@ -58,9 +65,8 @@ class Pieces:
             if sp.is_byte(i):
                 self.bytes[int(name[1:-1], 16)] = i
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                score = sp.get_score(i)
-                self.automaton.add_word(name, (i, len(name), score))
-                self.lowest = min(self.lowest, score)
+                self.automaton.add_word(name, (i, len(name), scores[i]))
+                self.lowest = min(self.lowest, scores[i])
                 self.plain[i] = True
                 if "\n" in name or MARK in name.lstrip(MARK):
                     raise ValueError(f"piece {name!r} may join words; such models need whole texts as chunks")
@@ -193,11 +199,11 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
 
 
 def decode(coded: DataFrame, path: str | None = None, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
-    """All columns of ``coded`` with the ids' text as the last one; null for null ids."""
+    """All columns of ``coded`` with the ids' text as the last one (named text, made free of clashes); null for null ids."""
     names = coded.columns
-    at = names.index(ids_col)
+    at, text = names.index(ids_col), fresh(text_col, names)
     path = path or model_path()
-    schema = coded.select("*", F.lit(None).cast("string").alias(text_col)).schema
+    schema = coded.select("*", F.lit(None).cast("string").alias(text)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
@@ -207,7 +213,7 @@ def decode(coded: DataFrame, path: str | None = None, ids_col: str = "ids", text
                 col = b.column(at)
                 ends, flat, valid = col.offsets.to_numpy(), col.values.to_numpy(), col.is_valid().to_pylist()
                 texts = [model.decode(flat[ends[i] : ends[i + 1]]) if valid[i] else None for i in range(len(b))]
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*names, text_col])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*names, text])
 
     return coded.mapInArrow(run, schema)
 

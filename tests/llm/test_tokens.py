@@ -84,11 +84,37 @@ def test_viterbi_is_best_and_round_trips(model, text):
         assert score(model, ids.tolist()) == pytest.approx(brute(model, (" " + text).replace(" ", sentencepiece.MARK)))
 
 
+def test_pieces_are_nearly_those_of_the_merges(spark, model):
+    """The model was trained as BPE: the most probable pieces are often, not always, those that its merges give."""
+    import sentencepiece as library
+
+    merges = library.SentencePieceProcessor(model_file=sentencepiece.model_path())
+    texts = [r.text[:3000] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect() if r.text]
+    words = {w for t in texts for w in t.split()}
+    own = {w: model.segment(sentencepiece.MARK + w) for w in words}
+    assert np.mean([own[w] == merges.encode(w) for t in texts for w in t.split()]) > 0.75
+    assert abs(sum(len(model.encode(t)) // 4 for t in texts) / sum(map(len, merges.encode(texts))) - 1) < 0.02
+
+
+def test_op2_equals_the_model_on_every_document(spark, model):
+    """The query's ids, counts and checksums against a plain loop with brute-force scores on short texts."""
+    sf = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r.doc_id: r for r in sentencepiece.op2_sentencepiece(spark, sf).collect()}
+    assert got.keys() == docs.keys()
+    for k, text in docs.items():
+        assert got[k].n_ids == len(got[k].ids) and got[k].decoded_crc32 == zlib.crc32(text.encode())
+        if len(text) < 400:
+            assert score(model, got[k].ids) == pytest.approx(brute(model, (" " + text).replace(" ", sentencepiece.MARK)))
+
+
 def test_sentencepiece_rows(spark, odd_docs, no_docs):
     back = sentencepiece.decode(sentencepiece.encode(odd_docs).withColumnRenamed("ids", "ids"))
     want = sorted(str(r.text) for r in odd_docs.collect())
     assert sorted(str(r.text) for r in back.collect()) == want
     assert back.where("text is null and ids is null").count() == 2
+    clash = sentencepiece.decode(sentencepiece.encode(odd_docs).withColumn("text", sentencepiece.F.lit("x")))
+    assert clash.columns == ["doc_id", "ids", "text", "text_"] and clash.select("text", "text_").where("text_ is null").count() == 2
     assert sentencepiece.decode(sentencepiece.encode(no_docs)).count() == 0
 
 
