@@ -48,7 +48,7 @@ SMALL_BUCKET = 8
 BLOCK = 256
 BLOCK_WORDS = 500_000
 #: Members that a hash deals into one lot, on average, before it is cut into blocks.
-LOT = 4096
+LOT = 1024
 #: Pairs with the same first text that one task compares, on average.
 PART = 256
 
