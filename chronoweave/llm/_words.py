@@ -70,7 +70,7 @@ def shingles(doc: np.ndarray, hashes: np.ndarray, width: int) -> tuple[np.ndarra
     s = np.zeros(n, np.uint64)
     length = np.zeros(n, np.int64)
     for k in range(width):
-        m = n - k
+        m = max(0, n - k)
         same = doc[k:] == doc[:m]
         s[:m] = np.where(same, s[:m] * q + hashes[k:], s[:m])
         length[:m] += same
