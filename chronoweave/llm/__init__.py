@@ -28,6 +28,11 @@ def queries() -> dict[str, Callable]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import topk
-
-    return {"op7_exact_top_k": topk.ORACLE_SQL}
+    from . import embedding_dedup, minhash, sharding, topk
+
+    return {
+        "op3_sharding": sharding.ORACLE_SQL,
+        "op5_embedding_near_dedup": embedding_dedup.ORACLE_SQL,
+        "op7_exact_top_k": topk.ORACLE_SQL,
+        "op8_minhash_near_dedup": minhash.ORACLE_SQL,
+    }

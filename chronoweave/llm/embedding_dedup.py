@@ -38,7 +38,7 @@ TREES = 6
 #: Half the width of the overlap, in units of the spread that a just similar pair has along a direction.
 SPILL = 0.6
 #: Bounded sample that the trees are fitted on.
-FIT_ROWS = 100_000
+FIT_ROWS = 20_000
 #: Rows of one label that a leaf is meant to hold; a leaf with more than two blocks is cut into blocks of so many rows.
 LEAF = 6000
 BLOCK = 6000
@@ -275,3 +275,26 @@ def _unit(x: np.ndarray) -> np.ndarray:
 def op5_embedding_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings."""
     return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).withColumnRenamed("id", "vec_id")
+
+
+#: All pairs of a label, and the smallest id spread along the links until nothing changes.
+ORACLE_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, list_transform(list_filter(embedding, lambda x: x IS NOT NULL), lambda x: CAST(x AS DOUBLE)) AS e,
+    vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS ok
+  FROM embeddings
+), u AS (
+  SELECT r, vec_id, label, list_transform(e, lambda x: x / norm) AS e FROM (SELECT *, sqrt(list_inner_product(e, e)) AS norm FROM v WHERE ok)
+), link AS (
+  SELECT a.r, a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.r <> b.r WHERE list_inner_product(a.e, b.e) >= 0.98
+), edge AS (SELECT DISTINCT a, b FROM link WHERE a <> b
+), reach(id, least) USING KEY (id) AS (
+  SELECT vec_id, vec_id FROM (SELECT DISTINCT vec_id FROM u)
+  UNION
+  SELECT e.b, min(r.least) FROM reach r JOIN edge e ON e.a = r.id JOIN recurring.reach o ON o.id = e.b GROUP BY e.b HAVING min(r.least) < min(o.least)
+), n AS (SELECT r, count(*) AS n FROM link GROUP BY r)
+SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, CASE WHEN ok THEN least ELSE vec_id END AS component_id,
+  coalesce(vec_id = CASE WHEN ok THEN least ELSE vec_id END, TRUE) AS kept
+FROM v LEFT JOIN n USING (r) LEFT JOIN reach ON reach.id = vec_id
+"""

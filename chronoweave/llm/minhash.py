@@ -379,3 +379,33 @@ def op8_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: one row per document with its class and component."""
     found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return found.select(F.col("id").alias("doc_id"), "class_id", "component_id", "kept")
+
+
+#: Shingle multisets of all word sequences, compared where they share a shingle.
+ORACLE_SQL = """
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\\t\\n\\x0B\\f\\r ]+'), lambda w: w <> '') AS w
+  FROM documents
+), class AS (
+  SELECT w, min(doc_id) AS class_id FROM d WHERE doc_id IS NOT NULL AND len(w) > 0 GROUP BY w
+), word AS (
+  SELECT class_id, len(w) AS n, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM class
+), shingle AS (
+  SELECT class_id, concat_ws(' ', x, lead(x, 1) OVER p, lead(x, 2) OVER p, lead(x, 3) OVER p, lead(x, 4) OVER p) AS x
+  FROM word WINDOW p AS (PARTITION BY class_id ORDER BY i) QUALIFY i <= greatest(n - 4, 1)
+), bag AS (
+  SELECT class_id, x, count(*) AS n FROM shingle GROUP BY class_id, x
+), size AS (SELECT class_id, sum(n) AS n FROM bag GROUP BY class_id
+), common AS (
+  SELECT a.class_id AS a, b.class_id AS b, sum(least(a.n, b.n)) AS shared FROM bag a JOIN bag b ON a.x = b.x AND a.class_id <> b.class_id GROUP BY 1, 2
+), edge AS (
+  SELECT a, b FROM common JOIN size p ON p.class_id = a JOIN size q ON q.class_id = b WHERE shared >= 0.8 * (p.n + q.n - shared)
+), reach(id, least) USING KEY (id) AS (
+  SELECT class_id, class_id FROM class
+  UNION
+  SELECT e.b, min(r.least) FROM reach r JOIN edge e ON e.a = r.id JOIN recurring.reach o ON o.id = e.b GROUP BY e.b HAVING min(r.least) < min(o.least)
+)
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, coalesce(least, doc_id) AS component_id, coalesce(coalesce(least, doc_id) = doc_id, TRUE) AS kept
+FROM d LEFT JOIN class ON class.w = d.w AND doc_id IS NOT NULL LEFT JOIN reach ON reach.id = class_id
+"""

@@ -62,3 +62,31 @@ def op3_sharding(spark, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of nearly equal bytes."""
     out = shard_by_bytes(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
     return out.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _crc_table() -> str:
+    """The remainders of all bytes under the polynomial of crc32, as an SQL list."""
+    table = []
+    for v in range(256):
+        for _ in range(8):
+            v = v >> 1 ^ (0xEDB88320 if v & 1 else 0)
+        table.append(v)
+    return f"[{', '.join(map(str, table))}]"
+
+
+ORACLE_SQL = f"""
+WITH d AS (
+  SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size,
+         list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bytes
+  FROM documents
+), s AS (
+  SELECT doc_id, size, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), bytes), lambda a, b: xor(a >> 8, {_crc_table()}[(xor(a, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM d
+), p AS (
+  SELECT *, sum(size) OVER w - size AS before, sum(size) OVER () AS total, row_number() OVER w AS place
+  FROM s WINDOW w AS (ORDER BY doc_id NULLS FIRST, text_crc32, size ROWS UNBOUNDED PRECEDING)
+), q AS (
+  SELECT *, CAST(least(15, (before * 2 + size) * 16 // (2 * total)) AS INTEGER) AS shard FROM p
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, place - min(place) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM q
+"""

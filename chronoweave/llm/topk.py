@@ -154,7 +154,7 @@ def op7_exact_top_k(spark, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  SELECT vec_id, list_transform(list_filter(embedding, lambda x: x IS NOT NULL), lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
   FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0

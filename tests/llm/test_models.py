@@ -198,11 +198,36 @@ def test_main_path_is_native(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
-def test_top_k_oracle(spark):
+@pytest.mark.parametrize("name", ["op3_sharding", "op5_embedding_near_dedup", "op7_exact_top_k", "op8_minhash_near_dedup"])
+def test_query_equals_sql(spark, name):
     from chronoweave.llm import oracle_sql, queries
 
     c = duckdb.connect()
-    c.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
-    cols = ["query_id", "rank", "vec_id", "score"]
-    want = c.execute(f"SELECT {', '.join(cols)} FROM ({oracle_sql()['op7_exact_top_k']})").fetchall()
-    assert sorted(tuple(r) for r in queries()["op7_exact_top_k"](spark, SF).select(*cols).collect()) == sorted(want)
+    for table in ("documents", "embeddings"):
+        c.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    df = queries()[name](spark, SF)
+    want = c.execute(oracle_sql()[name])
+    cols = [d[0] for d in want.description]
+    assert sorted(cols) == sorted(df.columns)
+    assert sorted(str(tuple(r)) for r in df.select(cols).collect()) == sorted(map(str, want.fetchall()))
+
+
+@pytest.mark.parametrize("name", ["op5_embedding_near_dedup", "op8_minhash_near_dedup"])
+def test_sql_on_links_and_odd_rows(spark, tmp_path, name, odd_docs, odd_vectors):
+    """The SQL itself, on tables that hold what the small tables lack: links of vectors, nulls, repeated ids."""
+    from chronoweave.llm import embedding_dedup, minhash, oracle_sql
+
+    rng = np.random.default_rng(5)
+    near = [(200 + i, (np.ones(4) + 0.1 * rng.standard_normal(4)).tolist(), 10 + i % 3) for i in range(60)]
+    vectors = odd_vectors.select("vec_id", "embedding", "label").where("vec_id is null or vec_id not in (1, 10)").unionByName(spark.createDataFrame(near, "vec_id long, embedding array<float>, label int"))
+    vectors.where("size(embedding) in (2, 4) or embedding is null").write.parquet(str(tmp_path / "embeddings.parquet"))
+    odd_docs.where("doc_id is null or doc_id not in (1, 2)").select("doc_id", "text").write.parquet(str(tmp_path / "documents.parquet"))
+    c = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        c.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
+    query = {"op5_embedding_near_dedup": embedding_dedup.op5_embedding_near_dedup, "op8_minhash_near_dedup": minhash.op8_minhash_near_dedup}[name]
+    df = query(spark, str(tmp_path))
+    got = sorted(str(tuple(r)) for r in df.collect())
+    want = c.execute(oracle_sql()[name])
+    cols = [d[0] for d in want.description]
+    assert cols == df.columns and got == sorted(map(str, want.fetchall()))
