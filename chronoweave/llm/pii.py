@@ -1,8 +1,9 @@
 """Personal data: regular expressions propose spans, checksums confirm them, nearby context words adjust the score.
 
 ``find`` works on one text, ``detect`` on a DataFrame, ``redact`` replaces what was found. Base kinds (email, ip, card,
-phone) are confirmed by shape and checksum alone; context only moves their score. The other kinds (iban: mod-97; ssn and
-secret: shapes that are common by chance) count from ``MIN_SCORE`` on, which the last two reach only by context words.
+phone) are confirmed by shape and checksum alone; context only moves their score. The other kinds (iban: mod-97; jwt: its
+coded head; ssn and secret: shapes that are common by chance) count from ``MIN_SCORE`` on, which the last two reach only by context words. Words
+before and behind a match raise its score, others before it lower it.
 
 Nulls, empties: a null or empty text has no spans. Each row is judged by itself, so repeated rows, ties, null ids and extra
 columns change nothing. Every expression runs in time linear in the text.
@@ -20,13 +21,15 @@ from pyspark.sql import functions as F
 from ._common import fresh
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = (*BASE, "iban", "ssn", "secret")
+KINDS = (*BASE, "iban", "ssn", "secret", "jwt")
 #: What a match is worth before its context is read.
-SHAPE_SCORE = {"email": 0.95, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "ssn": 0.35, "secret": 0.3}
+SHAPE_SCORE = {"email": 0.95, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "ssn": 0.35, "secret": 0.3, "jwt": 0.7}
 MIN_SCORE = 0.5
 CONTEXT_BONUS = 0.35
-#: Code points before a match that are read for context words.
+CONTEXT_PENALTY = 0.2
+#: Code points before and behind a match that are read for context words.
 CONTEXT_WIDTH = 48
+CONTEXT_BEHIND = 24
 CONTEXT = {
     "email": re.compile(r"e-?mail|contact|mailto|write to", re.I),
     "ip": re.compile(r"\bip\b|address|host|server", re.I),
@@ -35,6 +38,16 @@ CONTEXT = {
     "iban": re.compile(r"iban|account|bank|konto|cuenta|compte", re.I),
     "ssn": re.compile(r"ssn|social security|tax id", re.I),
     "secret": re.compile(r"token|secret|api[_ -]?key|passw(?:or)?d|bearer", re.I),
+    "jwt": re.compile(r"token|secret|authori[sz]ation|bearer|cookie", re.I),
+}
+#: Words before a match that speak against it.
+CONTEXT_AGAINST = {
+    "ip": re.compile(r"version|release|build|chapter|section", re.I),
+    "card": re.compile(r"order|invoice|isbn|serial|tracking|barcode", re.I),
+    "phone": re.compile(r"order|invoice|serial|tracking|tax", re.I),
+    "iban": re.compile(r"serial|part no|model", re.I),
+    "ssn": re.compile(r"order|invoice|serial|part no|model", re.I),
+    "secret": re.compile(r"checksum|sha-?\d+|md5|commit|digest", re.I),
 }
 #: Possessive forms: a failed match gives up at once, so long runs cost no backtracking.
 AT = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -58,6 +71,10 @@ SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 #: A secret: a run with a digit, from its start or from behind a mark in it to its end.
 SECRET = re.compile(r"[A-Za-z0-9_/+-]{24,}+")
 LEAST_SECRET = 24
+#: What may follow a secret behind a dot and still be part of it.
+SECRET_REST = re.compile(r"(?:\.[A-Za-z0-9_/+-]{8,}+)++")
+#: A signed web token: its head is coded JSON, which always begins so.
+JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{4,}+(?:\.[A-Za-z0-9_-]*+)?")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _DOUBLED = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
@@ -149,7 +166,8 @@ def _secrets(text: str) -> Iterator[tuple[int, int]]:
             if at > word + CONTEXT_WIDTH:
                 break
             if end - at >= LEAST_SECRET and digit >= at:
-                yield at, end
+                rest = SECRET_REST.match(text, end)
+                yield at, rest.end() if rest else end
                 break
 
 
@@ -160,6 +178,8 @@ def _added(text: str) -> Iterator[tuple[str, int, int]]:
         yield "ssn", m.start(), m.end()
     for start, end in _secrets(text):
         yield "secret", start, end
+    for m in JWT.finditer(text):
+        yield "jwt", m.start(), m.end()
 
 
 def find(text: str | None) -> list[Span]:
@@ -171,9 +191,14 @@ def find(text: str | None) -> list[Span]:
         out |= dict.fromkeys(_added(text))
     spans = []
     for kind, start, end in out:
-        near = CONTEXT[kind].search(text, max(0, start - CONTEXT_WIDTH), start)
-        score = min(1.0, SHAPE_SCORE[kind] + (CONTEXT_BONUS if near else 0.0))
-        if kind in BASE or score >= MIN_SCORE:
+        before, behind = text[max(0, start - CONTEXT_WIDTH) : start], text[end : end + CONTEXT_BEHIND]
+        score = SHAPE_SCORE[kind]
+        if CONTEXT[kind].search(before) or CONTEXT[kind].search(behind):
+            score += CONTEXT_BONUS
+        if kind in CONTEXT_AGAINST and CONTEXT_AGAINST[kind].search(before):
+            score -= CONTEXT_PENALTY
+        score = min(1.0, score)
+        if kind in BASE or score >= MIN_SCORE - 1e-9:
             spans.append((kind, start, end, score))
     return sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1]))
 
@@ -256,4 +281,4 @@ def op1_pii(spark, sf_dir: str) -> DataFrame:
     def count(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", *[count(k) for k in BASE], F.sha2(joined(F.lit(True)), 256).alias("base_sha256"), joined(None).alias("spans"), *[count(k) for k in KINDS[4:]])
+    return found.select("doc_id", *[count(k) for k in BASE], F.sha2(joined(F.lit(True)), 256).alias("base_sha256"), joined(None).alias("spans"), F.array_join(F.transform("spans", lambda s: F.format_string("%.2f", s["score"])), ",").alias("scores"), *[count(k) for k in KINDS[4:]])

@@ -2,6 +2,7 @@ import hashlib
 import re
 import time
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -48,6 +49,24 @@ def test_examples_and_context():
     assert pii.mask("x a@b.cd y", pii.find("x a@b.cd y")) == "x <EMAIL> y"
 
 
+def test_context_on_both_sides_moves_scores():
+    score = lambda text, kind: [s[3] for s in pii.find(text) if s[0] == kind]
+    assert score("at 10.1.2.3 now", "ip") == [0.6] and score("host 10.1.2.3", "ip") == [0.95] and score("10.1.2.3 is the host", "ip") == [0.95]
+    assert score("version 10.1.2.3", "ip") == [0.6 - pii.CONTEXT_PENALTY]  # a base kind stays
+    assert score("123-45-6789 is my SSN", "ssn") == [0.7] and not score("order 123-45-6789", "ssn")
+    assert score("order, ssn 123-45-6789", "ssn") == [pytest.approx(0.5)]
+
+
+def test_dotted_tokens_are_found_whole():
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.dozjgNryP4J3jVmNHl0w5N_XgL0n3I9PlFUP0THsR8U"
+    assert pii.mask(f"Authorization: Bearer {jwt}, end", pii.find(f"Authorization: Bearer {jwt}, end")) == "Authorization: Bearer <SECRET>, end"
+    assert pii.mask(f"seen {jwt} here", pii.find(f"seen {jwt} here")) == "seen <JWT> here"
+    dotted = "api_key=" + "a1" * 12 + "." + "b2" * 12 + "."
+    assert pii.mask(dotted, pii.find(dotted)) == "api_key=<SECRET>."
+    for run in ("eyJ" * 60_000, "eyJaaaaaaaa." * 15_000, "token " + ("a1" * 12 + ".") * 8_000):
+        pii.find(run)
+
+
 def test_iban_ends_before_other_capitals():
     for head in ("DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "ZZ43 0000 0000 0012 3"):
         for tail in ("", " BIC COBADEFF", " 2024", " X", ", EUR 5", " DE89 3704 0044 0532 0130 00"):
@@ -108,3 +127,4 @@ def test_query_digest(spark):
         assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(b[0] == k for b in base) for k in pii.BASE]
         assert set(filter(None, text.split(","))) <= set(r.spans.split(","))
+        assert len(r.spans.split(",")) == len(r.scores.split(","))
