@@ -140,6 +140,13 @@ def test_minhash_odd_rows(spark, odd_docs, no_docs):
     assert minhash.near_duplicates(no_docs).count() == 0 and minhash.drop_near_duplicates(no_docs).count() == 0
 
 
+def test_drop_keeps_a_defined_row(spark):
+    rows = [(1, "b", prose(1)), (1, "a", prose(1)), (2, "c", prose(2)), (2, "c", prose(3)), (5, "d", prose(1)), (6, "e", "Few words")]
+    docs = spark.createDataFrame(rows, "id long, copies string, text string").repartition(3)
+    got = sorted((r.id, r.copies, r.text) for r in minhash.drop_near_duplicates(docs, id_col="id").collect())
+    assert got == sorted([(1, "a", prose(1)), (2, "c", prose(2)), (2, "c", prose(3)), (6, "e", "Few words")])
+
+
 def cosine_links(rows):
     x = np.array([v for _, v, _ in rows], np.float64)
     x /= np.linalg.norm(x, axis=1, keepdims=True)

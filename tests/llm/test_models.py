@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -34,6 +35,65 @@ def test_kneser_ney_probabilities_sum_to_one():
         assert total == pytest.approx(1.0, abs=1e-4)
 
 
+def plain_kneser_ney(texts, order):
+    """Probability of a symbol after a context, straight from the definition, with tuples and dictionaries."""
+    counts = [Counter() for _ in range(order)]
+    for t in texts:
+        padded = (0,) * (order - 1) + tuple(t)
+        for i in range(order - 1, len(padded)):
+            for n in range(order):
+                counts[n][padded[i - n : i + 1]] += 1
+    for n in range(order - 1):  # lower orders: by how many symbols an n-gram is preceded
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+    discount, total, follow = [], [], []
+    for c in counts:
+        n1, n2 = (sum(v == k for v in c.values()) for k in (1, 2))
+        discount.append(min(0.95, max(0.1, n1 / (n1 + 2 * n2))) if n1 + n2 else 0.5)
+        total.append(Counter())
+        follow.append(Counter())
+        for g, v in c.items():
+            total[-1][g[:-1]] += v
+            follow[-1][g[:-1]] += 1
+
+    def probability(context, symbol):
+        n = len(context)
+        if n == 0:
+            spare = discount[0] * len(counts[0]) / total[0][()]
+            return max(counts[0][(symbol,)] - discount[0], 0) / total[0][()] + spare / (len(counts[0]) + 1)
+        low = probability(context[1:], symbol)
+        if not total[n][context]:
+            return low
+        return max(counts[n][(*context, symbol)] - discount[n], 0) / total[n][context] + discount[n] * follow[n][context] / total[n][context] * low
+
+    return probability
+
+
+def test_kneser_ney_equals_a_plain_one():
+    samples = {"a": ["the cat sat on the mat and the dog sat too", "a cat and a dog ran to the mat", "Then, the end."], "b": ["el gato y el perro", "la casa de la abuela está aquí"]}
+    model = langid.fit(samples)
+    probes = [langid.encode(t) for t in ("the cat is here", "el perro de aquí", "zzz q")]
+    got = model.totals(probes)[0]
+    for j, name in enumerate(model.languages):
+        plain = plain_kneser_ney([tuple(langid.encode(t).tolist()) for t in samples[name]], langid.ORDER)
+        for i, t in enumerate(probes):
+            padded = (0,) * (langid.ORDER - 1) + tuple(t.tolist())
+            want = sum(np.log(plain(padded[k - langid.ORDER + 1 : k], padded[k])) for k in range(langid.ORDER - 1, len(padded)))
+            assert got[i, j] == pytest.approx(want, abs=1e-3)
+
+
+def test_sample_is_bounded_and_counts_texts_once(spark):
+    hot = spark.range(200_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("one hot text that fills a third of all rows").alias("text"), F.lit("en").alias("lang"), F.lit(1).alias("quality"))
+    rest = spark.createDataFrame([(100 + i, f"plain text number {i} of a language", "en" if i % 2 else "xx") for i in range(3000)] + [(9000, "long words here " * 40_000, "yy")], "doc_id long, text string, lang string")
+    docs = hot.select("doc_id", "text", "lang").unionByName(rest)
+    got = Counter(r.lang for r in langid.sample(docs).collect())
+    assert got["en"] == got["xx"] == langid.PER_LANGUAGE and got["yy"] == 1  # a language of long texts only is learned
+    assert langid.train(docs).languages == ["en", "xx", "yy"]
+    with pytest.raises(ValueError, match="labels"):
+        langid.sample(docs, languages=2)
+    labels = rest.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("quality")).unionByName(spark.createDataFrame([(7, 1)], "doc_id long, quality int"))
+    assert quality.train(docs, labels, per_class=50).weights is not None
+
+
 def test_language_accuracy_and_rejection(spark):
     docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = langid.op6_language_id(spark, SF).collect()
@@ -92,6 +152,28 @@ def test_quality_of_held_out_documents(spark):
     assert np.mean([r.predicted == labels[r.doc_id] for r in test]) > 0.95
 
 
+def test_scores_equal_marginals_by_enumeration():
+    """A document's score: lines' marginals by enumeration, weighted by length, through the curve."""
+    good = "Every line of this text is a sentence.\nSo is the next one, with a few more words.\nAnd it ends here."
+    bad = "BUY NOW !!! $$$ ###\nclick click click click\n%%% $$ !!!"
+    model = quality.fit([good, bad, good + "\n" + good, bad + "\n" + bad] * 6, [1, 0, 1, 0] * 6, 0.6)
+    texts = [good, bad, good + "\n" + bad, "One line only.", ""]
+    import pyarrow as pa
+
+    from chronoweave.llm._common import utf8
+
+    got = model.score(*utf8(pa.array(texts)))
+    for text, score in zip(texts, got):
+        if not text:
+            assert score == 0.6
+            continue
+        doc, size, x = quality.line_features(*utf8(pa.array([text])))
+        marg = forward_backward_by_enumeration(model.node(doc, x), model.link)
+        p = np.clip((marg * size).sum() / size.sum(), 1e-4, 1 - 1e-4)
+        assert score == pytest.approx(1 / (1 + np.exp(-(model.curve[0] * np.log(p / (1 - p)) + model.curve[1]))), abs=1e-6)
+    assert got[0] > 0.7 > 0.3 > got[1]
+
+
 def test_quality_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, None, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     assert {r.quality_score for r in quality.predict(odd_docs, quality.train(odd_docs, labels)).collect()} == {0.5}
