@@ -40,9 +40,20 @@ def test_stages(spark, tmp_path):
 
 
 def test_stages_on_odd_rows(spark, odd_docs, no_docs):
-    for docs in (odd_docs.select("doc_id", "text", "lang", "source", "n_chars"), no_docs.select("doc_id", "text", "lang", "source", "n_chars")):
-        for _, stage in corpus_pipeline.STAGES:
-            stage(spark, docs, SF).count()
+    # with columns named as the stages' own ones
+    clashing = odd_docs.withColumns({c: odd_docs.n_chars for c in ("quality_score", "lang_pred", "rejected", "masked_text", "was_masked", "near_duplicate_id", "component", "h1")})
+    for docs, n in ((clashing, None), (no_docs, 0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, SF)
+            rows = out.collect()
+            assert n is None or len(rows) == n
+            if name != "packing":
+                assert out.columns == docs.columns
+    ids = [r.doc_id for r in corpus_pipeline.STAGES[2][1](spark, clashing, SF).collect()]
+    assert ids.count(1) == 1 and ids.count(None) == 2 and {3, 4, 5, 9} <= set(ids)
+    assert sorted(map(str, corpus_pipeline.STAGES[3][1](spark, clashing, SF).collect())) == sorted(map(str, clashing.collect()))
+    known = clashing.withColumn("lang", clashing.source)
+    assert {r.doc_id for r in corpus_pipeline.STAGES[0][1](spark, known, SF).collect()}.isdisjoint({3, 4, 5, 9})
 
 
 def test_run(spark):
