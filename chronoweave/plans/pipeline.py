@@ -8,6 +8,7 @@ import json
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from importlib.metadata import entry_points
 
 import yaml
 from pyspark.sql import DataFrame, SparkSession
@@ -162,6 +163,16 @@ def stage(name: str) -> Callable[[Stage], Stage]:
     return add
 
 
+def stage_named(name: str) -> Stage:
+    """A registered stage, or one that an installed package offers as entry point of group ``chronoweave.stages``."""
+    if name not in STAGES:
+        for point in entry_points(group="chronoweave.stages", name=name):
+            STAGES[name] = point.load()
+    if name not in STAGES:
+        raise KeyError(f"no stage {name}; there are {', '.join(STAGES)}")
+    return STAGES[name]
+
+
 @stage("raw_tables")
 def raw_tables(c: Context) -> None:
     """Find and check the raw tables; only needed columns go on. CSV tables are written once as Parquet, typed."""
@@ -171,7 +182,7 @@ def raw_tables(c: Context) -> None:
         raise FileNotFoundError(f"no data files of {', '.join(missing)} below {c.input_dir}")
     for name, path in found.items():
         df = readers.read_table(c.spark, path, typed=False)
-        df = readers.require(df, need[name], name).select(*[F.col(f"`{x}`") for x in need[name]])
+        df = readers.require(df, need[name], name, path).select(*[F.col(f"`{x}`") for x in need[name]])
         c.tables[f"raw/{name}"] = materialize(readers.promote(df), "raw") if readers.is_text(c.spark, path) else df
 
 
@@ -223,8 +234,8 @@ def run(spark: SparkSession, spec_path: str, input_dir: str, output_dir: str, op
     outputs = [c.data, *[f"{c.metadata}/{n}" for n in ("codes.parquet", "subject_splits.parquet", "dataset.json", ".shards.json", "spec.yaml")]]
     if not options.do_overwrite and (there := [o for o in outputs if files.exists(spark, o)]):
         raise FileExistsError(f"{', '.join(there)} exist; set do_overwrite to replace them")
-    for name in stages or list(STAGES):
-        STAGES[name](c)
+    for run_stage in [stage_named(name) for name in stages or list(STAGES)]:
+        run_stage(c)
     return {"data": c.data, "metadata": c.metadata}
 
 

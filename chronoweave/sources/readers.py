@@ -140,12 +140,16 @@ def ends_of(df: DataFrame, n: int = 10) -> tuple[list[Row], list[Row]]:
     return df.head(n), df.tail(n)
 
 
-def require(df: DataFrame, columns: list[str], name: str) -> DataFrame:
-    """``df``, checked to have columns and rows."""
+def require(df: DataFrame, columns: list[str], name: str, path=None) -> DataFrame:
+    """``df``, checked to have columns and rows; of a text file at ``path`` without rows the message shows the first and last lines."""
     if missing := sorted(set(columns) - set(df.columns)):
         raise ValueError(f"table {name} lacks columns {', '.join(missing)}; it has {', '.join(df.columns)}")
     if df.isEmpty():
-        raise ValueError(f"table {name} has no rows, only the columns {', '.join(df.columns)}")
+        shown = ""
+        if path is not None and is_text(df.sparkSession, path):
+            first, last = ends_of(df.sparkSession.read.text(files.literal(path)))
+            shown = f"; it begins with {[r[0] for r in first]} and ends with {[r[0] for r in last]}"
+        raise ValueError(f"table {name} has no rows, only the columns {', '.join(df.columns)}{shown}")
     return df
 
 

@@ -95,6 +95,8 @@ def test_stages_of_ones_own(spark, inputs):
     seen = []
     try:
         pipeline.run(spark, f"file://{inputs}/spec.yaml", f"file://{inputs}/raw", f"file://{inputs}/out", pipeline.Options(split_by="hash"), ["raw_tables", "subjects", "count-subjects", "cohort"])
+        with pytest.raises(KeyError, match="no stage nothing"):
+            pipeline.stage_named("nothing")
         with pytest.raises(ValueError, match="registered"):
             pipeline.stage("count-subjects")(count)
     finally:

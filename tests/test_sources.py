@@ -40,8 +40,8 @@ def test_unsupported_and_empty(spark, tmp_path):
         readers.read_table(spark, tmp_path / "t.json")
     (tmp_path / "h.csv").write_text("a,b\n")
     df = readers.read_table(spark, tmp_path / "h.csv")
-    with pytest.raises(ValueError, match="no rows"):
-        readers.require(df, ["a"], "h")
+    with pytest.raises(ValueError, match="no rows.*begins with .'a,b'"):
+        readers.require(df, ["a"], "h", tmp_path / "h.csv")
     with pytest.raises(ValueError, match="lacks columns z"):
         readers.require(df, ["z"], "h")
 
