@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,11 +12,14 @@ log = logging.getLogger(__name__)
 
 #: Where a row stands in the specification: helper columns that take no part in being equal.
 ORDER = ("__table__", "__block__")
+#: More than a specification has tables, or a table has blocks.
+PLACES = 1 << 20
 
 
 def route(events: DataFrame, shards: DataFrame) -> DataFrame:
     """Events of known subjects with their split and shard; a subject in several splits has its rows in each, null ids go."""
-    return events.join(shards, "subject_id")
+    places = shards.select(*[c for c in ("subject_id", "split", "shard") if c in shards.columns]).distinct()
+    return events.join(places, "subject_id")
 
 
 def distinct_events(events: DataFrame, by: str | list[str] | None = "*", scope: tuple[str, ...] = ("shard",)) -> DataFrame:
@@ -32,9 +36,11 @@ def distinct_events(events: DataFrame, by: str | list[str] | None = "*", scope:
     if by == "*":
         if not helpers:
             return events.dropDuplicates()
-        first = F.min(F.struct(*helpers)).alias("__first__")
-        kept = events.groupBy(*[F.col(f"`{c}`") for c in data]).agg(first)
-        return kept.select(*data, *[F.col(f"__first__.{h}").alias(h) for h in helpers])
+        # one number, so that the aggregate hashes; a minimum of structs would sort
+        place = reduce(lambda acc, h: acc * PLACES + F.col(h), helpers, F.lit(0).cast("bigint"))
+        kept = events.groupBy(*[F.col(f"`{c}`") for c in data]).agg(F.min(place).alias("__first__"))
+        parts = {h: F.floor(F.col("__first__") / PLACES**i) % PLACES for i, h in enumerate(reversed(helpers))}
+        return kept.select(*[F.col(f"`{c}`") for c in data], *[parts[h].cast("int").alias(h) for h in helpers])
     if not isinstance(by, (list, tuple)) or not by:
         raise ValueError(f"unique_by must be '*', null or a list of columns, not {by!r}")
     keys = [c for c in by if c in data]

@@ -89,9 +89,16 @@ def shards_of(spark: SparkSession, people: DataFrame, options: Options, external
 
 
 def cohort_of(events: DataFrame, shards: DataFrame, options: Options | None = None) -> DataFrame:
-    """Routed, distinct, ordered and aligned events, with split and shard."""
+    """Routed, distinct, ordered and aligned events, with split and shard.
+
+    Rows that are equal in all columns go before routing: they are dealt by all columns, after each task has dropped its own, so a
+    subject with very many rows is no one task's work; nor is it in the join, whose skewed partitions adaptive execution splits.
+    """
     options = options or Options()
-    rows = cohort.distinct_events(cohort.route(events, shards), options.unique_by)
+    if options.unique_by == "*":
+        rows = cohort.route(cohort.distinct_events(events), shards)
+    else:
+        rows = cohort.distinct_events(cohort.route(events, shards), options.unique_by)
     return align.align_events(cohort.ordered(rows, options.additional_sort_by))
 
 
