@@ -47,8 +47,8 @@ BROADCAST_IDS = 500_000
 SMALL_BUCKET = 8
 BLOCK = 256
 BLOCK_WORDS = 500_000
-#: Members that a hash deals into one lot, on average, before it is cut into blocks.
-LOT = 1024
+#: Members that a hash deals into one lot, on average: most lots are one block.
+LOT = 200
 #: Pairs with the same first text that one task compares, on average.
 PART = 256
 
