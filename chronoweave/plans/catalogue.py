@@ -427,6 +427,50 @@ def all_rows(spark, sf_dir):
     return cohort.distinct_events(extract_event(rows, block, source_block=False, distinct=False), None).drop("code_components")
 
 
+_RUN_SPEC = """
+people:
+  subject_id_col: c_custkey
+  segment: {code: 'f"SEGMENT//{$c_mktsegment}"', time: null}
+  nation: {code: 'f"NATION//{$c_nationkey}"', time: null, _metadata: {nations: {c_nationkey: n_nationkey, description: n_name}}}
+visits/orders:
+  subject_id_col: o_custkey
+  transforms: {day: '$at as "%Y-%m-%d"'}
+  placed: {code: $o_orderstatus, time: $day, numeric_value: $o_totalprice}
+"""
+
+
+def _whole_run(spark, sf_dir) -> dict[str, str]:
+    """A run from files to files: a table named by its prefix only, one in a folder of gzipped CSV parts, metadata as CSV, a YAML specification."""
+    read, root = _reader(spark, sf_dir), files.scratch_path(spark, "run")
+    read("customer").select("c_custkey", "c_mktsegment", "c_nationkey").write.parquet(f"{root}/raw/people_0.parquet")
+    orders = read("orders").select("o_custkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("at"), "o_totalprice")
+    orders.repartition(3).write.csv(f"{root}/raw/visits/orders", header=True, compression="gzip")
+    read("nation").select("n_nationkey", "n_name").write.csv(f"{root}/raw/nations.csv", header=True)
+    files.write_text(spark, f"{root}/spec.yaml", _RUN_SPEC)
+    return pipeline.run(spark, f"{root}/spec.yaml", f"{root}/raw", f"{root}/out", pipeline.Options(n_subjects_per_shard=500))
+
+
+@query("""SELECT c_custkey AS subject_id, 'SEGMENT//' || c_mktsegment AS code, CAST(NULL AS TIMESTAMP) AS time, CAST(NULL AS DOUBLE) AS numeric_value, 'people/segment' AS source_block FROM customer UNION SELECT c_custkey, 'NATION//' || c_nationkey, NULL, NULL, 'people/nation' FROM customer UNION SELECT o_custkey, o_orderstatus, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP), CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE), 'visits/orders/placed' FROM orders""")
+def whole_run_events(spark, sf_dir):
+    got = spark.read.parquet(_whole_run(spark, sf_dir)["data"])
+    return got.select("subject_id", "code", "time", F.col("numeric_value").cast("double").alias("numeric_value"), "source_block")
+
+
+@query("""SELECT 'NATION//' || n_nationkey AS code, n_name AS description, 0 AS n_parents FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer)""")
+def whole_run_codes(spark, sf_dir):
+    got = spark.read.parquet(f"{_whole_run(spark, sf_dir)['metadata']}/codes.parquet")
+    return got.select("code", "description", F.size(F.coalesce("parent_codes", F.array())).alias("n_parents"))
+
+
+@query("""SELECT id AS subject_id, CAST(1 AS BIGINT) AS n_shards, TRUE AS same FROM (SELECT c_custkey AS id FROM customer UNION SELECT o_custkey FROM orders)""")
+def whole_run_splits(spark, sf_dir):
+    """The shard map, read back as JSON, against the table of splits."""
+    metadata = _whole_run(spark, sf_dir)["metadata"]
+    shards = subjects.external_splits(spark, f"{metadata}/.shards.json").select("subject_id", F.col("split").alias("shard"))
+    both = shards.join(spark.read.parquet(f"{metadata}/subject_splits.parquet"), "subject_id", "full")
+    return both.groupBy("subject_id").agg(F.count("shard").alias("n_shards"), F.every(F.coalesce(F.col("shard").startswith(F.concat("split", F.lit("/"))), F.lit(False))).alias("same"))
+
+
 # each block's place in the specification: table, then block
 _PLACES = "(VALUES ('customer/segment', 0), ('customer/balance', 1), ('customer/nation', 2), ('orders/placed', 3), ('lineitem/item', 4), ('events/activity', 5)) b(source_block, nth)"
 _SPLIT = "CASE WHEN subject_id % 10 < 8 THEN 'train' ELSE 'held_out' END"
