@@ -31,20 +31,23 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _own_dir[app]
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage is cut and a lost executor costs one reread."""
+def materialize(df: DataFrame, tag: str, files: int | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: lineage is cut and a lost executor costs one reread.
+
+    ``files``: how many files its rows fill at most, from a count that bounds them; many nearly empty files cost more than their rows.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df if files is None else df.coalesce(max(1, files))).write.parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._written_to = path
     return table
 
 
-def written(df: DataFrame, tag: str) -> tuple[DataFrame, int]:
+def written(df: DataFrame, tag: str, files: int | None = None) -> tuple[DataFrame, int]:
     """``materialize``, and the number of rows, which the write itself counts."""
     seen = Observation()
-    table = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), tag)
+    table = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")), tag, files)
     return table, seen.get.get("n", 0)
 
 

@@ -250,7 +250,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     found = materialize(tasks.groupBy("label", "leaf", "a", "b").applyInArrow(run, "a long, b long, links long"), "links")
     release(indexed, large)
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
-    united = components(found.where("b is not null"), "a", "b").withColumnRenamed("id", "u")
+    united = components(found.where("b is not null"), "a", "b")[0].withColumnRenamed("id", "u")
     named = classes.select(*names, "id", "copies").join(links, F.col("id") == F.col("a"), "left").join(united, F.col("id") == F.col("u"), "left")
     # only classes with copies or links say more than the row itself
     named = named.where("copies > 1 or links is not null").select(*names, "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("component", "id").alias("component"))

@@ -296,35 +296,42 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     class_id: smallest id with the same word sequence; component_id: smallest id reachable by links; kept: id = component_id.
     """
-    prints = materialize(fingerprint(docs, id_col, text_col, width, bands, rows), "prints")
+    return _groups(docs, id_col, text_col, threshold, width, bands, rows)[0]
+
+
+def _groups(docs: DataFrame, id_col: str, text_col: str, threshold: float = THRESHOLD, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, int]:
+    """What ``near_duplicates`` gives, and its number of rows."""
+    prints, n = written(fingerprint(docs, id_col, text_col, width, bands, rows), "prints")
     usable = prints.where("n_words > 0 and id is not null")
-    classes = materialize(usable.groupBy("h1", "h2").agg(F.min("id").alias("class_id"), F.count("*").alias("copies"), F.max("n_words").alias("n_words"), F.min_by("bands", "id").alias("bands")), "classes")
+    by_words = usable.groupBy("h1", "h2").agg(F.min("id").alias("class_id"), F.count("*").alias("copies"), F.max("n_words").alias("n_words"), F.min_by("bands", "id").alias("bands"))
+    classes, n_classes = written(by_words, "classes", _files(n, 20))
     member = classes.select(F.col("class_id").alias("id"), "n_words", F.explode("bands").alias("key"))
     # one text for each class name; a repeated id may name several classes, each with its own text
-    pairs, n_pairs = written(_through_least(member), "pairs")
+    pairs, n_pairs = written(_through_least(member), "pairs", _files(n_classes * bands, 500))
     texts = _texts(docs, pairs, id_col, text_col)
-    links = materialize(verify(pairs, texts, threshold, width), "links")
+    links = materialize(verify(pairs, texts, threshold, width), "links", _files(n_pairs, 5))
     release(texts)
-    comp, n_comp = written(components(links, "a", "b"), "comp")
+    comp, n_comp = components(links, "a", "b")
     # buckets that hold several components; of those with the same members one is enough
     now = _with_components(member, comp, n_comp)
     mixed = now.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.bit_xor(F.xxhash64("id")).alias("x")).where("lo < hi")
-    mixed, n_mixed = written(mixed.groupBy("n", "lo", "hi", "x").agg(F.min("key").alias("key")).select("key", "n"), "mixed")
+    mixed, n_mixed = written(mixed.groupBy("n", "lo", "hi", "x").agg(F.min("key").alias("key")).select("key", "n"), "mixed", _files(n_classes * bands, 500))
     if n_mixed:
-        held = materialize(now.join(by_size(mixed, n_mixed, BROADCAST_IDS), "key"), "held")
+        held, n_held = written(now.join(by_size(mixed, n_mixed, BROADCAST_IDS), "key"), "held", _files(n_classes * bands, 200))
         small, large = held.where(F.col("n") <= SMALL_BUCKET), held.where(F.col("n") > SMALL_BUCKET)
-        rest = materialize(_small_across(small).join(by_size(pairs.select("a", "b"), n_pairs, BROADCAST_IDS), ["a", "b"], "left_anti"), "pairs")
-        tasks = materialize(_block_tasks(large), "tasks")
+        rest = materialize(_small_across(small).join(by_size(pairs.select("a", "b"), n_pairs, BROADCAST_IDS), ["a", "b"], "left_anti"), "pairs", _files(n_held * SMALL_BUCKET, 200))
+        tasks = materialize(_block_tasks(large), "tasks", _files(n_held, 20))
         texts = _texts(docs, rest, id_col, text_col, tasks.select("id"))
-        more = materialize(verify(rest, texts, threshold, width).unionByName(_links_in_blocks(tasks, texts, threshold, width)), "links")
-        release(texts, held, rest, tasks, comp)
-        comp, n_comp = written(components(links.unionByName(more), "a", "b"), "comp")
+        more = materialize(verify(rest, texts, threshold, width).unionByName(_links_in_blocks(tasks, texts, threshold, width)), "links", _files(n_held, 5))
+        release(texts, held, rest, tasks)
+        both = materialize(links.unionByName(more), "links", _files(n_pairs + n_held, 500))
+        comp, n_comp = components(both, "a", "b")
         release(more)
     # only classes with copies or links say more than the row itself
     named = _with_components(classes.select(F.col("class_id").alias("id"), "h1", "h2", "copies"), comp, n_comp).where("copies > 1 or comp <> id")
-    named, n_named = written(named.select("h1", "h2", F.col("id").alias("class_id"), F.col("comp").alias("component_id")), "named")
-    release(classes, pairs, links, mixed, comp)
-    return (
+    named, n_named = written(named.select("h1", "h2", F.col("id").alias("class_id"), F.col("comp").alias("component_id")), "named", _files(n_classes, 100))
+    release(classes, pairs, links, mixed)
+    out = (
         prints.select("id", "n_words", "h1", "h2")
         .join(by_size(named, n_named, BROADCAST_IDS), ["h1", "h2"], "left")
         .select(
@@ -336,6 +343,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         )
         .withColumn("kept", F.coalesce(F.col("component_id") == F.col("id"), F.lit(True)))
     )
+    return out, n
+
+
+def _files(rows: int, thousand: int) -> int:
+    """Files for at most ``rows`` rows, so many thousand in each."""
+    return rows // (1000 * thousand) + 1
 
 
 def _with_components(rows: DataFrame, comp: DataFrame, n: int) -> DataFrame:
@@ -346,11 +359,10 @@ def _with_components(rows: DataFrame, comp: DataFrame, n: int) -> DataFrame:
 def _texts(docs: DataFrame, pairs: DataFrame, id_col: str, text_col: str, more: DataFrame | None = None) -> DataFrame:
     """(id, text) of the ids in ``pairs`` and ``more`` only, written once; the other texts are not moved."""
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    ids, n = written((ids if more is None else ids.unionByName(more)).distinct(), "ids")
+    ids = (ids if more is None else ids.unionByName(more)).distinct()
+    n = ids.count()
     all_texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    texts = materialize(all_texts.join(by_size(ids, n, BROADCAST_IDS), "id"), "texts")
-    release(ids)
-    return texts
+    return materialize(all_texts.join(by_size(ids, n, BROADCAST_IDS), "id"), "texts", _files(n, 5))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -359,11 +371,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Rows with a null id, and texts without words, stay. Where one id has several texts, its rows go only if all are copies; of
     its rows with the same text the first stays, by the row written as JSON.
     """
-    found = materialize(near_duplicates(docs, id_col, text_col, **options), "found")
+    found, n = _groups(docs, id_col, text_col, **options)
     key = fresh("near_duplicate_id", docs.columns)
     each = found.where("id is not null").groupBy(F.col("id").alias(key)).agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n"))
-    odd, n_odd = written(each.where("not kept or n > 1"), "odd")
-    release(found)
+    odd, n_odd = written(each.where("not kept or n > 1"), "odd", _files(n, 500))
     gone, twice = odd.where("not kept").select(key), odd.where("kept and n > 1").select(key)
     own = F.col(f"`{id_col}`").cast("long")
     out = docs.join(by_size(gone, n_odd, BROADCAST_IDS), own == F.col(key), "left_anti")
