@@ -39,7 +39,8 @@ def _running_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, size, text_crc32, shard, slot) for every row; size: UTF-8 bytes and one for the separator."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    sized = docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("crc"))
+    # written, as finding the ranges reads its input, too: texts are read once
+    sized = materialize(docs.select(F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("crc")), "texts")
     kind = sized.schema["id"].dataType.simpleString()
     # rows equal in all that is kept are spread by where they were read; which of them comes first changes nothing
     spread = sized.withColumn("tie", F.monotonically_increasing_id())
