@@ -69,6 +69,9 @@ def test_shards_golden():
     assert subjects.assign_shards(range(1, 11), 3, shares={"train": 0.8, "tuning": 0.2, "held_out": None}) == {"train/0": [5, 9, 6], "train/1": [3, 10, 8], "train/2": [1, 2], "tuning/0": [7, 4]}
     external = {"taskA/held_out": [8, 9, 10], "taskB/held_out": [10, 8, 9]}
     assert subjects.assign_shards(range(1, 11), 3, external) == {"train/0": [5, 7, 4], "train/1": [1, 2], "tuning/0": [3], "held_out/0": [6], "taskA/held_out/0": [8, 9, 10], "taskB/held_out/0": [10, 8, 9]}
+    lists = {"train": [1, 2, 3, 4, 5, 6], "test": [7, 8, 9, 10]}
+    assert subjects.assign_shards(range(1, 11), 6, lists) == {"train/0": [1, 2, 3, 4, 5, 6], "test/0": [7, 8, 9, 10]}
+    assert subjects.assign_shards(range(1, 11), 3, lists) == {"train/0": [5, 1, 3], "train/1": [2, 6, 4], "test/0": [10, 7], "test/1": [8, 9]}
     with pytest.raises(ValueError, match="add up to 1"):
         subjects.assign_shards(range(10), 3, shares={"train": 0.8, "held_out": None})
     with pytest.raises(ValueError, match="cannot fill"):

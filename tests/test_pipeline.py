@@ -63,6 +63,68 @@ def test_end_to_end(spark, inputs):
     pipeline.run(spark, str(inputs / "spec.yaml"), str(inputs / "raw"), str(inputs / "out"), options)
 
 
+# fixed values: two subjects of the published small cohort, as they come in and as they must come out, in order
+SUBJECTS = """MRN,dob,eye_color,height
+239684,12/28/1980,BROWN,175.271115221764
+754281,12/19/1988,BROWN,166.22261567137025
+"""
+VITALS = """subject_id,admit_date,disch_date,department,vitals_date,HR,temp
+754281,"01/03/2010, 06:27:59","01/03/2010, 08:22:13",PULMONARY,"01/03/2010, 06:27:59",142.0,99.8
+239684,"05/11/2010, 17:41:51","05/11/2010, 19:27:19",CARDIAC,"05/11/2010, 18:57:18",112.6,95.5
+239684,"05/11/2010, 17:41:51","05/11/2010, 19:27:19",CARDIAC,"05/11/2010, 17:41:51",102.6,96.0
+239684,"05/11/2010, 17:41:51","05/11/2010, 19:27:19",CARDIAC,"05/11/2010, 18:25:35",113.4,95.8
+239684,"05/11/2010, 17:41:51","05/11/2010, 19:27:19",CARDIAC,"05/11/2010, 17:48:48",105.1,96.2
+"""
+SMALL_SPEC = """
+subjects:
+  subject_id_col: MRN
+  eye_color: {code: 'f"EYE_COLOR//{$eye_color}"', time: null}
+  height: {code: HEIGHT, time: null, numeric_value: $height}
+  dob: {code: DOB, time: '$dob::"%m/%d/%Y"'}
+admit_vitals:
+  admissions: {code: 'f"ADMISSION//{$department}"', time: '$admit_date::"%m/%d/%Y, %H:%M:%S"'}
+  discharge: {code: DISCHARGE, time: '$disch_date::"%m/%d/%Y, %H:%M:%S"'}
+  HR: {code: HR, time: '$vitals_date::"%m/%d/%Y, %H:%M:%S"', numeric_value: $HR}
+  temp: {code: TEMP, time: '$vitals_date::"%m/%d/%Y, %H:%M:%S"', numeric_value: $temp}
+"""
+COHORT = """239684,,EYE_COLOR//BROWN,
+239684,,HEIGHT,175.271115221764
+239684,1980-12-28 00:00:00,DOB,
+239684,2010-05-11 17:41:51,ADMISSION//CARDIAC,
+239684,2010-05-11 17:41:51,HR,102.6
+239684,2010-05-11 17:41:51,TEMP,96.0
+239684,2010-05-11 17:48:48,HR,105.1
+239684,2010-05-11 17:48:48,TEMP,96.2
+239684,2010-05-11 18:25:35,HR,113.4
+239684,2010-05-11 18:25:35,TEMP,95.8
+239684,2010-05-11 18:57:18,HR,112.6
+239684,2010-05-11 18:57:18,TEMP,95.5
+239684,2010-05-11 19:27:19,DISCHARGE,
+754281,,EYE_COLOR//BROWN,
+754281,,HEIGHT,166.22261567137025
+754281,1988-12-19 00:00:00,DOB,
+754281,2010-01-03 06:27:59,ADMISSION//PULMONARY,
+754281,2010-01-03 06:27:59,HR,142.0
+754281,2010-01-03 06:27:59,TEMP,99.8
+754281,2010-01-03 08:22:13,DISCHARGE,
+"""
+
+
+def test_small_cohort_in_order(spark, tmp_path):
+    from chronoweave.sources.readers import with_row_index
+
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw/subjects.csv").write_text(SUBJECTS)
+    (tmp_path / "raw/admit_vitals.csv").write_text(VITALS)
+    (tmp_path / "spec.yaml").write_text(SMALL_SPEC)
+    (tmp_path / "splits.json").write_text(json.dumps({"all": [754281, 239684]}))
+    out = pipeline.run(spark, tmp_path / "spec.yaml", tmp_path / "raw", tmp_path / "out", pipeline.Options(external_splits_json_fp=str(tmp_path / "splits.json")))
+    rows = with_row_index(spark.read.parquet(out["data"]), "n").orderBy("n").collect()
+    want = [line.split(",") for line in COHORT.splitlines()]
+    assert [(str(r.subject_id), str(r.time or ""), r.code) for r in rows] == [tuple(w[:3]) for w in want]
+    assert [r.numeric_value for r in rows] == [None if not w[3] else pytest.approx(float(w[3]), rel=1e-6) for w in want]
+
+
 def test_command_line(spark, inputs, capsys):
     from chronoweave.__main__ import main
 
