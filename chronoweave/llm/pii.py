@@ -281,4 +281,4 @@ def op1_pii(spark, sf_dir: str) -> DataFrame:
     def count(kind: str) -> Column:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
-    return found.select("doc_id", *[count(k) for k in BASE], F.sha2(joined(F.lit(True)), 256).alias("base_sha256"), joined(None).alias("spans"), F.array_join(F.transform("spans", lambda s: F.format_string("%.2f", s["score"])), ",").alias("scores"), *[count(k) for k in KINDS[4:]])
+    return found.select("doc_id", *[count(k) for k in BASE], F.sha2(joined(F.lit(True)), 256).alias("base_sha256"), joined(None).alias("spans"), F.array_join(F.transform("spans", lambda s: F.format_string("%.2f", s["score"])), ",").alias("scores"), *[count(k) for k in KINDS[4:]], F.size("spans").cast("long").alias("n_spans"))

@@ -127,4 +127,4 @@ def test_query_digest(spark):
         assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(b[0] == k for b in base) for k in pii.BASE]
         assert set(filter(None, text.split(","))) <= set(r.spans.split(","))
-        assert len(r.spans.split(",")) == len(r.scores.split(","))
+        assert len(r.spans.split(",")) == len(r.scores.split(",")) and r.n_spans == len(list(filter(None, r.spans.split(","))))
