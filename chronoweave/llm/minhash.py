@@ -214,7 +214,7 @@ def _small_across(member: DataFrame) -> DataFrame:
     return pairs.select("a", "b", F.lit(0).alias("part"))
 
 
-def _block_tasks(member: DataFrame) -> DataFrame:
+def _block_tasks(member: DataFrame, n_keys: int) -> DataFrame:
     """(task, side, id, comp): each bucket cut into blocks; a task is a pair of blocks that may hold different components.
 
     A component with many members in the bucket has blocks of its own, the others share some. Members are dealt into lots by a
@@ -222,9 +222,9 @@ def _block_tasks(member: DataFrame) -> DataFrame:
     BLOCK_WORDS words at most, and one text more.
     """
     size = member.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    strays = F.sum(F.when(F.col("c") * 2 < BLOCK, F.col("c")).otherwise(0)).over(Window.partitionBy("key"))
     own = F.col("c") * 2 >= BLOCK
-    sized = size.select("key", "comp", own.alias("own"), F.ceil(F.greatest(F.when(own, F.col("c")).otherwise(strays), F.lit(1)) / LOT).alias("lots"))
+    strays = by_size(size.where(~own).groupBy("key").agg(F.sum("c").alias("strays")), n_keys, BROADCAST_IDS)
+    sized = size.join(strays, "key", "left").select("key", "comp", own.alias("own"), F.ceil(F.when(own, F.col("c")).otherwise(F.col("strays")) / LOT).alias("lots"))
     dealt = member.join(sized, ["key", "comp"]).withColumns({"only": F.when(F.col("own"), F.col("comp")), "lot": F.pmod(F.xxhash64("id"), F.col("lots"))})
     # what a member takes of a block
     weight = F.greatest(F.lit(1.0 / BLOCK), F.col("n_words") / F.lit(float(BLOCK_WORDS)))
@@ -320,7 +320,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, threshold: float = THRE
         held, n_held = written(now.join(by_size(mixed, n_mixed, BROADCAST_IDS), "key"), "held", _files(n_classes * bands, 200))
         small, large = held.where(F.col("n") <= SMALL_BUCKET), held.where(F.col("n") > SMALL_BUCKET)
         rest = materialize(_small_across(small).join(by_size(pairs.select("a", "b"), n_pairs, BROADCAST_IDS), ["a", "b"], "left_anti"), "pairs", _files(n_held * SMALL_BUCKET, 200))
-        tasks = materialize(_block_tasks(large), "tasks", _files(n_held, 20))
+        tasks = materialize(_block_tasks(large, n_mixed), "tasks", _files(n_held, 20))
         texts = _texts(docs, rest, id_col, text_col, tasks.select("id"))
         more = materialize(verify(rest, texts, threshold, width).unionByName(_links_in_blocks(tasks, texts, threshold, width)), "links", _files(n_held, 5))
         release(texts, held, rest, tasks)
