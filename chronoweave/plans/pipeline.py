@@ -243,6 +243,7 @@ def run(spark: SparkSession, spec_path: str, input_dir: str, output_dir: str, op
         raise FileExistsError(f"{', '.join(there)} exist; set do_overwrite to replace them")
     for run_stage in [stage_named(name) for name in stages or list(STAGES)]:
         run_stage(c)
+    files.release(*c.tables.values())
     return {"data": c.data, "metadata": c.metadata}
 
 

@@ -86,8 +86,22 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back, for what several later steps read."""
-    path = scratch_path(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def materialize(df: DataFrame, tag: str, files: int | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: lineage is cut and a lost executor costs one reread.
+
+    ``files``: how many files its rows fill at most, from a count that bounds them; many nearly empty files cost more than their rows.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, tag)
+    (df if files is None else df.coalesce(max(1, files))).write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote and nothing reads any more; others stay."""
+    for table in tables:
+        if path := getattr(table, "_written_to", None):
+            fs, p = _at(table.sparkSession, path)
+            fs.delete(p, True)
