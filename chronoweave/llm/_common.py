@@ -3,45 +3,18 @@
 from __future__ import annotations
 
 import pickle
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-#: Text bytes that a task turns into NumPy arrays at once.
-SLICE_BYTES = 1_000_000
-
-_own_dir: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; unset, a temporary one in local mode only."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    master = spark.sparkContext.master
-    if not master.startswith("local") or master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_dir:
-        _own_dir[app] = tempfile.mkdtemp(prefix="chronoweave-")
-    return "file://" + _own_dir[app]
+from ..sources.files import materialize, release
 
+__all__ = ["by_size", "fitted", "fresh", "materialize", "middle", "release", "slices", "unit", "utf8", "written"]
 
-def materialize(df: DataFrame, tag: str, files: int | None = None) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: lineage is cut and a lost executor costs one reread.
-
-    ``files``: how many files its rows fill at most, from a count that bounds them; many nearly empty files cost more than their rows.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    (df if files is None else df.coalesce(max(1, files))).write.parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
-    table._written_to = path
-    return table
+#: Text bytes that a task turns into NumPy arrays at once.
+SLICE_BYTES = 1_000_000
 
 
 def written(df: DataFrame, tag: str, files: int | None = None) -> tuple[DataFrame, int]:
@@ -51,13 +24,6 @@ def written(df: DataFrame, tag: str, files: int | None = None) -> tuple[DataFram
     return table, seen.get.get("n", 0)
 
 
-def release(*tables: DataFrame) -> None:
-    """Delete written tables that nothing reads any more."""
-    for table in tables:
-        path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._written_to)
-        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def fitted(sample: DataFrame, fit: Callable[[pa.Table], object]):
     """What ``fit`` makes of all rows of a bounded sample, computed in one task; the driver gets the result alone. None without rows."""
 
