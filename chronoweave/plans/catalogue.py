@@ -372,11 +372,8 @@ def events_align(spark, sf_dir):
 @query("""SELECT DISTINCT c_custkey AS subject_id, CASE WHEN c_custkey % 2 = 0 THEN 'taskA/held_out' ELSE 'train' END AS split FROM customer""")
 def subject_splits(spark, sf_dir):
     people = _customers(spark, sf_dir)
-    odd = F.col("subject_id") % 2
-    name = F.when(odd == 0, "taskA/held_out").otherwise("train")
-    listed = people.select(name.alias("split"), odd.cast("int").alias("number"), F.floor(F.col("subject_id") / 2).alias("place"), "subject_id")
-    place = F.row_number().over(Window.partitionBy("split").orderBy("subject_id")) - 1
-    external = listed.withColumn("place", place.cast("bigint"))
+    lists = [subjects.numbered(people.where(F.col("subject_id") % 2 == i)).select(F.lit(name).alias("split"), F.lit(i).alias("number"), "place", "subject_id") for i, name in enumerate(("taskA/held_out", "train"))]
+    external = lists[0].unionByName(lists[1])
     drawn = pipeline.shards_of(spark, people, pipeline.Options(n_subjects_per_shard=100), external)
     return align.align(drawn.select("subject_id", "split").distinct(), align.SPLITS)
 

@@ -18,7 +18,7 @@ def test_bad_patterns(fmt):
         java_pattern(fmt)
 
 
-@pytest.mark.parametrize(("text", "kind", "columns"), [("$a", "column", {"a"}), ("MEDS_BIRTH", "literal", set()), ('"a b"', "literal", set()), ('f"A//{$x}//{$y}"', "text", {"x", "y"}), ("$a + $b * 2", "arith", {"a", "b"}), ('$d @ $t::"%H:%M"', "combine", {"d", "t"}), ('set_time($d, $t)', "combine", {"d", "t"}), ("hash($m)", "hash", {"m"}), ('$t as ?"%Y"', "time", {"t"}), ("$v::str", "cast", {"v"})])
+@pytest.mark.parametrize(("text", "kind", "columns"), [("$a", "column", {"a"}), ("BIRTH_EVENT", "literal", set()), ('"a b"', "literal", set()), ('f"A//{$x}//{$y}"', "text", {"x", "y"}), ("$a + $b * 2", "arith", {"a", "b"}), ('$d @ $t::"%H:%M"', "combine", {"d", "t"}), ('set_time($d, $t)', "combine", {"d", "t"}), ("hash($m)", "hash", {"m"}), ('$t as ?"%Y"', "time", {"t"}), ("$v::str", "cast", {"v"})])
 def test_parsed(text, kind, columns):
     e = parse(text)
     assert (e.kind, e.columns) == (kind, columns)
