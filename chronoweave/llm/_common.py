@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from ..sources.files import materialize, release
 
-__all__ = ["by_size", "fitted", "fresh", "materialize", "middle", "release", "slices", "unit", "utf8", "written"]
+__all__ = ["by_size", "fitted", "fresh", "materialize", "middle", "over_texts", "release", "slices", "unit", "utf8", "written"]
 
+#: Rows with texts that go to a worker at once.
+BATCH_ROWS = 1_000
 #: Text bytes that a task turns into NumPy arrays at once.
 SLICE_BYTES = 1_000_000
 
@@ -24,6 +26,19 @@ def written(df: DataFrame, tag: str, files: int | None = None) -> tuple[DataFram
     return table, seen.get.get("n", 0)
 
 
+def over_texts(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` for rows with whole texts, of which the session's default batch of 10,000 is too many.
+
+    Sets the session's batch to ``BATCH_ROWS`` unless it was set to something else: a batch lies in memory four times, before and
+    behind the worker.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if conf.get(name) == "10000":
+        conf.set(name, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def fitted(sample: DataFrame, fit: Callable[[pa.Table], object]):
     """What ``fit`` makes of all rows of a bounded sample, computed in one task; the driver gets the result alone. None without rows."""
 

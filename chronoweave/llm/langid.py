@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _words
-from ._common import fitted, fresh, middle, unit
+from ._common import fitted, fresh, middle, over_texts, unit
 
 ORDER = 4
 #: Documented bounds of the fitting sample: texts a language, characters a text, texts in all, languages.
@@ -340,7 +340,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 rejected.append(z)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs, pa.string()), pa.array(np.concatenate(scores or [np.zeros(0)])), pa.array(np.concatenate(rejected or [np.zeros(0, bool)]))], [*names, *new])
 
-    return docs.mapInArrow(run, schema)
+    return over_texts(docs, run, schema)
 
 
 def op6_language_id(spark, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _words
-from ._common import by_size, fresh, materialize, release, slices, utf8, written
+from ._common import by_size, fresh, materialize, over_texts, release, slices, utf8, written
 from ._graph import components
 
 WIDTH = 5
@@ -148,7 +148,7 @@ def fingerprint(docs: DataFrame, id_col: str, text_col: str, width: int = WIDTH,
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count.astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), keys], ["id", "n_words", "h1", "h2", "bands"])
 
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return picked.mapInArrow(run, "id long, n_words int, h1 long, h2 long, bands array<long>")
+    return over_texts(picked, run, "id long, n_words int, h1 long, h2 long, bands array<long>")
 
 
 def _bag(text: str, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,7 +192,7 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float, width: int = WI
                 hit.append(y is not None and _similarity(bag, own) >= threshold)
             yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
-    return rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()).mapInArrow(run, "a long, b long")
+    return over_texts(rows.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()), run, "a long, b long")
 
 
 def _part(often: Column) -> Column:

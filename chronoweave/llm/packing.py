@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import materialize
+from ._common import materialize, over_texts
 
 LENGTH = 2048
 WINDOWS = 64
@@ -191,7 +191,7 @@ def cut_and_place(docs: DataFrame, path: str, length: int, windows: int, id_col:
         if rows := [r for w in waiting.values() for r in w]:
             yield table(rows, kept_ids, True)
 
-    return picked.mapInArrow(run, PIECES.format(id=kind))
+    return over_texts(picked, run, PIECES.format(id=kind))
 
 
 def best_fit_decreasing(size: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._common import fresh
+from ._common import fresh, over_texts
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn", "secret", "jwt")
@@ -236,7 +236,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             found = [[dict(zip(("kind", "start", "end", "score"), s)) for s in find(t)] for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, _SPAN)], ["id", "spans"])
 
-    return kept.mapInArrow(run, f"id {kind}, spans {SPANS}").withColumnRenamed("id", id_col)
+    return over_texts(kept, run, f"id {kind}, spans {SPANS}").withColumnRenamed("id", id_col)
 
 
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
@@ -258,7 +258,7 @@ def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_
                 new.append(mask(t, spans) if spans else None)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(new, pa.string()), pa.array(hit, pa.bool_())], [*names, text, changed])
 
-    out = docs.mapInArrow(run, schema)
+    out = over_texts(docs, run, schema)
     cols: list[Column] = []
     for c in names:
         if c == text_col:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _words
-from ._common import fitted, fresh, middle, slices, unit, utf8
+from ._common import fitted, fresh, middle, over_texts, slices, unit, utf8
 from .langid import train_on
 
 PER_CLASS = 600
@@ -272,7 +272,7 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             for b in slices(whole, at):
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(held.value.score(*utf8(b.column(at))))], [*names, new])
 
-    return docs.mapInArrow(run, schema)
+    return over_texts(docs, run, schema)
 
 
 def op9_quality(spark, sf_dir: str) -> DataFrame:

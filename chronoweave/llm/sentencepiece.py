@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._chunks import ChunkCache
-from ._common import fresh
+from ._common import fresh, over_texts
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -195,7 +195,7 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
                 null = pa.array([r is None for r in raw], pa.bool_())
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(ends), flat, mask=null)], ["id", "ids"])
 
-    return picked.mapInArrow(run, f"id {picked.schema['id'].dataType.simpleString()}, ids array<int>").withColumnRenamed("id", id_col)
+    return over_texts(picked, run, f"id {picked.schema['id'].dataType.simpleString()}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode(coded: DataFrame, path: str | None = None, ids_col: str = "ids", text_col: str = "text") -> DataFrame:
@@ -215,7 +215,7 @@ def decode(coded: DataFrame, path: str | None = None, ids_col: str = "ids", text
                 texts = [model.decode(flat[ends[i] : ends[i + 1]]) if valid[i] else None for i in range(len(b))]
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*names, text])
 
-    return coded.mapInArrow(run, schema)
+    return over_texts(coded, run, schema)
 
 
 def op2_sentencepiece(spark, sf_dir: str) -> DataFrame:
