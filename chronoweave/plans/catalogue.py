@@ -291,7 +291,7 @@ def hashed_split(spark, sf_dir):
 
 
 # fixed values: the published split of subjects 1 to 10 with seed 1 and three a shard
-@query("""SELECT * FROM (VALUES ('train/0', 0, 9), ('train/0', 1, 4), ('train/0', 2, 8), ('train/1', 0, 2), ('train/1', 1, 1), ('train/1', 2, 10), ('train/2', 0, 6), ('train/2', 1, 5), ('tuning/0', 0, 3), ('held_out/0', 0, 7)) t(shard, place, subject_id)""")
+@query("""SELECT shard, CAST(place AS BIGINT) AS place, CAST(subject_id AS BIGINT) AS subject_id FROM (VALUES ('train/0', 0, 9), ('train/0', 1, 4), ('train/0', 2, 8), ('train/1', 0, 2), ('train/1', 1, 1), ('train/1', 2, 10), ('train/2', 0, 6), ('train/2', 1, 5), ('tuning/0', 0, 3), ('held_out/0', 0, 7)) t(shard, place, subject_id)""")
 def split_golden(spark, sf_dir):
     people = spark.range(1, 11).select(F.col("id").alias("subject_id"))
     return pipeline.shards_of(spark, people, pipeline.Options(n_subjects_per_shard=3)).select("shard", "place", "subject_id")
