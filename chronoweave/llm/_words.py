@@ -13,6 +13,8 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
 _LOWER += np.uint64(1)
+#: Bytes as they are.
+PLAIN = np.arange(1, 257, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -34,11 +36,11 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of data[start:end], A-Z as a-z, for each run."""
+def hash_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, value: np.ndarray = _LOWER) -> np.ndarray:
+    """A 64-bit hash of data[start:end] for each run; ``value`` is what each byte counts as, A-Z as a-z unless given."""
     up, down = _power_tables(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_LOWER[data] * up[:-1], out=total[1:])
+    np.cumsum(value[data] * up[:-1], out=total[1:])
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
