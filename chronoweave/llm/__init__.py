@@ -1,4 +1,5 @@
-"""Operators that prepare text corpora: personal data, tokens, shards, filters, near-duplicates, search, quality, packing.
+"""Operators that prepare text corpora: personal data, tokens, shards, filters, near-duplicates, search, quality, packing,
+hard negatives, repeated passages, whitening.
 
 ``queries()`` gives each operator's query over whole tables, ``oracle_sql()`` DuckDB SQL for those that SQL can express. Nothing
 outside this package imports it, but for the repository's entry file and ``corpus_pipeline``.
@@ -10,7 +11,7 @@ from collections.abc import Callable
 
 
 def queries() -> dict[str, Callable]:
-    from . import embedding_dedup, langid, minhash, packing, pii, quality, sentencepiece, sharding, topk, urlfilter
+    from . import embedding_dedup, hard_negatives, langid, minhash, packing, pii, quality, sentencepiece, sharding, substring_dedup, topk, urlfilter, whitening
 
     found = (
         pii.op1_pii,
@@ -23,16 +24,21 @@ def queries() -> dict[str, Callable]:
         minhash.op8_minhash_near_dedup,
         quality.op9_quality,
         packing.op10_packing,
+        hard_negatives.op11_hard_negative_mining,
+        substring_dedup.op12_substring_dedup,
+        whitening.op13_embedding_whitening,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import embedding_dedup, minhash, sharding, topk
+    from . import embedding_dedup, hard_negatives, minhash, sharding, substring_dedup, topk
 
     return {
         "op3_sharding": sharding.ORACLE_SQL,
         "op5_embedding_near_dedup": embedding_dedup.ORACLE_SQL,
         "op7_exact_top_k": topk.ORACLE_SQL,
         "op8_minhash_near_dedup": minhash.ORACLE_SQL,
+        "op11_hard_negative_mining": hard_negatives.ORACLE_SQL,
+        "op12_substring_dedup": substring_dedup.ORACLE_SQL,
     }
