@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .formats import java_pattern
+from .formats import as_text, java_pattern
 
 CASTS = {"str": "string", "int": "bigint", "float": "double", "bool": "boolean"}
 
@@ -56,9 +56,9 @@ class Expr:
             case "literal":
                 return F.lit(self.value)
             case "text":
-                return F.concat(*[x.cast("string") for x in a])
+                return F.concat(*[as_text(x) for x in a])
             case "cast":
-                return a[0].cast(self.value)
+                return as_text(a[0]) if self.value == "string" else a[0].cast(self.value)
             case "arith":
                 return {"+": a[0] + a[1], "-": a[0] - a[1], "*": a[0] * a[1], "/": a[0] / a[1]}[self.value]
             case "hash":

@@ -8,11 +8,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import files
 from ..sources.files import materialize
+from .order import numbered, placed
 
 DEFAULT_SHARES = {"train": 0.8, "tuning": 0.1, "held_out": 0.1}
 PER_SHARD = 50_000
@@ -99,26 +100,6 @@ def assign_shards(ids, per_shard: int = PER_SHARD, external: dict[str, list] | N
     return shards
 
 
-def numbered(people: DataFrame, name: str = "place", buckets: int = 4096) -> DataFrame:
-    """Distinct ids with their place in ascending order, from 0: counts of equal ranges of values, then places within each."""
-    ends = people.agg(F.min("subject_id").alias("lo"), F.max("subject_id").alias("hi")).first()
-    if ends["lo"] is None:
-        return people.withColumn(name, F.lit(0).cast("bigint"))
-    # as doubles, since hashed ids differ by more than a long holds; rounding keeps their order
-    width = (ends["hi"] - ends["lo"]) // buckets + 1
-    bucket = F.floor((F.col("subject_id").cast("double") - F.lit(float(ends["lo"]))) / F.lit(float(width))).cast("int")
-    return _placed(people.withColumn("__b__", bucket), F.col("subject_id"), name)
-
-
-def _placed(rows: DataFrame, order: Column, name: str) -> DataFrame:
-    """Rows with a bucket ``__b__`` (of a fixed number, in order of ``order``), numbered over all buckets."""
-    count = rows.groupBy("__b__").agg(F.count("*").alias("__n__"))
-    before = F.coalesce(F.sum("__n__").over(Window.orderBy("__b__").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = F.broadcast(count.select("__b__", before.alias("__before__")))  # one row a bucket
-    within = F.row_number().over(Window.partitionBy("__b__").orderBy(order)) - 1
-    return rows.join(starts, "__b__").withColumn(name, (F.col("__before__") + within).cast("bigint")).drop("__b__", "__before__")
-
-
 def drawn_shards(people: DataFrame, per_shard: int = PER_SHARD, external: DataFrame | None = None, shares: dict[str, float | None] | None = None, seed: int = 1, most: int = MOST_DRAWN) -> DataFrame:
     """(subject_id, split, shard, place): ``assign_shards`` on DataFrames; place: where a subject stands in its shard.
 
@@ -145,17 +126,17 @@ def drawn_shards(people: DataFrame, per_shard: int = PER_SHARD, external: DataFr
         cols = [names, pa.array(np.concatenate(own or [np.zeros(0, np.int64)]).astype(np.int64)), pa.array(numbers), pa.array(place.astype(np.int64))]
         return spark.createDataFrame(pa.table(cols, ["split", "own", "shard_no", "place"]), "split string, own bigint, shard_no int, place bigint")
 
-    found = numbered(free, "own").join(table([d for d in drawn if d.free is not None]), "own").select("subject_id", "split", "shard_no", "place")
+    found = numbered(free, "subject_id", "own").join(table([d for d in drawn if d.free is not None]), "own").select("subject_id", "split", "shard_no", "place")
     if external is not None:
         listed = external.select("subject_id", "split", F.col("place").alias("own"))
         found = found.unionByName(listed.join(table([d for d in drawn if d.free is None]), ["split", "own"]).select("subject_id", "split", "shard_no", "place"))
     return found.select("subject_id", "split", F.concat_ws("/", "split", F.col("shard_no").cast("string")).alias("shard"), "place")
 
 
-def external_splits(spark: SparkSession, path) -> DataFrame:
+def external_splits(spark: SparkSession, path, storage: dict[str, str] | None = None) -> DataFrame:
     """(split, number, place, subject_id) from a JSON file ``{"split": [ids]}``; a task reads it."""
     hidden = str(path).rpartition("/")[2][:1] in "._"  # which Spark's readers leave out
-    text = spark.createDataFrame([(files.read_text(spark, path),)], "value string") if hidden else spark.read.text(files.literal(path), wholetext=True)
+    text = spark.createDataFrame([(files.read_text(spark, path, storage),)], "value string") if hidden else spark.read.options(**storage or {}).text(files.literal(path), wholetext=True)
     lists = text.select(F.posexplode(F.map_entries(F.from_json("value", "map<string,array<bigint>>"))).alias("number", "e"))
     return lists.select(F.col("e.key").alias("split"), "number", F.posexplode("e.value").alias("place", "subject_id")).select("split", "number", F.col("place").cast("bigint").alias("place"), "subject_id")
 
@@ -187,7 +168,7 @@ def hashed_shards(people: DataFrame, per_shard: int = PER_SHARD, external: DataF
         sizes = sizes_of(n, list(shares.values()))
         splits = [(k, sum(sizes[:i]), sizes[i]) for i, k in enumerate(shares)]
     h = F.xxhash64(F.lit(seed), "subject_id")
-    rows = _placed(free.withColumns({"__h__": h, "__b__": F.shiftright(h, 52).cast("int")}), F.struct("__h__", "subject_id"), "at").drop("__h__")
+    rows = placed(free.withColumns({"__h__": h, "__b__": F.shiftright(h, 52).cast("int")}), F.struct("__h__", "subject_id"), "at").drop("__h__")
     name, first, size = F.lit(None).cast("string"), F.lit(0), F.lit(1)
     for k, start, count in splits:
         here = F.col("at") >= start

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from ..functions.expr import parse
 from ..functions.metadata_values import compile_value
 from ..operators import align, codes, cohort, subjects
-from ..operators.events import extract_event, lookup_join, subject_rows, table_events
+from ..operators.events import code_of, extract_event, lookup_join, subject_rows, table_events
+from ..operators.order import numbered
 from ..operators.union import diagonal_union, vertical_union
 from ..sources import files
-from ..sources.readers import find_data, find_metadata, promote, read_metadata, read_table, row_range, with_row_index
+from ..sources.readers import find_data, find_metadata, promote, read_metadata, read_table, row_range
 from . import pipeline, spec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -293,7 +294,9 @@ def hashed_split(spark, sf_dir):
 # fixed values: the published split of subjects 1 to 10 with seed 1 and three a shard
 @query("""SELECT shard, CAST(place AS BIGINT) AS place, CAST(subject_id AS BIGINT) AS subject_id FROM (VALUES ('train/0', 0, 9), ('train/0', 1, 4), ('train/0', 2, 8), ('train/1', 0, 2), ('train/1', 1, 1), ('train/1', 2, 10), ('train/2', 0, 6), ('train/2', 1, 5), ('tuning/0', 0, 3), ('held_out/0', 0, 7)) t(shard, place, subject_id)""")
 def split_golden(spark, sf_dir):
-    people = spark.range(1, 11).select(F.col("id").alias("subject_id"))
+    """Ten subjects, two for each region."""
+    r = F.col("r_regionkey")
+    people = _reader(spark, sf_dir)("region").select(F.explode(F.array((2 * r + 1).cast("bigint"), (2 * r + 2).cast("bigint"))).alias("subject_id"))
     return pipeline.shards_of(spark, people, pipeline.Options(n_subjects_per_shard=3)).select("shard", "place", "subject_id")
 
 
@@ -304,10 +307,15 @@ def split_overlaps(spark, sf_dir):
     return subjects.overlaps(_customers(spark, sf_dir).select("subject_id", F.explode(lists).alias("split")))
 
 
-@query("""SELECT * FROM (VALUES ('customer', 'c_acctbal,c_custkey,c_mktsegment,c_nationkey'), ('events', 'event_type,ts,user_id,value'), ('lineitem', 'l_linestatus,l_orderkey,l_quantity,l_returnflag,l_shipdate'), ('orders', 'o_custkey,o_orderdate,o_orderkey,o_orderpriority,o_orderstatus,o_totalprice')) t(name, columns)""")
+_NEEDED = {"customer": "c_acctbal c_custkey c_mktsegment c_nationkey", "events": "event_type ts user_id value", "lineitem": "l_linestatus l_orderkey l_quantity l_returnflag l_shipdate", "orders": "o_custkey o_orderdate o_orderkey o_orderpriority o_orderstatus o_totalprice"}
+
+
+@query(" UNION ALL ".join(f"SELECT '{t}' AS name, '{c}' AS column_name, count({c}) AS n FROM {t}" for t, own in _NEEDED.items() for c in own.split()))
 def required_columns(spark, sf_dir):
-    need = spec.required_columns(spec.from_dict(COHORT))
-    return spark.createDataFrame([(k, ",".join(v)) for k, v in need.items()], "name string, columns string")
+    """The columns that a specification reads, with how often each has a value."""
+    read = _reader(spark, sf_dir)
+    frames = [read(t).select(F.lit(t).alias("name"), F.explode(F.create_map(*[x for c in own for x in (F.lit(c), F.col(c).isNotNull())])).alias("column_name", "there")) for t, own in spec.required_columns(spec.from_dict(COHORT)).items()]
+    return vertical_union(frames).groupBy("name", "column_name").agg(F.count_if("there").alias("n"))
 
 
 def _codes(spark, sf_dir, cfg, metadata, **options) -> DataFrame:
@@ -372,7 +380,7 @@ def events_align(spark, sf_dir):
 @query("""SELECT DISTINCT c_custkey AS subject_id, CASE WHEN c_custkey % 2 = 0 THEN 'taskA/held_out' ELSE 'train' END AS split FROM customer""")
 def subject_splits(spark, sf_dir):
     people = _customers(spark, sf_dir)
-    lists = [subjects.numbered(people.where(F.col("subject_id") % 2 == i)).select(F.lit(name).alias("split"), F.lit(i).alias("number"), "place", "subject_id") for i, name in enumerate(("taskA/held_out", "train"))]
+    lists = [numbered(people.where(F.col("subject_id") % 2 == i), "subject_id", "place").select(F.lit(name).alias("split"), F.lit(i).alias("number"), "place", "subject_id") for i, name in enumerate(("taskA/held_out", "train"))]
     external = lists[0].unionByName(lists[1])
     drawn = pipeline.shards_of(spark, people, pipeline.Options(n_subjects_per_shard=100), external)
     return align.align(drawn.select("subject_id", "split").distinct(), align.SPLITS)
@@ -417,6 +425,21 @@ def expressions(spark, sf_dir):
     return _reader(spark, sf_dir)("nation").select("n_nationkey", *[parse(v).compile().alias(k) for k, v in forms.items()])
 
 
+# fixed values: 64-bit hashes of five texts, as they must stay from release to release
+@query("""SELECT r_name, CAST(h AS BIGINT) AS subject_id FROM region JOIN (VALUES ('AFRICA', 5725486109973355489), ('AMERICA', -4157638607041038132), ('ASIA', -1574007566074333807), ('EUROPE', 7378977719125113014), ('MIDDLE EAST', 8048878549592645346)) v(name, h) ON r_name = name""")
+def hashed_ids(spark, sf_dir):
+    t = spec.from_dict({"region": {"subject_id_expr": "hash($r_name)"}}).tables["region"]
+    return subject_rows(_reader(spark, sf_dir)("region"), t).select("r_name", "subject_id")
+
+
+@query("""SELECT o_orderkey, '1e' || (20 + o_orderkey % 20) AS large, 'S//' || (o_orderkey + 1) || '00000000.0' AS plain, '0.0000' || (o_orderkey % 9 + 1) AS small FROM orders""")
+def numbers_as_text(spark, sf_dir):
+    """Numbers with a fraction, cast to text or put into a code: in plain digits unless very large or very small."""
+    k = (F.col("o_orderkey") + 1).cast("string")
+    rows = _reader(spark, sf_dir)("orders").select("o_orderkey", F.concat(F.lit("1e"), (20 + F.col("o_orderkey") % 20).cast("string")).cast("double").alias("a"), F.concat(k, F.lit("e8")).cast("double").alias("b"), F.concat((F.col("o_orderkey") % 9 + 1).cast("string"), F.lit("e-5")).cast("double").alias("c"))
+    return rows.select("o_orderkey", parse("$a::str").compile().alias("large"), code_of(parse('f"S//{$b}"')).alias("plain"), parse("$c::str").compile().alias("small"))
+
+
 @query("""SELECT o_custkey AS subject_id, o_orderstatus AS code, o_orderdate AS time FROM orders""")
 def all_rows(spark, sf_dir):
     block = spec.event("orders", "e", {"code": "$o_orderstatus", "time": "$o_orderdate"})
@@ -436,20 +459,30 @@ visits/orders:
 """
 
 
-def _whole_run(spark, sf_dir) -> dict[str, str]:
-    """A run from files to files: a table named by its prefix only, one in a folder of gzipped CSV parts, metadata as CSV, a YAML specification."""
-    read, root = _reader(spark, sf_dir), files.scratch_path(spark, "run")
-    read("customer").select("c_custkey", "c_mktsegment", "c_nationkey").write.parquet(f"{root}/raw/people_0.parquet")
-    orders = read("orders").select("o_custkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("at"), "o_totalprice")
-    orders.repartition(3).write.csv(f"{root}/raw/visits/orders", header=True, compression="gzip")
-    read("nation").select("n_nationkey", "n_name").write.csv(f"{root}/raw/nations.csv", header=True)
-    files.write_text(spark, f"{root}/spec.yaml", _RUN_SPEC)
-    return pipeline.run(spark, f"{root}/spec.yaml", f"{root}/raw", f"{root}/out", pipeline.Options(n_subjects_per_shard=500))
+_runs: dict[tuple, dict[str, str]] = {}
+
+
+def _whole_run(spark, sf_dir, codes_there: bool = False) -> dict[str, str]:
+    """A run from files to files, made once a session: a table named by its prefix only, one in a folder of gzipped CSV parts, metadata as CSV, a YAML specification."""
+    key = (spark.sparkContext.applicationId, sf_dir, codes_there)
+    if key not in _runs:
+        read, root = _reader(spark, sf_dir), files.scratch_path(spark, "run")
+        read("customer").select("c_custkey", "c_mktsegment", "c_nationkey").write.parquet(f"{root}/raw/people_0.parquet")
+        orders = read("orders").select("o_custkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("at"), "o_totalprice")
+        orders.repartition(3).write.csv(f"{root}/raw/visits/orders", header=True, compression="gzip")
+        read("nation").select("n_nationkey", "n_name").write.csv(f"{root}/raw/nations.csv", header=True)
+        if codes_there:
+            old = read("nation").select(F.concat(F.when(F.col("n_nationkey") < 20, "NATION//").otherwise("OLD//"), F.col("n_nationkey").cast("string")).alias("code"), F.lower("n_name").alias("description"))
+            old.write.parquet(f"{root}/raw/metadata/codes.parquet")
+        files.write_text(spark, f"{root}/spec.yaml", _RUN_SPEC)
+        _runs[key] = pipeline.run(spark, f"{root}/spec.yaml", f"{root}/raw", f"{root}/out", pipeline.Options(n_subjects_per_shard=500))
+        files.delete(spark, f"{root}/raw")
+    return _runs[key]
 
 
 @query("""SELECT c_custkey AS subject_id, 'SEGMENT//' || c_mktsegment AS code, CAST(NULL AS TIMESTAMP) AS time, CAST(NULL AS DOUBLE) AS numeric_value, 'people/segment' AS source_block FROM customer UNION SELECT c_custkey, 'NATION//' || c_nationkey, NULL, NULL, 'people/nation' FROM customer UNION SELECT o_custkey, o_orderstatus, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP), CAST(CAST(o_totalprice AS FLOAT) AS DOUBLE), 'visits/orders/placed' FROM orders""")
 def whole_run_events(spark, sf_dir):
-    got = spark.read.parquet(_whole_run(spark, sf_dir)["data"])
+    got = cohort.read_cohort(spark, _whole_run(spark, sf_dir)["data"])
     return got.select("subject_id", "code", "time", F.col("numeric_value").cast("double").alias("numeric_value"), "source_block")
 
 
@@ -459,6 +492,40 @@ def whole_run_codes(spark, sf_dir):
     return got.select("code", "description", F.size(F.coalesce("parent_codes", F.array())).alias("n_parents"))
 
 
+@query("""SELECT code, e.description, n.description AS description_right FROM (SELECT CASE WHEN n_nationkey < 20 THEN 'NATION//' ELSE 'OLD//' END || n_nationkey AS code, lower(n_name) AS description FROM nation) e FULL JOIN (SELECT 'NATION//' || n_nationkey AS code, n_name AS description FROM nation WHERE n_nationkey IN (SELECT c_nationkey FROM customer)) n USING (code)""")
+def whole_run_existing_codes(spark, sf_dir):
+    """A run whose input has a code dictionary already."""
+    return spark.read.parquet(f"{_whole_run(spark, sf_dir, True)['metadata']}/codes.parquet").select("code", "description", "description_right")
+
+
+@query("""SELECT 'rows ' || b AS what, count(*) AS n FROM (SELECT c_custkey, 'people/segment' AS b FROM customer UNION ALL SELECT c_custkey, 'people/nation' FROM customer) GROUP BY b UNION ALL SELECT 'subjects', count(*) FROM customer UNION ALL SELECT 'lines of the specification', 2 UNION ALL SELECT 'splits', 2""")
+def replaced_run(spark, sf_dir):
+    """A run that replaces another, with a stage of its own: rows by block as that stage counted them, subjects and the specification as published."""
+    read, root = _reader(spark, sf_dir), files.scratch_path(spark, "replaced")
+    text = "\n".join(_RUN_SPEC.strip().split("\n")[:4]).replace(", _metadata: {nations: {c_nationkey: n_nationkey, description: n_name}}", "")
+    files.write_text(spark, f"{root}/spec.yaml", text)
+    people = read("customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    people.where("c_nationkey < 5").write.parquet(f"{root}/some/people.parquet")
+    people.write.parquet(f"{root}/all/people.parquet")
+    found: list[DataFrame] = []
+
+    def count(c: pipeline.Context) -> None:
+        by_block = c.tables["events"].groupBy("source_block").count().collect()  # one row a block
+        found.append(spark.createDataFrame([(f"rows {r[0]}", r[1]) for r in by_block], "what string, n bigint"))
+
+    pipeline.STAGES["count-blocks"] = count
+    try:
+        for folder, replace in (("some", False), ("all", True)):
+            options = pipeline.Options(split_fracs={"a": 0.5, "b": 0.5}, do_overwrite=replace)
+            out = pipeline.run(spark, f"{root}/spec.yaml", f"{root}/{folder}", f"{root}/out", options, ["raw_tables", "subjects", "cohort", "count-blocks", "codes", "metadata"])
+    finally:
+        del pipeline.STAGES["count-blocks"]
+    splits = spark.read.parquet(f"{out['metadata']}/subject_splits.parquet")
+    lines = spark.read.text(f"{out['metadata']}/spec.yaml").where("value like '%code%'")
+    counts = [splits.groupBy().agg(F.count("*").alias("n")).select(F.lit("subjects").alias("what"), "n"), lines.groupBy().agg(F.count("*").alias("n")).select(F.lit("lines of the specification").alias("what"), "n"), splits.select("split").distinct().groupBy().agg(F.count("*").alias("n")).select(F.lit("splits").alias("what"), "n")]
+    return vertical_union([found[-1], *counts])
+
+
 @query("""SELECT id AS subject_id, CAST(1 AS BIGINT) AS n_shards, TRUE AS same FROM (SELECT c_custkey AS id FROM customer UNION SELECT o_custkey FROM orders)""")
 def whole_run_splits(spark, sf_dir):
     """The shard map, read back as JSON, against the table of splits."""
@@ -484,14 +551,63 @@ SELECT split, shard, subject_id, code, time, numeric_value, source_block, row_nu
 FROM (SELECT *, {_SPLIT} AS split, CAST(subject_id // 10 % 4 AS INTEGER) AS shard FROM (SELECT DISTINCT subject_id, code, time, CAST(CAST(numeric_value AS FLOAT) AS DOUBLE) AS numeric_value, source_block FROM ({_ALL})) JOIN {_PLACES} USING (source_block))
 """)
 def cohort_as_written(spark, sf_dir):
-    """The cohort written to its folders and read back, with each row's number in the files of its shard."""
+    """The cohort written, one named file a shard, and read back file by file, with each row's number in its file."""
     s, read = spec.from_dict(COHORT), _reader(spark, sf_dir)
     path = files.scratch_path(spark, "cohort")
-    cohort.write_cohort(pipeline.cohort_of(pipeline.events_of(s, read), _two_splits(pipeline.subjects_of(s, read))), path)
-    rows = with_row_index(spark.read.parquet(path), "row")
-    first = F.broadcast(rows.groupBy("split", "shard").agg(F.min("row").alias("first")))  # one row a shard
-    placed = rows.join(first, ["split", "shard"])
-    return placed.select("split", "shard", "subject_id", "code", "time", F.col("numeric_value").cast("double").alias("numeric_value"), "source_block", (F.col("row") - F.col("first") + 1).alias("n"))
+    cohort.write_cohort(pipeline.cohort_of(pipeline.events_of(s, read), _two_splits(pipeline.subjects_of(s, read))), path, named=True)
+    rows = cohort.read_cohort(spark, path).withColumn("n", F.col("_metadata.row_index") + 1)
+    return rows.select("split", "shard", "subject_id", "code", "time", F.col("numeric_value").cast("double").alias("numeric_value"), "source_block", "n")
+
+
+@query("""SELECT l_suppkey AS subject_id, l_orderkey || '/' || l_linenumber AS text_value, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey DESC, l_linenumber) AS n FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM lineitem)""")
+def input_order(spark, sf_dir):
+    """Events of a subject that tie in all but their position in the raw table, three CSV files in falling order of their key: as written."""
+    root = files.scratch_path(spark, "order")
+    items = _reader(spark, sf_dir)("lineitem").select("l_suppkey", "l_orderkey", "l_linenumber")
+    items.repartitionByRange(3, F.desc("l_orderkey"), "l_linenumber").sortWithinPartitions(F.desc("l_orderkey"), "l_linenumber").write.csv(f"{root}/items", header=True)
+    raw = read_table(spark, f"{root}/items", position=cohort.ROW)
+    t = spec.from_dict({"items": {"subject_id_col": "l_suppkey", "e": {"code": "ITEM", "time": None, "text_value": 'f"{$l_orderkey}/{$l_linenumber}"'}}}).tables["items"]
+    people = subjects.universe([raw.select(F.col("l_suppkey").alias("subject_id"))])
+    shards = people.select("subject_id", F.lit("all").alias("split"), F.concat(F.lit("all/"), (F.col("subject_id") % 8).cast("string")).alias("shard"))
+    rows = cohort.route(table_events(raw, t), shards)
+    cohort.write_cohort(cohort.ordered(rows), f"{root}/out", named=True)
+    got = cohort.read_cohort(spark, f"{root}/out").withColumn("at", F.col("_metadata.row_index"))
+    return got.select("subject_id", "text_value", F.row_number().over(Window.partitionBy("subject_id").orderBy("at")).cast("bigint").alias("n"))
+
+
+@query("""SELECT doc_id, nullif(text, '') AS text, lang FROM documents""")
+def csv_line_breaks(spark, sf_dir):
+    """Texts of many lines, with quotes and separators, written as CSV and read back whole."""
+    root = files.scratch_path(spark, "texts")
+    docs = _reader(spark, sf_dir)("documents").select("doc_id", "text", "lang")
+    docs.repartition(4, "doc_id").write.csv(f"{root}/docs", header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return read_table(spark, f"{root}/docs")
+
+
+_DRIFT = """SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority ELSE CAST(o_custkey AS VARCHAR) END AS v, o_orderstatus AS s, CASE WHEN o_orderkey % 3 = 1 THEN o_totalprice END AS more FROM orders"""
+
+
+def _drifting(spark, sf_dir, write: Callable[[DataFrame, str], None]) -> str:
+    """A folder of files that differ: another order of columns, an added column, and an int, a bigint and text under one name."""
+    root = files.scratch_path(spark, "drift")
+    o = _reader(spark, sf_dir)("orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").cast("int").alias("v"), F.col("o_orderstatus").alias("s"), F.col("o_totalprice").alias("more"), "o_orderpriority")
+    parts = [o.where("k % 3 = 0").select("k", "v", "s"), o.where("k % 3 = 1").select("s", F.col("v").cast("bigint").alias("v"), "more", "k"), o.where("k % 3 = 2").select("k", F.col("o_orderpriority").alias("v"), "s")]
+    for i, part in enumerate(parts):
+        write(part, f"{root}/{i}")
+        for name, _ in files.children(spark, f"{root}/{i}"):
+            if name.startswith("part-"):
+                files.move(spark, f"{root}/{i}/{name}", f"{root}/table/{i}-{name}")
+    return f"{root}/table"
+
+
+@query(_DRIFT)
+def csv_parts_that_differ(spark, sf_dir):
+    return read_table(spark, _drifting(spark, sf_dir, lambda df, path: df.write.csv(path, header=True)))
+
+
+@query(_DRIFT)
+def parquet_parts_that_differ(spark, sf_dir):
+    return read_table(spark, _drifting(spark, sf_dir, lambda df, path: df.write.parquet(path)))
 
 
 @query("""SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey, CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS BIGINT) AS row FROM nation""")
@@ -556,5 +672,5 @@ def codes_first_template(spark, sf_dir):
 @query(f"""SELECT DISTINCT subject_id, code, time, CAST(CAST(numeric_value AS FLOAT) AS DOUBLE) AS numeric_value, source_block, CASE WHEN subject_id % 10 < 8 THEN 'train' ELSE 'held_out' END AS split FROM ({_ALL})""")
 def full_cohort(spark, sf_dir):
     s, read = spec.from_dict(COHORT), _reader(spark, sf_dir)
-    made = pipeline.cohort_of(pipeline.events_of(s, read), _two_splits(pipeline.subjects_of(s, read)))
+    made = pipeline.cohort_of(pipeline.events_of(s, read), _two_splits(pipeline.subjects_of(s, read)), pipeline.Options(layout="ranges"))
     return made.select("subject_id", "code", "time", F.col("numeric_value").cast("double").alias("numeric_value"), "source_block", "split")

@@ -4,7 +4,7 @@ import pytest
 from chronoweave.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier part orders lineitem events documents".split()
 
 
 @pytest.fixture(scope="module")

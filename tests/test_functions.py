@@ -51,3 +51,16 @@ def test_metadata_values(spark):
     assert columns_of({"LOINC/{loinc}": {"lab": "HR"}}) == {"loinc", "lab"}
     with pytest.raises(TypeError):
         compile_value({"title": "lab"})
+
+
+def test_numbers_as_text(spark):
+    """The shortest digits, plain from 1e-5 to below 1e16."""
+    from pyspark.sql import functions as F
+
+    from chronoweave.functions.formats import as_text
+
+    want = {96.0: "96.0", 1e20: "1e20", 1e7: "10000000.0", 12345678.9: "12345678.9", 1.5e-7: "1.5e-7", 1.234e-5: "0.00001234", 2.5e-4: "0.00025", 1e15: "1000000000000000.0", -1.25e16: "-1.25e16", float("inf"): "inf", float("-inf"): "-inf", 0.0: "0.0"}
+    df = spark.createDataFrame([(v,) for v in want], "d double")
+    assert [r[0] for r in df.select(as_text(F.col("d"))).collect()] == list(want.values())
+    other = spark.createDataFrame([("1.5E7", 3, True, None)], "s string, i int, b boolean, d double").select(*[as_text(F.col(c)) for c in "sibd"])
+    assert tuple(other.first()) == ("1.5E7", "3", "true", None)

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chronoweave.operators import align, codes, cohort, subjects
+from chronoweave.operators.order import numbered
 from chronoweave.operators.events import extract_event, lookup_join, table_events
 from chronoweave.operators.union import diagonal_union, vertical_union
 from chronoweave.plans import spec
@@ -104,7 +105,7 @@ def test_shards_on_dataframes_equal_those_of_lists(spark, tmp_path):
         free = set(ids) - {i for v in (external or {}).values() for i in v}
         assert {i for k, v in hashed.items() if subjects.split_of(k) in subjects.DEFAULT_SHARES for i in v} == free
         assert sorted(len(v) for v in hashed.values()) == sorted(len(v) for v in drawn.values())
-    assert subjects.numbered(people.limit(0)).count() == 0
+    assert numbered(people.limit(0), "subject_id", "place").count() == 0
     with pytest.raises(ValueError, match="split_by"):
         subjects.drawn_shards(people, most=1)
 
@@ -138,8 +139,54 @@ def test_distinct_and_order(spark):
 
 def test_one_shuffle_writes_the_cohort(spark):
     rows = spark.range(100).select(F.col("id").alias("subject_id"), F.lit(None).cast("timestamp_ntz").alias("time"), F.lit("c").alias("code"), F.concat(F.lit("s/"), (F.col("id") % 3).cast("string")).alias("shard"), F.lit("s").alias("split"))
-    plan = cohort.ordered(rows)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in plan
+    for by, own, other in (("ranges", "rangepartitioning", "hashpartitioning"), ("shards", "hashpartitioning", "rangepartitioning")):
+        plan = cohort.ordered(rows, by=by)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(f"Exchange {own}") == 1 and other not in plan
+    with pytest.raises(ValueError, match="ranges"):
+        cohort.ordered(rows, by="rows")
+
+
+def test_input_order_is_the_last_tie(spark):
+    """Equal in subject, time and block: rows come out in the order of the raw table, whatever their other values are."""
+    rows = spark.createDataFrame([(1, 5, v, 0, 0, at) for at, v in enumerate(["z", "a", "m", "a", "z", "b"])], "subject_id int, time int, code string, __table__ int, __block__ int, __row__ long").withColumns({"shard": F.lit("s/0"), "split": F.lit("s")})
+    assert [r.code for r in cohort.ordered(cohort.distinct_events(rows)).collect()] == ["z", "a", "m", "b"]
+    assert [r.code for r in cohort.ordered(cohort.distinct_events(rows, ["code"])).collect()] == ["z", "a", "m", "b"]
+    assert [r.code for r in cohort.ordered(rows).collect()] == ["z", "a", "m", "a", "z", "b"]
+    # without a block's name equal rows of two blocks are one; the place in the specification counts before the position
+    two = rows.withColumns({"__block__": F.when(F.col("__row__") % 2 == 0, 1).otherwise(0)})
+    kept = {(r.code, r["__block__"], r["__row__"]) for r in cohort.distinct_events(two).collect()}
+    assert kept == {("z", 1, 0), ("a", 0, 1), ("m", 1, 2), ("b", 0, 5)}
+
+
+def test_distinct_by_list_combines_before_the_shuffle(spark):
+    """One subject has nearly all rows; no window sorts them in one task."""
+    rows = spark.range(2000).select(F.lit(7).alias("subject_id"), (F.col("id") % 3).alias("time"), F.col("id").cast("string").alias("code"), F.lit(0).alias("__table__"), F.lit(0).alias("__block__"), F.col("id").alias("__row__"), F.lit("s/0").alias("shard"))
+    got = cohort.distinct_events(rows.repartition(4), ["subject_id", "time"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("SortAggregate") == 2
+    assert sorted((r.time, r.code) for r in got.collect()) == [(0, "0"), (1, "1"), (2, "2")]
+
+
+def test_lookup_of_the_id_is_an_inner_join(spark, tmp_path):
+    """Where the id comes from the lookup, rows without a match make no event: Spark may filter by the other side, or broadcast either."""
+    for name in ("stays", "labs"):
+        spark.range(50).selectExpr("id AS stay", "id * 2 AS pid_", "'a' AS x").write.parquet(str(tmp_path / name))
+    stays, labs = (spark.read.parquet(str(tmp_path / n)) for n in ("stays", "labs"))
+    cfg = {"labs": {"join": {"input_prefix": "stays", "left_on": "stay", "right_on": "stay", "columns_from_right": ["pid"]}, "subject_id_col": "pid", "e": {"code": "$x", "time": None}}}
+    t = spec.from_dict(cfg).tables["labs"]
+    found = table_events(labs.drop("pid_"), t, stays.withColumnRenamed("pid_", "pid").where("pid < 20"), distinct=False)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Inner" in plan and "LeftOuter" not in plan and found.count() == 10
+    own = {**cfg["labs"], "subject_id_col": "stay"}
+    left = table_events(labs.drop("pid_"), spec.from_dict({"labs": own}).tables["labs"], stays.withColumnRenamed("pid_", "pid").where("pid < 20"), distinct=False)
+    assert "LeftOuter" in left._jdf.queryExecution().executedPlan().toString() or left.count() == 50
+    assert left.count() == 50
+
+
+def test_numbers_with_one_far_value(spark):
+    ids = [*range(5000), 2**61, -(2**61)]
+    got = numbered(spark.createDataFrame([(i,) for i in ids], "k long"), "k", "n", 16)
+    assert [r.k for r in got.orderBy("n").collect()] == sorted(ids) and [r.n for r in got.orderBy("n").collect()] == list(range(len(ids)))
 
 
 def test_align(spark):

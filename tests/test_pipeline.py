@@ -2,7 +2,9 @@ import json
 
 import pytest
 
+from chronoweave.operators import cohort
 from chronoweave.plans import pipeline
+from chronoweave.sources import files
 
 SPEC = """
 subject_id_col: pid
@@ -43,19 +45,24 @@ def inputs(tmp_path):
 def test_end_to_end(spark, inputs):
     options = pipeline.Options(n_subjects_per_shard=3)
     out = pipeline.run(spark, str(inputs / "spec.yaml"), str(inputs / "raw"), str(inputs / "out"), options)
-    events = spark.read.parquet(out["data"])
+    events = cohort.read_cohort(spark, out["data"])
     blocks = {r["source_block"]: r["count"] for r in events.groupBy("source_block").count().collect()}
     assert blocks == {"people/eye": 10, "people/born": 10, "labs/lab": 10, "meds/med": 2}
     assert dict(events.dtypes)["numeric_value"] == "float" and dict(events.dtypes)["time"] == "timestamp_ntz"
     assert {r.code for r in events.where("source_block = 'people/eye'").select("code").distinct().collect()} == {"EYE//brown", "EYE//UNK"}
     assert sorted(r.split for r in events.select("split").distinct().collect()) == ["held_out", "train", "tuning"]
-    first = spark.read.parquet(f"{out['data']}/split=train/shard=0").collect()
+    first = spark.read.parquet(f"{out['data']}/train/0.parquet").collect()
     assert [(r.subject_id, r.time is not None) for r in first] == sorted((r.subject_id, r.time is not None) for r in first)
     codes = {r.code: r.description for r in spark.read.parquet(f"{out['metadata']}/codes.parquet").collect()}
     assert codes == {"Glucose": "Blood glucose", "Metformin//500 mg": "Antidiabetic", "Metformin//850 mg": "Antidiabetic"}
     splits = spark.read.parquet(f"{out['metadata']}/subject_splits.parquet")
     assert splits.count() == 10 and splits.columns == ["subject_id", "split"]
-    assert json.loads((inputs / "out/metadata/dataset.json").read_text())["dataset_name"] == "dataset"
+    about = json.loads((inputs / "out/metadata/dataset.json").read_text())
+    assert about["dataset_name"] == "dataset" and about["subjects_by_split"] == {"train": 8, "tuning": 1, "held_out": 1}
+    assert about["rows_by_split"] == {r["split"]: r["count"] for r in events.groupBy("split").count().collect()}
+    listed = json.loads((inputs / "out/metadata/.manifest.json").read_text())["files"]
+    assert "data/train/0.parquet" in listed and all((inputs / "out" / f).exists() for f in listed)
+    assert sorted(p.name for p in (inputs / "out").iterdir()) == ["data", "metadata"]
     assert json.loads((inputs / "out/metadata/.shards.json").read_text())["tuning/0"] == [3]
     with pytest.raises(FileExistsError):
         pipeline.run(spark, str(inputs / "spec.yaml"), str(inputs / "raw"), str(inputs / "out"), options)
@@ -111,20 +118,101 @@ COHORT = """239684,,EYE_COLOR//BROWN,
 
 
 def test_small_cohort_in_order(spark, tmp_path):
-    from chronoweave.sources.readers import with_row_index
-
     (tmp_path / "raw").mkdir()
     (tmp_path / "raw/subjects.csv").write_text(SUBJECTS)
     (tmp_path / "raw/admit_vitals.csv").write_text(VITALS)
     (tmp_path / "spec.yaml").write_text(SMALL_SPEC)
     (tmp_path / "splits.json").write_text(json.dumps({"all": [754281, 239684]}))
     out = pipeline.run(spark, tmp_path / "spec.yaml", tmp_path / "raw", tmp_path / "out", pipeline.Options(external_splits_json_fp=str(tmp_path / "splits.json")))
-    rows = with_row_index(spark.read.parquet(out["data"]), "n").orderBy("n").collect()
+    rows = spark.read.parquet(f"{out['data']}/all/0.parquet").collect()
     want = [line.split(",") for line in COHORT.splitlines()]
     assert [(str(r.subject_id), str(r.time or ""), r.code) for r in rows] == [tuple(w[:3]) for w in want]
     assert [r.numeric_value for r in rows] == [None if not w[3] else pytest.approx(float(w[3]), rel=1e-6) for w in want]
 
 
+def test_a_failed_run_leaves_the_old_one(spark, inputs, monkeypatch):
+    """A stage fails in the middle, then the move of the second folder: data and metadata stay as they were, and nothing is left behind."""
+    args = str(inputs / "spec.yaml"), str(inputs / "raw"), str(inputs / "out")
+    pipeline.run(spark, *args, pipeline.Options(n_subjects_per_shard=3))
+    inside = lambda: {str(p.relative_to(inputs)): p.read_bytes() for p in (inputs / "out").rglob("*") if p.is_file()}
+    before = inside()
+    more = pipeline.Options(n_subjects_per_shard=5, do_overwrite=True)
+
+    def broken(context):
+        raise RuntimeError("half way")
+
+    with monkeypatch.context() as m:
+        m.setitem(pipeline.STAGES, "codes", broken)
+        with pytest.raises(RuntimeError, match="half way"):
+            pipeline.run(spark, *args, more)
+    assert inside() == before
+    move = files.move
+
+    def refuses(spark, source, target, storage=None):
+        if target.endswith("out/metadata") and ".old" not in source:
+            raise OSError("no")
+        move(spark, source, target, storage)
+
+    with monkeypatch.context() as m:
+        m.setattr(files, "move", refuses)
+        with pytest.raises(OSError, match="no"):
+            pipeline.run(spark, *args, more)
+    assert inside() == before
+    pipeline.run(spark, *args, more)
+    assert inside() != before and sorted(p.name for p in (inputs / "out").iterdir()) == ["data", "metadata"]
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, inputs):
+    from pathlib import Path
+
+    shared = Path(files.shared_dir(spark).removeprefix("file://"))
+    before = {p.name for p in shared.iterdir()}
+    pipeline.run(spark, str(inputs / "spec.yaml"), str(inputs / "raw"), str(inputs / "out"), pipeline.Options(n_subjects_per_shard=3))
+    assert {p.name for p in shared.iterdir()} == before
+
+
+def test_existing_codes_are_joined(spark, inputs):
+    """codes.parquet in the input's metadata folder: its codes stay, new ones come to it, clashing columns stand side by side."""
+    rows = spark.createDataFrame([("EXISTING", "An old code"), ("Glucose", "Sugar")], "code string, description string")
+    rows.coalesce(1).write.parquet(str(inputs / "raw/metadata/codes.parquet"))
+    out = pipeline.run(spark, str(inputs / "spec.yaml"), str(inputs / "raw"), str(inputs / "out"))
+    got = {r.code: (r.description, r.description_right) for r in spark.read.parquet(f"{out['metadata']}/codes.parquet").collect()}
+    assert got["EXISTING"] == ("An old code", None) and got["Glucose"] == ("Sugar", "Blood glucose") and got["Metformin//500 mg"] == (None, "Antidiabetic")
+    with pytest.raises(FileNotFoundError, match="nowhere"):
+        pipeline.run(spark, str(inputs / "spec.yaml"), str(inputs / "raw"), str(inputs / "out2"), pipeline.Options(existing_codes_fp=f"{inputs}/nowhere.parquet"))
+
+
+def test_storage_settings_reach_readers_writers_and_file_calls(spark, inputs):
+    """A file system without checksum files, set for one run: neither tables nor small files get any; the session stays as it was."""
+    raw = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+    for name, storage in (("plain", {}), ("raw", raw)):
+        pipeline.run(spark, f"file://{inputs}/spec.yaml", f"file://{inputs}/raw", f"file://{inputs}/{name}", pipeline.Options(storage=storage))
+        sums = {p.relative_to(inputs / name).parts[0] for p in (inputs / name).rglob("*.crc")}
+        assert sums == (set() if storage else {"data", "metadata"})
+    assert spark._jsc.hadoopConfiguration().get("fs.file.impl") is None
+
+
+def test_ties_come_out_in_input_order(spark, tmp_path):
+    """Two files whose rows tie in subject, time and block: files in order of name, rows as they stand, in CSV and Parquet."""
+    for kind in ("csv", "parquet"):
+        root = tmp_path / kind
+        (root / "raw/t").mkdir(parents=True)
+        words = ["pear", "apple", "plum", "fig", "date", "lime"]
+        for i in range(2):
+            own = words[3 * i : 3 * i + 3]
+            if kind == "csv":
+                (root / f"raw/t/p{i}.csv").write_text("subject_id,word,at\n" + "".join(f"1,{w},2020-01-01\n" for w in own))
+            else:
+                spark.createDataFrame([(1, w, "2020-01-01") for w in own], "subject_id long, word string, at string").coalesce(1).write.parquet(str(root / f"w{i}"))
+                next((root / f"w{i}").glob("*.parquet")).rename(root / f"raw/t/p{i}.parquet")
+        (root / "spec.yaml").write_text("t:\n  e: {code: $word, time: '$at::\"%Y-%m-%d\"'}\n")
+        (root / "splits.json").write_text(json.dumps({"all": [1]}))
+        for layout in ("shards", "ranges"):
+            out = pipeline.run(spark, f"{root}/spec.yaml", f"{root}/raw", f"{root}/{layout}", pipeline.Options(external_splits_json_fp=f"{root}/splits.json", layout=layout))
+            rows = spark.read.parquet(f"{out['data']}/all/0.parquet" if layout == "shards" else f"{out['data']}/split=all/shard=0")
+            assert [r.code for r in rows.collect()] == words
+
+
 def test_command_line(spark, inputs, capsys):
     from chronoweave.__main__ import main
 

@@ -72,6 +72,51 @@ def test_tables_in_folders_and_literal_names(spark, tmp_path):
         readers.read_table(spark, tmp_path / "hosp")
 
 
+def test_quoted_line_breaks(spark, tmp_path):
+    """Line breaks, separators and doubled quotes inside fields; a stray quote; only files that need it are read as a whole."""
+    texts = ["plain", "two\nlines", 'he said ""no"", and\n\nleft', "", "a,b", "last\n"]
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t/p0.csv").write_text("k,s,n\n" + "".join(f'{i},"{t}",{i}\n' for i, t in enumerate(texts)))
+    (tmp_path / "t/p1.csv").write_text('k,s,n\n10,x,1\n\n11,"a ""q""",2\n12,,\n')
+    (tmp_path / "t/p2.csv").write_text('k,s,n\n20,5" pipe,1\n21,y,2\n')
+    got = {r.k: (r.s, r.n) for r in readers.read_table(spark, tmp_path / "t").collect()}
+    want = {i: (t.replace('""', '"') or None, i) for i, t in enumerate(texts)}
+    assert got == want | {10: ("x", 1), 11: ('a "q"', 2), 12: (None, None), 20: ('5" pipe', 1), 21: ("y", 2)}
+    with gzip.open(tmp_path / "z.csv.gz", "wt") as f:
+        f.write((tmp_path / "t/p0.csv").read_text())
+    assert {r.k: (r.s, r.n) for r in readers.read_table(spark, tmp_path / "z.csv.gz").collect()} == want
+    meta = readers.read_metadata(spark, [tmp_path / "t/p0.csv"])
+    assert {r.s for r in meta.collect()} == {s for s, _ in want.values()}
+
+
+def test_parts_that_differ(spark, tmp_path):
+    """Other column order, an added column and other types, in CSV and in Parquet."""
+    (tmp_path / "c").mkdir()
+    for name, text in {"p0": "id,x,y\n1,a,10\n", "p1": "id,y,x\n2,20,b\n", "p2": "y,z,id,x\n30,new,3,c\n", "p3": "id,x,y\n4,d,forty\n"}.items():
+        (tmp_path / f"c/{name}.csv").write_text(text)
+    df = readers.read_table(spark, tmp_path / "c", row_index="n")
+    assert dict(df.dtypes) == {"id": "bigint", "x": "string", "y": "string", "z": "string", "n": "bigint"}
+    assert [tuple(r) for r in df.select("id", "x", "y", "z", "n").orderBy("n").collect()] == [(1, "a", "10", None, 0), (2, "b", "20", None, 1), (3, "c", "30", "new", 2), (4, "d", "forty", None, 3)]
+    (tmp_path / "p").mkdir()
+    for i, sql in enumerate(["1 AS id, cast(10 AS int) AS y, 'a' AS x", "'b' AS x, 2 AS id, cast(20 AS bigint) AS y", "3 AS id, 'thirty' AS y, 'c' AS x, 1.5D AS z", "4 AS id, cast(40 AS int) AS y, 'd' AS x"]):
+        spark.sql(f"SELECT {sql}").coalesce(1).write.parquet(str(tmp_path / f"w{i}"))
+        next((tmp_path / f"w{i}").glob("*.parquet")).rename(tmp_path / f"p/p{i}.parquet")
+    df = readers.read_table(spark, tmp_path / "p", row_index="n")
+    assert dict(df.dtypes) == {"id": "int", "x": "string", "y": "string", "z": "double", "n": "bigint"}
+    assert [tuple(r) for r in df.select("id", "x", "y", "z", "n").orderBy("n").collect()] == [(1, "a", "10", None, 0), (2, "b", "20", None, 1), (3, "c", "thirty", 1.5, 2), (4, "d", "40", None, 3)]
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 2 * 3  # one scan for each of three footers, numbered
+
+
+def test_a_text_table_is_scanned_once(spark, tmp_path):
+    """Gzipped CSV is decoded by the one write of its columnar copy; types and rows come from that."""
+    with gzip.open(tmp_path / "t.csv.gz", "wt") as f:
+        f.write("a,b\n" + "".join(f"{i},{i / 2}\n" for i in range(100)))
+    df = readers.read_table(spark, tmp_path / "t.csv.gz")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "FileScan csv" not in plan
+    assert dict(df.dtypes) == {"a": "bigint", "b": "double"} and df.count() == 100
+
+
 def test_row_numbers(spark, tmp_path):
     spark.range(1000).repartitionByRange(4, "id").sortWithinPartitions("id").write.csv(str(tmp_path / "t"), header=True)
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
