@@ -432,11 +432,11 @@ def hashed_ids(spark, sf_dir):
     return subject_rows(_reader(spark, sf_dir)("region"), t).select("r_name", "subject_id")
 
 
-@query("""SELECT o_orderkey, '1e' || (20 + o_orderkey % 20) AS large, 'S//' || (o_orderkey + 1) || '00000000.0' AS plain, '0.0000' || (o_orderkey % 9 + 1) AS small FROM orders""")
+@query("""SELECT o_orderkey, '1e' || (16 + o_orderkey % 7) AS large, 'S//' || (o_orderkey + 1) || '00000000.0' AS plain, '0.0000' || (o_orderkey % 9 + 1) AS small FROM orders""")
 def numbers_as_text(spark, sf_dir):
     """Numbers with a fraction, cast to text or put into a code: in plain digits unless very large or very small."""
     k = (F.col("o_orderkey") + 1).cast("string")
-    rows = _reader(spark, sf_dir)("orders").select("o_orderkey", F.concat(F.lit("1e"), (20 + F.col("o_orderkey") % 20).cast("string")).cast("double").alias("a"), F.concat(k, F.lit("e8")).cast("double").alias("b"), F.concat((F.col("o_orderkey") % 9 + 1).cast("string"), F.lit("e-5")).cast("double").alias("c"))
+    rows = _reader(spark, sf_dir)("orders").select("o_orderkey", F.concat(F.lit("1e"), (16 + F.col("o_orderkey") % 7).cast("string")).cast("double").alias("a"), F.concat(k, F.lit("e8")).cast("double").alias("b"), F.concat((F.col("o_orderkey") % 9 + 1).cast("string"), F.lit("e-5")).cast("double").alias("c"))
     return rows.select("o_orderkey", parse("$a::str").compile().alias("large"), code_of(parse('f"S//{$b}"')).alias("plain"), parse("$c::str").compile().alias("small"))
 
 
