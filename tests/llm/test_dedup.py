@@ -180,6 +180,28 @@ def test_embedding_recall_against_brute_force(spark):
     assert {r.id: (r.n_links, r.component_id) for r in again} == {r.id: (r.n_links, r.component_id) for r in got}
 
 
+def test_the_querys_own_trees_cut_and_miss_nothing(spark):
+    """With the query's parameters: trees cut the tables at hand, and leaves of copies, chains and noise hold every link."""
+    import pyarrow.parquet as pq
+
+    table = pq.read_table("/root/testdata/sf0.1/embeddings.parquet").to_pandas()
+    x = embedding_dedup._unit(np.stack(table.embedding.to_numpy()).astype(np.float64))
+    forest = embedding_dedup.fit_forest(x, table.label.to_numpy(), embedding_dedup.TREES, embedding_dedup.LEAF, embedding_dedup.THRESHOLD, 7)
+    assert len(forest.trees) == embedding_dedup.TREES and all(len(t.cut) >= 5 for t in forest.trees)
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal((700, 64))
+    near = base[rng.integers(0, 700, 1500)] + 0.19 * rng.standard_normal((1500, 64)) * rng.random((1500, 1))
+    chain = base[0] + np.cumsum(0.12 * rng.standard_normal((60, 64)), axis=0)
+    rows = [(i, v.astype(np.float32).tolist(), i % 2) for i, v in enumerate(np.concatenate([base, near, chain, np.repeat(base[5:6], 400, axis=0) + 0.01 * rng.standard_normal((400, 64))]))]
+    want = cosine_links(rows)
+    assert 1500 < want.sum() < want.size / 4
+    for branch in (embedding_dedup.BRANCH, 300):  # one branch a label, or several a tree
+        got = {r.id: r for r in embedding_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(4), branch=branch).collect()}
+        found = sum(r.n_links for r in got.values())
+        assert 0.998 * want.sum() <= found <= want.sum()
+        assert all(got[i].n_links <= n for i, n in enumerate(want.sum(axis=1)))
+
+
 def test_compare_is_exact_and_spans():
     rng = np.random.default_rng(3)
     x = rng.standard_normal((300, 8))
@@ -193,7 +215,7 @@ def test_compare_is_exact_and_spans():
         linked &= ~(shared[:, None] & shared[None, :])
         if side.any():
             linked &= side[:, None] != side[None, :]
-        count, edges = embedding_dedup.compare(ids, weight, x, side, np.flatnonzero(shared), np.full(shared.sum(), 7), 0.95)
+        count, edges = embedding_dedup.compare(ids, weight, x, side, lambda: (np.flatnonzero(shared), np.full(shared.sum(), 7)), 0.95)
         assert count.tolist() == (linked @ weight).tolist() and count.any()
         assert all(linked[a - 1000, b - 1000] for a, b in edges)
         n = list(range(300))
