@@ -1,9 +1,9 @@
 """URL filter: rules by host and path first, then logistic regression on hashed character n-grams of host and path.
 
 Everything runs as DataFrame expressions. A URL's n-grams (``SIZES`` characters, host and path apart) hash into ``BUCKETS``
-buckets; its log-odds are the bias plus, for host and path, the weights of its buckets over the root of their number. The regression is fitted on a small
-labelled table by gradient steps, each one aggregate over that table; its weights (one a bucket) pass through the driver and
-return as a literal. Judging is one projection: no shuffle, no state, one scan of the URL column.
+buckets; its log-odds are the bias plus, for host and path, the weights of its buckets over the root of their number. The regression is fitted on the
+driver, on a labelled table of at most ``FIT_ROWS`` rows; its weights (one a bucket) go into the judging as a literal. Judging is one
+projection: no shuffle, no state, one scan of the URL column.
 
 Nulls, ties: a null URL or one without ``://`` has an empty host and path, fits no rule, and has no n-grams: the bias alone
 decides. A probability of exactly the cut blocks. Repeated rows and null ids are judged alike; extra columns are ignored. Without labelled rows of both kinds the method allows. Work
@@ -15,11 +15,10 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import materialize, release
-
 BUCKETS = 32_768
 SIZES = (3, 4)
 ROUNDS = 10
@@ -27,6 +26,8 @@ STEP = 0.4
 SMOOTHING = 0.002
 RIDGE = 1e-5
 CUT = 0.5
+#: Labelled rows that the fit reads.
+FIT_ROWS = 20_000
 
 #: (host, path) rules in order of the contract; the verdict is the first entry.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
@@ -53,7 +54,7 @@ music orchestra theatre cinema painting sculpture photography poetry novels book
 travel railway airport harbor hotel camping maps museumshop holiday festival market bakehouse coffee
 software compiler database network security documentation manual tutorial forum wiki opensource developer design
 insurance banking savings pension accounting law justice charity community church family children kindergarten
-farm windmill freebooks winter advice chapel tracksuit adulteducation bethel pillow scampi classex spamalot
+carpentry pottery weaving astronomy geology botany chess puzzles bicycles tools furniture lighting plumbing roofing
 """
 _SIDE_WORDS = "online best site world my 24 hub shop now top free the new daily direct center house point land web".split()
 _SUBDOMAINS = ("", "www.", "m.", "blog.", "static.", "en.")
@@ -152,39 +153,40 @@ def log_odds(weights: list[float], bias: float) -> Column:
     return total
 
 
-def fit(table: DataFrame) -> tuple[list[float], float]:
-    """Weights and bias from a small table (url, bad), classes weighted to ``PRIOR``: full-batch Adam steps.
+def fit(table: DataFrame, most: int = FIT_ROWS) -> tuple[list[float], float]:
+    """Weights and bias from a small table (url, bad), classes weighted to ``PRIOR``: full-batch Adam steps, on the driver.
 
-    They start near their end: each weight at the log-odds of its bucket in bad and other URLs, counted with ``SMOOTHING``.
+    Buckets are made by the same expressions as those of the judged URLs. Of more than ``most`` labelled rows those with the least hashes are
+    taken. Weights start near their end: each at the log-odds of its bucket in bad and other URLs, counted with ``SMOOTHING``.
     """
     host, path = host_and_path(F.col("url"))
-    rows = table.where("bad in (0, 1)").select(host.alias("host"), path.alias("path"), "bad")
-    rows = materialize(with_buckets(rows).select("host_b", "path_b", "bad"), "labelled")
-    count = {r["bad"]: r["count"] for r in rows.groupBy("bad").count().collect()}
-    weights = [0.0] * BUCKETS
-    if len(count) < 2:
-        return weights, -1.0
-    share = F.when(F.col("bad") == 1, PRIOR / count[1]).otherwise((1 - PRIOR) / count[0])
-    for r in rows.select(F.explode(F.concat("host_b", "path_b")).alias("k"), "bad").groupBy("k").agg(F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good")).collect():
-        weights[r["k"]] = math.log((r["bad"] / count[1] + SMOOTHING) / (r["good"] / count[0] + SMOOTHING))
-    bias = math.log(PRIOR / (1 - PRIOR))
-    first, second = [0.0] * (BUCKETS + 1), [0.0] * (BUCKETS + 1)
+    rows = table.where("bad in (0, 1)").select("url", "bad").orderBy(F.xxhash64("url"), "url", "bad").limit(most)
+    got = with_buckets(rows.select(host.alias("host"), path.alias("path"), "bad")).select("host_b", "path_b", "bad").toArrow()
+    bad = got.column("bad").to_numpy().astype(np.float64)
+    n, n_bad = len(bad), bad.sum()
+    weights = np.zeros(BUCKETS + 1)
+    if not 0 < n_bad < n:
+        return weights[:-1].tolist(), -1.0
+    owner, bucket, value = [], [], []
+    for side in ("host_b", "path_b"):
+        lists = got.column(side).combine_chunks()
+        size = np.diff(lists.offsets.to_numpy())
+        owner.append(np.repeat(np.arange(n), size))
+        bucket.append(lists.flatten().to_numpy())
+        value.append(np.repeat(1 / np.sqrt(np.maximum(size, 1)), size))
+    owner, bucket, value = (np.concatenate(x) for x in (owner, bucket, value))
+    times = [np.bincount(bucket, weights=w[owner], minlength=BUCKETS) for w in (bad, 1 - bad)]
+    weights[:-1] = np.where(times[0] + times[1] > 0, np.log((times[0] / n_bad + SMOOTHING) / (times[1] / (n - n_bad) + SMOOTHING)), 0)
+    weights[-1] = math.log(PRIOR / (1 - PRIOR))  # the bias
+    share = np.where(bad == 1, PRIOR / n_bad, (1 - PRIOR) / (n - n_bad))
+    first, second = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
     for step in range(1, ROUNDS + 1):
-        p = 1 / (1 + F.exp(-log_odds(weights, bias)))
-        error = rows.select(F.posexplode(F.array("host_b", "path_b")).alias("side", "b"), ((F.col("bad") - p) * share).alias("e"))
-        # the last bucket stands for the bias
-        own = F.when(F.col("side") == 0, F.concat("b", F.array(F.lit(BUCKETS)))).otherwise(F.col("b"))
-        each = error.select(F.explode(own).alias("k"), "e", (F.col("e") * _scale("b")).alias("g"))
-        grad = [-RIDGE * w for w in (*weights, 0.0)]
-        for r in each.groupBy("k").agg(F.sum(F.when(F.col("k") == BUCKETS, F.col("e")).otherwise(F.col("g"))).alias("s")).collect():
-            grad[r["k"]] += r["s"]
-        first = [0.8 * m + 0.2 * g for m, g in zip(first, grad)]
-        second = [0.95 * v + 0.05 * g * g for v, g in zip(second, grad)]
-        move = [STEP * (m / (1 - 0.8**step)) / (math.sqrt(v / (1 - 0.95**step)) + 1e-6) for m, v in zip(first, second)]
-        weights = [round(w + d, 6) for w, d in zip(weights, move)]
-        bias = round(bias + move[-1], 6)
-    release(rows)
-    return weights, bias
+        odds = weights[-1] + np.bincount(owner, weights=weights[bucket] * value, minlength=n)
+        error = (bad - 1 / (1 + np.exp(-odds))) * share
+        grad = np.append(np.bincount(bucket, weights=error[owner] * value, minlength=BUCKETS) - RIDGE * weights[:-1], error.sum())
+        first, second = 0.8 * first + 0.2 * grad, 0.95 * second + 0.05 * grad * grad
+        weights = weights + STEP * (first / (1 - 0.8**step)) / (np.sqrt(second / (1 - 0.95**step)) + 1e-6)
+    return weights[:-1].round(6).tolist(), round(float(weights[-1]), 6)
 
 
 def judge(pages: DataFrame, weights: list[float], bias: float, url_col: str = "url", id_col: str = "page_id", rules=RULES) -> DataFrame:

@@ -233,6 +233,20 @@ def test_url_filter(spark):
     assert np.mean(right) > 0.95
     assert np.mean([ok for ok, r in zip(right, held_out) if r[1] and not r[0].split("/")[2].count(r[2])]) > 0.8  # the word is in the path
     assert urlfilter.fit(urlfilter.labelled(spark).where("bad = 1"))[1] < 0
+    assert urlfilter.fit(urlfilter.labelled(spark).limit(0))[1] < 0
+
+
+def test_url_filter_by_word(spark):
+    """Words that the fit has not seen at all: few of the bad ones are found, and hardly a good one is blocked (figures in the README)."""
+    rows = urlfilter.labelled_rows()
+    out = lambda word: zlib.crc32(word.encode()) % 5 == 0
+    weights, bias = urlfilter.fit(urlfilter.labelled(spark, [r for r in rows if not out(r[2])]))
+    unseen = [r for r in rows if out(r[2])]
+    pages = spark.createDataFrame([(i, r[0]) for i, r in enumerate(unseen)], "page_id long, url string")
+    blocked = {r.page_id: r.score >= 0.5 for r in urlfilter.judge(pages, weights, bias, rules=()).collect()}
+    bad, good = ([blocked[i] for i, r in enumerate(unseen) if r[1] == kind] for kind in (1, 0))
+    print(f"unseen words: {np.mean(bad):.3f} of {len(bad)} bad ones found, {np.mean(good):.3f} of {len(good)} good ones blocked")
+    assert np.mean(good) < 0.03 and np.mean(bad) > np.mean(good)
 
 
 def test_fit_equals_a_plain_one(spark, monkeypatch):
