@@ -186,9 +186,7 @@ def find(text: str | None) -> list[Span]:
     """(kind, start, end, score) by kind as in KINDS, then start; code points, end exclusive."""
     if not text:
         return []
-    out = dict.fromkeys(_base(text))
-    if any(c in text for c in "0123456789"):
-        out |= dict.fromkeys(_added(text))
+    out = dict.fromkeys(_base(text)) | dict.fromkeys(_added(text))
     spans = []
     for kind, start, end in out:
         before, behind = text[max(0, start - CONTEXT_WIDTH) : start], text[end : end + CONTEXT_BEHIND]
