@@ -34,6 +34,8 @@ from ._common import fresh, over_texts
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+#: Scores are whole numbers of this fraction, whose sums are exact in any order: ties stay ties.
+FIXED_POINT = 1 << 24
 RANK_OFFSET = 100
 
 
@@ -55,11 +57,12 @@ class Pieces:
         scores = [sp.get_score(i) for i in range(n)]
         if all(s <= 0 and s == int(s) for s in scores):  # whole numbers are ranks
             scores = [-math.log(RANK_OFFSET - s) for s in scores]
+        scores = [round(s * FIXED_POINT) for s in scores]
         self.names = [sp.id_to_piece(i) for i in range(n)]
         self.unknown = sp.unk_id()
         self.bytes = [-1] * 256
         self.automaton = ahocorasick.Automaton()
-        self.lowest = 0.0
+        self.lowest = 0
         self.plain = np.zeros(n, bool)
         for i, name in enumerate(self.names):
             if sp.is_byte(i):
@@ -91,7 +94,7 @@ class Pieces:
         best, last = [never] * (len(joined) + 1), [None] * (len(joined) + 1)
         at = 0
         for t in texts:
-            best[at] = 0.0
+            best[at] = 0
             at += len(t) + 1
         for end, piece in self.automaton.iter(joined):
             total = best[end + 1 - piece[1]] + piece[2]
@@ -138,8 +141,8 @@ class Pieces:
         """Best last piece at each position, None for an unknown character: one that no way of pieces ends with."""
         n = len(text)
         best, last = [-1e300] * (n + 1), [None] * (n + 1)
-        best[0] = 0.0
-        done, penalty = 0, self.lowest - UNKNOWN_PENALTY
+        best[0] = 0
+        done, penalty = 0, self.lowest - round(UNKNOWN_PENALTY * FIXED_POINT)
 
         def close(to: int, done: int) -> int:
             while done < to:
