@@ -113,7 +113,7 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
     asked = rows.where(F.coalesce("q", F.lit(False))).groupBy("id").agg(F.min("v").alias("v"))
     asked = materialize(asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(1 << 20))), "queries")
     blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    done, found = [], []
+    done, found, sent = [], [], []
     for block in range(blocks):
         # a run of hash values that holds about QUERY_BLOCK queries
         low, high = block * (1 << 20) // blocks, (block + 1) * (1 << 20) // blocks
@@ -121,6 +121,7 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
         query_ids = part.column("id").to_numpy()
         queries = _matrix(part.column("v").combine_chunks())
         held = spark.sparkContext.broadcast((query_ids, queries, table))
+        sent.append(held)
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             query_ids, queries, table = held.value
@@ -140,7 +141,9 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_c
         found.append(rows.select("id", "v").mapInArrow(run, "query_id long, id long, score long"))
         if len(found) == BLOCKS_A_JOB and block + 1 < blocks:
             done.append(materialize(reduce(DataFrame.unionByName, found), "top"))
-            found = []
+            for b in sent:
+                b.destroy()
+            found, sent = [], []
     # k rows a query and task
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return reduce(DataFrame.unionByName, done + found).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
