@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from chronoweave.llm import langid, minhash, packing, pii, quality
-from chronoweave.llm._common import materialize
+from chronoweave.llm._common import materialize, release
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,5 +62,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        made = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        release(docs)  # only the next stage reads it
+        docs = made
     return docs
