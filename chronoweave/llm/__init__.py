@@ -27,12 +27,14 @@ def queries() -> dict[str, Callable]:
         hard_negatives.op11_hard_negative_mining,
         substring_dedup.op12_substring_dedup,
         whitening.op13_embedding_whitening,
+        pii.pii_base_counts,
+        urlfilter.url_hosts_and_rules,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import embedding_dedup, hard_negatives, minhash, sharding, substring_dedup, topk
+    from . import embedding_dedup, hard_negatives, minhash, pii, sharding, substring_dedup, topk, urlfilter
 
     return {
         "op3_sharding": sharding.ORACLE_SQL,
@@ -41,4 +43,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_minhash_near_dedup": minhash.ORACLE_SQL,
         "op11_hard_negative_mining": hard_negatives.ORACLE_SQL,
         "op12_substring_dedup": substring_dedup.ORACLE_SQL,
+        "pii_base_counts": pii.BASE_COUNTS_SQL,
+        "url_hosts_and_rules": urlfilter.RULES_SQL,
     }

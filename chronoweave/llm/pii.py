@@ -280,3 +280,26 @@ def op1_pii(spark, sf_dir: str) -> DataFrame:
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return found.select("doc_id", *[count(k) for k in BASE], F.sha2(joined(F.lit(True)), 256).alias("base_sha256"), joined(None).alias("spans"), F.array_join(F.transform("spans", lambda s: F.format_string("%.2f", s["score"])), ",").alias("scores"), *[count(k) for k in KINDS[4:]], F.size("spans").cast("long").alias("n_spans"))
+
+
+def pii_base_counts(spark, sf_dir: str) -> DataFrame:
+    """How often each base kind stands in every document."""
+    found = detect(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    return found.select("doc_id", *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE])
+
+
+#: The base kinds by the contract's patterns and checks.
+BASE_COUNTS_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+') AS email, regexp_extract_all(t, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)') AS ip,
+    list_transform(regexp_extract_all(t, '[0-9]([\x20-]?[0-9])+'), lambda x: regexp_replace(x, '[^0-9]', '', 'g')) AS card,
+    list_transform(regexp_extract_all(t, '\+[0-9][\x20().0-9-]+[0-9]'), lambda x: length(regexp_replace(x, '[^0-9]', '', 'g'))) AS phone
+  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+)
+SELECT doc_id, len(email) AS n_email,
+  len(list_filter(ip, lambda x: list_max(list_transform(string_split(x, '.'), lambda p: CAST(p AS DOUBLE))) <= 255)) AS n_ip,
+  len(list_filter(card, lambda x: length(x) BETWEEN 13 AND 19 AND list_sum(list_transform(range(1, length(x) + 1), lambda i:
+    CASE WHEN i % 2 = 1 THEN CAST(substr(x, length(x) - i + 1, 1) AS INTEGER) ELSE CAST(substr(x, length(x) - i + 1, 1) AS INTEGER) * 2 - 9 * (CAST(substr(x, length(x) - i + 1, 1) AS INTEGER) // 5) END)) % 10 = 0)) AS n_card,
+  len(list_filter(phone, lambda n: n BETWEEN 9 AND 15)) AS n_phone
+FROM d
+"""

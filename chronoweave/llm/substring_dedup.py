@@ -12,8 +12,8 @@ The texts are shuffled once, steps 2 and 4 read the same exchange; hashes move o
 bounded number of words each. There are at most as many messages as stretches of ``MESSAGE_BYTES`` of text: blocks grow with the
 root of the input from about 2 TB on. Two different windows have the same 80 bits with probability 10**-24.
 
-Order: ids ascending, a null id last; rows that share an id by a 32-bit hash of their text; of equal rows the first in no
-stated order (they give the same rows either way). Null and empty texts have no words; texts shorter than a window stay whole. A row
+Order: ids ascending, a null id last; rows that share an id by a 16-bit hash of their text, then in no stated order (equal rows
+give the same results either way). Null and empty texts have no words; texts shorter than a window stay whole. A row
 comes back for each row given. Texts of any length are read whole, each in one task. No rows give no rows; extra columns are ignored.
 """
 
@@ -31,7 +31,7 @@ from ._words import PLAIN, hash_runs, mix, words
 
 WINDOW = 20
 #: Text bytes of a block, and of the windows whose hashes fall into one range.
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 12_000_000
 #: Text bytes for each message, at least.
 MESSAGE_BYTES = 150
 #: Odd multipliers of the two polynomials modulo 2**64.
@@ -109,17 +109,17 @@ def _unplaned(data: memoryview, n: int, kind) -> np.ndarray:
 def message(h: np.ndarray, g: np.ndarray, doc: np.ndarray, ids: np.ndarray, ties: np.ndarray) -> bytes:
     """Sorted hashes with the order of their documents."""
     used, at = np.unique(doc, return_inverse=True)
-    parts = [_planes(np.diff(h, prepend=np.uint64(0))), g.tobytes(), _planes(at.astype(np.uint32)), _planes(np.diff(ids[used].view(np.uint64), prepend=np.uint64(0))), ties[used].tobytes()]
+    parts = [_planes(np.diff(h, prepend=np.uint64(0))), g.tobytes(), _planes(at.astype(np.uint32)), _planes(np.diff(ids[used].view(np.uint64), prepend=np.uint64(0))), ties[used].astype(np.uint16).tobytes()]
     return b"".join([np.array([len(h), len(used)], np.uint32).tobytes(), *parts])
 
 
 def opened(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(hash, more bits, id, tie) of each window of a message."""
     n, m = map(int, np.frombuffer(data, np.uint32, 2))
-    view, ends = memoryview(data), np.cumsum([8, 8 * n, 2 * n, 4 * n, 8 * m, 4 * m])
+    view, ends = memoryview(data), np.cumsum([8, 8 * n, 2 * n, 4 * n, 8 * m, 2 * m])
     h, g, at, ids, ties = (view[a:b] for a, b in zip(ends, ends[1:]))
     at = _unplaned(at, n, np.uint32)
-    return np.cumsum(_unplaned(h, n, np.uint64)), np.frombuffer(g, np.uint16), np.cumsum(_unplaned(ids, m, np.uint64)).view(np.int64)[at], np.frombuffer(ties, np.int32)[at]
+    return np.cumsum(_unplaned(h, n, np.uint64)), np.frombuffer(g, np.uint16), np.cumsum(_unplaned(ids, m, np.uint64)).view(np.int64)[at], np.frombuffer(ties, np.uint16)[at]
 
 
 def seen_earlier(messages: list[bytes], blocks: np.ndarray) -> list[bytes]:
@@ -193,7 +193,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     n = max(1, math.ceil(total / max(block_bytes, math.sqrt(MESSAGE_BYTES * total))))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.hash(text).alias("tie"), text.alias("text"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int").alias("block"))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.hash(text).bitwiseAND(0xFFFF).alias("tie"), text.alias("text"), F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int").alias("block"))
 
     def send(rows: pa.Table) -> pa.Table:
         number, rows = rows.column("block")[0].as_py(), in_order(rows)

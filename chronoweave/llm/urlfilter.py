@@ -202,3 +202,26 @@ def judge(pages: DataFrame, weights: list[float], bias: float, url_col: str = "u
 def op4_url_filter(spark, sf_dir: str) -> DataFrame:
     """A verdict for every page's URL."""
     return judge(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url"), *fit(labelled(spark)))
+
+
+def url_hosts_and_rules(spark, sf_dir: str) -> DataFrame:
+    """Host, path and rule of every page's URL."""
+    host, path = host_and_path(F.col("url"))
+    rows = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", host.alias("host"), path.alias("path"))
+    rule, verdict = rule_of(F.col("host"), F.col("path"))
+    return rows.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("ruled"))
+
+
+def _rules_sql(what: int) -> str:
+    longest = sorted(RULES, key=lambda r: -len(r[1]) - len(r[2]))
+    return " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{(h + p, kind)[what]}'" for kind, h, p in longest)
+
+
+RULES_SQL = rf"""
+WITH u AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+)
+SELECT page_id, host, path, CASE {_rules_sql(0)} END AS rule, CASE {_rules_sql(1)} END AS ruled FROM u
+"""

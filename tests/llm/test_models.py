@@ -294,12 +294,12 @@ def test_main_path_is_native(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
 
 
-@pytest.mark.parametrize("name", ["op3_sharding", "op5_embedding_near_dedup", "op7_exact_top_k", "op8_minhash_near_dedup"])
+@pytest.mark.parametrize("name", ["op3_sharding", "op5_embedding_near_dedup", "op7_exact_top_k", "op8_minhash_near_dedup", "pii_base_counts", "url_hosts_and_rules"])
 def test_query_equals_sql(spark, name):
     from chronoweave.llm import oracle_sql, queries
 
     c = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "pages"):
         c.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     df = queries()[name](spark, SF)
     want = c.execute(oracle_sql()[name])
