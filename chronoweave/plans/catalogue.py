@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +15,7 @@ from ..operators.events import code_of, extract_event, lookup_join, subject_rows
 from ..operators.order import numbered
 from ..operators.union import diagonal_union, vertical_union
 from ..sources import files
-from ..sources.readers import find_data, find_metadata, promote, read_metadata, read_table, row_range
+from ..sources.readers import ends_of, find_data, find_metadata, promote, read_metadata, read_table, require, row_range
 from . import pipeline, spec
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -263,7 +264,25 @@ def _customers(spark, sf_dir) -> DataFrame:
     return subjects.universe([_reader(spark, sf_dir)("customer").select(F.col("c_custkey").alias("subject_id"))])
 
 
-@query()
+def _drawn(n: int, per_shard: int = 500) -> list[str]:
+    """``split/shard:place`` of the n subjects in ascending order, from the draws as they are defined: splits, subjects, then each larger split."""
+    rng, shares = np.random.default_rng(1), {"train": 0.8, "tuning": 0.1, "held_out": 0.1}
+    order, mixed = [list(shares)[i] for i in rng.permutation(3)], rng.permutation(n)
+    ends = np.cumsum([round(shares[s] * n) for s in order[:2]])
+    out = [""] * n
+    for split, own in zip(order, np.split(mixed, ends)):
+        shards = [range(len(own))] if len(own) <= per_shard else np.array_split(rng.permutation(len(own)), -(-len(own) // per_shard))
+        for i, shard in enumerate(shards):
+            for place, k in enumerate(shard):
+                out[own[k]] = f"{split}/{i}:{place}"
+    return out
+
+
+@query(f"""
+WITH a AS (SELECT unnest(l) AS x, generate_subscripts(l, 1) AS i FROM (SELECT CASE (SELECT count(*) FROM customer) {" ".join(f"WHEN {n} THEN {_drawn(n)}" for n in (150, 1500))} END AS l))
+SELECT c_custkey AS subject_id, split_part(x, '/', 1) AS split, split_part(x, ':', 1) AS shard, CAST(split_part(x, ':', 2) AS BIGINT) AS place
+FROM (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS i FROM customer) JOIN a USING (i)
+""")
 def iid_split(spark, sf_dir):
     return pipeline.shards_of(spark, _customers(spark, sf_dir), pipeline.Options(n_subjects_per_shard=500))
 
@@ -498,6 +517,36 @@ def whole_run_existing_codes(spark, sf_dir):
     return spark.read.parquet(f"{_whole_run(spark, sf_dir, True)['metadata']}/codes.parquet").select("code", "description", "description_right")
 
 
+@query("""SELECT * FROM (VALUES ('another suffix', 'ValueError'), ('no table', 'FileNotFoundError'), ('no metadata', 'FileNotFoundError'), ('no rows', 'ValueError'), ('no column', 'ValueError'), ('results there', 'FileExistsError'), ('folder name', 'ValueError')) v(what, said) UNION ALL SELECT 'first row', min(n_name) FROM nation UNION ALL SELECT 'last row', max(n_name) FROM nation""")
+def refusals(spark, sf_dir):
+    """What is refused, and by which error; and the rows at both ends of a table, which messages show."""
+    read, root = _reader(spark, sf_dir), files.scratch_path(spark, "refused")
+    nation = read("nation").orderBy("n_name").select("n_name", "n_nationkey")
+    nation.write.json(f"{root}/nation.json")
+    nation.where("n_nationkey < 0").coalesce(1).write.parquet(f"{root}/empty.parquet")
+    nation.write.parquet(f"{root}/out/data")
+    files.write_text(spark, f"{root}/spec.yaml", "nation:\n  subject_id_col: n_nationkey\n  e: {code: $n_name, time: null}\n")
+    empty = read_table(spark, f"{root}/empty.parquet")
+    attempts = {
+        "another suffix": lambda: read_table(spark, f"{root}/nation.json"),
+        "no table": lambda: find_data(spark, root, ["region"]),
+        "no metadata": lambda: find_metadata(spark, root, "region"),
+        "no rows": lambda: require(empty, ["n_name"], "empty"),
+        "no column": lambda: require(nation, ["n_comment"], "nation"),
+        "results there": lambda: pipeline.run(spark, f"{root}/spec.yaml", root, f"{root}/out"),
+        "folder name": lambda: pipeline.finish_metadata(nation, nation, f"{root}/other", "overwrite", pipeline.Options()),
+    }
+    said = []
+    for what, attempt in attempts.items():
+        try:
+            attempt()
+            said.append((what, "nothing"))
+        except Exception as e:
+            said.append((what, type(e).__name__))
+    first, last = ends_of(nation, 1)
+    return spark.createDataFrame([*said, ("first row", first[0].n_name), ("last row", last[0].n_name)], "what string, said string")
+
+
 @query("""SELECT 'rows ' || b AS what, count(*) AS n FROM (SELECT c_custkey, 'people/segment' AS b FROM customer UNION ALL SELECT c_custkey, 'people/nation' FROM customer) GROUP BY b UNION ALL SELECT 'subjects', count(*) FROM customer UNION ALL SELECT 'lines of the specification', 2 UNION ALL SELECT 'splits', 2""")
 def replaced_run(spark, sf_dir):
     """A run that replaces another, with a stage of its own: rows by block as that stage counted them, subjects and the specification as published."""

@@ -99,13 +99,14 @@ def read_table(spark: SparkSession, path, typed: bool = True, row_index: str | N
     an added column with row numbers; position: of one with numbers that only ascend in the table's order, which cost no join.
     """
     suffix, paths = parts_of(spark, path, storage)
-    if suffix in (".parquet", ".par"):
-        df = _parquet(spark, path, paths, columns, position or row_index, storage)
-        return numbered(df.withColumnRenamed(row_index, "__at__"), "__at__", row_index).drop("__at__") if row_index else df
-    stored = _csv(spark, paths, columns, storage)
-    df = numbered(stored, "__at__", row_index) if row_index else stored
+    if text := suffix not in (".parquet", ".par"):
+        df = _csv(spark, paths, columns, storage)
+    else:
+        df = _parquet(spark, paths, columns, "__at__" if position or row_index else None, storage)
+    if row_index:
+        df = numbered(df, "__at__", row_index)
     df = df.withColumnRenamed("__at__", position) if position else df.drop("__at__")
-    return promote(df) if typed else df
+    return promote(df) if text and typed else df
 
 
 #: Bits of a position: the upper ones number a table's files, the rest the rows of a file.
@@ -135,7 +136,7 @@ def _groups(paths: list[str], key_of) -> dict[str, list[str]]:
     return out
 
 
-def _parquet(spark: SparkSession, path, paths: list[str], columns: list[str] | None, position: str | None, storage: dict[str, str] | None) -> DataFrame:
+def _parquet(spark: SparkSession, paths: list[str], columns: list[str] | None, position: str | None, storage: dict[str, str] | None) -> DataFrame:
     groups = _groups(paths, lambda p: files.parquet_schema(spark, p, storage)) if len(paths) > 1 else {"": paths}
     frames = []
     for own in groups.values():
