@@ -285,7 +285,11 @@ def op1_pii(spark, sf_dir: str) -> DataFrame:
 def pii_base_counts(spark, sf_dir: str) -> DataFrame:
     """How often each base kind stands in every document."""
     found = detect(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
-    return found.select("doc_id", *[F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in BASE])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in BASE])
 
 
 #: The base kinds by the contract's patterns and checks.

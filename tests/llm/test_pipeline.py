@@ -2,9 +2,13 @@ import zlib
 
 import numpy as np
 
+import pyarrow as pa
+
 import corpus_pipeline
-from chronoweave.llm import packing, pii
+from chronoweave.llm import langid, packing, pii, quality
+from chronoweave.llm._common import utf8
 
+from .test_dedup import bag, jaccard, roots
 from .test_tokens import PATH, check_packing
 
 SF = "/root/testdata/sf0.001"
@@ -56,6 +60,23 @@ def test_stages_on_odd_rows(spark, odd_docs, no_docs):
     assert {r.doc_id for r in corpus_pipeline.STAGES[0][1](spark, known, SF).collect()}.isdisjoint({3, 4, 5, 9})
 
 
-def test_run(spark):
+def test_run_equals_a_plain_version(spark):
+    """The whole result against stages done one document, or one pair, at a time; only the two fitted models are the library's."""
     rows = corpus_pipeline.run(spark, SF)
-    assert rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and rows.count() > 0
+    assert rows.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r.doc_id: r.text for r in given.collect()}
+    model = langid.train(given.where(langid.train_on()))
+    kept = [k for k, t in texts.items() if not model.judge([t])[2][0]]
+    some = given.where(given.doc_id.isin(kept))
+    model = quality.train(some, spark.read.parquet(f"{SF}/labels.parquet"))
+    score = lambda t: model.score(*utf8(pa.array([t])))[0]
+    good = sorted(k for k in kept if score(texts[k]) >= quality.CUT)
+    bags = {k: bag(texts[k]) for k in good}
+    near = [(a, b) for i, a in enumerate(good) for b in good[i + 1 :] if jaccard(bags[a], bags[b]) >= 0.8]
+    first = roots(good, near)
+    left = [(k, pii.mask(texts[k], pii.find(texts[k]))) for k in good if first[k] == k]
+    assert len(given.columns) and len(texts) > len(good) > len(left) > 0
+    got = rows.collect()
+    assert {r.doc_id for r in got} == {k for k, _ in left}
+    check_packing(got, left, packing.LENGTH, 0.1)
