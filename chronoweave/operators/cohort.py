@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import re
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -117,12 +118,22 @@ def write_cohort(events: DataFrame, path: str, mode: str = "errorifexists", name
     events.write.options(**storage or {}).mode(mode).partitionBy("split", "shard").parquet(path)
     if not named:
         return
-    for split, _ in [c for c in files.children(spark, path, storage) if c[0].startswith("split=")]:
-        name = unquote(split.removeprefix("split="))
-        for shard, _ in files.children(spark, f"{path}/{split}", storage):
-            parts = [n for n, _ in files.children(spark, f"{path}/{split}/{shard}", storage) if n.startswith("part-")]
-            for i, part in enumerate(parts):
-                files.move(spark, f"{path}/{split}/{shard}/{part}", f"{path}/{name}/{shard.removeprefix('shard=')}{f'-{i}' if i else ''}.parquet", storage)
+    _name_files(spark, path, storage)
+
+
+def _name_files(spark: SparkSession, path: str, storage: dict[str, str] | None) -> None:
+    """Rename the files of ``split=``/``shard=`` folders to ``{split}/{shard}.parquet``; shards side by side, as each takes some calls to the storage."""
+
+    def rename(split: str, shard: str) -> None:
+        parts = [n for n, _ in files.children(spark, f"{path}/{split}/{shard}", storage) if n.startswith("part-")]
+        for i, part in enumerate(parts):
+            files.move(spark, f"{path}/{split}/{shard}/{part}", f"{path}/{unquote(split.removeprefix('split='))}/{shard.removeprefix('shard=')}{f'-{i}' if i else ''}.parquet", storage)
+
+    splits = [n for n, _ in files.children(spark, path, storage) if n.startswith("split=")]
+    with ThreadPoolExecutor(16) as pool:
+        for done in [pool.submit(rename, split, shard) for split in splits for shard, _ in files.children(spark, f"{path}/{split}", storage)]:
+            done.result()
+    for split in splits:
         files.delete(spark, f"{path}/{split}", storage)
 
 

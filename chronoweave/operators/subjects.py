@@ -18,7 +18,9 @@ from .order import numbered, placed
 DEFAULT_SHARES = {"train": 0.8, "tuning": 0.1, "held_out": 0.1}
 PER_SHARD = 50_000
 #: Subjects that a draw on the driver may have.
-MOST_DRAWN = 5_000_000
+MOST_DRAWN = 20_000_000
+#: Subjects in one row of a drawn table.
+CHUNK = 10_000
 
 
 def universe(frames: list[DataFrame], column: str = "subject_id") -> DataFrame:
@@ -104,7 +106,7 @@ def drawn_shards(people: DataFrame, per_shard: int = PER_SHARD, external: DataFr
     """(subject_id, split, shard, place): ``assign_shards`` on DataFrames; place: where a subject stands in its shard.
 
     Ids stay on the cluster: subjects are numbered in ascending order, and only drawn numbers come from the driver, at most
-    ``most`` (some 40 bytes each; ValueError beyond, then ``hashed_shards`` is the way). external: (split, number, place,
+    ``most`` (8 bytes each; ValueError beyond, then ``hashed_shards`` is the way). external: (split, number, place,
     subject_id), with the splits' order and the place in a split's list.
     """
     spark = people.sparkSession
@@ -118,13 +120,24 @@ def drawn_shards(people: DataFrame, per_shard: int = PER_SHARD, external: DataFr
 
     def table(splits: list[Drawn]) -> DataFrame:
         """(split, own, shard_no, place): own is a subject's number among the free ones, or in its external list."""
-        own = [places if d.free is None else d.free[places] for d in splits for places in d.shards]
-        count = [len(o) for o in own]
-        names = pa.array([d.name for d in splits for _ in d.shards], pa.string()).take(pa.array(np.repeat(np.arange(len(own)), count)))
-        numbers = np.repeat([i for d in splits for i in range(len(d.shards))], count).astype(np.int32)
-        place = np.concatenate([np.arange(c) for c in count] or [np.zeros(0, np.int64)])
-        cols = [names, pa.array(np.concatenate(own or [np.zeros(0, np.int64)]).astype(np.int64)), pa.array(numbers), pa.array(place.astype(np.int64))]
-        return spark.createDataFrame(pa.table(cols, ["split", "own", "shard_no", "place"]), "split string, own bigint, shard_no int, place bigint")
+        nth, split, number = 0, F.lit(None).cast("string"), F.lit(0).cast("bigint")
+        shard = F.shiftright("e", 32)
+        lists: dict[str, np.ndarray] = {}
+        for d in splits:
+            split, number = F.when(shard >= nth, d.name).otherwise(split), F.when(shard >= nth, shard - nth).otherwise(number)
+            of = "" if d.free is not None else d.name
+            if of not in lists:
+                lists[of] = np.zeros(sum(len(p) for s in splits if d.free is not None or s is d for p in s.shards), np.int64)
+            for places in d.shards:
+                lists[of][places if d.free is None else d.free[places]] = (nth << 32) + np.arange(len(places))
+                nth += 1
+        # many numbers a row, in order of own, which is not sent
+        first = np.concatenate([np.arange(0, len(v), CHUNK) for v in lists.values()] or [np.zeros(0, np.int64)])
+        cuts = np.cumsum([0, *[min(CHUNK, len(v) - i) for v in lists.values() for i in range(0, len(v), CHUNK)]])
+        packed = pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(np.concatenate(list(lists.values()) or [np.zeros(0, np.int64)])))
+        chunks = spark.createDataFrame(pa.table([pa.array(first.astype(np.int64)), packed], ["first", "packed"]), "first bigint, packed array<bigint>")
+        rows = chunks.select("first", F.posexplode("packed").alias("i", "e"))
+        return rows.select(split.alias("split"), (F.col("first") + F.col("i")).alias("own"), number.cast("int").alias("shard_no"), F.col("e").bitwiseAND((1 << 32) - 1).alias("place"))
 
     found = numbered(free, "subject_id", "own").join(table([d for d in drawn if d.free is not None]), "own").select("subject_id", "split", "shard_no", "place")
     if external is not None:

@@ -478,6 +478,15 @@ visits/orders:
 """
 
 
+#: Rows that one file of a raw table made here has at most, or little more.
+_FILE_ROWS = 500_000
+
+
+def _parts(df: DataFrame, least: int = 3) -> int:
+    """How many files a raw table is written in, so that each stays of a size whatever the table's."""
+    return max(least, -(-df.count() // _FILE_ROWS))
+
+
 _runs: dict[tuple, dict[str, str]] = {}
 
 
@@ -488,7 +497,8 @@ def _whole_run(spark, sf_dir, codes_there: bool = False) -> dict[str, str]:
         read, root = _reader(spark, sf_dir), files.scratch_path(spark, "run")
         read("customer").select("c_custkey", "c_mktsegment", "c_nationkey").write.parquet(f"{root}/raw/people_0.parquet")
         orders = read("orders").select("o_custkey", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM-dd").alias("at"), "o_totalprice")
-        orders.repartition(3).write.csv(f"{root}/raw/visits/orders", header=True, compression="gzip")
+        # a gzipped file is one task's work: three, or as many as it takes
+        orders.repartition(_parts(orders)).write.csv(f"{root}/raw/visits/orders", header=True, compression="gzip")
         read("nation").select("n_nationkey", "n_name").write.csv(f"{root}/raw/nations.csv", header=True)
         if codes_there:
             old = read("nation").select(F.concat(F.when(F.col("n_nationkey") < 20, "NATION//").otherwise("OLD//"), F.col("n_nationkey").cast("string")).alias("code"), F.lower("n_name").alias("description"))

@@ -221,3 +221,24 @@ def test_spec_errors():
             block(cfg)
     need = spec.required_columns(spec.from_dict({"v": {"join": {"input_prefix": "s", "left_on": "k", "right_on": "id", "columns_from_right": ["subject_id"]}, "transforms": {"w": "$x"}, "e": {"code": "$w", "time": None}}}))
     assert need == {"v": ["k", "x"], "s": ["id", "subject_id"]}
+
+
+def test_a_draw_of_more_than_five_million(spark):
+    """Twenty million subjects may be drawn, and a row of the drawn numbers holds many of them."""
+    assert subjects.MOST_DRAWN >= 6_000_000
+    ids = list(range(3, 25_000, 2))
+    people = spark.createDataFrame([(i,) for i in ids], "subject_id bigint")
+    lists = spark.createDataFrame([("b", 0, k, i) for k, i in enumerate(ids[:11_000])] + [("c", 1, 0, 3)], "split string, number int, place bigint, subject_id bigint")
+    for external, want in ((None, subjects.assign_shards(ids, 500)), (lists, subjects.assign_shards(ids, 500, {"b": ids[:11_000], "c": [3]}))):
+        got: dict[str, list] = {}
+        for r in sorted(subjects.drawn_shards(people, 500, external).collect(), key=lambda r: (r.shard, r.place)):
+            got.setdefault(r.shard, []).append(r.subject_id)
+        assert got == want
+
+
+def test_files_of_a_raw_table_grow_with_it(spark, monkeypatch):
+    """A gzipped file is one task's work, so a larger table is written in more of them."""
+    from chronoweave.plans import catalogue
+
+    monkeypatch.setattr(catalogue, "_FILE_ROWS", 100)
+    assert [catalogue._parts(spark.range(n)) for n in (0, 250, 301, 1000)] == [3, 3, 4, 10]
