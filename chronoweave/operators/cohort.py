@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources import files
@@ -137,6 +137,17 @@ def _name_files(spark: SparkSession, path: str, storage: dict[str, str] | None)
         files.delete(spark, f"{path}/{split}", storage)
 
 
+def read_in_order(spark: SparkSession, path: str, number: str, storage: dict[str, str] | None = None) -> DataFrame:
+    """``read_cohort`` with each row's number in its shard, from 0: rows of the shard's earlier files come before."""
+    rows = read_cohort(spark, path, storage).select("*", F.col("_metadata.file_path").alias("__file__"), F.col("_metadata.row_index").alias("__in_file__"))
+    # {shard}.parquet, then {shard}-1.parquet and so on; files of folders have no such number and go by name
+    nth = F.coalesce(F.regexp_extract("__file__", "-([0-9]+)[.]parquet$", 1).try_cast("int"), F.lit(0))
+    size = rows.groupBy("split", "shard", "__file__").agg(F.count("*").alias("__n__"))
+    earlier = Window.partitionBy("split", "shard").orderBy(nth, "__file__").rowsBetween(Window.unboundedPreceding, -1)
+    before = size.select("__file__", F.coalesce(F.sum("__n__").over(earlier), F.lit(0)).alias("__before__"))  # one row a file
+    return rows.join(before, "__file__").withColumn(number, F.col("__before__") + F.col("__in_file__")).drop("__file__", "__in_file__", "__before__")
+
+
 def read_cohort(spark: SparkSession, path: str, storage: dict[str, str] | None = None) -> DataFrame:
     """A written cohort of either layout, with ``split`` and ``shard``."""
     if any(n.startswith("split=") for n, _ in files.children(spark, path, storage)):

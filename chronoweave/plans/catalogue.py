@@ -610,11 +610,13 @@ SELECT split, shard, subject_id, code, time, numeric_value, source_block, row_nu
 FROM (SELECT *, {_SPLIT} AS split, CAST(subject_id // 10 % 4 AS INTEGER) AS shard FROM (SELECT DISTINCT subject_id, code, time, CAST(CAST(numeric_value AS FLOAT) AS DOUBLE) AS numeric_value, source_block FROM ({_ALL})) JOIN {_PLACES} USING (source_block))
 """)
 def cohort_as_written(spark, sf_dir):
-    """The cohort written, one named file a shard, and read back file by file, with each row's number in its file."""
+    """The cohort written in named files, of which a shard has as many as its rows fill, and read back with each row's number in its shard."""
     s, read = spec.from_dict(COHORT), _reader(spark, sf_dir)
     path = files.scratch_path(spark, "cohort")
-    cohort.write_cohort(pipeline.cohort_of(pipeline.events_of(s, read), _two_splits(pipeline.subjects_of(s, read))), path, named=True)
-    rows = cohort.read_cohort(spark, path).withColumn("n", F.col("_metadata.row_index") + 1)
+    # eight shards of any size: none is one task's work
+    events = pipeline.events_of(s, read).drop("code_components")
+    cohort.write_cohort(pipeline.cohort_of(events, _two_splits(pipeline.subjects_of(s, read)), pipeline.Options(layout="ranges")), path, named=True)
+    rows = cohort.read_in_order(spark, path, "at").withColumn("n", F.col("at") + 1)
     return rows.select("split", "shard", "subject_id", "code", "time", F.col("numeric_value").cast("double").alias("numeric_value"), "source_block", "n")
 
 

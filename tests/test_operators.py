@@ -242,3 +242,19 @@ def test_files_of_a_raw_table_grow_with_it(spark, monkeypatch):
 
     monkeypatch.setattr(catalogue, "_FILE_ROWS", 100)
     assert [catalogue._parts(spark.range(n)) for n in (0, 250, 301, 1000)] == [3, 3, 4, 10]
+
+
+def test_a_shard_of_several_files_is_read_in_order(spark, tmp_path):
+    """A shard whose rows span tasks is written in several named files, numbered through."""
+    rows = spark.range(3000).select((2999 - F.col("id")).alias("subject_id"), F.lit(None).cast("timestamp_ntz").alias("time"), F.lit("c").alias("code"), F.concat(F.lit("s/"), (F.col("id") % 2).cast("string")).alias("shard"), F.lit("s").alias("split"))
+    old = spark.conf.get("spark.sql.shuffle.partitions"), spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.shuffle.partitions", "26")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cohort.write_cohort(cohort.ordered(rows, by="ranges"), str(tmp_path / "out"), named=True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old[0])
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old[1])
+    assert len(list((tmp_path / "out/s").glob("0*.parquet"))) > 10  # so that 0-10 must not come before 0-2
+    got = cohort.read_in_order(spark, str(tmp_path / "out"), "n").collect()
+    assert len(got) == 3000 and all(r.subject_id // 2 == r.n for r in got)
