@@ -622,17 +622,18 @@ def cohort_as_written(spark, sf_dir):
 
 @query("""SELECT l_suppkey AS subject_id, l_orderkey || '/' || l_linenumber AS text_value, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey DESC, l_linenumber) AS n FROM (SELECT DISTINCT l_suppkey, l_orderkey, l_linenumber FROM lineitem)""")
 def input_order(spark, sf_dir):
-    """Events of a subject that tie in all but their position in the raw table, three CSV files in falling order of their key: as written."""
+    """Events of a subject that tie in all but their position in the raw table, CSV files (at least three) in falling order of their key: as written."""
     root = files.scratch_path(spark, "order")
     items = _reader(spark, sf_dir)("lineitem").select("l_suppkey", "l_orderkey", "l_linenumber")
-    items.repartitionByRange(3, F.desc("l_orderkey"), "l_linenumber").sortWithinPartitions(F.desc("l_orderkey"), "l_linenumber").write.csv(f"{root}/items", header=True)
+    items.repartitionByRange(_parts(items), F.desc("l_orderkey"), "l_linenumber").sortWithinPartitions(F.desc("l_orderkey"), "l_linenumber").write.csv(f"{root}/items", header=True)
     raw = read_table(spark, f"{root}/items", position=cohort.ROW)
     t = spec.from_dict({"items": {"subject_id_col": "l_suppkey", "e": {"code": "ITEM", "time": None, "text_value": 'f"{$l_orderkey}/{$l_linenumber}"'}}}).tables["items"]
     people = subjects.universe([raw.select(F.col("l_suppkey").alias("subject_id"))])
     shards = people.select("subject_id", F.lit("all").alias("split"), F.concat(F.lit("all/"), (F.col("subject_id") % 8).cast("string")).alias("shard"))
-    rows = cohort.route(table_events(raw, t), shards)
-    cohort.write_cohort(cohort.ordered(rows), f"{root}/out", named=True)
-    got = cohort.read_cohort(spark, f"{root}/out").withColumn("at", F.col("_metadata.row_index"))
+    # eight shards of any size: none is one task's work
+    rows = files.materialize(cohort.route(table_events(raw, t), shards), "routed")
+    cohort.write_cohort(cohort.ordered(rows, by="ranges"), f"{root}/out", named=True)
+    got = cohort.read_in_order(spark, f"{root}/out", "at")
     return got.select("subject_id", "text_value", F.row_number().over(Window.partitionBy("subject_id").orderBy("at")).cast("bigint").alias("n"))
 
 
