@@ -115,14 +115,14 @@ POSITION_BITS = 47
 BROADCAST_FILES = 100_000
 
 
-def _numbered(df: DataFrame, spark: SparkSession, paths: list[str], row: Column, name: str, storage: dict[str, str] | None) -> DataFrame:
+def _numbered(df: DataFrame, spark: SparkSession, paths: list[str], row: Column, name: str, storage: dict[str, str] | None, file: Column | None = None) -> DataFrame:
     """``df`` of some of the files with each row's position: its file's place among ``paths``, then ``row``."""
     if len(paths) == 1:
         return df.withColumn(name, row.cast("bigint"))
     shift = POSITION_BITS - (len(paths) - 1).bit_length()
     numbers = spark.createDataFrame([(files.url(spark, p, storage), i) for i, p in enumerate(paths)], "__file__ string, __nth__ bigint")
     numbers = F.broadcast(numbers) if len(paths) <= BROADCAST_FILES else numbers
-    rows = df.select("*", files.read_from().alias("__file__"), row.cast("bigint").alias("__in_file__"))
+    rows = df.select("*", (files.read_from() if file is None else file).alias("__file__"), row.cast("bigint").alias("__in_file__"))
     return rows.join(numbers, "__file__").withColumn(name, F.shiftleft("__nth__", shift) + F.least("__in_file__", F.lit((1 << shift) - 1))).drop("__file__", "__nth__", "__in_file__")
 
 
@@ -159,11 +159,54 @@ def _header(line: str | None) -> list[str]:
     return [n if n and n not in names[:i] else f"{n or '_c'}{i}" for i, n in enumerate(names)]
 
 
+def _records(spark: SparkSession, paths: list[str], storage: dict[str, str] | None) -> DataFrame:
+    """(__path__, __record__, __from__): the records of CSV files with line breaks inside fields, the header left out; __from__ ascends in a file.
+
+    A line belongs to the record before it if the number of quotes ahead of it is odd. Lines are counted through within each block of a
+    file, and one small row a block says how many quotes the earlier blocks have and where their last record begins.
+    """
+    lines = spark.read.options(**storage or {}).text(list(map(files.literal, paths)), lineSep="\n").select(
+        F.col("value").alias("__line__"), files.read_from().alias("__path__"), F.col("_metadata.file_block_start").alias("__block__"), F.monotonically_increasing_id().alias("__id__"))
+    quotes = (F.length("__line__") - F.length(F.replace("__line__", F.lit('"'), F.lit("")))).cast("bigint")
+    lines = materialize(lines.withColumns({"__quotes__": quotes % 2, "__id__": F.col("__id__").bitwiseAND((1 << 33) - 1)}), "lines")
+    earlier = Window.partitionBy("__path__").orderBy("__block__").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("__path__", "__block__").agg(F.sum("__quotes__").alias("q"))
+    ahead = blocks.select("__path__", "__block__", F.coalesce(F.sum("q").over(earlier), F.lit(0)).alias("__ahead__"))  # one row a block
+    before = Window.partitionBy("__path__", "__block__").orderBy("__id__").rowsBetween(Window.unboundedPreceding, -1)
+    until = Window.partitionBy("__path__", "__block__").orderBy("__id__").rowsBetween(Window.unboundedPreceding, 0)
+    here = lines.join(F.broadcast(ahead), ["__path__", "__block__"]).withColumn("__begins__", (F.col("__ahead__") + F.coalesce(F.sum("__quotes__").over(before), F.lit(0))) % 2 == 0)
+    at = F.struct("__block__", "__id__")
+    here = here.withColumn("__start__", F.max(F.when(F.col("__begins__"), at)).over(until))
+    # lines at a block's head may go on with a record of an earlier block
+    last = here.groupBy("__path__", "__block__").agg(F.max("__start__").alias("s"))
+    carried = last.select("__path__", "__block__", F.max("s").over(earlier).alias("__carried__"))
+    rows = here.join(F.broadcast(carried), ["__path__", "__block__"]).withColumn("__start__", F.coalesce("__start__", "__carried__"))
+    records = rows.groupBy("__path__", "__start__").agg(F.array_sort(F.collect_list(F.struct("__block__", "__id__", "__line__"))).alias("l"))
+    records = records.select("__path__", F.array_join(F.col("l.__line__"), "\n").alias("__record__"), "__start__")
+    # the first line that is not blank is the header
+    shown = lines.where(F.regexp_replace("__line__", "[\\s\\ufeff]", "") != "").groupBy("__path__").agg(F.min(at).alias("__header__"))
+    rest = records.join(F.broadcast(shown), "__path__").where(F.col("__start__") > F.col("__header__"))
+    return rest.select("__path__", "__record__", (F.col("__start__.__block__") + F.col("__start__.__id__")).alias("__from__"))
+
+
+def _well_quoted(name: str) -> Column:
+    """Whether quotes stand only around whole fields, or doubled inside them: then lines were put together as a parser would."""
+    pieces = F.split(F.regexp_replace(name, "\r$", ""), '"', -1)
+    n = F.size(pieces)
+    # every other piece lies outside of quotes: it has separators at its quoted ends, or is nothing between two quotes
+    def fits(piece, i):
+        middle = (piece == "") & (i > 0) & (i < n - 1)
+        return (i % 2 == 1) | middle | (((i == 0) | piece.startswith(",")) & ((i == n - 1) | piece.endswith(",") | ((i == 0) & (piece == ""))) & ~piece.contains("\r")) | ((i == n - 1) & (piece == ""))
+
+    return (n % 2 == 1) & F.forall(F.transform(pieces, fits), lambda ok: ok)
+
+
 def _csv(spark: SparkSession, paths: list[str], columns: list[str] | None, storage: dict[str, str] | None) -> DataFrame:
     """CSV files as text columns and ``__at__``, a row's position, from one scan that is written as Parquet.
 
     Lines are split into fields as they are scanned, and the number of quotes in each line is kept as odd or even. A file in which it
-    is odd somewhere has line breaks inside fields: its rows are left out of the copy, and it alone is read again as a whole, in one task.
+    is odd somewhere has line breaks inside fields: its rows are left out of the copy, and its lines are put together to records, by many tasks.
+    Only a gzipped file, or one with stray quotes, is read again as a whole, in one task.
     """
     options = {"escape": '"', **(storage or {})}
     groups, frames = _groups(paths, lambda p: files.first_line(spark, p, storage) or ""), []
@@ -187,6 +230,21 @@ def _csv(spark: SparkSession, paths: list[str], columns: list[str] | None, stora
         frames.append(whole.select(*[F.col(f"`{n}`") for n in kept], "__at__"))
         if torn:
             again = [p for p in own if files.url(spark, p, storage) in torn]
+            if plain := [p for p in again if not p.lower().endswith(".gz")]:
+                records = materialize(_records(spark, plain, storage), "records")
+                # one row a file
+                stray = {r[0] for r in records.where(~_well_quoted("__record__")).select("__path__").distinct().collect()}
+                joined = [p for p in plain if files.url(spark, p, storage) not in stray]
+                if joined:
+                    good = records.where(~F.col("__path__").isin(list(stray))) if stray else records
+                    good = good.where(F.trim(F.regexp_replace("__record__", "[\\r\\n]", "")) != "")
+                    text = F.regexp_replace("__record__", "\\r$", "")
+                    good = _numbered(good, spark, paths, F.col("__from__"), "__at__", storage, F.col("__path__"))
+                    fields = good.select(F.from_csv(text, ddl, {"escape": '"', "multiLine": "true"}).alias("__f__"), "__at__")
+                    frames.append(fields.select(*[F.col("__f__").getField(n).alias(n) for n in kept], "__at__"))
+                again = [p for p in again if p not in set(joined)]
+            if not again:
+                continue
             rows = spark.read.options(**options).csv(list(map(files.literal, again)), schema=schema, header=True, multiLine=True)
             rows = _numbered(rows, spark, paths, F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1), "__at__", storage)
             frames.append(materialize(rows.select(*[F.col(f"`{n}`") for n in kept], "__at__"), "csv"))

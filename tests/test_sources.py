@@ -129,3 +129,19 @@ def test_row_numbers(spark, tmp_path):
     assert sorted(r.id for r in readers.row_range(readers.read_table(spark, tmp_path / "t", row_index="n"), "n", 10, 20).collect()) == list(range(10, 20))
     first, last = readers.ends_of(spark.range(30), 2)
     assert [r.id for r in first + last] == [0, 1, 28, 29]
+
+
+def test_quoted_line_breaks_by_many_tasks(spark, tmp_path):
+    """A file with line breaks inside fields is read block by block, with the same rows in the same order as read whole."""
+    texts = ["x" * 50 + "\n\n" + 'say ""no"", ' * (i % 4) + "\nend," * (i % 7) for i in range(300)] + ["\r\nodd\rbreaks\r\n", '""', "a,b\n" * 400]
+    (tmp_path / "t.csv").write_bytes(("k,s,n\n" + "".join(f'{i},"{t}",{i}\n' for i, t in enumerate(texts))).encode())
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700b")
+    try:
+        records = readers._records(spark, [str(tmp_path / "t.csv")], None)
+        assert records.where(readers._well_quoted("__record__")).count() == len(texts)
+        df = readers.read_table(spark, tmp_path / "t.csv", row_index="n_row")
+        got = sorted(map(tuple, df.select("n_row", "k", "s", "n").collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == [(i, i, t.replace('""', '"'), i) for i, t in enumerate(texts)]
