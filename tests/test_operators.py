@@ -258,3 +258,12 @@ def test_a_shard_of_several_files_is_read_in_order(spark, tmp_path):
     assert len(list((tmp_path / "out/s").glob("0*.parquet"))) > 10  # so that 0-10 must not come before 0-2
     got = cohort.read_in_order(spark, str(tmp_path / "out"), "n").collect()
     assert len(got) == 3000 and all(r.subject_id // 2 == r.n for r in got)
+
+
+def test_draw_of_sizes_that_the_sql_does_not_list():
+    """The SQL of iid_split lists 150 and 1,500 subjects; the same independent definition holds for others."""
+    from chronoweave.plans import catalogue
+
+    shards = subjects.assign_shards(range(15_000), 500)
+    got = {i: f"{shard}:{place}" for shard, own in shards.items() for place, i in enumerate(own)}
+    assert [got[i] for i in range(15_000)] == catalogue._drawn(15_000)
