@@ -31,3 +31,10 @@ def test_query_equals_sql(spark, db, name):
     columns = [d[0] for d in want.description]
     assert sorted(columns) == sorted(df.columns)
     assert rows(got, df.columns) == rows(want.fetchall(), columns)
+
+
+def test_unwanted_components_stay_out_of_the_shuffle(spark):
+    """Rows are made distinct in the columns that the SQL has, without the struct of code components."""
+    plan = catalogue.queries()["source_block_counts"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+    assert moved and not any("code_components" in line for line in moved)
