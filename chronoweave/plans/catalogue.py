@@ -734,5 +734,5 @@ def codes_first_template(spark, sf_dir):
 @query(f"""SELECT DISTINCT subject_id, code, time, CAST(CAST(numeric_value AS FLOAT) AS DOUBLE) AS numeric_value, source_block, CASE WHEN subject_id % 10 < 8 THEN 'train' ELSE 'held_out' END AS split FROM ({_ALL})""")
 def full_cohort(spark, sf_dir):
     s, read = spec.from_dict(COHORT), _reader(spark, sf_dir)
-    made = pipeline.cohort_of(pipeline.events_of(s, read), _two_splits(pipeline.subjects_of(s, read)), pipeline.Options(layout="ranges"))
+    made = pipeline.cohort_of(pipeline.events_of(s, read).drop("code_components"), _two_splits(pipeline.subjects_of(s, read)), pipeline.Options(layout="ranges"))
     return made.select("subject_id", "code", "time", F.col("numeric_value").cast("double").alias("numeric_value"), "source_block", "split")
