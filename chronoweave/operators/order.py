@@ -25,6 +25,8 @@ def placed(rows: DataFrame, order: Column, name: str) -> DataFrame:
     """Rows with a bucket ``__b__`` (of a fixed number, in order of ``order``), numbered over all buckets."""
     count = rows.groupBy("__b__").agg(F.count("*").alias("__n__"))
     before = F.coalesce(F.sum("__n__").over(Window.orderBy("__b__").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = F.broadcast(count.select("__b__", before.alias("__before__")))  # one row a bucket
+    starts = F.broadcast(count.select(F.col("__b__").alias("__of__"), before.alias("__before__")))  # one row a bucket
     within = F.row_number().over(Window.partitionBy("__b__").orderBy(order)) - 1
-    return rows.join(starts, "__b__").withColumn(name, (F.col("__before__") + within).cast("bigint")).drop("__b__", "__before__")
+    # a plain equality lets Spark infer a filter for the other side, at times with a column that only this side has
+    same = F.col("__b__").eqNullSafe(F.col("__of__"))
+    return rows.join(starts, same).withColumn(name, (F.col("__before__") + within).cast("bigint")).drop("__b__", "__of__", "__before__")

@@ -8,17 +8,21 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources import files
-from ..sources.files import materialize
+from ..sources.files import materialize, release
 from .order import numbered, placed
 
 DEFAULT_SHARES = {"train": 0.8, "tuning": 0.1, "held_out": 0.1}
 PER_SHARD = 50_000
-#: Subjects that a draw on the driver may have.
+#: Subjects that a draw may have.
 MOST_DRAWN = 20_000_000
+#: Subjects whose numbers are drawn on the driver; those of more are drawn by tasks, and are the same.
+FEW = 100_000
+#: Numbers that one task draws.
+SWAPS = 250_000
 #: Subjects in one row of a drawn table.
 CHUNK = 10_000
 
@@ -52,20 +56,12 @@ def draw(n_free: int, per_shard: int = PER_SHARD, external: dict[str, int] | Non
     subjects' order, and the order in each split that needs several shards.
     """
     external = external or {}
-    shares = {k: v for k, v in (DEFAULT_SHARES if shares is None else shares).items() if v is not None}
     rng = np.random.default_rng(seed)
+    sizes = drawn_sizes(rng, n_free, external, shares)
     splits: dict[str, np.ndarray | None] = {}
-    if n_free:
-        total = sum(shares.values())
-        if not math.isclose(total, 1):
-            raise ValueError(f"split shares must add up to 1, not {total}: {shares}")
-        if clash := sorted(set(shares) & set(external)):
-            raise ValueError(f"splits {', '.join(clash)} are external and drawn")
-        order = [list(shares)[i] for i in rng.permutation(len(shares))]
-        sizes = sizes_of(n_free, [shares[s] for s in order])
-        mixed = rng.permutation(n_free)
-        ends = np.cumsum(sizes)
-        splits = {s: mixed[e - n : e] for s, n, e in zip(order, sizes, ends)}
+    if sizes:
+        mixed, ends = rng.permutation(n_free), np.cumsum(list(sizes.values()))
+        splits = {s: mixed[e - n : e] for (s, n), e in zip(sizes.items(), ends)}
     splits |= dict.fromkeys(external)
     out = []
     for name, own in splits.items():
@@ -75,6 +71,20 @@ def draw(n_free: int, per_shard: int = PER_SHARD, external: dict[str, int] | Non
     return out
 
 
+def drawn_sizes(rng: np.random.Generator, n_free: int, external: dict[str, int], shares: dict[str, float | None] | None = None) -> dict[str, int]:
+    """How many of the free subjects each drawn split gets, in the order of the splits, which is drawn; none without free subjects."""
+    if not n_free:
+        return {}
+    shares = {k: v for k, v in (DEFAULT_SHARES if shares is None else shares).items() if v is not None}
+    total = sum(shares.values())
+    if not math.isclose(total, 1):
+        raise ValueError(f"split shares must add up to 1, not {total}: {shares}")
+    if clash := sorted(set(shares) & set(external)):
+        raise ValueError(f"splits {', '.join(clash)} are external and drawn")
+    order = [list(shares)[i] for i in rng.permutation(len(shares))]
+    return dict(zip(order, sizes_of(n_free, [shares[s] for s in order])))
+
+
 def sizes_of(n: int, shares: list[float]) -> list[int]:
     """How many of ``n`` subjects each share gets: rounded, the last takes the rest; an empty one gets one from the largest, once."""
     sizes = [int(np.round(s * n)) for s in shares[:-1]]
@@ -105,8 +115,8 @@ def assign_shards(ids, per_shard: int = PER_SHARD, external: dict[str, list] | N
 def drawn_shards(people: DataFrame, per_shard: int = PER_SHARD, external: DataFrame | None = None, shares: dict[str, float | None] | None = None, seed: int = 1, most: int = MOST_DRAWN) -> DataFrame:
     """(subject_id, split, shard, place): ``assign_shards`` on DataFrames; place: where a subject stands in its shard.
 
-    Ids stay on the cluster: subjects are numbered in ascending order, and only drawn numbers come from the driver, at most
-    ``most`` (8 bytes each; ValueError beyond, then ``hashed_shards`` is the way). external: (split, number, place,
+    Ids stay on the cluster: subjects are numbered in ascending order. The numbers of up to ``FEW`` subjects are drawn on the driver, those
+    of more by tasks. More than ``most`` are a ValueError; then ``hashed_shards`` is the way. external: (split, number, place,
     subject_id), with the splits' order and the place in a split's list.
     """
     spark = people.sparkSession
@@ -115,7 +125,9 @@ def drawn_shards(people: DataFrame, per_shard: int = PER_SHARD, external: DataFr
     free = materialize(free, "free")
     n = free.count()
     if n + sum(sizes.values()) > most:
-        raise ValueError(f"{n + sum(sizes.values())} subjects are more than max_drawn_subjects, {most}, that a draw on the driver may have; choose split_by='hash'")
+        raise ValueError(f"{n + sum(sizes.values())} subjects are more than max_drawn_subjects, {most}, that a draw may have; choose split_by='hash'")
+    if n + sum(sizes.values()) > FEW:
+        return _drawn_by_tasks(free, n, external, sizes, per_shard, shares, seed)
     drawn = draw(n, per_shard, sizes, shares, seed)
 
     def table(splits: list[Drawn]) -> DataFrame:
@@ -146,6 +158,85 @@ def drawn_shards(people: DataFrame, per_shard: int = PER_SHARD, external: DataFr
     return found.select("subject_id", "split", F.concat_ws("/", "split", F.col("shard_no").cast("string")).alias("shard"), "place")
 
 
+def _drawn_by_tasks(free: DataFrame, n: int, external: DataFrame | None, sizes: dict[str, int], per_shard: int, shares: dict[str, float | None] | None, seed: int) -> DataFrame:
+    """``drawn_shards`` of many subjects: drawn numbers and ids stay in tasks, which each hold a part, and nothing that grows with them is broadcast."""
+    rng = np.random.default_rng(seed)
+    own = drawn_sizes(rng, n, sizes, shares)
+    # which permutation mixes a split; 0: the free subjects' one
+    mixes = {name: i for i, (name, k) in enumerate({**own, **sizes}.items(), 1) if k > per_shard}
+    mixed = permutations(free.sparkSession, rng, ({0: n} if n else {}) | {i: {**own, **sizes}[name] for name, i in mixes.items()})
+    parts = []  # (subject_id, split, own): own is a subject's number in its split
+    if n:
+        at, name, first, start = F.col("at"), F.lit(None).cast("string"), F.lit(0).cast("bigint"), 0
+        for split, k in own.items():
+            name, first = F.when(at >= start, split).otherwise(name), F.when(at >= start, start).otherwise(first)
+            start += k
+        places = mixed.where("draw = 0").select(F.col("number").alias("nth"), name.alias("split"), (at - first).alias("own")).hint("merge")
+        parts.append(numbered(free, "subject_id", "nth").join(places, "nth").select("subject_id", "split", "own"))
+    if external is not None:
+        parts.append(external.select("subject_id", "split", F.col("place").alias("own")))
+    rows = reduce(lambda a, b: a.unionByName(b), parts)
+    draw_no, size = (_by_split(known, none) for known, none in ((mixes, -1), ({**own, **sizes}, 1)))
+    order = mixed.where("draw > 0").select("draw", F.col("number").alias("own"), "at").hint("merge")
+    rows = rows.select("*", draw_no.alias("draw"), size.alias("n")).join(order, ["draw", "own"], "left")
+    number, place = _cut(F.coalesce("at", "own"), F.col("n"), per_shard)
+    return rows.select("subject_id", "split", F.concat_ws("/", "split", number.cast("string")).alias("shard"), place.alias("place"))
+
+
+def _by_split(known: dict[str, int], none: int) -> Column:
+    return reduce(lambda c, kv: F.when(F.col("split") == kv[0], kv[1]).otherwise(c), known.items(), F.lit(none)).cast("bigint")
+
+
+def permutations(spark: SparkSession, rng: np.random.Generator, sizes: dict[int, int]) -> DataFrame:
+    """(draw, at, number): what stands at each place of ``rng.permutation(n)``, for the n of each draw, one draw after the other.
+
+    NumPy's permutation starts from 0 to n - 1 in order; for at = n - 1 down to 1 it draws a place ``to`` <= at and swaps what stands there. The
+    driver only moves the generator on; tasks draw the places again, from its states. What a place holds when its own swap comes was brought
+    there by the last swap that drew it before, from that swap's own place, where the same holds: chains of rising places, of which
+    the longest of a million has some forty links. They are followed side by side, each round twice as far. A place that no swap drew holds its own number.
+    """
+    chunks = []
+    for draw_no, n in sizes.items():
+        for high in range(n - 1, 0, -SWAPS):
+            chunks.append((draw_no, high, max(high - SWAPS, 0), rng.bit_generator.state))
+            _swaps(rng, *chunks[-1][1:3])
+
+    def drawn(batches):
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                draw_no, high, low, state = chunks[i]
+                own = np.random.default_rng()
+                own.bit_generator.state = state
+                at, to = _swaps(own, high, low)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), draw_no)), pa.array(at), pa.array(to)], ["draw", "at", "to"])
+
+    swaps = materialize(spark.range(0, len(chunks), 1, max(1, len(chunks))).mapInArrow(drawn, "draw bigint, at bigint, to bigint"), "swaps")
+    # the swap that drew the same place last before; a place's first link is to the last swap that drew it before its own
+    earlier = F.lead("at").over(Window.partitionBy("draw", "to").orderBy("at"))
+    links = materialize(swaps.where("at > to").groupBy("draw", F.col("to").alias("p")).agg(F.min("at").alias("up"), F.lit(True).alias("moved")), "links")
+    while not links.where("moved").isEmpty():
+        # merged: a broadcast would gather the links on the driver
+        ends = links.select("draw", F.col("p").alias("up"), F.col("up").alias("further")).hint("merge")
+        longer = links.drop("moved").join(ends, ["draw", "up"], "left").select("draw", "p", F.coalesce("further", "up").alias("up"), F.col("further").isNotNull().alias("moved"))
+        longer, before = materialize(longer, "links"), links
+        links = longer
+        release(before)
+    firsts = spark.createDataFrame([(d, 0, 0, 0) for d, n in sizes.items() if n], "draw bigint, at bigint, to bigint, p bigint")
+    # places that no earlier swap drew find no link; keys of their own keep them apart
+    found = swaps.select("draw", "at", "to", F.coalesce(earlier, -1 - F.col("at")).alias("p")).unionByName(firsts)
+    ends = links.select("draw", "p", "up").hint("merge")
+    number = F.coalesce("up", F.when(F.col("p") >= 0, F.col("p")), "to")
+    out = materialize(found.join(ends, ["draw", "p"], "left").select("draw", "at", number.alias("number")), "permutations")
+    release(swaps, links)
+    return out
+
+
+def _swaps(rng: np.random.Generator, high: int, low: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places high to low + 1 of a permutation, and the places that it swaps them with: the draws of ``Generator.permutation``, which bounds numbers by masks, as ``randint`` does."""
+    at = np.arange(high, low, -1)
+    return at, np.random.RandomState(rng.bit_generator).randint(0, at + 1, dtype=np.int64)
+
+
 def external_splits(spark: SparkSession, path, storage: dict[str, str] | None = None) -> DataFrame:
     """(split, number, place, subject_id) from a JSON file ``{"split": [ids]}``; a task reads it."""
     hidden = str(path).rpartition("/")[2][:1] in "._"  # which Spark's readers leave out
@@ -190,9 +281,13 @@ def hashed_shards(people: DataFrame, per_shard: int = PER_SHARD, external: DataF
     if external is not None:
         size_of = external.groupBy("split").agg(F.count("*").alias("n"))
         rows = rows.unionByName(external.join(size_of, "split").select("subject_id", "split", F.col("place").alias("own"), "n"))
-    # near-equal runs, the first ones longer by one, as np.array_split cuts
-    count = F.ceil(F.col("n") / per_shard)
-    short, longer = F.floor(F.col("n") / count), F.col("n") % count
-    number = F.when(F.col("own") < longer * (short + 1), F.floor(F.col("own") / (short + 1))).otherwise(longer + F.floor((F.col("own") - longer * (short + 1)) / F.greatest(short, F.lit(1))))
-    begin = number * short + F.least(number, longer)
-    return rows.select("subject_id", "split", F.concat_ws("/", "split", number.cast("string")).alias("shard"), (F.col("own") - begin).cast("bigint").alias("place"))
+    number, place = _cut(F.col("own"), F.col("n"), per_shard)
+    return rows.select("subject_id", "split", F.concat_ws("/", "split", number.cast("string")).alias("shard"), place.alias("place"))
+
+
+def _cut(own: Column, n: Column, per_shard: int) -> tuple[Column, Column]:
+    """The shard of place ``own`` of ``n``, and the place in it: near-equal runs, the first ones longer by one, as np.array_split cuts."""
+    count = F.ceil(n / per_shard)
+    short, longer = F.floor(n / count), n % count
+    number = F.when(own < longer * (short + 1), F.floor(own / (short + 1))).otherwise(longer + F.floor((own - longer * (short + 1)) / F.greatest(short, F.lit(1))))
+    return number, (own - (number * short + F.least(number, longer))).cast("bigint")

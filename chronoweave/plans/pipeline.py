@@ -39,7 +39,7 @@ class Options:
     description_separator: str = "\n"
     code_modifiers: list[str] | None = None
     do_overwrite: bool = False
-    #: draw: numbers come from a seeded NumPy generator on the driver; hash: subjects in order of a seeded hash, for any number of them.
+    #: draw: numbers come from a seeded NumPy generator; hash: subjects in order of a seeded hash, for any number of them.
     split_by: str = "draw"
     #: More subjects than a draw may have are an error.
     max_drawn_subjects: int = subjects.MOST_DRAWN

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -267,3 +268,38 @@ def test_draw_of_sizes_that_the_sql_does_not_list():
     shards = subjects.assign_shards(range(15_000), 500)
     got = {i: f"{shard}:{place}" for shard, own in shards.items() for place, i in enumerate(own)}
     assert [got[i] for i in range(15_000)] == catalogue._drawn(15_000)
+
+
+def test_permutations_by_tasks_equal_numpys(spark, monkeypatch):
+    """Of any size, one draw after the other, whatever the tasks' shares."""
+    monkeypatch.setattr(subjects, "SWAPS", 70)
+    sizes = {0: 1000, 1: 1, 2: 2, 3: 281, 4: 71}
+    ours, numpys = np.random.default_rng(1), np.random.default_rng(1)
+    got = subjects.permutations(spark, ours, sizes).collect()
+    for d, n in sizes.items():
+        assert sorted((r["at"], r["number"]) for r in got if r["draw"] == d) == list(enumerate(numpys.permutation(n).tolist()))
+    assert ours.bit_generator.state == numpys.bit_generator.state
+
+
+def test_many_subjects_are_drawn_by_tasks(spark, monkeypatch):
+    """The same shards as a draw on the driver, which neither draws nor broadcasts what grows with the subjects."""
+    ids = list(range(3, 6000, 2))
+    lists = [("b", 0, k, i) for k, i in enumerate(ids[:1100])] + [("c", 1, 0, 3)]
+    want = [subjects.assign_shards(ids, 300), subjects.assign_shards(ids, 300, {"b": ids[:1100], "c": [3]})]
+
+    def refused(*_):
+        raise AssertionError("drawn on the driver")
+
+    monkeypatch.setattr(subjects, "draw", refused)
+    monkeypatch.setattr(subjects, "FEW", 1000, raising=False)
+    monkeypatch.setattr(subjects, "SWAPS", 700, raising=False)
+    people = spark.createDataFrame([(i,) for i in ids], "subject_id bigint")
+    for external, shards in zip((None, spark.createDataFrame(lists, "split string, number int, place bigint, subject_id bigint")), want):
+        found = subjects.drawn_shards(people, 300, external)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastExchange") <= 1  # one row a range of ids
+        got: dict[str, list] = {}
+        for r in sorted(found.collect(), key=lambda r: (r.shard, r.place)):
+            assert r.place == len(got.setdefault(r.shard, []))
+            got[r.shard].append(r.subject_id)
+        assert got == shards
