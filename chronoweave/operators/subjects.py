@@ -237,12 +237,38 @@ def _swaps(rng: np.random.Generator, high: int, low: int) -> tuple[np.ndarray, n
     return at, np.random.RandomState(rng.bit_generator).randint(0, at + 1, dtype=np.int64)
 
 
+def write_lists(shards: DataFrame, path, storage: dict[str, str] | None = None) -> None:
+    """``{"split/shard": [ids]}`` as JSON, one shard a line, in order of name; one task puts them in order (and spills), which never has more than a line in hand."""
+    # one row a shard, of at most so many ids as it may have
+    lists = shards.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("place", "subject_id"))).alias("m")).select(F.to_json(F.create_map("shard", "m.subject_id")).alias("j"))
+    end = shards.sparkSession.range(1).select(F.lit(None).cast("string").alias("j"))
+    rows = lists.unionByName(end).repartition(1).sortWithinPartitions(F.asc_nulls_last("j")).select("j", F.monotonically_increasing_id().alias("at"))
+    first = F.col("at") == 0  # of the only partition's rows
+    entry = F.concat(F.when(first, "{").otherwise(","), F.expr("substring(j, 2, length(j) - 2)"))
+    files.write_lines(rows.select(F.coalesce(entry, F.when(first, "{}").otherwise("}")).alias("value")), path, storage)
+
+
+#: Lines of such a file: its first, the others, its last.
+_LISTS = (r'^\{"([^"\\]++|\\.)*+":\[[-0-9,]*+\]$', r'^,"([^"\\]++|\\.)*+":\[[-0-9,]*+\]$', r"^\}$")
+
+
 def external_splits(spark: SparkSession, path, storage: dict[str, str] | None = None) -> DataFrame:
-    """(split, number, place, subject_id) from a JSON file ``{"split": [ids]}``; a task reads it."""
-    hidden = str(path).rpartition("/")[2][:1] in "._"  # which Spark's readers leave out
-    text = spark.createDataFrame([(files.read_text(spark, path, storage),)], "value string") if hidden else spark.read.options(**storage or {}).text(files.literal(path), wholetext=True)
-    lists = text.select(F.posexplode(F.map_entries(F.from_json("value", "map<string,array<bigint>>"))).alias("number", "e"))
-    return lists.select(F.col("e.key").alias("split"), "number", F.posexplode("e.value").alias("place", "subject_id")).select("split", "number", F.col("place").cast("bigint").alias("place"), "subject_id")
+    """(split, number, place, subject_id) from a JSON file ``{"split": [ids]}``; number: rises with the lists in the file. A file as
+    ``write_lists`` makes it is read by many tasks, any other one by one task."""
+    if str(path).rpartition("/")[2][:1] in "._":  # which Spark's readers leave out
+        path, storage = files.visible(spark, path, storage), None
+    reader, lists = spark.read.options(**storage or {}), "map<string,array<bigint>>"
+    # lines of a file are numbered in its order, as a scan deals its blocks in order
+    lines = reader.text(files.literal(path)).select(F.monotonically_increasing_id().alias("number"), "value")
+    kinds = lines.agg(*[F.count_if(F.col("value").rlike(kind)) for kind in _LISTS], F.count("*")).first()
+    if kinds[0] == kinds[2] == 1 and sum(kinds[:3]) == kinds[3]:
+        one = F.from_json(F.concat(F.lit("{"), F.expr("substring(value, 2)"), F.lit("}")), lists, {"mode": "FAILFAST"})
+        found = lines.where("value <> '}'").select("number", F.explode(F.map_entries(one)).alias("e"))
+    else:
+        text = spark.read.options(**storage or {}).text(files.literal(path), wholetext=True)
+        found = text.select(F.posexplode(F.map_entries(F.from_json("value", lists))).alias("number", "e"))
+    placed_ids = found.select(F.col("e.key").alias("split"), F.col("number").cast("bigint").alias("number"), F.posexplode("e.value").alias("place", "subject_id"))
+    return placed_ids.select("split", "number", F.col("place").cast("bigint").alias("place"), "subject_id")
 
 
 def overlaps(shards: DataFrame) -> DataFrame:

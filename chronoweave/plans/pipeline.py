@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import itertools
 import json
 import logging
 import uuid
@@ -250,10 +249,8 @@ def write_metadata(c: Context) -> None:
     shards = c.tables["shards"]
     finish_metadata(c.tables["codes"], shards, c.metadata, "errorifexists", c.options, {"subjects_by_split": c.subjects, "rows_by_split": c.rows})
     if c.options.split_by == "draw":
-        # one row a shard, of at most n_subjects_per_shard ids
-        lists = shards.groupBy("shard").agg(F.array_sort(F.collect_list(F.struct("place", "subject_id"))).alias("m")).select(F.to_json(F.create_map("shard", "m.subject_id")).alias("j")).orderBy("j")
-        inside = (("," if i else "") + r["j"][1:-1] for i, r in enumerate(lists.toLocalIterator()))
-        files.write_text(c.spark, f"{c.metadata}/.shards.json", itertools.chain(["{"], inside, ["}"]), c.options.storage)
+        # a shard's ids, at most n_subjects_per_shard, are one line
+        subjects.write_lists(shards, f"{c.metadata}/.shards.json", c.options.storage)
     files.write_text(c.spark, f"{c.metadata}/spec.yaml", c.spec_text, c.options.storage)
 
 

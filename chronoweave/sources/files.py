@@ -123,6 +123,28 @@ def write_text(spark: SparkSession, path, parts, storage: dict[str, str] | None
         stream.close()
 
 
+def write_lines(lines: DataFrame, path, storage: dict[str, str] | None = None) -> None:
+    """One column of text as one file of lines, written by the task that has them all."""
+    spark, folder = lines.sparkSession, f"{path}-{uuid.uuid4().hex}"
+    lines.write.options(**storage or {}).text(folder, compression="none")
+    [part] = [name for name, _ in children(spark, folder, storage) if name.startswith("part-")]
+    move(spark, f"{folder}/{part}", path, storage)
+    delete(spark, folder, storage)
+
+
+def visible(spark: SparkSession, path, storage: dict[str, str] | None = None) -> str:
+    """A copy in the shared folder of a file whose name Spark's readers leave out; no more than a buffer of it is in memory."""
+    fs, p = _at(spark, path, storage)
+    if not fs.exists(p):
+        raise FileNotFoundError(f"there is no {path}")
+    copy = scratch_path(spark, "copy")
+    if _open:
+        _open[-1].append((spark, copy))
+    to, target = _at(spark, copy)
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, p, to, target, False, fs.getConf())
+    return copy
+
+
 def move(spark: SparkSession, source, target, storage: dict[str, str] | None = None) -> None:
     """Rename a file or folder; folders above the target are made. OSError if the storage refuses."""
     fs, p = _at(spark, source, storage)

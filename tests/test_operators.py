@@ -303,3 +303,36 @@ def test_many_subjects_are_drawn_by_tasks(spark, monkeypatch):
             assert r.place == len(got.setdefault(r.shard, []))
             got[r.shard].append(r.subject_id)
         assert got == shards
+
+
+def test_shard_map_is_written_and_read_by_tasks(spark, tmp_path, monkeypatch):
+    """A line a shard, in order of name; read by several tasks, whose lists keep the file's order."""
+    names = [f's"{i % 3}/x\\y/{i}' for i in range(40)]
+    ids = spark.range(3000).select((F.col("id") - 1500).alias("subject_id"), F.element_at(F.lit(names), (F.col("id") % 40 + 1).cast("int")).alias("shard"), F.floor((2999 - F.col("id")) / 40).alias("place"))
+    path = str(tmp_path / ".shards.json")
+    subjects.write_lists(ids, path)
+    want: dict[str, list] = {}
+    for r in sorted(ids.collect(), key=lambda r: r.place):
+        want.setdefault(r.shard, []).append(r.subject_id)
+    found = json.loads((tmp_path / ".shards.json").read_text())
+    assert found == want and list(found) == sorted(want) and [f.name for f in tmp_path.iterdir() if f.suffix != ".crc"] == [".shards.json"]
+
+    def refused(*_):
+        raise AssertionError("read by the driver")
+
+    monkeypatch.setattr(subjects.files, "read_text", refused)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in old:
+        spark.conf.set(k, "1000")
+    try:
+        lists = subjects.external_splits(spark, path)
+        assert lists.rdd.getNumPartitions() > 5
+        rows = sorted(lists.collect(), key=lambda r: (r.number, r.place))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert [(r.split, r.place, r.subject_id) for r in rows] == [(k, i, v) for k in sorted(want) for i, v in enumerate(want[k])]
+    subjects.write_lists(ids.limit(0), str(tmp_path / "none.json"))
+    assert json.loads((tmp_path / "none.json").read_text()) == {} and subjects.external_splits(spark, tmp_path / "none.json").count() == 0
+    with pytest.raises(FileNotFoundError):
+        subjects.external_splits(spark, tmp_path / ".nothing.json")

@@ -268,3 +268,18 @@ def test_stream(spark, tmp_path):
         q = stream_events(raw, t, watermark=mark).writeStream.format("memory").queryName(f"s{n}").option("checkpointLocation", str(tmp_path / f"c{n}")).trigger(availableNow=True).start()
         q.awaitTermination(120)
         assert spark.table(f"s{n}").count() == n
+
+
+def test_shard_map_of_a_run_does_not_pass_the_driver(spark, monkeypatch):
+    """Neither when it is written nor when the query on splits reads it."""
+    from chronoweave.plans import catalogue
+
+    def refused(*_, **__):
+        raise AssertionError("rows come to the driver")
+
+    read_text = pipeline.files.read_text
+    monkeypatch.setattr(catalogue, "_runs", {})
+    monkeypatch.setattr(type(spark.range(1)), "toLocalIterator", refused)
+    monkeypatch.setattr(pipeline.files, "read_text", lambda s, path, *a: refused() if str(path).endswith(".shards.json") else read_text(s, path, *a))
+    got = catalogue.queries()["whole_run_splits"](spark, "/root/testdata/sf0.001").collect()
+    assert got and all((r.n_shards, r.same) == (1, True) for r in got)
