@@ -192,22 +192,29 @@ def permutations(spark: SparkSession, rng: np.random.Generator, sizes: dict[int,
 
     NumPy's permutation starts from 0 to n - 1 in order; for at = n - 1 down to 1 it draws a place ``to`` <= at and swaps what stands there. The
     driver only moves the generator on; tasks draw the places again, from its states. What a place holds when its own swap comes was brought
-    there by the last swap that drew it before, from that swap's own place, where the same holds: chains of rising places, of which
-    the longest of a million has some forty links. They are followed side by side, each round twice as far. A place that no swap drew holds its own number.
+    there by the last swap that drew it before, from that swap's own place, where the same holds: chains of rising places (the
+    longest of a million with seed 1: 19 links). They are followed side by side, each round twice as far. A place that no swap drew holds its own number.
     """
+
+    def swaps_of(generator, high, low):
+        # places high to low + 1 and what they are swapped with: the permutation's draws, which are bounded by masks, as randint's are
+        at = np.arange(high, low, -1)
+        return at, np.random.RandomState(generator.bit_generator).randint(0, at + 1, dtype=np.int64)
+
     chunks = []
     for draw_no, n in sizes.items():
         for high in range(n - 1, 0, -SWAPS):
             chunks.append((draw_no, high, max(high - SWAPS, 0), rng.bit_generator.state))
-            _swaps(rng, *chunks[-1][1:3])
+            swaps_of(rng, *chunks[-1][1:3])
 
+    # it and what it calls go to the tasks by value: executors need NumPy and PyArrow, but not this package
     def drawn(batches):
         for batch in batches:
             for i in batch.column(0).to_pylist():
                 draw_no, high, low, state = chunks[i]
                 own = np.random.default_rng()
                 own.bit_generator.state = state
-                at, to = _swaps(own, high, low)
+                at, to = swaps_of(own, high, low)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), draw_no)), pa.array(at), pa.array(to)], ["draw", "at", "to"])
 
     swaps = materialize(spark.range(0, len(chunks), 1, max(1, len(chunks))).mapInArrow(drawn, "draw bigint, at bigint, to bigint"), "swaps")
@@ -231,12 +238,6 @@ def permutations(spark: SparkSession, rng: np.random.Generator, sizes: dict[int,
     return out
 
 
-def _swaps(rng: np.random.Generator, high: int, low: int) -> tuple[np.ndarray, np.ndarray]:
-    """The places high to low + 1 of a permutation, and the places that it swaps them with: the draws of ``Generator.permutation``, which bounds numbers by masks, as ``randint`` does."""
-    at = np.arange(high, low, -1)
-    return at, np.random.RandomState(rng.bit_generator).randint(0, at + 1, dtype=np.int64)
-
-
 def write_lists(shards: DataFrame, path, storage: dict[str, str] | None = None) -> None:
     """``{"split/shard": [ids]}`` as JSON, one shard a line, in order of name; one task puts them in order (and spills), which never has more than a line in hand."""
     # one row a shard, of at most so many ids as it may have
